@@ -1 +1,238 @@
-"""placeholder"""
+"""Semantic-model measures over the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dunlin.catalog import frames as f
+from dunlin.catalog.base import cte, query
+from dunlin.catalog.frames import r4
+from dunlin.catalog.reports import _attribution, _scored_phones, phone_score_performance
+from dunlin.operators import measures as m
+from dunlin.operators import ranking
+from dunlin.operators.aggregates import range_label, single_or, value_lists
+from dunlin.operators.joins import asof_join
+from dunlin.sources.scans import load
+
+
+def _round(df, keys=()):
+    return df.withColumns({c: F.round(c, 8) for c in df.columns if c not in keys})
+
+
+def _ratio_sql(num, den):
+    cols = [num] if isinstance(num, str) else list(num)
+    top = " + ".join(f"sum({c})" for c in cols)
+    return f"round(CAST({top} AS DOUBLE) / nullif(CAST(sum({den}) AS DOUBLE), 0), 8)"
+
+
+def _select(specs):
+    return ", ".join(f"{_ratio_sql(n, d)} AS {name}" for name, (n, d) in specs.items())
+
+
+COUNTERS = ["calls", "unq_calls", "rpc_calls", "unq_rpc_calls", "letters", "unq_letters", "unq_payers",
+            "calls_ob", "calls_ib", "unq_rpc_calls_ib", "unq_rpc_calls_ob", "sms_sent", "unq_sms_sent",
+            "emails_sent", "unq_emails_sent"]
+cte("inventory", "SELECT p_brand AS client, p_type AS stream, date_trunc('month', l_shipdate)::DATE AS rpt_month, "
+    "l_quantity AS accounts, l_extendedprice AS balances, l_extendedprice * l_discount AS payments, "
+    + ", ".join(f"(l_orderkey + {i} * l_linenumber) % {i + 2} AS {c}" for i, c in enumerate(COUNTERS))
+    + " FROM lineitem JOIN part ON l_partkey = p_partkey")
+
+
+def _inventory(spark, sf):
+    lines = load(spark, sf, "lineitem", ["l_partkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
+                                         "l_orderkey", "l_linenumber"])
+    return lines.join(load(spark, sf, "part", ["p_partkey", "p_brand", "p_type"]),
+                      F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_brand").alias("client"), F.col("p_type").alias("stream"),
+        F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("rpt_month"), F.col("l_quantity").alias("accounts"),
+        F.col("l_extendedprice").alias("balances"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("payments"),
+        *[((F.col("l_orderkey") + i * F.col("l_linenumber")) % (i + 2)).alias(c) for i, c in enumerate(COUNTERS)])
+
+
+@query(f"SELECT client, {_select(m.INVENTORY)} FROM inventory GROUP BY 1")
+def inventory_measures(spark, sf):
+    df = _inventory(spark, sf)
+    return _round(m.by_dimension(df, "client", m.registry(m.INVENTORY, df.columns), ["client", "stream"]), ["client"])
+
+
+@query(f"SELECT {_select(m.INVENTORY)}, CAST(sum(calls) + sum(sms_sent) + sum(emails_sent) + sum(letters) AS BIGINT) "
+       "AS total_attempts FROM inventory WHERE rpt_month >= '1999-01-01' AND stream = 'ECONOMY'")
+def inventory_measures_filtered(spark, sf):
+    df = _inventory(spark, sf).where(
+        (F.col("rpt_month") >= F.lit("1999-01-01").cast("date")) & (F.col("stream") == "ECONOMY"))
+    every = {**m.registry(m.INVENTORY), **m.channel_totals(["calls", "sms_sent", "emails_sent", "letters"])}
+    return _round(m.by_dimension(df, None, every), ["total_attempts"])
+
+
+@query("""
+SELECT rpt_month, client, round(pay, 4) AS payments, rnk FROM (
+  SELECT client, dense_rank() OVER (ORDER BY round(sum(payments), 4) DESC) AS rnk FROM inventory GROUP BY 1)
+JOIN (SELECT rpt_month, client, sum(payments) AS pay FROM inventory GROUP BY ALL) USING (client)
+WHERE rnk <= 10 AND rpt_month >= '2001-01-01'""")
+def top_clients_by_month(spark, sf):
+    """Clients ranked over all rows (before the month filter), shown for the filtered months."""
+    df = _inventory(spark, sf)
+    ranks = ranking.rank_total(df, "client", F.round(F.sum("payments"), 4)).where(F.col("rnk") <= 10)
+    shown = df.where(F.col("rpt_month") >= F.lit("2001-01-01").cast("date")).groupBy("rpt_month", "client").agg(
+        r4(F.sum("payments")).alias("payments"))
+    return shown.join(ranks.select("client", F.col("rnk").cast("bigint").alias("rnk")), "client").select(
+        "rpt_month", "client", "payments", "rnk")
+
+
+def _message_sql(dim):
+    inner = "SELECT *, CAST(has_pay AS BIGINT) AS payers FROM attributed"
+    return f"SELECT {dim}, {_select(m.MESSAGE)} FROM ({inner}) GROUP BY 1"
+
+
+@query(_message_sql("letter"))
+def message_rates_by_letter(spark, sf):
+    return _rates(spark, sf, "letter")
+
+
+@query(_message_sql("email_domain"))
+def message_rates_by_domain(spark, sf):
+    return _rates(spark, sf, "email_domain")
+
+
+def _rates(spark, sf, dim):
+    df = _attribution(spark, sf)
+    allowed = ["client", "crm", "letter", "email_domain", "send_domain"]
+    return _round(m.by_dimension(df, dim, m.registry(m.MESSAGE, df.columns), allowed), [dim])
+
+
+COHORT_STAGES = {"requested": "requested", "whitelist_scrubbed": "whitelist_scrubbed",
+                 "optout_scrubbed": "optout_scrubbed", "invalid_scrubbed": "invalid_scrubbed", "sent": "sent",
+                 "bounced": "bounced", "delivered": "delivered", "opens": "unq_opens", "optouts": "optouts",
+                 "spam": "marked_as_spam", "clicks": "clicks"}
+
+
+@query("WITH cohort AS (SELECT client, crm, "
+       + ", ".join(f"count(DISTINCT CASE WHEN {c} > 0 THEN account END) AS unq_{n}" for n, c in COHORT_STAGES.items())
+       + ", count(DISTINCT CASE WHEN has_pay THEN account END) AS payers, sum(payments) AS payments "
+       f"FROM attributed GROUP BY ALL) SELECT client, {_select(m.COHORT)} FROM cohort GROUP BY 1")
+def cohort_rates(spark, sf):
+    from dunlin.plans.messages import first_month_funnel
+
+    funnel = first_month_funnel(_attribution(spark, sf))
+    return _round(m.by_dimension(funnel, "client", m.registry(m.COHORT, funnel.columns)), ["client"])
+
+
+@query("WITH clk AS (SELECT letter, CAST(code = 10 AS INT) * n_events AS delivered, CAST(code = 12 AS INT) AS clicks, "
+       "CAST(code = 12 AND guid % 3 = 0 AS INT) AS clicks_website, CAST(code = 12 AND guid % 3 = 1 AS INT) AS clicks_privacy, "
+       "CAST(code = 12 AND guid % 3 = 2 AS INT) AS clicks_regulator FROM msgs) "
+       f"SELECT letter, {_select(m.CLICK_TARGET)} FROM clk GROUP BY 1")
+def click_target_rates(spark, sf):
+    code, guid = F.col("code"), F.col("guid")
+    hit = lambda n: ((code == 12) & (guid % 3 == n)).cast("int")
+    clicks = f.msgs(spark, sf).select(
+        "letter", ((code == 10).cast("int") * F.col("n_events")).alias("delivered"),
+        (code == 12).cast("int").alias("clicks"), hit(0).alias("clicks_website"), hit(1).alias("clicks_privacy"),
+        hit(2).alias("clicks_regulator"))
+    return _round(m.by_dimension(clicks, "letter", m.registry(m.CLICK_TARGET)), ["letter"])
+
+
+cte("perf", """
+SELECT site, CASE WHEN CAST(substring(consumer, 8, 2) AS INTEGER) > 89 THEN 'Control' ELSE score END AS score,
+  account, phone, ts, is_contact, is_wrong FROM scored_phones JOIN attempts USING (account, phone)
+WHERE ts >= '2024-01-12' AND ts < '2024-01-19'
+""")
+
+
+@query("""
+WITH x AS (SELECT *, min(CASE WHEN is_contact = 1 THEN ts END) OVER w AS fc, min(CASE WHEN is_wrong = 1 THEN ts END) OVER w AS fw,
+  FROM perf WINDOW w AS (PARTITION BY account, phone)),
+s AS (SELECT p.site, p.score, b.balance_range, b.segment, count(*) AS attempts, count(DISTINCT p.phone) AS phones,
+   sum(is_contact) AS contacts, sum(is_wrong) AS wrong, count(*) FILTER (ts = fc) AS unq_contacts,
+   count(*) FILTER (ts = fw) AS unq_wrong
+  FROM x p JOIN (SELECT c_custkey, CASE WHEN c_acctbal <= 2500 THEN 1 WHEN c_acctbal >= 5000 THEN 3 ELSE 2 END AS balance_range,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'L' WHEN c_acctbal < 0 THEN 'R' ELSE 'S' END AS segment FROM customer) b
+  ON c_custkey = account GROUP BY ALL)
+""" + f"SELECT score, {_select(m.CONTACT)} FROM s GROUP BY 1")
+def contact_rates(spark, sf):
+    perf = phone_score_performance(spark, sf)
+    return _round(m.by_dimension(perf, "score", m.registry(m.CONTACT)), ["score"])
+
+
+CURVE_KINDS = ["click", "error", "purchase"]
+CURVE_LABELS = [(5, "0to5"), (10, "6to10"), (15, "11to15"), (20, "16to20"), (25, "21to25"), (30, "26to30")]
+
+
+def _curve_sql():
+    def band(kind, i):
+        lo = -1 if i == 0 else CURVE_LABELS[i - 1][0]
+        if i == len(CURVE_LABELS):
+            return f"event_type = '{kind}' AND delay > 30"
+        return f"event_type = '{kind}' AND delay > {lo} AND delay <= {CURVE_LABELS[i][0]}"
+
+    names = [x for _, x in CURVE_LABELS] + ["30plus"]
+    cols = []
+    for kind in CURVE_KINDS:
+        total = f"count(*) FILTER (event_type = '{kind}')"
+        cols.append(f"{total} AS total_{kind}")
+        for i, name in enumerate(names):
+            n = f"count(*) FILTER ({band(kind, i)})"
+            cols += [f"{n} AS {kind}_{name}", f"round({n} / nullif({total}, 0)::DOUBLE, 8) AS {kind}_{name}_share"]
+    return f"""
+WITH d AS (SELECT 'C' || (user_id % 4) AS client, event_type, day - (SELECT max(CAST(s.ts AS DATE)) FROM events s
+    WHERE s.user_id = e.user_id AND s.event_type = 'signup' AND s.ts <= e.ts) AS delay
+  FROM ev e WHERE event_type IN ('click', 'error', 'purchase'))
+SELECT client, {', '.join(cols)} FROM d WHERE delay IS NOT NULL GROUP BY 1"""
+
+
+@query(_curve_sql())
+def response_curve(spark, sf):
+    """Days from a user's latest signup to each response, in the delay bands."""
+    e = f.ev(spark, sf)
+    sent = e.where(F.col("event_type") == "signup").select("user_id", F.col("ts").alias("sent_at"))
+    answers = e.where(F.col("event_type").isin(*CURVE_KINDS)).select("user_id", "ts", "day", "event_type")
+    timed = asof_join(answers, sent, "user_id", "ts", "sent_at", []).select(
+        F.concat(F.lit("C"), (F.col("user_id") % 4).cast("string")).alias("client"), "event_type",
+        F.datediff("day", F.col("sent_at").cast("date")).alias("delay"))
+    out = m.response_curve(timed, ["client"], "event_type", "delay", CURVE_KINDS)
+    return out.withColumns({c: F.round(c, 8) for c in out.columns if c.endswith("_share")})
+
+
+def _ranked_sql(dim, order, n):
+    return f"""
+WITH r AS (SELECT {dim}, sum(sent) AS total, dense_rank() OVER (ORDER BY sum(sent) {order}) AS rnk FROM attributed GROUP BY 1)
+SELECT CASE WHEN rnk <= {n} THEN {dim} ELSE 'Other' END AS {dim}, CAST(sum(total) AS BIGINT) AS total FROM r GROUP BY 1"""
+
+
+@query(_ranked_sql("email_domain", "DESC", 3))
+def top_domains(spark, sf):
+    return ranking.top_n(_attribution(spark, sf), "email_domain", F.sum("sent"), 3)
+
+
+@query(_ranked_sql("letter", "ASC", 1))
+def bottom_letters(spark, sf):
+    return ranking.top_n(_attribution(spark, sf), "letter", F.sum("sent"), 1, desc=False)
+
+
+@query("""
+SELECT client, strftime(min(send_date), '%b-%y') || ' - ' || strftime(max(send_date), '%b-%y') AS span,
+  CASE WHEN count(DISTINCT crm) = 1 THEN CAST(min(crm) AS VARCHAR) ELSE 'All' END AS crm,
+  string_agg(DISTINCT email_domain, ', ' ORDER BY email_domain) AS domains FROM attributed GROUP BY 1""")
+def message_labels(spark, sf):
+    report = _attribution(spark, sf).withColumn("crm_text", F.col("crm").cast("string"))
+    base = report.groupBy("client").agg(range_label("send_date", "MMM-yy").alias("span"),
+                                        single_or("crm_text", "All").alias("crm"))
+    return base.join(value_lists(report, ["client"], "email_domain", "domains"), "client")
+
+
+@query("""
+SELECT o_orderkey, strftime(o_orderdate, '%b-%y') AS month_label, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month_sort,
+  date_trunc('month', o_orderdate)::DATE AS month_start, strftime(o_orderdate, '%a') AS day_of_week,
+  CAST(isodow(o_orderdate) AS INTEGER) AS day_of_week_no, CAST(round(o_custkey * 0.55, 4) AS DOUBLE) AS savings FROM orders""")
+def calculated_columns(spark, sf):
+    o = load(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_custkey"])
+    out = m.message_calculated_columns(o, "o_orderdate", "o_custkey", 0.55)
+    return out.withColumn("savings", r4("savings")).drop("o_orderdate", "o_custkey")
+
+
+@query("SELECT activity, count(DISTINCT score) AS n_scores, count(*) AS phones FROM "
+       "(SELECT nullif(ltrim(activity), '') AS activity, score FROM scored_phones) GROUP BY 1")
+def phones_by_activity(spark, sf):
+    phones = _scored_phones(spark, sf).withColumn("activity", F.nullif(F.ltrim("activity"), F.lit("")))
+    every = {"n_scores": F.count_distinct("score"), "phones": F.count(F.lit(1))}
+    return m.by_dimension(phones, "activity", every, ["activity", "site", "score"])
