@@ -241,9 +241,9 @@ def stream_dedupe_sessions(spark, sf):
 
 
 @query("""
-SELECT date_trunc('hour', ts) AS hour_start, CAST(isodow(ts) AS INTEGER) AS weekday_no, CAST(hour(ts) AS INTEGER) AS hour_no,
-  event_type, count(*) AS n_events FROM events GROUP BY ALL
-HAVING date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)""")
+SELECT h AS hour_start, CAST(isodow(h) AS INTEGER) AS weekday_no, CAST(hour(h) AS INTEGER) AS hour_no, event_type,
+  count(*) AS n_events FROM (SELECT *, date_trunc('hour', ts) AS h FROM events)
+WHERE h + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) GROUP BY ALL""")
 def stream_hourly_counts(spark, sf):
     """Hours the watermark has closed (one hour of delay)."""
     counts = streams.hourly_counts(_event_stream(spark, sf), "ts", ["event_type"])

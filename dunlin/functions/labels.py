@@ -97,13 +97,13 @@ def where_by_era(df: DataFrame, day: Column, since, rule: Column, exempt: Column
     return df.where(keep if exempt is None else keep | exempt)
 
 
-def month_age_bands(age: Column, key: Column, edges: Sequence[int]) -> dict[str, Column]:
-    """Distinct keys per age band ``[edge, next edge)``; below the first edge and from the
-    last edge on are bands too."""
-    out = {f"under_{edges[0]}m": F.count_distinct(F.when(age < edges[0], key))}
+def month_age_bands(age: Column, edges: Sequence[int]) -> dict[str, Column]:
+    """One test per age band ``[edge, next edge)``; below the first edge and from the last
+    edge on are bands too."""
+    out = {f"under_{edges[0]}m": age < edges[0]}
     for low, high in zip(edges, edges[1:]):
-        out[f"m{low}_{high}"] = F.count_distinct(F.when((age >= low) & (age < high), key))
-    out[f"from_{edges[-1]}m"] = F.count_distinct(F.when(age >= edges[-1], key))
+        out[f"m{low}_{high}"] = (age >= low) & (age < high)
+    out[f"from_{edges[-1]}m"] = age >= edges[-1]
     return out
 
 

@@ -34,6 +34,25 @@ def distinct_where(col, pred: Column) -> Column:
     return F.count_distinct(F.when(pred, F.col(col) if isinstance(col, str) else col))
 
 
+def distinct_flags(
+    df: DataFrame, keys: Sequence[str], entity: str, flags: Mapping[str, Column],
+    sums: Sequence[str] = (), total: str | None = None,
+) -> DataFrame:
+    """Distinct entities per group for many conditions at once.
+
+    Many conditional distinct counts in one aggregate would copy every row once per count
+    before the shuffle. Reducing to one row of flags per (group, entity) first needs no
+    copies; the flags are then summed. ``sums`` are carried along."""
+    per_entity = df.groupBy(*keys, entity).agg(
+        *[F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in flags.items()],
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    counted = [F.count(entity).alias(total)] if total else []
+    return per_entity.groupBy(*keys).agg(
+        *counted, *[F.sum(c).alias(c) for c in (*flags, *sums)]
+    )
+
+
 def any_flag(pred: Column) -> Column:
     """1 when any row of the group matches, else 0."""
     return F.max(F.when(pred, 1).otherwise(0))

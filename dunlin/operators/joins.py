@@ -190,16 +190,23 @@ def match_reversals(
 def match_by_reference(
     payments: DataFrame, reversals: DataFrame, keys, ref: str, id_col: str, amount: str
 ) -> DataFrame:
-    """Payments whose reference number reappears on a reversal with another id."""
-    keys = _list(keys)
-    back = reversals.select(
-        *keys, ref, F.col(id_col).alias("__rev_id"), F.abs(amount).alias("reversed_amount")
+    """Payments with the summed absolute amount of the reversals that carry the same reference
+    under another id (NULL without one): the reference's total less the row's own part, so no
+    payment x reversal pairs are formed."""
+    grp = [*_list(keys), ref]
+    value = F.abs(amount)
+    totals = reversals.groupBy(*grp).agg(
+        F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__n")
+    )
+    own = reversals.groupBy(id_col).agg(
+        F.sum(value).alias("__own"), F.count(F.lit(1)).alias("__own_n")
     )
-    hit = (
-        payments.join(back, [*keys, ref]).where(F.col(id_col) != F.col("__rev_id"))
-        .groupBy(id_col).agg(F.sum("reversed_amount").alias("reversed_amount"))
+    joined = payments.join(totals, grp, "left").join(own, id_col, "left")
+    others = F.col("__n") - F.coalesce("__own_n", F.lit(0))
+    rest = F.col("__sum") - F.coalesce("__own", F.lit(0))
+    return joined.withColumn("reversed_amount", F.when(others > 0, rest)).drop(
+        "__sum", "__n", "__own", "__own_n"
     )
-    return payments.join(hit, id_col, "left")
 
 
 def coalesce_join(df: DataFrame, sources: Sequence[DataFrame], on, cols: Sequence[str]):

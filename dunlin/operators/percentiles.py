@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +110,16 @@ def quartile_band(df: DataFrame, value: str, out: str, within: Sequence[str] = (
     return joined.withColumn(out, label).drop("__q1", "__q2", "__q3")
 
 
+def _bucket(df: DataFrame, col: str, cuts, out: str) -> DataFrame:
+    """Index of the range ``[cut, next cut)`` that holds the value (binary search)."""
+    edges = [-math.inf, *sorted(set(cuts)), math.inf]
+    if len(edges) < 3:
+        return df.withColumn(out, F.lit(0.0))
+    return Bucketizer(
+        splits=edges, inputCol=col, outputCol=out, handleInvalid="keep"
+    ).transform(df)
+
+
 def global_row_number(
     df: DataFrame, value: str, tie: str, out: str, desc=False, total_out: str | None = None
 ) -> DataFrame:
@@ -127,26 +140,21 @@ def global_row_number(
         F.percentile_approx(t, points, 10_000).alias("t"),
         F.count(F.lit(1)).alias("n"),
     ).first()
-    value_cuts, tie_cuts = cuts["v"] or [], sorted(set(cuts["t"] or []))
-    frequent = sorted({c for c in value_cuts if value_cuts.count(c) > 1})
-    value_cuts = sorted(set(value_cuts))
-
-    def position(col, edges):
-        if not edges:
-            return F.lit(0)
-        return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < col))
-
-    own = v.isin(frequent) if frequent else F.lit(False)
-    tagged = df.withColumn(
+    cut_list = list(cuts["v"] or [])
+    frequent = sorted(c for c, n in Counter(cut_list).items() if n > 1)
+    placed = _bucket(df.withColumns({"__v": v, "__t": t}), "__v", cut_list, "__vb")
+    placed = _bucket(placed, "__t", cuts["t"] or [], "__tb")
+    # buckets are [cut, next cut): a frequent value is the lowest of its bucket
+    own = F.col("__v").isin(frequent) if frequent else F.lit(False)
+    number = lambda c: F.lpad(c.cast("int").cast("string"), 6, "0")
+    by_value = number(F.col("__vb") * 2 + F.when(own, 0).otherwise(1))
+    by_tie = number(F.col("__tb"))
+    tagged = placed.withColumn(
         SLICE,
-        F.concat_ws(
-            "-",
-            F.when(v.isNull(), F.lit("0")).otherwise(F.lit("1")),
-            F.lpad((position(v, value_cuts) * 2 + own.cast("int")).cast("string"), 5, "0"),
-            F.when(own | v.isNull(), F.lpad(position(t, tie_cuts).cast("string"), 5, "0"))
-            .otherwise(F.lit("")),
-        ),
-    )
+        F.when(F.col("__v").isNull(), F.concat(F.lit("0-"), by_tie))
+        .when(own, F.concat_ws("-", F.lit("1"), by_value, by_tie))
+        .otherwise(F.concat_ws("-", F.lit("1"), by_value)),
+    ).drop("__v", "__t", "__vb", "__tb")
     order = [v.asc_nulls_first(), F.col(tie)]
     numbered = tagged.withColumn(
         "__n", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
@@ -157,12 +165,12 @@ def global_row_number(
         .agg(F.count(F.lit(1)).alias("__c"))
         .select(SLICE, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__start"))
     )
-    placed = (
+    ranked = (
         numbered.join(F.broadcast(starts), SLICE)
         .withColumn(out, F.col("__n") + F.col("__start"))
         .drop("__n", "__start", SLICE)
     )
-    return placed if total_out is None else placed.withColumn(total_out, F.lit(cuts["n"]))
+    return ranked if total_out is None else ranked.withColumn(total_out, F.lit(cuts["n"]))
 
 
 def deciles(

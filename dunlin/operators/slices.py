@@ -71,9 +71,12 @@ def tag_slices(
     return tagged.drop("__hot"), True
 
 
-def time_slice(ts: Column, grain: str = "hour") -> Column:
-    """Sortable text of the time bucket (``hour`` or ``day``)."""
-    return F.date_format(ts, {"hour": "yyyy-MM-dd HH", "day": "yyyy-MM-dd"}[grain])
+def time_slice(ts: Column, grain: str = "minute") -> Column:
+    """Sortable text of the time bucket (``minute``, ``hour`` or ``day``). Minutes keep the
+    slices of even a very large key small, and a key has few enough of them (half a million
+    per year) for the per-slice summary to stay a small window."""
+    patterns = {"minute": "yyyy-MM-dd HH:mm", "hour": "yyyy-MM-dd HH", "day": "yyyy-MM-dd"}
+    return F.date_format(ts, patterns[grain])
 
 
 def slice_window(keys: list[str], order) -> "Window":

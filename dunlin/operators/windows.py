@@ -23,7 +23,7 @@ def _list(value) -> list[str]:
 
 def neighbours(
     df: DataFrame, keys, ts: str, outs: Mapping[str, tuple], tie: Sequence[str] = (),
-    grain: str = "hour", bounded: bool = False, slice_of: Column | None = None,
+    grain: str = "minute", bounded: bool = False, slice_of: Column | None = None,
 ) -> DataFrame:
     """Add the value of a neighbouring row of the same key.
 
@@ -88,7 +88,7 @@ def days_since_prev(df, keys, ts, out="days_since_prev", tie=()) -> DataFrame:
     return stepped.withColumn(out, day_diff(F.col("__prev_ts"), F.col(ts))).drop("__prev_ts")
 
 
-def running_sum(df, keys, ts, col, out, grain="hour", bounded=False) -> DataFrame:
+def running_sum(df, keys, ts, col, out, grain="minute", bounded=False) -> DataFrame:
     """Running sum by ``ts``; rows with equal ``ts`` share the sum."""
     keys = _list(keys)
     tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded)
@@ -104,7 +104,7 @@ def running_sum(df, keys, ts, col, out, grain="hour", bounded=False) -> DataFram
 
 
 def attempt_no(
-    df, keys, ts, tie=(), rank="rank_no", row="row_no", grain="hour", bounded=False
+    df, keys, ts, tie=(), rank="rank_no", row="row_no", grain="minute", bounded=False
 ) -> DataFrame:
     """Rank (ties share) and row number of each row within its key."""
     keys = _list(keys)
@@ -131,7 +131,7 @@ def attempt_no(
 
 
 def fill_forward(
-    df, keys, ts, col, out, strict=True, tie=(), grain="hour", bounded=False, own_first=False
+    df, keys, ts, col, out, strict=True, tie=(), grain="minute", bounded=False, own_first=False
 ) -> DataFrame:
     """Last non-null value of ``col`` before each row (``strict``) or up to and including it.
 

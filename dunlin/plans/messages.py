@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from dunlin.functions.dates import as_date, day_diff, prev_month
 from dunlin.functions.labels import map_outcome
 from dunlin.functions.text import email_domain
-from dunlin.operators.aggregates import any_flag, distinct_where, sum_where
+from dunlin.operators.aggregates import any_flag, distinct_flags, sum_where
 from dunlin.operators.joins import asof_join, assemble, match_reversals, semi
 from dunlin.operators.sets import union_distinct
 from dunlin.operators.windows import backfill_two_stage, prev_value
+from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.scans import range_scan
 from dunlin.sources.sinks import presence_checks
 
@@ -129,6 +130,7 @@ def message_attribution(
         )
         .where(F.col("__sent") == 1)
     )
+    sends = cut_lineage(sends)  # used three times below; one row per message
     first_send = sends.select("crm", "account", "send_date")
     if stored is not None:
         first_send = first_send.unionByName(stored.select("crm", "account", "send_date"))
@@ -140,7 +142,9 @@ def message_attribution(
         "crm", "account", "guid", "ts"
     )
     paid = payments.where(F.col("amount") > 0)
-    touched = last_touch(paid, opens, ["crm", "account"], "pay_date", "ts", "guid", pay_days)
+    touched = cut_lineage(
+        last_touch(paid, opens, ["crm", "account"], "pay_date", "ts", "guid", pay_days)
+    )
     netted = match_reversals(
         touched, reversals, ["crm", "account"], "amount", "pay_date", "pay_date", reversal_days
     )
@@ -205,14 +209,13 @@ def message_click_detail(
         system = F.when(test, name) if system is None else system.when(test, name)
     known = platformed.withColumn("source_system", system)
     with_client = known.join(accounts, ["account", "source_system"], "left").drop("source_system")
-    hits = (
-        with_client.select("day", "service_name", "account", "client")
-        .join(clicks.select("day", "account", "client", "letter"), ["day", "account", "client"])
-        .groupBy("day", "account")
-        .agg(
-            F.count(F.lit(1)).alias("total_clicks"),
-            F.count_distinct("service_name", "letter").alias("unique_clicks"),
-        )
+    day_keys = ["day", "account", "client"]
+    shown = with_client.groupBy(*day_keys, "service_name").agg(F.count(F.lit(1)).alias("__rows"))
+    clicked = clicks.groupBy(*day_keys, "letter").agg(F.count(F.lit(1)).alias("__clicks"))
+    # counts are multiplied after aggregating both sides: no row x click pairs
+    hits = shown.join(clicked, day_keys).groupBy("day", "account").agg(
+        F.sum(F.col("__rows") * F.col("__clicks")).alias("total_clicks"),
+        F.count_distinct("service_name", "letter").alias("unique_clicks"),
     )
     flag = lambda values: F.col("result").isin(*values).cast("int")
     return (
@@ -284,7 +287,6 @@ def missing_channels(summary: DataFrame) -> DataFrame:
 
 def first_month_funnel(report: DataFrame, keys: Sequence[str] = ("client", "crm")) -> DataFrame:
     """Distinct accounts per stage by month of first send, from the attribution report."""
-    month = F.trunc("first_send_date", "MM").alias("first_send_month")
     stages = {
         "unq_requested": "requested", "unq_whitelist_scrubbed": "whitelist_scrubbed",
         "unq_optout_scrubbed": "optout_scrubbed", "unq_invalid_scrubbed": "invalid_scrubbed",
@@ -292,15 +294,14 @@ def first_month_funnel(report: DataFrame, keys: Sequence[str] = ("client", "crm"
         "unq_opens": "unq_opens", "unq_optouts": "optouts", "unq_spam": "marked_as_spam",
         "unq_clicks": "clicks", "payers": "payers",
     }
-    # one row per account first: the stages become flags, and one distinct-free pass remains
-    per_account = report.groupBy(month, *keys, "account").agg(
-        *[F.max((F.col(src) > 0).cast("int")).alias(out) for out, src in stages.items()],
-        F.sum("payments").alias("payments"),
+    dated = report.withColumnsRenamed({"payers": "__payers", "unq_opens": "__opens"}).withColumn(
+        "first_send_month", F.trunc("first_send_date", "MM")
     )
-    return per_account.groupBy("first_send_month", *keys).agg(
-        F.count("account").alias("first_send_accounts"),
-        *[F.sum(out).alias(out) for out in stages],
-        F.sum("payments").alias("payments"),
+    source = {"payers": "__payers", "unq_opens": "__opens"}
+    flags = {out: F.col(source.get(col, col)) > 0 for out, col in stages.items()}
+    return distinct_flags(
+        dated, ["first_send_month", *keys], "account", flags, sums=["payments"],
+        total="first_send_accounts",
     )
 
 
@@ -353,7 +354,3 @@ def hourly_activity(events: DataFrame, ts="ts", keys: Sequence[str] = ()) -> Dat
         F.date_format(ts, "E").alias("weekday"), F.hour(ts).alias("hour_no"),
     ).agg(F.count(F.lit(1)).alias("n_events"))
 
-
-def distinct_stage(col: str, stage: str) -> Column:
-    """Distinct accounts that reached a stage (for frames that are not per account yet)."""
-    return distinct_where(col, F.col(stage) > 0)

@@ -187,11 +187,11 @@ def payment_to_interaction(
     several times when summed; that column is kept, and ``pay_share`` splits the total over
     the interactions of the day."""
     totals = payments.groupBy(account, day).agg(F.sum("amount").alias("pay_received"))
-    counts = interactions.groupBy(account, day).agg(F.count(F.lit(1)).alias("__n"))
-    marked = update_from(interactions, totals, [account, day], "pay_received", 0.0)
-    return marked.join(counts, [account, day]).withColumn(
+    days = interactions.groupBy(account, day).agg(F.count(F.lit(1)).alias("__n"))
+    paid = update_from(days, totals, [account, day], "pay_received", 0.0).withColumn(
         "pay_share", F.col("pay_received") / F.col("__n")
-    ).drop("__n")
+    )
+    return interactions.join(paid.drop("__n"), [account, day])
 
 
 def load_schedule_file(

@@ -14,7 +14,7 @@ from dunlin.functions.dates import (
 from dunlin.functions.labels import decode_flags, month_age_bands, recode
 from dunlin.functions.text import ratio, text_len
 from dunlin.operators.aggregates import (
-    distinct_where, share_of, sum_where, unpivot_flags, yield_index,
+    distinct_flags, share_of, sum_where, unpivot_flags, yield_index,
 )
 from dunlin.operators.joins import allow_list, allowed_detail, assemble, dim_spine, semi
 from dunlin.operators.sets import union_distinct
@@ -121,20 +121,17 @@ def placement_profile(
 
     ``placements``: account, phone, address, tax_id, open_date, list_date, email_account. The
     older report form uses edges up to 18 months and no e-mail columns."""
-    key = F.col("account")
     age = month_diff(F.col("open_date"), F.col("list_date"))
-    aggs = {
-        "accounts": F.count_distinct(key),
-        "with_phone": distinct_where(key, text_len(F.col("phone")) == 10),
-        "with_address": distinct_where(key, text_len(F.col("address")) > 5),
-        "with_tax_id": distinct_where(key, text_len(F.col("tax_id")) >= 4),
-        **month_age_bands(age, key, edges),
+    flags = {
+        "with_phone": text_len(F.col("phone")) == 10,
+        "with_address": text_len(F.col("address")) > 5,
+        "with_tax_id": text_len(F.col("tax_id")) >= 4,
+        **month_age_bands(age, edges),
     }
     if with_email:
-        aggs["with_email"] = F.count_distinct("email_account")
-    out = placements.groupBy(*keys, class_rule.alias("class")).agg(
-        *[a.alias(n) for n, a in aggs.items()]
-    )
+        flags["with_email"] = F.col("email_account").isNotNull()
+    classed = placements.withColumn("class", class_rule)
+    out = distinct_flags(classed, [*keys, "class"], "account", flags, total="accounts")
     if with_email:
         out = out.withColumn("pct_with_email", ratio(F.col("with_email"), F.col("accounts")))
     return out

@@ -18,7 +18,6 @@ from dunlin.functions.labels import upto_bands
 from dunlin.functions.text import whole_seconds
 from dunlin.operators.aggregates import priority_score
 from dunlin.operators.joins import semi
-from dunlin.operators.sets import union_as_text
 
 # Signal-to-effort gap bands in seconds, upper edge included.
 GAP_BANDS = (
@@ -147,27 +146,31 @@ def offer_success(
         ]
     per_call = hits.groupBy("call_id").agg(*aggs)
     base = calls.join(per_call, "call_id").join(accounts, "account")
-    names = ["program", "call_id", "account", "client", "offer_s", "succeeded", "success_s",
-             "detail_1", "detail_2", "detail_3", "detail_4"]
-    branches = []
-    for i, p in enumerate(programs):
+
+    def entry(i: int, p: Program) -> Column:
         offer, success = F.col(f"__offer_{i}"), F.col(f"__success_{i}")
-        rows = base.where(offer.isNotNull() | success.isNotNull()).where(p.account_filter)
+        offer_s = whole_seconds(F.coalesce(offer, success))
+        success_s = whole_seconds(F.coalesce(success, F.lit(0)))
+        keep = (offer.isNotNull() | success.isNotNull()) & p.account_filter
         if p.call_filter is not None:
-            rows = rows.where(p.call_filter)
-        rows = rows.select(
-            F.lit(p.name).alias("program"), "call_id", "account", "client",
-            whole_seconds(F.coalesce(offer, success)).alias("offer_s"),
-            success.isNotNull().cast("int").alias("succeeded"),
-            whole_seconds(F.coalesce(success, F.lit(0))).alias("success_s"),
-            *[F.col(c).cast("string").alias(f"detail_{j}") for j, c in enumerate(p.details, 1)],
-            *[F.lit(None).cast("string").alias(f"detail_{j}")
-              for j in range(len(p.details) + 1, 5)],
-        )
+            keep = keep & p.call_filter
         if p.success_after_offer:
-            rows = rows.where((F.col("succeeded") == 1) & (F.col("offer_s") < F.col("success_s")))
-        branches.append(rows)
-    return union_as_text(branches, [names] * len(branches), names)
+            keep = keep & success.isNotNull() & (offer_s < success_s)
+        text = lambda c: c.cast("string")
+        details = [text(F.col(c)) for c in p.details] + [F.lit(None).cast("string")] * 4
+        return F.when(keep, F.struct(
+            F.lit(p.name).alias("program"), text(offer_s).alias("offer_s"),
+            text(success.isNotNull().cast("int")).alias("succeeded"),
+            text(success_s).alias("success_s"),
+            *[c.alias(f"detail_{j}") for j, c in enumerate(details[:4], 1)],
+        ))
+
+    # one row per kept program: the branches of the union as an exploded array
+    kept = F.array_compact(F.array(*[entry(i, p) for i, p in enumerate(programs)]))
+    return base.select(
+        *[F.col(c).cast("string").alias(c) for c in ("call_id", "account", "client")],
+        F.explode(kept).alias("__p"),
+    ).select("call_id", "account", "client", "__p.*").distinct()
 
 
 @dataclass(frozen=True)

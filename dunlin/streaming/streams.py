@@ -58,7 +58,8 @@ def contact_cap_alerts(
         state.update((recent,))
         last_ms = int(pd.Timestamp(recent[-1]).timestamp() * 1000)
         state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + kept_ms)
-        yield pd.DataFrame(hits, columns=[key, session, ts, f"days_{k}"])
+        if hits:
+            yield pd.DataFrame(hits, columns=[key, session, ts, f"days_{k}"])
 
     return (
         stream.select(key, ts, session).withWatermark(ts, delay)
