@@ -142,19 +142,19 @@ def global_row_number(
     ).first()
     cut_list = list(cuts["v"] or [])
     frequent = sorted(c for c, n in Counter(cut_list).items() if n > 1)
-    placed = _bucket(df.withColumns({"__v": v, "__t": t}), "__v", cut_list, "__vb")
-    placed = _bucket(placed, "__t", cuts["t"] or [], "__tb")
+    placed = _bucket(df.withColumns({"__gv": v, "__gt": t}), "__gv", cut_list, "__gvb")
+    placed = _bucket(placed, "__gt", cuts["t"] or [], "__gtb")
     # buckets are [cut, next cut): a frequent value is the lowest of its bucket
-    own = F.col("__v").isin(frequent) if frequent else F.lit(False)
+    own = F.col("__gv").isin(frequent) if frequent else F.lit(False)
     number = lambda c: F.lpad(c.cast("int").cast("string"), 6, "0")
-    by_value = number(F.col("__vb") * 2 + F.when(own, 0).otherwise(1))
-    by_tie = number(F.col("__tb"))
+    by_value = number(F.col("__gvb") * 2 + F.when(own, 0).otherwise(1))
+    by_tie = number(F.col("__gtb"))
     tagged = placed.withColumn(
         SLICE,
-        F.when(F.col("__v").isNull(), F.concat(F.lit("0-"), by_tie))
+        F.when(F.col("__gv").isNull(), F.concat(F.lit("0-"), by_tie))
         .when(own, F.concat_ws("-", F.lit("1"), by_value, by_tie))
         .otherwise(F.concat_ws("-", F.lit("1"), by_value)),
-    ).drop("__v", "__t", "__vb", "__tb")
+    ).drop("__gv", "__gt", "__gvb", "__gtb")
     order = [v.asc_nulls_first(), F.col(tie)]
     numbered = tagged.withColumn(
         "__n", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
