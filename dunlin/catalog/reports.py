@@ -1204,7 +1204,7 @@ sg AS (SELECT t.*, sec >= opening_s AS after FROM t JOIN f USING (call_id)
   QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY sec >= opening_s DESC, sec, category, phrase) = 1),
 qs AS (SELECT call_id, count(*) FILTER (category = 'Open Question') AS open_questions,
    count(*) FILTER (category = 'Closed Question') AS closed_questions FROM t JOIN f USING (call_id)
-  WHERE sec >= opening_s GROUP BY call_id),
+  WHERE sec >= opening_s AND category IN ('Open Question', 'Closed Question') GROUP BY call_id),
 ds AS (SELECT call_id, count(*) FILTER (phrase LIKE 't%') AS n_t, count(*) FILTER (phrase LIKE 'a%') AS n_a,
    count(*) FILTER (phrase LIKE 'o%') AS n_o FROM t WHERE category = 'Dissatisfaction' GROUP BY call_id),
 dw AS (SELECT call_id, phrase AS worst_phrase, sec AS worst_s FROM t WHERE category = 'Dissatisfaction'
@@ -1212,12 +1212,7 @@ dw AS (SELECT call_id, phrase AS worst_phrase, sec AS worst_s FROM t WHERE categ
     WHEN phrase LIKE 'a%' THEN 2 ELSE 3 END, sec, phrase) = 1),
 j AS (SELECT c.* EXCLUDE (call_id), r.call_id, f.* EXCLUDE (call_id), sg.category AS signal,
    sg.phrase AS signal_phrase, sg.sec AS signal_s, n_t, n_a, n_o, worst_phrase, worst_s, pg.grp AS signal_group,
-   CASE WHEN f.call_id IS NOT NULL AND (EXISTS (SELECT 1 FROM t x WHERE x.call_id = r.call_id AND x.category IN
-     ('Pitcher', 'Promiser', 'Controller', 'Avoider', 'Open Question', 'Closed Question')))
-     THEN coalesce(open_questions, 0) END AS open_questions,
-   CASE WHEN f.call_id IS NOT NULL AND (EXISTS (SELECT 1 FROM t x WHERE x.call_id = r.call_id AND x.category IN
-     ('Pitcher', 'Promiser', 'Controller', 'Avoider', 'Open Question', 'Closed Question')))
-     THEN coalesce(closed_questions, 0) END AS closed_questions
+   open_questions, closed_questions
   FROM calls c LEFT JOIN rec r ON r.session = c.session LEFT JOIN f ON f.call_id = r.call_id
   LEFT JOIN sg ON sg.call_id = r.call_id LEFT JOIN qs ON qs.call_id = r.call_id
   LEFT JOIN ds ON ds.call_id = r.call_id LEFT JOIN dw ON dw.call_id = r.call_id
@@ -1225,7 +1220,8 @@ j AS (SELECT c.* EXCLUDE (call_id), r.call_id, f.* EXCLUDE (call_id), sg.categor
 p AS (SELECT *, call_id IS NOT NULL AS rec, call_id IS NOT NULL AND is_contact = 1 AS rc FROM j)
 SELECT session, call_id, recording_s, purpose_s, creditor_s, balance_s, opening_s, verification_s, second_voice_s,
   signal, signal_phrase, signal_s, signal_group, effort_s, n1 - n0 AS negotiation_s, n0 - opening_s AS probing_s,
-  open_questions, closed_questions, n_t, n_a, n_o, worst_phrase, worst_s,
+  open_questions, closed_questions, CASE WHEN rec THEN coalesce(n_t, 0) END AS n_t,
+  CASE WHEN rec THEN coalesce(n_a, 0) END AS n_a, CASE WHEN rec THEN coalesce(n_o, 0) END AS n_o, worst_phrase, worst_s,
   CASE WHEN rec THEN round(CASE WHEN n_t IS NULL THEN 1 WHEN n_t > 0 THEN 0 WHEN n_a > 0 THEN 0.5
     WHEN n_o > 0 THEN 0.75 ELSE 0 END::DOUBLE, 4) END AS dissat_score,
   CAST(rec AND (result_class = 'TPC' OR is_contact = 1) AS INT) AS recording_opp,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.functions.dates import day_diff
+from dunlin.operators.slices import Hot
 from dunlin.operators.windows import _list, fill_forward
 
 
@@ -117,7 +118,7 @@ def pattern_join(df: DataFrame, rules: DataFrame, col: str, pattern_col: str) ->
 
 def asof_join(
     left: DataFrame, right: DataFrame, keys, ts_l: str, ts_r: str, cols: Sequence[str],
-    tie: Sequence[str] = (), strict: bool = False, forward: bool = False,
+    tie: Sequence[str] = (), strict: bool = False, forward: bool = False, hot: Hot | None = None,
 ) -> DataFrame:
     """For each left row, the nearest right row of its key at or before ``ts_l`` (``forward``:
     at or after). ``tie`` orders right rows with equal time; the last one wins backward, the
@@ -142,24 +143,26 @@ def asof_join(
         allowMissingColumns=True,
     )
     filler = _fill_backward if forward else fill_forward
-    filled = filler(stacked, keys, "__t", "__hit", "__match", tie=["__seq"])
+    filled = filler(stacked, keys, "__t", "__hit", "__match", tie=["__seq"], hot=hot)
     return filled.where("__left").select(
         *own, *[F.col(f"__match.{c}").alias(c) for c in (ts_r, *cols)]
     )
 
 
-def _fill_backward(df, keys, ts, col, out, tie=()):
+def _fill_backward(df, keys, ts, col, out, tie=(), hot=None):
     """First non-null value after each row: fill forward on the mirrored time axis."""
     mirrored = F.lit(_MIRROR).cast("timestamp_ntz") - (
         F.col(ts) - F.lit(_EPOCH).cast("timestamp_ntz")
     )
     flipped = df.withColumns({"__rev": mirrored, **{f"__m_{c}": -F.col(c) for c in tie}})
-    filled = fill_forward(flipped, keys, "__rev", col, out, tie=[f"__m_{c}" for c in tie])
+    filled = fill_forward(flipped, keys, "__rev", col, out, tie=[f"__m_{c}" for c in tie],
+                          hot=hot)
     return filled.drop("__rev", *[f"__m_{c}" for c in tie])
 
 
 def match_reversals(
-    payments: DataFrame, reversals: DataFrame, keys, amount: str, ts_p: str, ts_r: str, days: int
+    payments: DataFrame, reversals: DataFrame, keys, amount: str, ts_p: str, ts_r: str, days: int,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Payments with the first reversal of the same key and absolute amount within ``days``
     days after them (columns ``reversed_on`` and ``reversed_amount``, NULL without one).
@@ -177,7 +180,7 @@ def match_reversals(
     )
     matched = asof_join(
         left, right, [*keys, "__abs"], "__paid_on", "reversed_on", ["reversed_amount"],
-        forward=True,
+        forward=True, hot=hot,
     )
     near = day_diff(F.col("__paid_on"), F.col("reversed_on")) <= days
     return (

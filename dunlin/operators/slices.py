@@ -11,6 +11,8 @@ large the plain window is used. There are at most total_rows / limit large keys.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def hot_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
 
 
+@dataclass(frozen=True)
+class Hot:
+    """Large keys found by ``find_hot``: ``frame`` holds them (None: there are none) under the
+    column names ``keys``. Finding them once on a source table serves every later operator
+    whose rows come from it and whose keys include these."""
+
+    frame: DataFrame | None
+    keys: tuple
+
+
+def find_hot(df: DataFrame, keys) -> Hot:
+    names = [keys] if isinstance(keys, str) else list(keys)
+    return Hot(hot_keys(df, names), tuple(names))
+
+
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Keys with more rows than the limit, or None when there is none.
 
@@ -56,17 +73,21 @@ def join_null_safe(
 
 
 def tag_slices(
-    df: DataFrame, keys: list[str], slice_of: Column, bounded: bool = False
+    df: DataFrame, keys: list[str], slice_of: Column, bounded: bool = False,
+    hot: Hot | None = None,
 ) -> tuple[DataFrame, bool]:
     """Add ``__slice``: ``slice_of`` for rows of large keys, NULL for all other rows.
 
     ``slice_of`` must not decrease along the window order. Returns the frame unchanged and
     False when no key is large, or when the caller knows that rows per key are bounded.
+    ``hot`` are the large keys when they are known already; else they are counted here.
     """
-    hot = None if bounded else hot_keys(df, keys)
-    if hot is None:
+    if bounded:
+        return df, False
+    hot = find_hot(df, keys) if hot is None else hot
+    if hot.frame is None:
         return df, False
-    marked = join_null_safe(df, hot.withColumn("__hot", F.lit(True)), keys)
+    marked = join_null_safe(df, hot.frame.withColumn("__hot", F.lit(True)), list(hot.keys))
     tagged = marked.withColumn(SLICE, F.when(F.col("__hot"), slice_of.cast("string")))
     return tagged.drop("__hot"), True
 

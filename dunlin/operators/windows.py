@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import day_diff
 from dunlin.operators.slices import (
-    SLICE, carry_over, join_null_safe, slice_window, tag_slices, time_slice,
+    SLICE, Hot, carry_over, join_null_safe, slice_window, tag_slices, time_slice,
 )
 
 
@@ -23,15 +23,16 @@ def _list(value) -> list[str]:
 
 def neighbours(
     df: DataFrame, keys, ts: str, outs: Mapping[str, tuple], tie: Sequence[str] = (),
-    grain: str = "minute", bounded: bool = False, slice_of: Column | None = None,
+    grain: str = "minute", bounded: bool = False, slice_of: Column | None = None, hot: Hot | None = None,
 ) -> DataFrame:
     """Add the value of a neighbouring row of the same key.
 
     ``outs`` maps a new column to ``(source column, offset[, default])``: offset 1 is the
     previous row, -1 the next one. For a split key, the rows next to a slice edge (at most
     2k per slice, k = largest offset) are looked at once more across slices.
-    ``bounded=True`` states that rows per key are few by construction; ``slice_of`` replaces
-    the time bucket when the order does not start with a time.
+    ``bounded=True`` states that rows per key are few by construction; ``hot`` passes large
+    keys found earlier; ``slice_of`` replaces the time bucket when the order does not start
+    with a time.
     """
     keys, order = _list(keys), [ts, *tie]
     outs = {name: (*spec, None)[:3] for name, spec in outs.items()}
@@ -44,7 +45,7 @@ def neighbours(
         return F.lead(source, -offset, default).over(window)
 
     bucket = time_slice(F.col(ts), grain) if slice_of is None else slice_of
-    tagged, split = tag_slices(df, keys, bucket, bounded)
+    tagged, split = tag_slices(df, keys, bucket, bounded, hot)
     across = Window.partitionBy(*keys).orderBy(*order)
     if not split:
         return df.select("*", *[shifted(s, across).alias(n) for n, s in outs.items()])
@@ -88,10 +89,10 @@ def days_since_prev(df, keys, ts, out="days_since_prev", tie=()) -> DataFrame:
     return stepped.withColumn(out, day_diff(F.col("__prev_ts"), F.col(ts))).drop("__prev_ts")
 
 
-def running_sum(df, keys, ts, col, out, grain="minute", bounded=False) -> DataFrame:
+def running_sum(df, keys, ts, col, out, grain="minute", bounded=False, hot=None) -> DataFrame:
     """Running sum by ``ts``; rows with equal ``ts`` share the sum."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded)
+    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
     if not split:
         return df.withColumn(out, F.sum(col).over(Window.partitionBy(*keys).orderBy(ts)))
     local = tagged.withColumn(out, F.sum(col).over(slice_window(keys, [ts])))
@@ -104,11 +105,11 @@ def running_sum(df, keys, ts, col, out, grain="minute", bounded=False) -> DataFr
 
 
 def attempt_no(
-    df, keys, ts, tie=(), rank="rank_no", row="row_no", grain="minute", bounded=False
+    df, keys, ts, tie=(), rank="rank_no", row="row_no", grain="minute", bounded=False, hot=None
 ) -> DataFrame:
     """Rank (ties share) and row number of each row within its key."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded)
+    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
 
     def window(order):
         return slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
@@ -131,7 +132,8 @@ def attempt_no(
 
 
 def fill_forward(
-    df, keys, ts, col, out, strict=True, tie=(), grain="minute", bounded=False, own_first=False
+    df, keys, ts, col, out, strict=True, tie=(), grain="minute", bounded=False, own_first=False,
+    hot=None,
 ) -> DataFrame:
     """Last non-null value of ``col`` before each row (``strict``) or up to and including it.
 
@@ -140,7 +142,7 @@ def fill_forward(
     """
     keys = _list(keys)
     order = [ts, *tie]
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded)
+    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
     base = slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
     seen = F.last(col, ignorenulls=True).over(
         base.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)

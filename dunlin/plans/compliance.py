@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dunlin.functions.dates import as_date, day_diff, to_date_key
 from dunlin.operators.joins import after_join, anti, missing_keys, pattern_join, semi
 from dunlin.operators.sets import union_distinct
-from dunlin.operators.slices import time_slice
+from dunlin.operators.slices import find_hot, time_slice
 from dunlin.operators.windows import attempt_no, neighbours, next_event, prev_k
 
 
@@ -44,9 +44,12 @@ def message_threshold_exceptions(
     The interval is taken to the customer's previous message in (phone, time) order, so it may
     span two phones, while attempts are numbered per phone. ``direction`` states which side of
     the rule's interval is the violation (the reference reports gaps *above* it)."""
-    numbered = attempt_no(messages, [customer, phone], ts, tie=tie, row="attempt", rank="attempt_rank")
+    hot = find_hot(messages, customer)  # one count serves both windows
+    numbered = attempt_no(
+        messages, [customer, phone], ts, tie=tie, row="attempt", rank="attempt_rank", hot=hot
+    )
     stepped = neighbours(
-        numbered, customer, phone, {"prev_at": (ts, 1)}, tie=[ts, *tie],
+        numbered, customer, phone, {"prev_at": (ts, 1)}, tie=[ts, *tie], hot=hot,
         slice_of=F.concat_ws("|", F.col(phone), time_slice(F.col(ts))),
     ).withColumn("gap_days", day_diff(F.col("prev_at"), F.col(ts)))
     active = rules.where("is_active").drop("is_active")

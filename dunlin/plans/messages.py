@@ -19,6 +19,7 @@ from dunlin.functions.text import email_domain
 from dunlin.operators.aggregates import any_flag, distinct_flags, sum_where
 from dunlin.operators.joins import asof_join, assemble, match_reversals, semi
 from dunlin.operators.sets import union_distinct
+from dunlin.operators.slices import Hot, find_hot
 from dunlin.operators.windows import backfill_two_stage, prev_value
 from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.scans import range_scan
@@ -66,7 +67,7 @@ def outcome_flags(c: Codes = CODES) -> dict[str, Column]:
 
 def last_touch(
     payments: DataFrame, touches: DataFrame, keys: Sequence[str], pay_day: str, touch_ts: str,
-    touch_id: str, days: int,
+    touch_id: str, days: int, hot: Hot | None = None,
 ) -> DataFrame:
     """Credit each payment to the touch with the smallest day distance in ``0..days``.
 
@@ -76,7 +77,8 @@ def last_touch(
     by_day = touches.withColumn("__touch_day", F.col(touch_ts).cast("date").cast("timestamp_ntz"))
     pays = payments.withColumn("__pay_day", F.col(pay_day).cast("date").cast("timestamp_ntz"))
     hit = asof_join(
-        pays, by_day, list(keys), "__pay_day", "__touch_day", [touch_id], tie=[touch_ts, touch_id]
+        pays, by_day, list(keys), "__pay_day", "__touch_day", [touch_id], tie=[touch_ts, touch_id],
+        hot=hot,
     )
     gap = day_diff(F.col("__touch_day"), F.col("__pay_day"))
     return (
@@ -102,16 +104,9 @@ def message_attribution(
 
     All event-type aggregates come from one pass over the events instead of one scan each.
     """
-    start = as_date(as_of) - dt.timedelta(days=replay_days)
-    active = events.where(
-        F.col("ts") > F.lit(str(start)).cast(events.schema["ts"].dataType)
-    ).select("guid").distinct()
-    log = semi(events, active, "guid")
-
     c, n = F.col("code"), F.col("n_events")
     flags = outcome_flags(codes)
     is_send = c.isin(codes.failed, codes.sent, codes.scrubbed)
-    sent_ts = F.when(is_send, F.col("ts"))
     responses = {
         "total_opens": sum_where(n, c == codes.opened, zero=False),
         "clicks_all": sum_where(n, c == codes.clicked, zero=False),
@@ -119,16 +114,22 @@ def message_attribution(
         "optouts": sum_where(n, c == codes.opted_out, zero=False),
     }
     attrs = ["crm", "client", "letter", "account", "email", "send_domain"]
+    first = F.min(F.when(is_send, F.struct("ts", "code", *attrs)))
+    since = as_date(as_of) - dt.timedelta(days=replay_days)
+    since = F.lit(str(since)).cast(events.schema["ts"].dataType)
+    # an id is in scope when its newest event is: no semi join back to the log is needed
     sends = (
-        log.groupBy("guid")
+        events.groupBy("guid")
         .agg(
-            F.min(sent_ts).cast("date").alias("send_date"),
-            *[F.min_by(a, F.struct(sent_ts, F.col("code"))).alias(a) for a in attrs],
-            F.max(is_send.cast("int")).alias("__sent"),
+            first.alias("__send"), F.max("ts").alias("__newest"),
             *[any_flag(pred).cast("bigint").alias(name) for name, pred in flags.items()],
             *[agg.alias(name) for name, agg in responses.items()],
         )
-        .where(F.col("__sent") == 1)
+        .where(F.col("__send").isNotNull() & (F.col("__newest") > since))
+        .select(
+            "guid", F.col("__send.ts").cast("date").alias("send_date"),
+            *[F.col(f"__send.{a}").alias(a) for a in attrs], *flags, *responses,
+        )
     )
     sends = cut_lineage(sends)  # used three times below; one row per message
     first_send = sends.select("crm", "account", "send_date")
@@ -138,15 +139,16 @@ def message_attribution(
         F.min("send_date").alias("first_send_date")
     )
 
-    opens = semi(log.where(c == codes.opened), sends, "guid").select(
-        "crm", "account", "guid", "ts"
-    )
+    keys = ["crm", "account"]
+    opened_log = events.where(c == codes.opened).select(*keys, "guid", "ts")
+    opens = semi(opened_log, sends, "guid")
     paid = payments.where(F.col("amount") > 0)
-    touched = cut_lineage(
-        last_touch(paid, opens, ["crm", "account"], "pay_date", "ts", "guid", pay_days)
-    )
+    # large accounts, counted once on the sources: every step below only narrows their rows
+    sources = opened_log.select(*keys).unionByName(paid.select(*keys))
+    hot = find_hot(sources.unionByName(reversals.select(*keys)), keys)
+    touched = last_touch(paid, opens, keys, "pay_date", "ts", "guid", pay_days, hot)
     netted = match_reversals(
-        touched, reversals, ["crm", "account"], "amount", "pay_date", "pay_date", reversal_days
+        touched, reversals, keys, "amount", "pay_date", "pay_date", reversal_days, hot
     )
     pays = netted.groupBy("guid").agg(
         F.sum(F.col("amount") - F.coalesce("reversed_amount", F.lit(0))).alias("paid")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.labels import upto_bands
 from dunlin.functions.text import whole_seconds
-from dunlin.operators.aggregates import priority_score
 from dunlin.operators.joins import semi
 
 # Signal-to-effort gap bands in seconds, upper edge included.
@@ -283,13 +282,18 @@ def script_adherence(
     ``calls``: session, duration_s, direction, is_contact, is_connect, result_class.
     ``recordings``: session, call_id (a call without a recording has no opportunity). A hit
     without an opportunity counts 0. The first customer signal is taken after the opening when
-    one exists there, else before it.
+    one exists there, else before it. Question counts are NULL for calls without a question
+    after the opening; severity counts are 0 for recorded calls without dissatisfaction.
     """
     cat, sec = F.col("category"), F.col("sec")
     timed = hit_seconds(semi(hits, recordings, "call_id")).select(
         "call_id", "category", "phrase", "sec", F.col("sec").alias("start_ms")
     ).distinct()
     at = lambda c: F.min(F.when(cat == c, sec))
+    bad = cat == rules.dissatisfaction
+    level = F.lit(len(rules.severity))
+    for i, (prefix, _) in reversed(list(enumerate(rules.severity, 1))):
+        level = F.when(F.col("phrase").startswith(prefix), i).otherwise(level)
     per_call = timed.groupBy("call_id").agg(
         at(rules.recording).alias("recording_s"), at(rules.purpose).alias("purpose_s"),
         at(rules.creditor).alias("creditor_s"), at(rules.balance).alias("balance_s"),
@@ -298,6 +302,9 @@ def script_adherence(
         first_hit(cat == rules.negotiation).alias("__neg_start"),
         last_hit(cat == rules.negotiation).alias("__neg_end"),
         at(rules.verification).alias("verification_s"),
+        *[F.count_if(bad & F.col("phrase").startswith(p)).alias(f"n_{p.lower()}")
+          for p, _ in rules.severity],
+        F.min(F.when(bad, F.struct(level.alias("level"), "sec", "phrase"))).alias("__worst"),
     ).withColumn("opening_s", F.coalesce("balance_s", "creditor_s", F.lit(0)))
 
     opening = per_call.select("call_id", "opening_s")
@@ -312,21 +319,19 @@ def script_adherence(
         F.count_if((cat == rules.open_question) & later).alias("open_questions"),
         F.count_if((cat == rules.closed_question) & later).alias("closed_questions"),
     )
-    unhappy = timed.where(cat == rules.dissatisfaction)
-    score = priority_score(unhappy, "call_id", "phrase", rules.severity, 0.0, "dissat_score")
-    level = F.lit(len(rules.severity))
-    for i, (prefix, _) in reversed(list(enumerate(rules.severity, 1))):
-        level = F.when(F.col("phrase").startswith(prefix), i).otherwise(level)
-    worst = unhappy.groupBy("call_id").agg(
-        F.min(F.struct(level.alias("level"), "sec", "phrase")).alias("__worst")
-    )
+    score = F.lit(0.0)
+    for prefix, value in reversed(rules.severity):
+        score = F.when(F.col(f"n_{prefix.lower()}") > 0, value).otherwise(score)
     phrase_groups = groups.select("phrase", "grp").distinct().withColumnsRenamed(
         {"phrase": "__p", "grp": "signal_group"}
     )
+    asked = F.col("open_questions") + F.col("closed_questions") > 0
+    phases = phases.withColumns({
+        c: F.when(asked, F.col(c)) for c in ("open_questions", "closed_questions")
+    })
     rows = (
         calls.join(recordings, "session", "left")
         .join(per_call, "call_id", "left").join(phases, "call_id", "left")
-        .join(score, "call_id", "left").join(worst, "call_id", "left")
         .join(phrase_groups, F.col("__signal.phrase") == F.col("__p"), "left").drop("__p")
     )
     recorded, length = F.col("call_id").isNotNull(), F.col("duration_s")
@@ -352,6 +357,8 @@ def script_adherence(
     return rows.withColumns({
         **{f"{n}_opp": flag(c) for n, c in opp.items()},
         **{f"{n}_hit": flag(opp[n] & hit[n]) for n in opp},
+        **{f"n_{p.lower()}": F.when(recorded, F.coalesce(f"n_{p.lower()}", F.lit(0)))
+           for p, _ in rules.severity},
         "dissat_opp": flag(length > 60),
         "speech_eligible": flag(connect & (length >= 30)),
         "speech_complete": flag(connect & (length >= 30) & recorded),
@@ -363,6 +370,6 @@ def script_adherence(
         "effort_s": F.col("__effort.start_ms"),
         "negotiation_s": end - start,
         "probing_s": start - F.col("opening_s"),
-        "dissat_score": F.when(recorded, F.coalesce("dissat_score", F.lit(1.0))),
+        "dissat_score": F.when(recorded, F.when(F.col("__worst").isNull(), 1.0).otherwise(score)),
         "worst_phrase": F.col("__worst.phrase"), "worst_s": F.col("__worst.sec"),
     }).drop("__voice", "__effort", "__neg_start", "__neg_end", "__signal", "__worst")

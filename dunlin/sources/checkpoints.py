@@ -31,9 +31,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that lost executors cost no recomputation
-    and a frame used several times is computed once."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back: lost executors cost no
+    recomputation, a frame used several times is computed once, and later steps read only
+    the columns they need. The folder's retention policy removes old tables."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -116,19 +116,21 @@ def write_upsert(
     if target is None:
         write_full(updates, path, [part_col] if part_col else ())
         return
-    state = upsert(target, updates, keys, change_as="__c", **options)
+    state = cut_lineage(upsert(target, updates, keys, change_as="__c", **options))
     if part_col is None:
-        write_full(cut_lineage(state.drop("__c")), path)
+        write_full(state.drop("__c"), path)
         return
     changed = state.where(F.col("__c") != "same")
     before = target.join(changed.select(*keys), list(keys), "left_semi").select(part_col)
     touched = cut_lineage(before.union(changed.select(part_col)).distinct())
-    rows = cut_lineage(state.drop("__c").join(touched, part_col, "left_semi"))
+    if touched.isEmpty():
+        return
+    rows = state.drop("__c").join(touched, part_col, "left_semi")
     emptied = touched.join(rows.select(part_col).distinct(), part_col, "left_anti")
     if emptied.isEmpty():
         write_window(rows, path, part_col)
     else:  # a partition lost its last row: only a full rewrite removes its old files
-        write_full(cut_lineage(state.drop("__c")), path, [part_col])
+        write_full(state.drop("__c"), path, [part_col])
 
 
 def update_from(df: DataFrame, agg: DataFrame, on: Sequence[str], col: str, default) -> DataFrame:
