@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "__slice"
 HOT_ROWS_CONF = "dunlin.hotKeyRows"
@@ -88,16 +89,25 @@ def tag_slices(
     if hot.frame is None:
         return df, False
     marked = join_null_safe(df, hot.frame.withColumn("__hot", F.lit(True)), list(hot.keys))
-    tagged = marked.withColumn(SLICE, F.when(F.col("__hot"), slice_of.cast("string")))
+    tagged = marked.withColumn(SLICE, F.when(F.col("__hot"), slice_of))
     return tagged.drop("__hot"), True
 
 
-def time_slice(ts: Column, grain: str = "minute") -> Column:
-    """Sortable text of the time bucket (``minute``, ``hour`` or ``day``). Minutes keep the
-    slices of even a very large key small, and a key has few enough of them (half a million
-    per year) for the per-slice summary to stay a small window."""
-    patterns = {"minute": "yyyy-MM-dd HH:mm", "hour": "yyyy-MM-dd HH", "day": "yyyy-MM-dd"}
-    return F.date_format(ts, patterns[grain])
+def time_slice(df: DataFrame, ts: str, grain: str = "minute") -> Column:
+    """Number of the time bucket (``minute``, ``hour`` or ``day``), in time order. Minutes keep
+    the slices of even a very large key small, and a key has few enough of them (half a
+    million per year) for the per-slice summary to stay a small window.
+
+    Zoneless times and dates are numbered from their fields, instants from their epoch, so
+    daylight-saving changes of the session zone cannot reorder slices."""
+    col, size = F.col(ts), {"minute": 1, "hour": 60, "day": 1440}[grain]
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        minutes = F.floor(F.unix_seconds(col) / 60)
+    else:
+        minutes = F.datediff(col.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 1440
+        if not isinstance(df.schema[ts].dataType, T.DateType):
+            minutes = minutes + F.hour(col) * 60 + F.minute(col)
+    return F.floor(minutes / size)
 
 
 def slice_window(keys: list[str], order) -> "Window":

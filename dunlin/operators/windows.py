@@ -44,7 +44,7 @@ def neighbours(
             return F.lag(source, offset, default).over(window)
         return F.lead(source, -offset, default).over(window)
 
-    bucket = time_slice(F.col(ts), grain) if slice_of is None else slice_of
+    bucket = time_slice(df, ts, grain) if slice_of is None else slice_of
     tagged, split = tag_slices(df, keys, bucket, bounded, hot)
     across = Window.partitionBy(*keys).orderBy(*order)
     if not split:
@@ -92,7 +92,7 @@ def days_since_prev(df, keys, ts, out="days_since_prev", tie=()) -> DataFrame:
 def running_sum(df, keys, ts, col, out, grain="minute", bounded=False, hot=None) -> DataFrame:
     """Running sum by ``ts``; rows with equal ``ts`` share the sum."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
+    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
     if not split:
         return df.withColumn(out, F.sum(col).over(Window.partitionBy(*keys).orderBy(ts)))
     local = tagged.withColumn(out, F.sum(col).over(slice_window(keys, [ts])))
@@ -109,7 +109,7 @@ def attempt_no(
 ) -> DataFrame:
     """Rank (ties share) and row number of each row within its key."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
+    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
 
     def window(order):
         return slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
@@ -142,7 +142,7 @@ def fill_forward(
     """
     keys = _list(keys)
     order = [ts, *tie]
-    tagged, split = tag_slices(df, keys, time_slice(F.col(ts), grain), bounded, hot)
+    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
     base = slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
     seen = F.last(col, ignorenulls=True).over(
         base.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)

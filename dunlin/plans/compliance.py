@@ -50,7 +50,7 @@ def message_threshold_exceptions(
     )
     stepped = neighbours(
         numbered, customer, phone, {"prev_at": (ts, 1)}, tie=[ts, *tie], hot=hot,
-        slice_of=F.concat_ws("|", F.col(phone), time_slice(F.col(ts))),
+        slice_of=F.struct(F.col(phone), time_slice(messages, ts)),
     ).withColumn("gap_days", day_diff(F.col("prev_at"), F.col(ts)))
     active = rules.where("is_active").drop("is_active")
     ruled = pattern_join(stepped, active, name, "pattern")

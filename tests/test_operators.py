@@ -37,7 +37,7 @@ def both_paths(spark, fn, *cols):
 
 def test_slices_are_made_only_for_large_keys(hot):
     df = log(hot)
-    tagged, split = tag_slices(df, ["key"], time_slice(F.col("at")))
+    tagged, split = tag_slices(df, ["key"], time_slice(df, "at"))
     assert split
     sizes = df.groupBy("key").count().where("count > 8").select("key")
     sliced = tagged.where(F.col("__slice").isNotNull()).select("key").distinct()
