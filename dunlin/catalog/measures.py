@@ -236,3 +236,21 @@ def phones_by_activity(spark, sf):
     phones = _scored_phones(spark, sf).withColumn("activity", F.nullif(F.ltrim("activity"), F.lit("")))
     every = {"n_scores": F.count_distinct("score"), "phones": F.count(F.lit(1))}
     return m.by_dimension(phones, "activity", every, ["activity", "site", "score"])
+
+
+@query("""
+WITH p AS (SELECT site, score, phone, account, ts, is_contact, min(CASE WHEN is_contact = 1 THEN ts END)
+  OVER (PARTITION BY account, phone) AS fc FROM perf),
+c AS (SELECT p.*, CASE WHEN c_acctbal <= 2500 THEN 1 WHEN c_acctbal >= 5000 THEN 3 ELSE 2 END AS br,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'L' WHEN c_acctbal < 0 THEN 'R' ELSE 'S' END AS sg
+  FROM p JOIN customer ON c_custkey = account),
+s AS (SELECT site, score, br, sg, count(DISTINCT phone) AS phones, count(*) FILTER (ts = fc) AS uc FROM c GROUP BY ALL),
+t AS (SELECT site, score, sum(uc) / nullif(sum(phones), 0)::DOUBLE AS rate FROM s GROUP BY ALL),
+q AS (SELECT quantile_cont(rate, 0.25) AS a, quantile_cont(rate, 0.5) AS b, quantile_cont(rate, 0.75) AS d, count(rate) AS n FROM t),
+o AS (SELECT rate, row_number() OVER (ORDER BY rate) AS rn FROM t),
+m AS (SELECT x.rate + (0.5 * (n + 1) - floor(0.5 * (n + 1))) * (y.rate - x.rate) AS me FROM q
+  JOIN o x ON x.rn = floor(0.5 * (n + 1)) JOIN o y ON y.rn = ceil(0.5 * (n + 1)))
+SELECT site, score, round(rate, 8) AS rate, CASE WHEN rate <= a THEN 1 WHEN rate <= b THEN 2 WHEN rate <= d THEN 3 ELSE 4 END
+  AS quartile, round(me, 8) AS median_exc, round(b, 8) AS median_inc, round(d, 8) AS p75_inc FROM t, q, m""")
+def contact_percentiles(spark, sf):
+    return _round(m.contact_percentiles(phone_score_performance(spark, sf), ["site", "score"]), ["site", "score", "quartile"])

@@ -420,7 +420,10 @@ def hourly_activity(spark, sf):
 # ---- schedules --------------------------------------------------------------------------------
 
 DAY = "2000-06-15"
-cte("open_sched", "SELECT * FROM sched WHERE due_date >= DATE '2000-06-15' AND broken_date IS NULL")
+cte("open_sched", """
+SELECT * FROM sched WHERE (source = 'STAR' AND due_date >= DATE '2000-06-15' AND broken_date IS NULL)
+  OR (source = 'LEGACY' AND due_date >= DATE '2000-05-01')
+""")
 cte("detail", """
 SELECT payment_id, s.source, s.account, s.client, due_date, amount, state, segment, region,
   date_trunc('month', list_date)::DATE AS batch_month, date_trunc('month', due_date)::DATE AS due_month
@@ -430,13 +433,20 @@ LEFT JOIN (SELECT 'C' || n_nationkey AS client, r_name AS region FROM nation
 """)
 
 
+def _sources(spark, sf):
+    """The fact source, and the other one as a current list that also holds overdue items."""
+    star, legacy = f.sched_sources(spark, sf)
+    return [star], [legacy.where(F.col("due_date") >= F.lit("2000-05-01").cast("date"))]
+
+
 def _detail(spark, sf):
     clients = load(spark, sf, "nation").join(
         load(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select(F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("client"),
              F.col("r_name").alias("region"))
     accounts = f.acct2(spark, sf).select("account", "source", "state", "segment", "list_date")
-    return payments.postdated_detail(f.sched_sources(spark, sf), accounts, clients, DAY)
+    star, legacy = _sources(spark, sf)
+    return payments.postdated_detail(star, accounts, clients, DAY, legacy)
 
 
 @query("SELECT * FROM detail")
@@ -461,9 +471,11 @@ def _horizon(spark, sf, n, client_filter=None):
     paid = f.sched(spark, sf).select(
         "source", "account", F.col("due_date").alias("pay_date"), F.col("status").alias("kind")
     )
+    star, legacy = _sources(spark, sf)
     out = payments.payment_horizon_matrix(
-        f.sched_sources(spark, sf), paid, f.acct2(spark, sf).select("account", "source", "segment"),
+        star, paid, f.acct2(spark, sf).select("account", "source", "segment"),
         DAY, n, paid_since="1996-01-01", excluded_types=["P"], client_filter=client_filter,
+        current_lists=legacy,
     )
     return out.withColumns({c: r4(c) for c in out.columns
                             if c.startswith("month_") or c == "over_range"})
@@ -478,7 +490,7 @@ def _horizon_sql(n, extra=""):
     return f"""
 SELECT m.*, remaining + coalesce(n_paid, 0) AS taken, coalesce(n_paid, 0) AS n_paid, segment FROM (
   SELECT source, account, client, {cols},
-    round(sum(CASE WHEN {slot} > {n} THEN amount ELSE 0 END), 4) AS over_range, count(*) AS remaining
+    round(sum(CASE WHEN {slot} NOT BETWEEN 1 AND {n} THEN amount ELSE 0 END), 4) AS over_range, count(*) AS remaining
   FROM open_sched {extra} GROUP BY source, account, client) m
 LEFT JOIN (SELECT source, account, count(*) AS n_paid FROM sched
   WHERE due_date >= '1996-01-01' AND status <> 'P' GROUP BY ALL) USING (source, account)
@@ -523,7 +535,8 @@ def promise_summary(spark, sf):
     accounts = f.acct2(spark, sf).select(
         "account", "source", "state", "list_date", "charge_off_date", "initial_balance"
     )
-    return payments.promise_summary(f.sched_sources(spark, sf), accounts, DAY).withColumns(
+    star, legacy = _sources(spark, sf)
+    return payments.promise_summary(star, accounts, DAY, current_lists=legacy).withColumns(
         {"promise_amt": r4("promise_amt"), "promise_amt_month": r4("promise_amt_month")}
     )
 

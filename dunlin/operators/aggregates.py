@@ -69,12 +69,17 @@ def group_having(df, keys, aggs: Mapping[str, Column], pred: Column) -> DataFram
     return df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()]).where(pred)
 
 
-def slot_pivot(df, keys, slot: str, value: str, n: int, prefix="month_", over="over_range"):
+def slot_pivot(
+    df, keys, slot: str, value: str, n: int, prefix="month_", over="over_range",
+    extra: Mapping[str, Column] | None = None,
+):
     """Sum ``value`` into slots 1..n plus one overflow slot (n+1); missing slots are 0.
 
-    The slot list is known, so this is one conditional-sum aggregate with no distinct scan."""
+    The slot list is known, so this is one conditional-sum aggregate with no distinct scan;
+    ``extra`` aggregates ride along."""
     sums = [sum_where(F.col(value), F.col(slot) == i).alias(f"{prefix}{i}") for i in range(1, n + 1)]
     sums.append(sum_where(F.col(value), F.col(slot) > n).alias(over))
+    sums += [agg.alias(name) for name, agg in (extra or {}).items()]
     return df.groupBy(*keys).agg(*sums)
 
 
@@ -88,9 +93,17 @@ def ratio_of(num: str, den: str) -> Column:
     return ratio(F.sum(num), F.sum(den))
 
 
-def share_of(df: DataFrame, keys: Sequence[str], col: str, out="share") -> DataFrame:
-    """Row value over its group total. Meant for aggregated frames (few rows per group);
-    the group total is a combined aggregate joined back, not a window over raw rows."""
+def share_of(
+    df: DataFrame, keys: Sequence[str], col: str, out="share", small_groups: bool = False
+) -> DataFrame:
+    """Row value over its group total.
+
+    The total is a combined aggregate joined back, so a huge group stays spread out.
+    ``small_groups=True`` states that groups are few rows by nature (an aggregated frame with
+    a handful of segments): then a window needs one shuffle less."""
+    if small_groups:
+        total = F.sum(col).over(Window.partitionBy(*keys))
+        return df.withColumn(out, ratio(F.col(col), total))
     totals = df.groupBy(*keys).agg(F.sum(col).alias("__total"))
     joined = join_null_safe(df, totals, list(keys), "inner")
     return joined.withColumn(out, ratio(F.col(col), F.col("__total"))).drop("__total")
@@ -98,19 +111,18 @@ def share_of(df: DataFrame, keys: Sequence[str], col: str, out="share") -> DataF
 
 def yield_index(df: DataFrame, group: Sequence[str], seg: str, num: str, den: str) -> DataFrame:
     """Segment yield over group yield (0 when the group yield is 0 or blank), and the share
-    of each index in the group's sum of indexes (0 when that sum is 0 or blank)."""
+    of each index in the group's sum of indexes (0 when that sum is 0 or blank). A group has
+    one row per segment here, so its windows are small."""
+    whole = Window.partitionBy(*group)
     segs = df.groupBy(*group, seg).agg(F.sum(num).alias("__n"), F.sum(den).alias("__d"))
-    total = segs.groupBy(*group).agg(F.sum("__n").alias("__tn"), F.sum("__d").alias("__td"))
-    total = total.select(*group, ratio(F.col("__tn"), F.col("__td")).alias("total_yield"))
-    both = join_null_safe(
-        segs.withColumn("seg_yield", ratio(F.col("__n"), F.col("__d"))), total, list(group),
-        "inner",
-    )
+    yields = segs.withColumns({
+        "seg_yield": ratio(F.col("__n"), F.col("__d")),
+        "total_yield": ratio(F.sum("__n").over(whole), F.sum("__d").over(whole)),
+    })
+    index = ratio(F.col("seg_yield"), F.col("total_yield"))
     flat = F.coalesce(F.col("total_yield"), F.lit(0.0)) == 0
-    indexed = both.withColumn(
-        "yield_idx", F.when(flat, 0.0).otherwise(F.col("seg_yield") / F.nullif("total_yield", F.lit(0.0)))
-    )
-    shared = share_of(indexed, group, "yield_idx", "predicted_share")
+    indexed = yields.withColumn("yield_idx", F.when(flat, 0.0).otherwise(index))
+    shared = share_of(indexed, group, "yield_idx", "predicted_share", small_groups=True)
     return shared.withColumn(
         "predicted_share", F.coalesce("predicted_share", F.lit(0.0))
     ).drop("__n", "__d")

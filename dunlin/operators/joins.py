@@ -106,13 +106,28 @@ def after_join(points, anchors, key, t: str, anchor: str, inclusive=True) -> Dat
     return points.join(anchors, _list(key)).where(later)
 
 
+SMALL_RULES = 1_000
+
+
 def pattern_join(df: DataFrame, rules: DataFrame, col: str, pattern_col: str) -> DataFrame:
     """Attach the rules whose LIKE pattern matches ``col``.
 
-    Patterns are tested once per distinct name, and the match is joined back on the name, so
-    the nested-loop part never sees the fact rows."""
+    Patterns are tested once per distinct name and the match is joined back on the name, so
+    fact rows never meet patterns. A rule table of checked size becomes a literal array that
+    each name filters; a larger one is matched by a theta join of names and rules."""
     names = df.select(col).where(F.col(col).isNotNull()).distinct()
-    matched = names.join(rules, F.expr(f"`{col}` LIKE `{pattern_col}`"))
+    rows = rules.limit(SMALL_RULES + 1).collect()
+    if not rows:
+        return df.join(rules, F.lit(False))
+    if len(rows) > SMALL_RULES:
+        matched = names.join(rules, F.expr(f"`{col}` LIKE `{pattern_col}`"))
+    else:
+        literals = F.array(*[
+            F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in rules.schema])
+            for r in rows
+        ])
+        hits = F.filter(literals, lambda r: F.like(F.col(col), r[pattern_col]))
+        matched = names.select(col, F.explode(hits).alias("__r")).select(col, "__r.*")
     return df.join(matched, col)
 
 

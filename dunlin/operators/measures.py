@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.functions.text import ratio
+from dunlin.operators.percentiles import percentile_exc, percentile_inc, quartile_band
+from dunlin.sources.checkpoints import cut_lineage
 
 
 def _ratio(num, den) -> Column:
@@ -143,3 +145,20 @@ def message_calculated_columns(df: DataFrame, day: str, delivered: str, unit_sav
         "day_of_week_no": F.weekday(d.cast("date")) + 1,
         "savings": F.col(delivered) * F.lit(unit_saving),
     })
+
+
+def contact_percentiles(df: DataFrame, dims: Sequence[str], num="unq_contacts", den="phones"):
+    """Percentiles of the contact rate over the rows of a summary by ``dims``: the exclusive
+    median, the inclusive median and 75th percentile, and each row's quartile band.
+
+    The model's "75th" and "50th" percentile measures evaluate 0.5 and 0.25; the levels here
+    are the ones their names state."""
+    rates = cut_lineage(df.groupBy(*dims).agg(_ratio(num, den).alias("rate")))  # read five times
+    banded = quartile_band(rates, "rate", "quartile")
+    median = percentile_exc(rates, [], "rate", {"p": 0.5}).first()
+    inc = percentile_inc(rates, [], "rate", {"p50": 0.5, "p75": 0.75}).first()
+    return banded.withColumns({
+        "median_exc": F.lit(median["p"] if median else None).cast("double"),
+        "median_inc": F.lit(inc["p50"] if inc else None).cast("double"),
+        "p75_inc": F.lit(inc["p75"] if inc else None).cast("double"),
+    })

@@ -76,8 +76,11 @@ def percentile_by_rank(
     if one:
         df, keys = df.withColumn("__all", F.lit(1)), ["__all"]
     ranked = _value_counts(df, keys, col)
-    sizes = ranked.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    both = join_null_safe(ranked, sizes, keys, "inner")
+    if one:
+        both = ranked.withColumn("__n", F.lit(df.agg(F.count(col)).first()[0]))
+    else:
+        sizes = ranked.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+        both = join_null_safe(ranked, sizes, keys, "inner")
     n = F.col("__n")
     aggs = [F.first("__n").alias("__n")]
     for name, p in percents.items():
@@ -104,12 +107,13 @@ def percentile_exc(df, keys, col, percents) -> DataFrame:
 
 def quartile_band(df: DataFrame, value: str, out: str, within: Sequence[str] = ()) -> DataFrame:
     """Band 1..4 of each row's value against the inclusive quartiles of its group."""
-    cuts = percentile_inc(df, within, value, {"__q1": 0.25, "__q2": 0.5, "__q3": 0.75})
+    levels = {"__q1": 0.25, "__q2": 0.5, "__q3": 0.75}
+    cuts = percentile_inc(df, within, value, levels)
     if within:
         joined = join_null_safe(df, cuts, list(within))
     else:
-        one = F.broadcast(cuts.withColumn("__all", F.lit(1)))
-        joined = df.withColumn("__all", F.lit(1)).join(one, "__all").drop("__all")
+        row = cuts.first()  # three numbers
+        joined = df.withColumns({q: F.lit(row[q] if row else None).cast("double") for q in levels})
     v = F.col(value)
     label = (
         F.when(v <= F.col("__q1"), 1).when(v <= F.col("__q2"), 2)

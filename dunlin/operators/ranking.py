@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dunlin.operators.percentiles import global_row_number
 from dunlin.operators.windows import first_per
+from dunlin.sources.checkpoints import cut_lineage
 
 ONE_TASK_ROWS = 100_000
 
@@ -17,7 +18,7 @@ def rank_total(df: DataFrame, entity: str, measure: Column, desc=True, total="to
     """Dense rank of every entity by its total: the position of the total among the distinct
     totals. A checked small number of totals is ordered in one task; more of them are
     numbered by the distributed global row number."""
-    totals = df.groupBy(entity).agg(measure.alias(total))
+    totals = cut_lineage(df.groupBy(entity).agg(measure.alias(total)))  # one row per entity
     distinct = totals.select(F.col(total).alias("__t")).distinct()
     if distinct.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:
         order = F.col("__t").desc() if desc else F.col("__t").asc()
@@ -34,21 +35,20 @@ def top_n(
     """Totals of the entities whose dense rank is at most ``n`` (ties at the cut all stay).
     ``other`` adds one row that sums the rest; None leaves the rest out.
 
-    The cut value comes from a top-n sort, which keeps n rows per task."""
-    totals = df.groupBy(entity).agg(measure.alias(total))
+    The cut is one number from a top-n sort, which keeps n rows per task."""
+    totals = cut_lineage(df.groupBy(entity).agg(measure.alias(total)))  # one row per entity
     value = F.col(total)
-    cut = (
+    best = (
         totals.where(value.isNotNull()).select(total).distinct()
         .orderBy(value.desc() if desc else value.asc()).limit(n)
-        .agg((F.min(total) if desc else F.max(total)).alias("__cut"))
-        .withColumn("__one", F.lit(1))
+        .agg((F.min(total) if desc else F.max(total)).alias("cut"))
     )
-    marked = totals.withColumn("__one", F.lit(1)).join(F.broadcast(cut), "__one").drop("__one")
-    inside = (value >= F.col("__cut")) if desc else (value <= F.col("__cut"))
+    cut = F.lit(best.first()["cut"]).cast(totals.schema[total].dataType)
+    inside = (value >= cut) if desc else (value <= cut)
     if other is None:
-        return marked.where(inside).drop("__cut")
+        return totals.where(inside)
     label = F.when(inside, F.col(entity)).otherwise(F.lit(other))
-    return marked.groupBy(label.alias(entity)).agg(F.sum(total).alias(total))
+    return totals.groupBy(label.alias(entity)).agg(F.sum(total).alias(total))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:

@@ -190,18 +190,21 @@ def first_known(df, keys, ts, col, out, tie=()) -> DataFrame:
 
 
 def backfill_two_stage(current, full, keys, ts, col, out, tie=()) -> DataFrame:
-    """First known value from the current period, else from the full history."""
+    """First known value from the current period, else from the full history. Both stages
+    come from one aggregate over the stacked frames, which combines map-side, so history rows
+    are not shuffled and keys are looked up once."""
     keys = _list(keys)
-    staged = first_known(current, keys, ts, col, "__recent", tie)
-    older = (
-        full.join(staged.where(F.col("__recent").isNull()).select(*keys).distinct(), keys,
-                  "left_semi")
-        .where(F.col(col).isNotNull())
-        .groupBy(*keys)
-        .agg(F.min_by(col, F.struct(ts, *tie)).alias("__older"))
+    cols = [*keys, ts, *tie, col]
+    stacked = current.select(*cols, F.lit(True).alias("__now")).unionByName(
+        full.select(*cols, F.lit(False).alias("__now"))
+    ).where(F.col(col).isNotNull())
+    order = F.struct(ts, *tie)
+    known = stacked.groupBy(*keys).agg(
+        F.min_by(col, F.when(F.col("__now"), order)).alias("__recent"),
+        F.min_by(col, order).alias("__older"),
     )
     value = F.coalesce(F.col(col), F.col("__recent"), F.col("__older"))
-    return staged.join(older, keys, "left").withColumn(out, value).drop("__recent", "__older")
+    return current.join(known, keys, "left").withColumn(out, value).drop("__recent", "__older")
 
 
 def first_date(df, keys, ts, out="first_date") -> DataFrame:

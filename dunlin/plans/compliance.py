@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date, day_diff, to_date_key
 from dunlin.operators.joins import after_join, anti, missing_keys, pattern_join, semi
-from dunlin.operators.sets import union_distinct
 from dunlin.operators.slices import find_hot, time_slice
 from dunlin.operators.windows import attempt_no, neighbours, next_event, prev_k
 
@@ -77,16 +76,15 @@ def restricted_contact_exceptions(
     history row with the account's current status, else the account's own update date.
     Only days after ``since`` (the last reported exception) count."""
     codes = restricted.select(F.col(restricted.columns[0]).alias(status))
-    current = semi(accounts, codes, status)
-    dated = (
-        history.join(current.select(customer, status), [customer, status], "left_semi")
-        .groupBy(customer, status).agg(F.min(inserted).cast("date").alias("restricted_on"))
+    earliest = semi(history, codes, status).groupBy(customer, status).agg(
+        F.min(inserted).cast("date").alias("__first")
     )
-    undated = anti(current, dated, customer).select(
-        customer, status, F.col(updated).cast("date").alias("restricted_on")
-    )
-    anchors = union_distinct(undated, dated).withColumn(
-        "restricted_key", to_date_key(F.col("restricted_on"))
+    dated = F.coalesce(F.col("__first"), F.col(updated).cast("date"))
+    anchors = (
+        semi(accounts, codes, status).select(customer, status, updated)
+        .join(earliest, [customer, status], "left")
+        .select(customer, status, dated.alias("restricted_on")).distinct()
+        .withColumn("restricted_key", to_date_key(F.col("restricted_on")))
     )
     floor = F.lit(str(as_date(since))).cast("date")
     days = (

@@ -1,8 +1,10 @@
 """Scheduled-payment reports: postdated detail, horizon matrix, promise summary, snapshots.
 
-Two source systems deliver scheduled payments. Each report takes one canonical frame per
-source (same columns) and unions them. Canonical schedule columns: source, account,
-client, due_date, amount, broken_date (NULL while open).
+Two kinds of source deliver scheduled payments; both have the columns source, account,
+client, due_date, amount, broken_date. ``sources`` are fact tables: a payment counts while
+it is due on or after ``as_of`` and not broken. ``current_lists`` are daily files that hold
+only what is scheduled now: they are taken as they are, whatever their dates. The reports
+union all branches.
 """
 
 from __future__ import annotations
@@ -56,11 +58,16 @@ def _open_from(schedule: DataFrame, day) -> DataFrame:
     )
 
 
+def _scheduled(sources, current_lists, as_of) -> list[DataFrame]:
+    return [*[_open_from(s, as_of) for s in sources], *current_lists]
+
+
 def postdated_detail(
-    sources: Sequence[DataFrame], accounts: DataFrame, clients: DataFrame, as_of
+    sources: Sequence[DataFrame], accounts: DataFrame, clients: DataFrame, as_of,
+    current_lists: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Open future payments of all sources with account and client attributes."""
-    rows = union_distinct(*[_open_from(s, as_of) for s in sources])
+    """Scheduled payments of all sources with account and client attributes."""
+    rows = union_distinct(*_scheduled(sources, current_lists, as_of))
     return (
         rows.join(accounts, ["account", "source"], "left")
         .join(clients, ["client"], "left")
@@ -88,32 +95,34 @@ def month_slot(due: Column, as_of, n: int) -> Column:
 def payment_horizon_matrix(
     sources: Sequence[DataFrame], payments: DataFrame, accounts: DataFrame, as_of, n_months: int = 13,
     paid_since="2016-01-01", excluded_types: Sequence[str] = (), client_filter: Column | None = None,
+    current_lists: Sequence[DataFrame] = (), paid_filter: Column | None = None,
 ) -> DataFrame:
     """Scheduled amounts per account in month slots 1..n plus overflow, with the number of
-    remaining, already paid and total payments.
+    remaining, already paid and total payments. ``paid_filter`` is a further test on
+    payments, for rules that differ by source.
 
     The slot is month arithmetic on the due date, so no calendar table is joined. Counts and
     amounts come from one aggregation; payments are aggregated per account before joining.
     """
     rows = union_distinct(*[
-        _open_from(s, as_of)
-        .withColumn("slot", month_slot(F.col("due_date"), as_of, n_months))
+        s.withColumn("slot", month_slot(F.col("due_date"), as_of, n_months))
         .groupBy("source", "account", "client", F.trunc("due_date", "MM").alias("due_month"), "slot")
         .agg(F.count(F.lit(1)).alias("n_due"), F.sum("amount").alias("amount"))
-        for s in sources
+        for s in _scheduled(sources, current_lists, as_of)
     ])
     if client_filter is not None:
         rows = rows.where(client_filter)
     keys = ["source", "account", "client"]
-    matrix = slot_pivot(rows, keys, "slot", "amount", n_months, over="over_range")
-    remaining = rows.groupBy(*keys).agg(F.sum("n_due").alias("remaining"))
+    matrix = slot_pivot(
+        rows, keys, "slot", "amount", n_months, extra={"remaining": F.sum("n_due")}
+    )
     counted = payments.where(
         (F.col("pay_date") >= F.lit(str(paid_since)).cast("date"))
         & ~F.col("kind").isin(*excluded_types)
+        & (F.lit(True) if paid_filter is None else paid_filter)
     ).groupBy("source", "account").agg(F.count(F.lit(1)).alias("n_paid"))
     return (
-        matrix.join(remaining, keys)
-        .join(counted, ["source", "account"], "left")
+        matrix.join(counted, ["source", "account"], "left")
         .withColumn("n_paid", F.coalesce("n_paid", F.lit(0)))
         .withColumn("taken", F.col("n_paid") + F.col("remaining"))
         .join(accounts, ["account", "source"], "left")
@@ -121,7 +130,8 @@ def payment_horizon_matrix(
 
 
 def promise_summary(
-    sources: Sequence[DataFrame], accounts: DataFrame, as_of, keys: Sequence[str] = ()
+    sources: Sequence[DataFrame], accounts: DataFrame, as_of, keys: Sequence[str] = (),
+    current_lists: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Promises by batch month, client, state, charge-off age and balance band.
 
@@ -129,7 +139,7 @@ def promise_summary(
     day = as_date(as_of)
     due = F.col("due_date")
     this_month = (F.month(due) == day.month) & (F.year(due) == day.year)
-    rows = union_distinct(*[_open_from(s, as_of) for s in sources]).join(
+    rows = union_distinct(*_scheduled(sources, current_lists, as_of)).join(
         accounts, ["account", "source"], "left"
     )
     age = charge_off_age(F.col("charge_off_date"), F.col("list_date"))

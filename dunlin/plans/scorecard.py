@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.functions.dates import (
     add_months, as_date, last_fri_week, month_diff, month_floor, month_start, report_month,
+    restate_prev_month,
 )
 from dunlin.functions.labels import decode_flags, month_age_bands, recode
 from dunlin.functions.text import ratio, text_len
@@ -18,7 +19,6 @@ from dunlin.operators.aggregates import (
 )
 from dunlin.operators.joins import allow_list, allowed_detail, assemble, dim_spine, semi
 from dunlin.operators.sets import union_distinct
-from dunlin.operators.slices import join_null_safe
 from dunlin.operators.windows import fill_forward, first_event, neighbours, running_sum
 from dunlin.sources.scans import range_scan
 
@@ -158,15 +158,17 @@ def score_sloping(
     seg = new.groupBy(*group, "rpt_month", "score_group").agg(
         *[F.sum(c).alias(c) for c in ("accounts", "calls", "payments")]
     )
-    tot = seg.groupBy(*group, "rpt_month").agg(F.sum("accounts").alias("__month_accounts"))
-    tot = tot.where(F.col("__month_accounts") >= min_accounts)
+    # a report month of a group has one row per score group, so its windows are small
+    month = Window.partitionBy(*group, "rpt_month")
+    large = seg.withColumn("__month_accounts", F.sum("accounts").over(month)).where(
+        F.col("__month_accounts") >= min_accounts
+    ).drop("__month_accounts")
+    shared = share_of(large, [*group, "rpt_month"], "calls", "actual_share", small_groups=True)
     # a group without any history has no index total and drops out; a score group without
     # history stays with blank history columns
     known = pie.select(*group).distinct()
-    shared = share_of(seg, [*group, "rpt_month"], "calls", "actual_share")
     return (
-        join_null_safe(shared, tot, [*group, "rpt_month"], "inner").drop("__month_accounts")
-        .join(known, group, "left_semi")
+        shared.join(known, group, "left_semi")
         .join(pie, [*group, "score_group"], "left")
         .withColumn("month_yield", ratio(F.col("payments"), F.col("accounts")))
         .withColumn("predicted_share", F.coalesce("predicted_share", F.lit(0.0)))
@@ -191,6 +193,12 @@ def accounts_worked_monthly(sources: Mapping[str, DataFrame], month, day="call_d
     return union_distinct(*parts)
 
 
+def accounts_worked_restated(sources: Mapping[str, DataFrame], as_of, day="call_date"):
+    """The previous month once more during the first seven days of a month, else None."""
+    month = restate_prev_month(as_of)
+    return None if month is None else accounts_worked_monthly(sources, month, day)
+
+
 def call_stats_rolling(
     feeds: Mapping[str, DataFrame], keys: Sequence[str], as_of, days: int = 7, day="call_date"
 ) -> DataFrame:

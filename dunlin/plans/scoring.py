@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -13,12 +14,66 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date
 from dunlin.operators.percentiles import deciles
+from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.sinks import write_back
 
 
 SMALL_LOOKUP = 100_000
 
 
+@dataclass(frozen=True)
+class ScoreModel:
+    """A stored model's name, its feature columns and the key that comes back with the score."""
+
+    name: str
+    features: tuple
+    key: str = "account"
+
+    def train(self, df: DataFrame, label: str, folder: str, **options) -> str:
+        return save_model(train_score_model(df, label, self.features, **options), folder, self.name)
+
+    def score(self, df: DataFrame, folder: str) -> DataFrame:
+        return score_model(df, f"{folder.rstrip('/')}/{self.name}", self.features, self.key)
+
+
+# Feature sets of the score models by purpose. Columns ending in ``_level`` are
+# target-encoded categories, ``age_*`` are month distances, ``has_*`` are 0/1 history flags.
+SCORE_MODELS = {m.name: m for m in (
+    ScoreModel("telecom", (
+        "age_at_chargeoff", "initial_balance", "has_prev_account", "has_prev_paid_account",
+        "has_prev_telecom_account", "age_at_listdate", "state_level", "has_prev_calls")),
+    ScoreModel("telecom_in_statute", (
+        "has_prev_telecom_account", "age_at_listdate", "has_prev_other_account", "state_level",
+        "client_group_level")),
+    ScoreModel("telecom_out_of_statute", (
+        "age_at_chargeoff", "initial_balance", "has_prev_account", "has_prev_paid_account",
+        "has_prev_telecom_account", "age_at_listdate", "state_level", "has_prev_calls")),
+    ScoreModel("medical_placement", (
+        "age_at_listdate", "initial_balance", "has_prev_medical_account", "state_level")),
+    ScoreModel("medical_collection", (
+        "has_prev_medical_account", "age_at_listdate", "state_level", "has_prev_other_account",
+        "has_prev_promise")),
+    ScoreModel("multi_high_balance", (
+        "bureau_score", "paper_type_level", "has_prev_promise", "age_at_listdate",
+        "has_prev_paid_account", "has_prev_account", "has_prev_bankcard_account",
+        "age_at_chargeoff", "state_level")),
+    ScoreModel("multi_low_balance", (
+        "paper_type_level", "bureau_score", "age_at_listdate", "age_at_chargeoff",
+        "has_prev_promise", "state_level", "has_prev_paid_account")),
+    ScoreModel("multi_paid_amount", (
+        "initial_balance", "age_at_listdate", "bureau_score", "paper_type_level", "state_level")),
+    ScoreModel("multi_payers", (
+        "paper_type_level", "age_at_listdate", "bureau_score", "age_at_chargeoff",
+        "has_prev_paid_account", "state_level", "has_prev_promise")),
+    ScoreModel("other_expense", (
+        "age_at_listdate", "age_at_chargeoff", "has_prev_other_account",
+        "has_prev_medical_account", "has_prev_contact", "state_level")),
+    ScoreModel("new_placement", (
+        "age_at_chargeoff", "age_at_listdate", "initial_balance", "charge_off_reason_level",
+        "credit_class_level")),
+)}
+
+
 def train_score_model(
     df: DataFrame, label: str, features: Sequence[str] | None = None, rounds: int = 200,
     depth: int = 6, step: float = 0.3, seed: int = 42,
@@ -90,7 +145,7 @@ def score_pending(
     todo = pending.where(is_pending)
     for category, table in lookups.items():
         todo = todo.join(table.select(category, f"{category}_level"), category, "left")
-    scores = score_model(todo, model, features, key)
+    scores = cut_lineage(score_model(todo, model, features, key))  # read four times below
     ranked = deciles(scores.withColumn("__tie", F.col(tie)), "score", "__tie", "__group", desc=True)
     stamped = ranked.select(
         key, F.col("score").alias(score_col), F.col("__group").alias(group_col),
