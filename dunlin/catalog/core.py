@@ -641,12 +641,12 @@ def percentiles_exclusive(spark, sf):
 @query("""
 WITH t AS (SELECT p_brand, p_type, avg(p_retailprice) AS v FROM part GROUP BY ALL),
 q AS (SELECT quantile_cont(v, 0.25) AS a, quantile_cont(v, 0.5) AS b, quantile_cont(v, 0.75) AS c FROM t)
-SELECT p_brand, p_type, round(v, 6) AS v, CASE WHEN v <= a THEN 1 WHEN v <= b THEN 2 WHEN v <= c THEN 3 ELSE 4 END AS band
+SELECT p_brand, p_type, round(v, 9) AS v, CASE WHEN v <= a THEN 1 WHEN v <= b THEN 2 WHEN v <= c THEN 3 ELSE 4 END AS band
 FROM t, q""")
 def quartile_bands(spark, sf):
     t = load(spark, sf, "part", ["p_brand", "p_type", "p_retailprice"]).groupBy("p_brand", "p_type").agg(
         F.avg("p_retailprice").alias("v"))
-    return percentiles.quartile_band(t, "v", "band").withColumn("v", F.round("v", 6))
+    return percentiles.quartile_band(t, "v", "band").withColumn("v", F.round("v", 9))
 
 
 @query("""

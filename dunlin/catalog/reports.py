@@ -579,7 +579,7 @@ def snapshot_history(spark, sf):
 
 @query("""
 SELECT t.session, t.account, t.day, round(coalesce(p, 0), 4) AS pay_received,
-  round(coalesce(p, 0) / n, 4) AS pay_share
+  round(coalesce(p, 0) / n, 9) AS pay_share
 FROM texts t JOIN (SELECT account, day, count(*) AS n FROM texts GROUP BY ALL) USING (account, day)
 LEFT JOIN (SELECT account, pay_date AS day, sum(amount) AS p FROM pays GROUP BY ALL)
   USING (account, day)
@@ -588,7 +588,7 @@ def payment_to_interaction(spark, sf):
     paid = f.pays(spark, sf).withColumnRenamed("pay_date", "day")
     rows = f.texts(spark, sf).select("session", "account", "day")
     return payments.payment_to_interaction(rows, paid).withColumns(
-        {"pay_received": r4("pay_received"), "pay_share": r4("pay_share")}
+        {"pay_received": r4("pay_received"), "pay_share": F.round("pay_share", 9)}
     )
 
 
@@ -792,7 +792,7 @@ def _profile_sql(edges, email, rule):
     parts.append(f"count(DISTINCT CASE WHEN {age} >= {edges[-1]} THEN account END) AS from_{edges[-1]}m")
     if email:
         parts += ["count(DISTINCT email_account) AS with_email",
-                  "round(count(DISTINCT email_account) / count(DISTINCT account), 4) AS pct_with_email"]
+                  "round(count(DISTINCT email_account) / count(DISTINCT account), 9) AS pct_with_email"]
     return f"""
 SELECT month, stream, {rule} AS class, count(DISTINCT account) AS accounts,
   count(DISTINCT CASE WHEN length(rtrim(phone)) = 10 THEN account END) AS with_phone,
@@ -809,7 +809,7 @@ def placement_profile(spark, sf):
     rule = classify([(stream.isin("BUILDING"), "Primes"),
                      (stream.isin("MACHINERY", "FURNITURE"), "Seconds")], "Other")
     return scorecard.placement_profile(_placed(spark, sf), ["month", "stream"], rule).withColumn(
-        "pct_with_email", r4("pct_with_email"))
+        "pct_with_email", F.round("pct_with_email", 9))
 
 
 @query(_profile_sql((3, 6, 9, 12, 15, 18), False,

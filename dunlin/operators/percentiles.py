@@ -11,11 +11,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dunlin.operators.slices import (
-    SLICE, carry_over, hot_keys, join_null_safe, slice_window,
+    SLICE, carry_over, hot_keys, hot_row_limit, join_null_safe, slice_window,
 )
 from dunlin.sources.checkpoints import cut_lineage
 
-CUTS = 256
+MIN_CUTS, MAX_CUTS, MAX_KEY_CUTS = 16, 20_000, 4_096
+
+
+def _cut_count(rows: int, per_task: int, most: int) -> int:
+    """Enough cuts to leave about ``per_task`` rows between two of them."""
+    return max(MIN_CUTS, min(most, rows // max(per_task, 1)))
+
+
+def _percents(cuts: int):
+    return F.split(
+        F.lit(",".join(str(i / cuts) for i in range(1, cuts))), ","
+    ).cast("array<double>")
 
 
 def _value_counts(df, keys, col) -> DataFrame:
@@ -34,15 +45,15 @@ def _value_counts(df, keys, col) -> DataFrame:
         whole = Window.partitionBy(*keys).orderBy("__v")
         return counts.withColumn("__hi", F.sum("__c").over(whole))
     counts = cut_lineage(counts)  # read three times below
-    points = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    n_cuts = _cut_count(counts.count(), hot_row_limit(df.sparkSession), MAX_KEY_CUTS)
     cuts = (
         join_null_safe(counts, hot, keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx("__v", points, 10_000).alias("__cuts"))
+        .agg(F.percentile_approx("__v", _percents(n_cuts), 10 * n_cuts).alias("__cuts"))
     )
     tagged = (
         join_null_safe(counts, cuts, keys)
-        .withColumn(SLICE, F.when(F.col("__cuts").isNotNull(), _cuts_below("__cuts", "__v")))
+        .withColumn(SLICE, F.when(F.col("__cuts").isNotNull(), _cuts_below("__cuts", "__v", n_cuts)))
         .drop("__cuts")
     )
     local = tagged.withColumn("__hi", F.sum("__c").over(slice_window(keys, ["__v"])))
@@ -54,12 +65,12 @@ def _value_counts(df, keys, col) -> DataFrame:
     )
 
 
-def _cuts_below(cuts: str, value: str):
+def _cuts_below(cuts: str, value: str, n_cuts: int):
     """Number of cuts below the value, in two steps of about sqrt(n) comparisons: first among
-    every 16th cut, then among the cuts up to the next one."""
-    step = 16
+    every step-th cut, then among the cuts up to the next one."""
+    step = max(math.isqrt(n_cuts), 2)
     below = lambda c: c < F.col(value)
-    coarse = F.array(*[F.element_at(cuts, i) for i in range(step, CUTS, step)])
+    coarse = F.array(*[F.element_at(cuts, i) for i in range(step, n_cuts, step)])
     start = F.size(F.filter(coarse, below)) * step
     return start + F.size(F.filter(F.slice(cuts, start + 1, step), below))
 
@@ -135,39 +146,50 @@ def _bucket(df: DataFrame, col: str, cuts, out: str) -> DataFrame:
 def global_row_number(
     df: DataFrame, value: str, tie: str, out: str, desc=False, total_out: str | None = None
 ) -> DataFrame:
-    """Exact 1-based position over the whole frame by (value, tie), both numeric.
-
-    A plain global window would put every row into one task. Here the rows are cut at
-    approximate quantiles; a value frequent enough to fill several cuts gets a slice of its
-    own that is cut again by ``tie``. Each slice is numbered on its own and shifted by the
-    size of the slices before it (at most a few hundred numbers). The cuts only balance the
-    work, positions are exact.
+    """Exact 1-based position over the whole frame by (value, tie), both numeric. NULL is the
+    lowest value: first ascending, last descending.
+
+    A frame of checked small size is numbered in one task. A larger one is cut at approximate
+    quantiles, as many as its size asks for; a value frequent enough to fill several cuts gets
+    slices of its own, cut again by ``tie`` in proportion to its share. Each slice is numbered
+    on its own and shifted by the rows before it (about one number per cut). The cuts only
+    balance the work, positions are exact.
     """
     v = F.col(value).cast("double")
     v = -v if desc else v
+    order = [v.asc_nulls_last() if desc else v.asc_nulls_first(), F.col(tie)]
+    null_slice = 2 * MAX_CUTS + 2 if desc else -1
+    limit = hot_row_limit(df.sparkSession)
+    total = df.count()
+    if total <= limit:
+        ranked = df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        return ranked if total_out is None else ranked.withColumn(total_out, F.lit(total))
+    n_cuts = _cut_count(total, limit, MAX_CUTS)
     t = F.col(tie).cast("double")
-    points = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
     cuts = df.agg(
-        F.percentile_approx(v, points, 10_000).alias("v"),
-        F.percentile_approx(t, points, 10_000).alias("t"),
-        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(v, _percents(n_cuts), 10 * n_cuts).alias("v"),
+        F.percentile_approx(t, _percents(n_cuts), 10 * n_cuts).alias("t"),
     ).first()
-    cut_list = list(cuts["v"] or [])
-    frequent = sorted(c for c, n in Counter(cut_list).items() if n > 1)
-    placed = _bucket(df.withColumns({"__gv": v, "__gt": t}), "__gv", cut_list, "__gvb")
-    placed = _bucket(placed, "__gt", cuts["t"] or [], "__gtb")
-    # buckets are [cut, next cut): a frequent value is the lowest of its bucket
+    shares = Counter(cuts["v"] or [])
+    frequent = [c for c in sorted(shares) if shares[c] > 1]
+    tie_cuts = sorted(set(cuts["t"] or []))
+    placed = _bucket(df.withColumns({"__gv": v, "__gt": t}), "__gv", shares, "__gvb")
+    placed = _bucket(placed, "__gt", tie_cuts, "__gtb")
+    # buckets are [cut, next cut): a frequent value is the lowest of its bucket, and its tie
+    # buckets are merged until about as many remain as cuts fell on the value
+    widths = [1] + [max(-(-(len(tie_cuts) + 1) // shares[c]), 1) for c in sorted(shares)]
+    width = F.split(F.lit(",".join(map(str, widths))), ",").cast("array<int>")
     own = F.col("__gv").isin(frequent) if frequent else F.lit(False)
-    number = lambda c: F.lpad(c.cast("int").cast("string"), 6, "0")
-    by_value = number(F.col("__gvb") * 2 + F.when(own, 0).otherwise(1))
-    by_tie = number(F.col("__gtb"))
+    merged = F.floor(F.col("__gtb") / F.element_at(width, F.col("__gvb").cast("int") + 1))
     tagged = placed.withColumn(
         SLICE,
-        F.when(F.col("__gv").isNull(), F.concat(F.lit("0-"), by_tie))
-        .when(own, F.concat_ws("-", F.lit("1"), by_value, by_tie))
-        .otherwise(F.concat_ws("-", F.lit("1"), by_value)),
+        F.when(F.col("__gv").isNull(), F.struct(
+            F.lit(null_slice).cast("bigint").alias("a"), F.col("__gtb").cast("bigint").alias("b")))
+        .when(own, F.struct(
+            (F.col("__gvb") * 2).cast("bigint").alias("a"), merged.cast("bigint").alias("b")))
+        .otherwise(F.struct(
+            (F.col("__gvb") * 2 + 1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))),
     ).drop("__gv", "__gt", "__gvb", "__gtb")
-    order = [v.asc_nulls_first(), F.col(tie)]
     numbered = tagged.withColumn(
         "__n", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
     )
@@ -182,7 +204,7 @@ def global_row_number(
         .withColumn(out, F.col("__n") + F.col("__start"))
         .drop("__n", "__start", SLICE)
     )
-    return ranked if total_out is None else ranked.withColumn(total_out, F.lit(cuts["n"]))
+    return ranked if total_out is None else ranked.withColumn(total_out, F.lit(total))
 
 
 def deciles(

@@ -107,30 +107,50 @@ def upsert(
 
 
 def write_upsert(
-    path: str, updates: DataFrame, keys: Sequence[str], part_col: str | None = None, **options
+    path: str, updates: DataFrame, keys: Sequence[str], part_col: str | None = None,
+    compare_cols: Sequence[str] | None = None, null_safe: bool = False, stamp=None,
 ) -> None:
-    """Upsert into a stored table. With ``part_col`` only partitions that gain, lose or
-    change rows are rewritten; all others are not touched."""
-    spark = updates.sparkSession
+    """Upsert into a stored table.
+
+    With ``part_col`` the changed rows are found first (the target is read for its keys and
+    compared columns only), and only partitions that gain, lose or change rows are rewritten.
+    Nothing is written when nothing changed."""
+    spark, keys = updates.sparkSession, list(keys)
     target = read_table(spark, path)
     if target is None:
         write_full(updates, path, [part_col] if part_col else ())
         return
-    state = cut_lineage(upsert(target, updates, keys, change_as="__c", **options))
     if part_col is None:
-        write_full(state.drop("__c"), path)
+        state = upsert(target, updates, keys, compare_cols, null_safe, stamp)
+        write_full(cut_lineage(state), path)
         return
-    changed = state.where(F.col("__c") != "same")
-    before = target.join(changed.select(*keys), list(keys), "left_semi").select(part_col)
-    touched = cut_lineage(before.union(changed.select(part_col)).distinct())
+    compare = list(compare_cols or [c for c in updates.columns if c not in keys])
+    old = target.select(
+        *keys, F.lit(True).alias("__known"), F.col(part_col).alias("__was"),
+        *[F.col(c).alias(f"__old_{c}") for c in compare],
+    )
+    new = updates.select(*updates.columns, *[F.col(c).alias(f"__new_{c}") for c in compare])
+    changed = cut_lineage(
+        new.join(old, keys, "left")
+        .where(F.col("__known").isNull() | _differs(compare, null_safe))
+        .select(*updates.columns, "__was")
+    )
+    touched = changed.select(part_col).union(
+        changed.where(F.col("__was").isNotNull()).select("__was")
+    ).distinct()
+    touched = cut_lineage(touched)  # one row per partition value
     if touched.isEmpty():
         return
-    rows = state.drop("__c").join(touched, part_col, "left_semi")
+    part = target.join(touched, part_col, "left_semi")
+    rows = cut_lineage(
+        upsert(part, changed.drop("__was"), keys, compare, null_safe, stamp)
+    )
     emptied = touched.join(rows.select(part_col).distinct(), part_col, "left_anti")
     if emptied.isEmpty():
         write_window(rows, path, part_col)
     else:  # a partition lost its last row: only a full rewrite removes its old files
-        write_full(state.drop("__c"), path, [part_col])
+        rest = target.join(touched, part_col, "left_anti")
+        write_full(cut_lineage(rest.unionByName(rows)), path, [part_col])
 
 
 def update_from(df: DataFrame, agg: DataFrame, on: Sequence[str], col: str, default) -> DataFrame:

@@ -175,9 +175,14 @@ def test_deciles_equal_ntile_with_frequent_values(spark, desc):
     rng = random.Random(SEED)
     data = [(i, rng.choice([None, 5.0, 5.0, 5.0, float(rng.randint(0, 50))])) for i in range(1003)]
     df = spark.createDataFrame(data, "id bigint, v double")
-    value = F.col("v").desc_nulls_first() if desc else F.col("v").asc_nulls_first()
+    value = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_first()
     want = df.select("id", F.ntile(10).over(Window.orderBy(value, "id")).alias("d"))
+    spark.conf.unset("dunlin.hotKeyRows")
     assert rows(percentiles.deciles(df, "v", "id", "d", desc=desc), "id", "d") == rows(want)
+    for limit in ("20", "1"):
+        spark.conf.set("dunlin.hotKeyRows", limit)
+        assert rows(percentiles.deciles(df, "v", "id", "d", desc=desc), "id", "d") == rows(want)
+    spark.conf.unset("dunlin.hotKeyRows")
 
 
 def test_approximate_deciles_cover_all_bands(spark):
@@ -270,6 +275,10 @@ def test_rank_total_is_dense_on_both_paths(spark, monkeypatch):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", 2)], "e string, v int")
     small = rows(ranking.rank_total(df, "e", F.sum("v")), "e", "rnk")
     monkeypatch.setattr(ranking, "ONE_TASK_ROWS", 1)
+    spark.conf.set("dunlin.hotKeyRows", "1")
+    large = rows(ranking.rank_total(df, "e", F.sum("v")), "e", "rnk")
+    spark.conf.unset("dunlin.hotKeyRows")
+    assert small == large
     assert small == rows(ranking.rank_total(df, "e", F.sum("v")), "e", "rnk") == [
         ("a", 1), ("b", 1), ("c", 2), ("d", 3)]
 
