@@ -325,7 +325,7 @@ def dimension_spine(spark, sf):
 
 @query("""
 SELECT e.event_id, (SELECT value FROM events p WHERE p.user_id = e.user_id AND p.event_type = 'purchase'
-  AND p.ts < e.ts ORDER BY p.ts DESC LIMIT 1) AS last_value FROM events e""")
+  AND (p.ts, p.event_id) < (e.ts, e.event_id) ORDER BY p.ts DESC, p.event_id DESC LIMIT 1) AS last_value FROM events e""")
 def fill_forward(spark, sf):
     e = load(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value"]).withColumn(
         "bought", F.when(F.col("event_type") == "purchase", F.col("value")))
@@ -334,7 +334,7 @@ def fill_forward(spark, sf):
 
 
 @query("""
-SELECT e.event_id, m.v AS first_value FROM events e LEFT JOIN (SELECT user_id, arg_min(value, ts) AS v FROM events
+SELECT e.event_id, m.v AS first_value FROM events e LEFT JOIN (SELECT user_id, first(value ORDER BY ts, event_id) AS v FROM events
   WHERE event_type = 'signup' GROUP BY 1) m USING (user_id)""")
 def first_known(spark, sf):
     e = load(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value"]).withColumn(
@@ -344,8 +344,8 @@ def first_known(spark, sf):
 
 
 @query("""
-SELECT session, coalesce(platform, (SELECT arg_min(platform, ts) FROM texts q WHERE q.account = t.account
-   AND q.platform IS NOT NULL AND q.ts >= '2024-01-25'), (SELECT arg_min(platform, ts) FROM texts q
+SELECT session, coalesce(platform, (SELECT first(platform ORDER BY ts, session) FROM texts q WHERE q.account = t.account
+   AND q.platform IS NOT NULL AND q.ts >= '2024-01-25'), (SELECT first(platform ORDER BY ts, session) FROM texts q
    WHERE q.account = t.account AND q.platform IS NOT NULL)) AS platform FROM texts t WHERE ts >= '2024-01-25'""")
 def backfill_two_stage(spark, sf):
     log = f.texts(spark, sf).select("session", "account", "ts", "platform")
@@ -685,7 +685,8 @@ def range_labels(spark, sf):
 
 
 @query("""
-SELECT user_id, first(event_id ORDER BY ts) AS first_id, last(event_id ORDER BY ts) AS last_id FROM events GROUP BY 1""")
+SELECT user_id, first(event_id ORDER BY ts, event_id) AS first_id, last(event_id ORDER BY ts, event_id) AS last_id
+FROM events GROUP BY 1""")
 def first_and_last_rows(spark, sf):
     e = load(spark, sf, "events", ["user_id", "event_id", "ts"])
     first = windows.first_per(e, "user_id", ["ts", "event_id"], ["event_id"])

@@ -8,7 +8,7 @@ from dunlin.catalog import frames as f
 from dunlin.catalog.base import cte, query
 from dunlin.catalog.frames import r4
 from dunlin.functions.dates import month_start
-from dunlin.functions.labels import classify, control_split, upto_bands
+from dunlin.functions.labels import classify, control_split
 from dunlin.functions.text import strip_suffix
 from dunlin.operators.windows import last_per
 from dunlin.plans import compliance, messages, payments, scorecard, speech
@@ -37,6 +37,23 @@ def contact_frequency_exceptions(spark, sf):
              *[F.col(f"days_{i}").cast("bigint").alias(f"days_{i}") for i in (1, 2, 3)])
 
 
+@query("""
+SELECT user_id, event_id, ts FROM (SELECT *, date_diff('day', CAST(lag(ts, 3) OVER (PARTITION BY user_id
+    ORDER BY ts, event_id) AS DATE), CAST(ts AS DATE)) AS d FROM events WHERE event_type = 'error')
+WHERE d < 2
+""")
+def contact_exceptions_incremental(spark, sf):
+    """Two overlapping scan windows; the second run stores only new exceptions."""
+    path = new_folder(spark, "exceptions")
+    errors = load(spark, sf, "events", ["user_id", "event_id", "ts"], F.col("event_type") == "error")
+    for as_of in ("2024-01-20", "2024-02-10"):
+        known = errors.where(F.col("ts") < F.lit(as_of).cast("timestamp_ntz"))
+        found = compliance.contact_frequency_exceptions(
+            known, "user_id", "ts", "event_id", k=3, days=2, as_of=as_of)
+        append_new(found.select("user_id", "event_id", "ts"), path, ["event_id"])
+    return read_table(spark, path)
+
+
 THRESHOLDS = [("Service 0", 4, 2, True), ("Service 1%", 6, 3, True), ("%2", 5, 1, True),
               ("Service 3", 1, 1, False)]
 
@@ -211,6 +228,19 @@ def message_attribution(spark, sf):
     return _attribution(spark, sf).withColumn("payments", r4("payments"))
 
 
+@query("""
+SELECT * EXCLUDE (has_pay) REPLACE (round(payments, 4) AS payments), CAST(has_pay AS BIGINT) AS payers,
+  date_trunc('month', send_date)::DATE AS send_month FROM attributed
+""")
+def attribution_refresh(spark, sf):
+    """Two runs into a stored report: the events until January 20, then all of them."""
+    path, log = new_folder(spark, "attribution"), f.msgs(spark, sf)
+    early = log.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    for part, as_of in ((early, "2024-01-20"), (log, "2024-02-10")):
+        messages.refresh_attribution(path, part, f.pays(spark, sf), f.revs(spark, sf), as_of)
+    return read_table(spark, path).withColumn("payments", r4("payments"))
+
+
 @query("""
 SELECT payment_id, guid, CAST(pay_date - (SELECT max(CAST(ts AS DATE)) FROM msgs m
   WHERE m.guid = t.guid AND m.code = 5 AND CAST(ts AS DATE) <= t.pay_date) AS BIGINT) AS days
@@ -253,9 +283,9 @@ def first_month_funnel(spark, sf):
 WITH rows AS (
   SELECT *, lag(result, 1, '') OVER (PARTITION BY account ORDER BY ts, session) AS prev FROM texts
   WHERE ts >= TIMESTAMP '2024-01-15'),
-recent AS (SELECT account, full_name, arg_min(platform, ts) AS p1 FROM rows
+recent AS (SELECT account, full_name, first(platform ORDER BY ts, session) AS p1 FROM rows
            WHERE platform IS NOT NULL GROUP BY ALL),
-old AS (SELECT account, full_name, arg_min(platform, ts) AS p2 FROM texts
+old AS (SELECT account, full_name, first(platform ORDER BY ts, session) AS p2 FROM texts
         WHERE platform IS NOT NULL GROUP BY ALL),
 kept AS (SELECT rows.* REPLACE (coalesce(platform, p1, p2) AS platform) FROM rows
          LEFT JOIN recent USING (account, full_name) LEFT JOIN old USING (account, full_name)

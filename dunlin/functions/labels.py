@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,5 +105,3 @@ def month_age_bands(age: Column, edges: Sequence[int]) -> dict[str, Column]:
     out[f"from_{edges[-1]}m"] = age >= edges[-1]
     return out
 
-
-COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}

@@ -23,7 +23,7 @@ from dunlin.operators.slices import Hot, find_hot
 from dunlin.operators.windows import backfill_two_stage, prev_value
 from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.scans import range_scan
-from dunlin.sources.sinks import presence_checks
+from dunlin.sources.sinks import presence_checks, read_table, write_upsert
 
 
 @dataclass(frozen=True)
@@ -182,6 +182,19 @@ def message_attribution(
     )
 
 
+def refresh_attribution(
+    path: str, events: DataFrame, payments: DataFrame, reversals: DataFrame, as_of, **options
+) -> None:
+    """Run the attribution against the stored report and upsert it by message id, rewriting
+    only the send months that changed. A change from or to NULL is not seen, as in a plain
+    comparison of columns."""
+    stored = read_table(events.sparkSession, path)
+    report = message_attribution(
+        events, payments, reversals, as_of, stored=stored, **options
+    ).withColumn("send_month", F.trunc("send_date", "MM"))
+    write_upsert(path, cut_lineage(report), ["guid"], "send_month")
+
+
 def message_click_detail(
     interactions: DataFrame, history: DataFrame, clicks: DataFrame, accounts: DataFrame,
     stop_results: Sequence[str], ordinary_results: Sequence[str], dialed: Sequence[str],

@@ -23,6 +23,15 @@ def duck():
     return con
 
 
+ORDERED = [
+    "contact_frequency_exceptions", "message_threshold_exceptions", "letter_sequence_exceptions",
+    "message_attribution", "last_touch", "click_detail", "response_curve", "fill_forward",
+    "asof_matches", "neighbour_rows", "attempt_numbers", "running_sums", "days_since_previous",
+    "reversal_matches", "percentiles_exclusive", "percentiles_inclusive", "score_deciles",
+    "quartile_bands", "contact_percentiles", "target_encode_numeric",
+]
+
+
 def plain(value):
     if isinstance(value, bool):
         return ("bool", value)
@@ -39,6 +48,15 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
+@pytest.mark.parametrize("name", ORDERED)
+def test_query_with_large_keys_split(spark, duck, name):
+    spark.conf.set("dunlin.hotKeyRows", "10")
+    try:
+        test_query(spark, duck, name)
+    finally:
+        spark.conf.unset("dunlin.hotKeyRows")
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
