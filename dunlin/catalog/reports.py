@@ -404,18 +404,26 @@ def missing_channels(spark, sf):
 
 
 @query("""
-SELECT DISTINCT 'Email' AS channel, CAST(account AS VARCHAR) AS account, CAST(guid AS VARCHAR) AS session,
-  ts, CAST(ts AS DATE) AS day, 'OUT' AS direction, 'Message' AS category,
+WITH people AS (SELECT CAST(account AS VARCHAR) AS account, name AS client_ref, segment AS city, state,
+  left('1234' || account, 5) AS zip FROM acct),
+log AS (
+SELECT client_ref, ts, CASE WHEN code = 6 THEN 'IN' ELSE 'OUT' END AS direction, 'Email' AS category,
+  letter AS sub_category, email AS email_address, '' AS phone_number,
   CASE WHEN code = 8 AND detail = 'Hard-Bounce' THEN 'Failed' WHEN code = 10 THEN 'Delivered'
        WHEN code = 5 THEN 'Opened' WHEN code = 12 THEN 'Clicked' WHEN code = 6 THEN 'Unsubscribed'
-       ELSE 'Other' END AS outcome, letter, email AS address, client
-FROM msgs WHERE ts >= '2024-01-10' AND ts < '2024-01-20'
+       ELSE 'Other' END AS result, city, state, zip
+FROM msgs LEFT JOIN people ON people.account = CAST(msgs.account AS VARCHAR)
+WHERE code IN (5, 6, 8, 10, 12) AND ts >= '2024-01-10' AND ts < '2024-01-20'
 UNION
-SELECT 'Text', split_part(account_ref, '-', 1), CAST(session AS VARCHAR), ts, day, direction, 'Message',
-  outcome, coalesce(letter, ''), phone, client
-FROM texts JOIN (VALUES ('Delivered', 'Delivered', 'OUT'), ('Failed', 'Failed', 'OUT'),
+SELECT client_ref, ts, direction, CASE WHEN service_name LIKE '%4' THEN 'MMS' ELSE 'SMS' END,
+  coalesce(letter, ''), '', CASE WHEN direction = 'OUT' THEN phone ELSE '9' || phone END, outcome,
+  city, state, zip
+FROM texts JOIN people ON people.account = split_part(account_ref, '-', 1)
+LEFT JOIN (VALUES ('Delivered', 'Delivered', 'OUT'), ('Failed', 'Failed', 'OUT'),
   ('Reply', 'Delivered', 'IN'), ('Stop', 'Unsubscribed', 'IN')) r(result, outcome, direction)
-  USING (result) WHERE ts >= '2024-01-10' AND ts < '2024-01-20'
+  ON r.result = texts.result WHERE ts >= '2024-01-10' AND ts < '2024-01-20')
+SELECT *, '' AS comm_id, '' AS "user", 'User' AS user_type, '' AS content, 'EN' AS language,
+  '' AS consent, '' AS notes FROM log
 """)
 def communication_log(spark, sf):
     outcomes = lookup(spark, [
@@ -423,9 +431,14 @@ def communication_log(spark, sf):
         ("Reply", "Delivered", "IN"), ("Stop", "Unsubscribed", "IN"),
     ], "result string, outcome string, direction string")
     names = {10: "Delivered", 8: "Failed", 5: "Opened", 12: "Clicked", 6: "Unsubscribed"}
+    people = f.acct(spark, sf).select(
+        "account", F.col("name").alias("client_ref"), F.col("segment").alias("city"), "state",
+        F.concat(F.lit("1234"), F.col("account").cast("string")).alias("zip"))
+    log = f.texts(spark, sf).drop("account").withColumn(
+        "caller_phone", F.concat(F.lit("9"), F.col("phone")))
     return messages.communication_log(
-        f.msgs(spark, sf), f.texts(spark, sf), names, outcomes, "2024-01-10", "2024-01-20"
-    )
+        f.msgs(spark, sf), log, people, names, outcomes, "2024-01-10", "2024-01-20",
+        picture_pattern="%4")
 
 
 @query("""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date, day_diff, prev_month
 from dunlin.functions.labels import map_outcome
-from dunlin.functions.text import email_domain
+from dunlin.functions.text import email_domain, strip_suffix
 from dunlin.operators.aggregates import any_flag, distinct_flags, sum_where
 from dunlin.operators.joins import asof_join, assemble, match_reversals, semi
 from dunlin.operators.sets import union_distinct
@@ -321,36 +321,56 @@ def first_month_funnel(report: DataFrame, keys: Sequence[str] = ("client", "crm"
 
 
 def communication_log(
-    emails: DataFrame, texts: DataFrame, email_results: Mapping[int, str], text_results: DataFrame,
-    start, end, codes: Codes = CODES,
+    emails: DataFrame, texts: DataFrame, accounts: DataFrame, email_results: Mapping[int, str],
+    text_results: DataFrame, start, end, codes: Codes = CODES, picture_pattern: str = "%MMS%",
+    language: str = "EN",
 ) -> DataFrame:
-    """Two channels as one log with direction, category and result. ``text_results`` has
-    (result, outcome, direction); accounts like ``123-1`` are stripped at the dash."""
-    flags = outcome_flags(codes)
-    mail = range_scan(emails, "ts", start, end)
-    outcome = F.when(flags["bounced"], "Failed").otherwise(
-        map_outcome(F.col("code"), {k: v for k, v in email_results.items() if k != codes.failed})
+    """Two channels as one 18-column log.
+
+    ``accounts``: account, client_ref, city, state, zip. ``text_results``: result, outcome,
+    direction; results it lacks keep a NULL outcome. Mails of the listed event codes are
+    outbound unless they unsubscribe; texts report the dialled number outbound and the caller
+    inbound, and count for known accounts only (references like ``123-1`` are cut at the
+    dash). ZIP codes keep five characters."""
+    people = accounts.select(
+        F.col("account").cast("string").alias("account"), "client_ref", "city", "state",
+        F.coalesce(F.left("zip", F.lit(5)), F.lit("")).alias("zip"),
+    )
+    blank = F.lit("")
+    bounced = outcome_flags(codes)["bounced"]
+    named = map_outcome(
+        F.col("code"), {k: v for k, v in email_results.items() if k != codes.failed}
     )
-    mail = mail.select(
-        F.lit("Email").alias("channel"), F.col("account").cast("string").alias("account"),
-        F.col("guid").cast("string").alias("session"), F.col("ts"),
-        F.col("ts").cast("date").alias("day"), F.lit("OUT").alias("direction"),
-        F.lit("Message").alias("category"), outcome.alias("outcome"),
-        F.col("letter").alias("letter"), F.col("email").alias("address"), "client",
+    mail = (
+        range_scan(emails, "ts", start, end).where(F.col("code").isin(*email_results))
+        .withColumn("result", F.when(bounced, email_results[codes.failed]).otherwise(named))
+        .withColumn("account", F.col("account").cast("string"))
+        .join(people, "account", "left")
+        .select(
+            "client_ref", "ts",
+            F.when(F.col("code") == codes.opted_out, "IN").otherwise("OUT").alias("direction"),
+            F.lit("Email").alias("category"), F.col("letter").alias("sub_category"),
+            F.col("email").alias("email_address"), blank.alias("phone_number"), "result",
+            "city", "state", "zip",
+        )
     )
     text = (
-        range_scan(texts, "ts", start, end).join(text_results, "result")
+        range_scan(texts, "ts", start, end)
+        .withColumn("account", strip_suffix(F.col("account_ref")))
+        .join(people, "account").join(text_results, "result", "left")
         .select(
-            F.lit("Text").alias("channel"),
-            F.regexp_extract(F.col("account_ref"), "^[^-]*", 0).alias("account"),
-            F.col("session").cast("string").alias("session"), F.col("ts"),
-            F.col("ts").cast("date").alias("day"), "direction",
-            F.lit("Message").alias("category"), "outcome",
-            F.coalesce("letter", F.lit("")).alias("letter"),
-            F.coalesce("phone", F.lit("")).alias("address"), "client",
+            "client_ref", "ts", "direction",
+            F.when(F.col("service_name").like(picture_pattern), "MMS").otherwise("SMS")
+            .alias("category"),
+            F.coalesce("letter", blank).alias("sub_category"), blank.alias("email_address"),
+            F.when(F.col("direction") == "OUT", F.coalesce("phone", blank))
+            .otherwise(F.coalesce("caller_phone", blank)).alias("phone_number"),
+            F.col("outcome").alias("result"), "city", "state", "zip",
         )
     )
-    return union_distinct(mail, text)
+    fixed = {"comm_id": blank, "user": blank, "user_type": F.lit("User"), "content": blank,
+             "language": F.lit(language), "consent": blank, "notes": blank}
+    return union_distinct(mail, text).withColumns(fixed)
 
 
 def activity_daily(events: DataFrame, as_of, keys: Sequence[str], cols: Sequence[str], ts="ts"):

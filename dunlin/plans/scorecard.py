@@ -15,11 +15,11 @@ from dunlin.functions.dates import (
 from dunlin.functions.labels import decode_flags, month_age_bands, recode
 from dunlin.functions.text import ratio, text_len
 from dunlin.operators.aggregates import (
-    distinct_flags, share_of, sum_where, unpivot_flags, yield_index,
+    distinct_flags, share_of, sum_where, yield_index,
 )
-from dunlin.operators.joins import allow_list, allowed_detail, assemble, dim_spine, semi
+from dunlin.operators.joins import allow_list, allowed_detail, assemble, dim_spine
 from dunlin.operators.sets import union_distinct
-from dunlin.operators.windows import fill_forward, first_event, neighbours, running_sum
+from dunlin.operators.windows import fill_forward, neighbours, running_sum
 from dunlin.sources.scans import range_scan
 
 
@@ -287,7 +287,11 @@ def program_waterfall(
     ``metrics``: metric_id, key, ts, description, session, account. ``flags`` maps an offer
     character to a program; ``renames`` are (old, new) characters from ``changed_on`` on."""
     key, text = F.col("key"), F.col("description")
-    enrolling = metrics.where((key == enroll_key) & F.col("session").isNotNull())
+    offered = (key == offer_key) & text.isNotNull()
+    sessions = metrics.where(F.col("session").isNotNull()).groupBy("session").agg(
+        F.collect_set(F.when(key == enroll_key, F.struct("description"))).alias("__programs"),
+        F.min(F.when(offered, F.col("ts"))).alias("__first_offer"),
+    )  # a session's set holds its distinct programs, of which there are few
     renamed = metrics
     since = F.col("ts").cast("date") >= F.lit(str(as_date(changed_on))).cast("date")
     for old, new in renames:
@@ -295,17 +299,23 @@ def program_waterfall(
             renamed, (key == offer_key) & since & F.contains(text, F.lit(old)), "description",
             F.replace(text, F.lit(old), F.lit(new)),
         )
-    programs = enrolling.select("session", F.col("description").alias("program")).distinct()
-    enrolled = (
-        semi(renamed, enrolling, "session").join(programs, "session", "left")
-        .withColumns({"campaign": F.lit("Enrolled"), "campaign_order": F.lit(2),
-                      "occurrence": F.lit(1)})
-    )
-    usable = (key == offer_key) & F.col("session").isNotNull()
-    first = first_event(renamed, "session", "ts", usable & text.isNotNull())
-    viewed = first.withColumns(decode_flags(text, flags)).withColumns(
-        {"campaign": F.lit("Viewed"), "campaign_order": F.lit(1)}
+
+    def entry(program, campaign, order):
+        return F.struct(
+            program.alias("program"), F.lit(campaign).alias("campaign"),
+            F.lit(order).alias("campaign_order"), F.lit(1).alias("occurrence"),
+        )
+
+    enrolled = F.transform("__programs", lambda p: entry(p["description"], "Enrolled", 2))
+    viewed = F.array_compact(F.array(*[
+        F.when(flag == 1, entry(F.lit(name), "Viewed", 1))
+        for name, flag in decode_flags(text, flags).items()
+    ]))
+    first = offered & (F.col("ts") == F.col("__first_offer"))
+    rows = renamed.join(sessions, "session").withColumn(
+        "__entries", F.when(first, F.concat(enrolled, viewed)).otherwise(enrolled)
     )
-    ids = [*metrics.columns, "campaign", "campaign_order"]
-    shown = unpivot_flags(viewed, ids, list(flags.values()), "program", "occurrence")
-    return union_distinct(enrolled, shown.select(*enrolled.columns))
+    # enrolled and viewed rows leave one scan as one exploded array; UNION drops duplicates
+    return rows.select(*metrics.columns, F.explode("__entries").alias("__e")).select(
+        *metrics.columns, "__e.*"
+    ).distinct()
