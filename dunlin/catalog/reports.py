@@ -720,7 +720,7 @@ cte("score_calls", """
 SELECT client, due_date AS call_date, CASE WHEN status = 'O' THEN 'Inbound' ELSE 'Outbound' END
   AS direction, CASE WHEN payment_id % 3 = 0 THEN 'Manual' ELSE 'Dialer' END AS call_type,
   1 AS n_calls, payment_id % 2 AS n_contacts, payment_id % 4 AS n_connects,
-  CAST(status = 'P' AS INT) AS n_promises FROM sched
+  CAST(status = 'P' AS INT) AS n_promises, payment_id % 600 AS call_seconds FROM sched
 """)
 cte("score_lines", """
 SELECT 'C' || s_nationkey AS client, CAST(l_shipdate AS DATE) AS day, l_quantity, l_linenumber,
@@ -737,7 +737,8 @@ LEFT JOIN (SELECT client, date_trunc('month', list_date)::DATE AS month, count(*
   WHERE list_date >= '1998-03-01' AND list_date < '1999-03-16' GROUP BY ALL) USING (client, month)
 LEFT JOIN (SELECT client, date_trunc('month', call_date)::DATE AS month,
   {_measure_sql('n_calls', 'calls')}, {_measure_sql('n_contacts', 'contacts')},
-  {_measure_sql('n_connects', 'connects')}, {_measure_sql('n_promises', 'promises')}
+  {_measure_sql('n_connects', 'connects')}, {_measure_sql('n_promises', 'promises')},
+  CAST(sum(call_seconds) AS BIGINT) AS call_seconds
   FROM score_calls WHERE call_date >= '1998-03-01' AND call_date < '1999-03-16' GROUP BY ALL)
   USING (client, month)
 LEFT JOIN (SELECT client, date_trunc('month', due_date)::DATE AS month,
@@ -757,6 +758,8 @@ LEFT JOIN (SELECT client, date_trunc('month', day)::DATE AS month, count(*) AS l
   FROM score_lines WHERE (l_returnflag = 'R' OR (l_returnflag = 'A'
     AND (day < '1998-08-01' OR l_linestatus = 'O')))
   AND day >= '1998-03-01' AND day < '1999-03-16' GROUP BY ALL) USING (client, month)
+LEFT JOIN (SELECT client, date_trunc('month', due_date)::DATE AS month,
+  count(DISTINCT account) AS accounts_worked FROM sched GROUP BY ALL) USING (client, month)
 """)
 def kpi_scorecard(spark, sf):
     s, key = f.sched(spark, sf), F.col("payment_id")
@@ -766,7 +769,10 @@ def kpi_scorecard(spark, sf):
         F.when(key % 3 == 0, "Manual").otherwise("Dialer").alias("call_type"),
         F.lit(1).alias("n_calls"), (key % 2).alias("n_contacts"), (key % 4).alias("n_connects"),
         (F.col("status") == "P").cast("int").alias("n_promises"),
+        (key % 600).alias("call_seconds"),
     )
+    worked = s.groupBy("client", month_start(F.col("due_date")).alias("month")).agg(
+        F.count_distinct("account").alias("accounts_worked"))
     paid = s.select(
         "client", "account", F.col("due_date").alias("pay_date"), "amount",
         (F.col("amount") * 0.25).alias("fee"), (F.col("status") == "P").cast("int").alias("is_first"),
@@ -791,7 +797,7 @@ def kpi_scorecard(spark, sf):
         F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("client"))
     out = scorecard.kpi_scorecard(
         clients, f.acct(spark, sf), calls, paid, inventory, mails, [flagged, other], "1999-03-15",
-        letter_rule=rule,
+        letter_rule=rule, worked=worked, call_sums=["call_seconds"],
     )
     money = ["placed_amount", "collections", "fees", "first_collections", "inventory_accounts"]
     return out.withColumns({c: r4(c) for c in money})

@@ -65,11 +65,14 @@ def daily_kpi_spine(
 def kpi_scorecard(
     clients: DataFrame, placements: DataFrame, calls: DataFrame, payments: DataFrame,
     inventory: DataFrame, emails: DataFrame, letters: Sequence[DataFrame], as_of,
-    months: int = 12, letter_rule: Column | None = None,
+    months: int = 12, letter_rule: Column | None = None, worked: DataFrame | None = None,
+    call_sums: Sequence[str] = (),
 ) -> DataFrame:
     """Client x month spine of the last ``months`` months with one pre-aggregated feed each.
 
-    Inventory joins on the spine itself, so it is kept in months without calls."""
+    Inventory joins on the spine itself, so it is kept in months without calls. ``worked`` is
+    the accounts-worked report (client, month, accounts_worked); ``call_sums`` are further call
+    columns to add up, for example durations."""
     start, today = add_months(as_of, -months), as_date(as_of)
     tomorrow = today + dt.timedelta(days=1)
 
@@ -89,6 +92,7 @@ def kpi_scorecard(
             sum_where(F.col(col), kind == "Manual", zero=False).alias(f"{out}_manual"),
             sum_where(F.col(col), kind == "Dialer", zero=False).alias(f"{out}_dialer"),
         ]
+    call_aggs += [F.sum(c).alias(c) for c in call_sums]
     first = F.col("is_first") == 1
     feeds = [
         by_month(placements, "list_date", F.count(F.lit(1)).alias("placed_count"),
@@ -103,6 +107,8 @@ def kpi_scorecard(
         by_month(inventory, "rpt_month", F.sum("accounts").alias("inventory_accounts")),
         by_month(emails, "send_date", F.sum("sent").alias("emails_sent")),
     ]
+    if worked is not None:
+        feeds.append(worked.select("client", "month", "accounts_worked"))
     if letter_rule is not None:
         letters = [letters[0].where(letter_rule), *letters[1:]]
     stacked = letters[0].select("client", "mail_date")
