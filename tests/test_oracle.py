@@ -23,6 +23,9 @@ def duck():
     return con
 
 
+# neither nested-loop joins nor Python workers in any batch plan
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas"]
 ORDERED = [
     "contact_frequency_exceptions", "message_threshold_exceptions", "letter_sequence_exceptions",
     "message_attribution", "last_touch", "click_detail", "response_curve", "fill_forward",
@@ -60,6 +63,8 @@ def test_query_with_large_keys_split(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan]
     got = df.collect()
     if name not in ORACLES:
         assert got
