@@ -26,7 +26,7 @@ from dunlin.llm.common import drop_stage, stage
 SAMPLE = 4000
 MAX_FEATURES = 4096
 REJECT_ABOVE = 0.5  # P(grade > 0) from which a text counts as toxic
-MIN_ROWS = 8  # labelled rows a feature must occur in
+MIN_ROWS = 5  # labelled rows a feature must occur in
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -67,17 +67,17 @@ class OrdinalModel:
         return above, float(sum(above))
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int,
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, weight: np.ndarray | None = None,
                 penalty: float = 0.02, rounds: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of greatest penalised likelihood, by Adam over all rows.
 
     With s the score, P(grade <= k) = sigmoid(t_k - s); thresholds are the first one plus
-    positive steps exp(d_k), so they stay ordered. Grades weigh equally in total.
+    positive steps exp(d_k), so they stay ordered. ``weight`` says how many rows each stands for.
     """
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.fromiter((f for r in rows for f in r), np.int64, len(row))
-    sizes = np.bincount(grades, minlength=n_grades)
-    weight = (len(grades) / np.maximum(sizes, 1) / max((sizes > 0).sum(), 1))[grades] / len(grades)
+    weight = np.ones(len(grades)) if weight is None else weight
+    weight = weight / weight.sum()
     w, first, steps = np.zeros(n_features), np.zeros(1), np.zeros(max(n_grades - 2, 0))
     params = [w, first, steps]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
@@ -119,6 +119,7 @@ def train(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE, max_features
     n_grades = (known.agg(F.max("grade")).first()[0] or 0) + 1
     if n_grades < 2:
         return OrdinalModel({}, [50.0])
+    total = {r.grade: r["count"] for r in known.groupBy("grade").count().collect()}
     chosen = []
     for g in range(n_grades):
         rows = known.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -138,6 +139,7 @@ def train(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE, max_features
     kept = [r.feature for r in counts.withColumn("lift", lift).where("lift > 0.2").orderBy(
         F.desc("lift"), "feature").limit(max_features).collect()]
     place = {f: k for k, f in enumerate(kept)}
+    stands_for = {d: total[g] / sizes[g] for d, g in grades.items()}  # rows of the grade for each of the sample
     own: dict[int, list[int]] = {d: [] for d in grades}
     wanted = spark.createDataFrame([(f,) for f in kept], "feature string")
     for r in pairs.join(F.broadcast(wanted), "feature").select("doc_id", "feature").toLocalIterator():
@@ -148,7 +150,8 @@ def train(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE, max_features
         grades = {d: g and 1 + sum(len(words.intersection(own[d])) >= c for c in severe) for d, g in grades.items()}
         n_grades = max(grades.values()) + 1
     order = sorted(grades)
-    w, cuts = fit_ordinal([sorted(set(own[d])) for d in order], np.array([grades[d] for d in order]), len(kept), n_grades)
+    w, cuts = fit_ordinal([sorted(set(own[d])) for d in order], np.array([grades[d] for d in order]), len(kept), n_grades,
+                          np.array([stands_for[d] for d in order]))
     return OrdinalModel({f: float(w[k]) for f, k in place.items() if w[k]}, [float(t) for t in cuts])
 
 
