@@ -8,11 +8,12 @@ here is by hash, with shingles of very many groups last.
 1. ``signatures``: per document n, a digest of the set, and the first shingles of the order
    (48 bits of the hash: that can only add candidates).
 2. Groups: documents of one set are one node. Nodes with the same prefix and size, and nodes
-   that share one of their first shingles, form a star around the smallest id; members are
-   verified against the centre only. Stars that hold make up groups (``components``).
+   that share one of their first shingles, form stars around four of them; members are
+   verified against the centres only. Stars that hold make up groups (``components``).
 3. Group pairs: shingles of several groups are joined per group, not per document, so a large
    group meets another in one row per shingle. Shingles of more than ``COMMON_GROUPS`` groups
-   move to the end of the order; prefixes then reach further to the next ones.
+   move to the end of the order; prefixes then reach further to the next ones (documents of
+   which too few are known are read again: ``_short_prefixes``).
 4. Group pairs are expanded to pairs of members of fitting sizes, counted by shared prefix
    shingles, and kept if those allow an overlap that reaches the threshold. Kept pairs of
    different groups are verified on the whole texts, and links join the groups.
@@ -29,15 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from dunlin.llm.common import (
-    mix, piece_hash, prefix_sums, sized, stage, text_blocks,
+    drop_stage, mix, piece_hash, prefix_sums, sized, stage, text_blocks,
 )
 from dunlin.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-COMMON_GROUPS = 24
+COMMON_GROUPS = 8
 STAR_KEYS = 3
-SLACK = 32  # shingles kept beyond the prefix, to stand in for common ones
+SLACK = 48  # shingles kept beyond the prefix, to stand in for common ones
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -180,19 +181,22 @@ def _fits(a, b):
 
 def _star_pairs(nodes: DataFrame, keys: int) -> DataFrame:
     """(member, centre) pairs: nodes of one size and prefix, and nodes that share one of their
-    ``keys`` first shingles, with the smallest id of them."""
+    ``keys`` first shingles, with four of them: the smallest id, and the least of three hashes.
+    A member that is too far from one centre of a large group is near another."""
     prefix = F.slice("firsts", 1, _prefix_column("n").cast("int"))
     own = F.concat(
         F.array(F.struct(F.lit(0).alias("kind"), F.xxhash64("n", prefix).alias("key"))),
         F.transform(F.slice("firsts", 1, keys), lambda x: F.struct(F.lit(1).alias("kind"), x.alias("key"))))
     rows = nodes.select("doc_id", "n", F.inline(own))
-    centres = rows.groupBy("kind", "key").agg(
-        F.min_by("n", "doc_id").alias("centre_n"), F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("size")
-    ).where("size > 1")
+    choice = [F.min_by(F.struct("doc_id", "n"), by) for by in (
+        F.col("doc_id"), *(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id") for k in range(3)))]
+    centres = rows.groupBy("kind", "key").agg(F.array(*choice).alias("c"), F.count(F.lit(1)).alias("size")).where(
+        "size > 1").select("kind", "key", F.explode(F.array_distinct("c")).alias("c")).select(
+        "kind", "key", F.col("c.doc_id").alias("centre"), F.col("c.n").alias("centre_n"))
     return (
         rows.join(centres, ["kind", "key"])
         .where((F.col("doc_id") != F.col("centre")) & _fits(F.col("n"), F.col("centre_n")))
-        .select(F.col("doc_id").alias("u"), F.col("centre").alias("v")).distinct()
+        .select(F.greatest("doc_id", "centre").alias("u"), F.least("doc_id", "centre").alias("v")).distinct()
     )
 
 
@@ -214,49 +218,75 @@ def _with_root(df: DataFrame, id_column: str, roots: DataFrame, name: str) -> Da
     return df.join(found, id_column, "left").withColumn(name, F.coalesce("_root", id_column)).drop("_root")
 
 
-def _candidates(nodes: DataFrame, roots: DataFrame, common: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (u, v) of nodes of different groups whose prefixes leave the threshold possible,
-    and the nodes whose known shingles do not fill the prefix once common ones are put last."""
+def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int) -> DataFrame:
+    """Staged pairs (u, v) of nodes of different groups whose prefixes leave the threshold
+    possible."""
     rows = nodes.select("doc_id", "n", F.size("firsts").alias("known"), F.posexplode("firsts").alias("pos", "gram"))
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
-    rows = _with_root(rows.join(shared.hint("shuffle_hash"), "gram"), "doc_id", roots, "grp")
-    rows = stage(rows, "postings")
-    several = rows.groupBy("gram").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("gram")
-    rows = stage(rows.join(several, "gram"), "shared-postings")
-    groups = rows.groupBy("gram", "grp").agg(F.lit(1).alias("one"))
+    postings = stage(
+        _with_root(rows.join(shared.hint("shuffle_hash"), "gram"), "doc_id", roots, "grp"), "postings")
+    several = postings.groupBy("gram").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("gram")
+    between = stage(postings.join(several, "gram"), "between-groups")
+    drop_stage(postings)
     frequent = stage(
-        groups.groupBy("gram").agg(F.count(F.lit(1)).alias("groups")).where(f"groups > {common}").select("gram"), "common")
-    marked = rows.join(sized(frequent).withColumn("common", F.lit(1)), "gram", "left").fillna(0, ["common"])
-    before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("doc_id")
-    marked = (
-        marked.withColumn("seen", F.sum("common").over(before)).withColumn("all", F.sum("common").over(whole))
-        .withColumn("p", _prefix_column("n"))
+        between.groupBy("gram", "grp").agg(F.lit(1).alias("one")).groupBy("gram").agg(F.count(F.lit(1)).alias("groups"))
+        .where(f"groups > {common}").select("gram"), "common")
+    is_common = sized(frequent).withColumn("common", F.lit(1))
+    one = Window.partitionBy("doc_id")
+    before = one.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = stage(
+        between.join(is_common, "gram", "left").fillna(0, ["common"])
+        .withColumn("seen", F.sum("common").over(before)).withColumn("all", F.sum("common").over(one))
         # place in the order with common shingles last
         .withColumn("place", F.when(F.col("common") == 0, F.col("pos") - F.col("seen"))
                     .otherwise(F.col("known") - F.col("all") + F.col("seen") - 1))
-    )
-    marked = stage(marked, "placed")
-    short = marked.where("known - all < p and known < n").select("doc_id").distinct()
-    kept = marked.where("place < p").select("gram", "grp", "doc_id", "n")
+        .withColumn("p", _prefix_column("n")), "placed")
+    drop_stage(between)
+    kept = placed.where("place < p").select("gram", "doc_id", "n", "grp")
+    # nodes whose known shingles, less the common ones, do not fill the prefix
+    short = stage(placed.where("known - all < p and known < n").select("doc_id", "grp").distinct(), "short")
+    if not short.isEmpty():
+        kept = kept.unionByName(_short_prefixes(nodes, read, roots, short, is_common)).distinct()
     kept = stage(kept, "prefixes")
+    drop_stage(placed)
     sides = kept.groupBy("gram", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     a = sides.select("gram", F.col("grp").alias("ga"), F.col("least").alias("la"), F.col("most").alias("ma"))
     b = sides.select("gram", F.col("grp").alias("gb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meet = a.join(b, "gram").where("ga < gb and ma * 100 >= lb * {0} and mb * 100 >= la * {0}".format(PERCENT)).select(
+    meet = a.join(b, "gram").where(f"ga < gb and ma * 100 >= lb * {PERCENT} and mb * 100 >= la * {PERCENT}").select(
         "gram", "ga", "gb")
     left = kept.select("gram", F.col("grp").alias("ga"), F.col("doc_id").alias("u"), F.col("n").alias("nu"))
     right = kept.select("gram", F.col("grp").alias("gb"), F.col("doc_id").alias("v"), F.col("n").alias("nv"))
-    pairs = (
-        meet.join(left, ["gram", "ga"]).join(right, ["gram", "gb"])
-        .where(_fits(F.col("nu"), F.col("nv")))
-        .groupBy("u", "v", "nu", "nv").agg(F.count(F.lit(1)).alias("shared"))
-    )
+    pairs = stage(_possible(meet.join(left, ["gram", "ga"]).join(right, ["gram", "gb"])), "pairs")
+    drop_stage(kept)
+    return pairs
+
+
+def _possible(met: DataFrame) -> DataFrame:
+    """Pairs (u, v) that share enough prefix shingles, of rows (u, nu, v, nv) for each shared."""
+    pairs = met.where(_fits(F.col("nu"), F.col("nv"))).groupBy("u", "v", "nu", "nv").agg(
+        F.count(F.lit(1)).alias("shared"))
     # overlap <= size - prefix + shared, for the set whose prefix ends first; needed is
     # percent / (100 + percent) of both sizes
     rest = F.expr(f"greatest((nu * {PERCENT} + 99) div 100, (nv * {PERCENT} + 99) div 100) - 1")
     enough = (F.col("shared") + rest) * (100 + PERCENT) >= (F.col("nu") + F.col("nv")) * PERCENT
-    return pairs.where(enough).select("u", "v"), short
+    return pairs.where(enough).select("u", "v")
+
+
+def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short: DataFrame, is_common: DataFrame
+                    ) -> DataFrame:
+    """Prefix rows of the nodes in ``short``, from their whole texts, and the rows of other
+    nodes' known shingles that can meet them there (more than their prefixes, which can only
+    add candidates)."""
+    whole = signatures(read.join(_as(short, "doc_id"), "doc_id", "left_semi"), slack=1 << 62)
+    order = Window.partitionBy("doc_id").orderBy("common", "pos")
+    prefix = stage(
+        whole.select("doc_id", "n", F.posexplode("firsts").alias("pos", "gram"))
+        .join(is_common, "gram", "left").fillna(0, ["common"])
+        .withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < _prefix_column("n"))
+        .join(_as(short, "doc_id", "grp"), "doc_id").select("gram", "doc_id", "n", "grp", "common"), "short-prefixes")
+    grams = stage(prefix.where("common = 0").select("gram").distinct(), "short-grams")
+    others = nodes.select("doc_id", "n", F.explode("firsts").alias("gram")).join(sized(grams), "gram", "left_semi")
+    return prefix.drop("common").unionByName(_with_root(others, "doc_id", roots, "grp").select("gram", "doc_id", "n", "grp"))
 
 
 def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
@@ -279,18 +309,10 @@ def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
         .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
     away = _as(copies, F.col("u").alias("doc_id"))
     nodes = linked.select("doc_id", "n", "firsts").join(away, "doc_id", "left_anti")
-    stars = stage(_star_pairs(nodes, STAR_KEYS), "star-pairs")
     read = texts.where("text is not null and doc_id is not null")
+    stars = stage(_star_pairs(nodes, STAR_KEYS), "star-pairs")
     edges = stage(verify(read, stars), "star-links").unionByName(copies)
-    roots = _components(edges)
-    while True:
-        pairs, short = _candidates(nodes, roots, common)
-        short = stage(short, "short")
-        if short.isEmpty():
-            break
-        more = stage(signatures(read.join(sized(short), "doc_id", "left_semi"), slack=1 << 62), "whole-sets")
-        nodes = nodes.join(sized(short), "doc_id", "left_anti").unionByName(more.select("doc_id", "n", "firsts"))
-    pairs = stage(pairs, "pairs")
+    pairs = _candidates(nodes, read, _components(edges), common)
     links = stage(verify(read, pairs), "links")
     final = _components(edges.unionByName(links))
     out = signed.select("doc_id", F.col("n").alias("n_shingles"))
