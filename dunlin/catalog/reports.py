@@ -621,15 +621,17 @@ def snapshot_history(spark, sf):
 
 
 @query("""
+WITH touched AS (SELECT session, CASE WHEN session % 9 <> 0 THEN account END AS account, day FROM texts)
 SELECT t.session, t.account, t.day, round(coalesce(p, 0), 4) AS pay_received,
-  round(coalesce(p, 0) / n, 9) AS pay_share
-FROM texts t JOIN (SELECT account, day, count(*) AS n FROM texts GROUP BY ALL) USING (account, day)
+  round(coalesce(p / n, 0), 9) AS pay_share
+FROM touched t LEFT JOIN (SELECT account, day, count(*) AS n FROM touched GROUP BY ALL) USING (account, day)
 LEFT JOIN (SELECT account, pay_date AS day, sum(amount) AS p FROM pays GROUP BY ALL)
   USING (account, day)
 """)
 def payment_to_interaction(spark, sf):
     paid = f.pays(spark, sf).withColumnRenamed("pay_date", "day")
-    rows = f.texts(spark, sf).select("session", "account", "day")
+    rows = f.texts(spark, sf).select(
+        "session", F.when(F.col("session") % 9 != 0, F.col("account")).alias("account"), "day")
     return payments.payment_to_interaction(rows, paid).withColumns(
         {"pay_received": r4("pay_received"), "pay_share": F.round("pay_share", 9)}
     )
@@ -1042,14 +1044,14 @@ def phone_inventory(spark, sf):
     return scorecard.phone_inventory(_scored_phones(spark, sf), ["site"])
 
 
-FLAGS = {"A": "alpha", "F": "frp", "R": "reage", "O": "oasis", "C": "care", "N": "nco", "T": "reinst"}
+FLAGS = {"B": "bridge", "D": "defer", "S": "short", "G": "grace", "H": "hold", "Y": "yield", "X": "extend"}
 cte("metrics", """
 SELECT event_id AS metric_id, CASE event_type WHEN 'purchase' THEN 'enroll' WHEN 'view' THEN 'offers'
     ELSE 'visit' END AS key, ts,
   CASE WHEN event_type = 'purchase' THEN 'P' || (k % 7) WHEN event_type <> 'view' THEN NULL
        WHEN k % 17 = 0 THEN NULL
-       ELSE (CASE WHEN k % 2 = 1 THEN 'A' ELSE '' END) || (CASE WHEN (k // 2) % 2 = 1 THEN 'F' ELSE '' END)
-         || (CASE WHEN (k // 4) % 2 = 1 THEN 'O' ELSE '' END) || (CASE WHEN k > 80 THEN 'C' ELSE 'R' END)
+       ELSE (CASE WHEN k % 2 = 1 THEN 'B' ELSE '' END) || (CASE WHEN (k // 2) % 2 = 1 THEN 'D' ELSE '' END)
+         || (CASE WHEN (k // 4) % 2 = 1 THEN 'G' ELSE '' END) || (CASE WHEN k > 80 THEN 'H' ELSE 'S' END)
        END AS description,
   user_id * 100 + day(ts) AS session, user_id AS account FROM ev
 """)
@@ -1058,20 +1060,20 @@ SELECT event_id AS metric_id, CASE event_type WHEN 'purchase' THEN 'enroll' WHEN
 @query("""
 WITH en AS (SELECT DISTINCT session, description AS program FROM metrics WHERE key = 'enroll'),
 ren AS (SELECT * REPLACE (CASE WHEN key = 'offers' AND ts >= '2024-01-15'
-   THEN replace(replace(description, 'A', 'T'), 'O', 'N') ELSE description END AS description) FROM metrics),
+   THEN replace(replace(description, 'B', 'X'), 'G', 'Y') ELSE description END AS description) FROM metrics),
 fst AS (SELECT * FROM ren r WHERE key = 'offers' AND description IS NOT NULL AND ts = (
    SELECT min(ts) FROM ren q WHERE q.session = r.session AND q.key = 'offers'
      AND q.description IS NOT NULL))
 SELECT metric_id, key, ts, description, session, account, program, 'Enrolled' AS campaign,
   2 AS campaign_order, 1 AS occurrence FROM ren JOIN en USING (session)
 UNION SELECT metric_id, key, ts, description, session, account, program, 'Viewed', 1, 1
-FROM fst, (VALUES ('A', 'alpha'), ('F', 'frp'), ('R', 'reage'), ('O', 'oasis'), ('C', 'care'),
-  ('N', 'nco'), ('T', 'reinst')) v(ch, program) WHERE contains(description, ch)
+FROM fst, (VALUES ('B', 'bridge'), ('D', 'defer'), ('S', 'short'), ('G', 'grace'), ('H', 'hold'),
+  ('Y', 'yield'), ('X', 'extend')) v(ch, program) WHERE contains(description, ch)
 """)
 def program_waterfall(spark, sf):
     k, kind = F.col("k"), F.col("event_type")
     bit = lambda n, ch: F.when(F.floor(k / n) % 2 == 1, ch).otherwise("")
-    offers = F.concat(bit(1, "A"), bit(2, "F"), bit(4, "O"), F.when(k > 80, "C").otherwise("R"))
+    offers = F.concat(bit(1, "B"), bit(2, "D"), bit(4, "G"), F.when(k > 80, "H").otherwise("S"))
     metrics = f.ev(spark, sf).select(
         F.col("event_id").alias("metric_id"),
         F.when(kind == "purchase", "enroll").when(kind == "view", "offers").otherwise("visit")
@@ -1081,7 +1083,7 @@ def program_waterfall(spark, sf):
         (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("session"),
         F.col("user_id").alias("account"))
     return scorecard.program_waterfall(
-        metrics, "enroll", "offers", FLAGS, [("A", "T"), ("O", "N")], "2024-01-15")
+        metrics, "enroll", "offers", FLAGS, [("B", "X"), ("G", "Y")], "2024-01-15")
 
 
 # ---- conversations ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from dunlin.sources.scans import load
 
 
 @query(r"""
-SELECT doc_id, length(rtrim(left(text, 50) || '   ')) AS len, upper(right(source, 2)) AS tail,
+SELECT doc_id, length(rtrim(text || '   ', ' ')) AS len, left(text, 50) AS head, upper(right(source, 2)) AS tail,
   trim(regexp_replace(text, '[\t\n\x0B\f\r]', ' ', 'g')) AS cleaned, replace(lang, 'e', 'E') AS lang2,
   instr(text, 'the') AS at, coalesce(lang, '') || coalesce(CASE WHEN doc_id % 2 = 0 THEN source END, '') AS joined,
   lang || CASE WHEN doc_id % 2 = 0 THEN source END AS plus FROM documents""")
@@ -19,7 +19,8 @@ def string_functions(spark, sf):
     t, source = F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.col("source"))
     return load(spark, sf, "documents").select(
         "doc_id",
-        text.text_len(F.concat(F.left(t, F.lit(50)), F.lit("   "))).cast("bigint").alias("len"),
+        text.text_len(F.concat(t, F.lit("   "))).cast("bigint").alias("len"),
+        F.left(t, F.lit(50)).alias("head"),
         F.upper(F.right(F.col("source"), F.lit(2))).alias("tail"), text.clean_str(t).alias("cleaned"),
         F.replace("lang", F.lit("e"), F.lit("E")).alias("lang2"),
         F.instr(t, "the").cast("bigint").alias("at"),

@@ -42,9 +42,11 @@ def distinct_flags(
 
     Many conditional distinct counts in one aggregate would copy every row once per count
     before the shuffle. Reducing to one row of flags per (group, entity) first needs no
-    copies; the flags are then summed. ``sums`` are carried along."""
+    copies; the flags are then summed. ``sums`` are carried along. Rows without an entity
+    count in the sums only."""
     per_entity = df.groupBy(*keys, entity).agg(
-        *[F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in flags.items()],
+        *[F.max((F.coalesce(c, F.lit(False)) & F.col(entity).isNotNull()).cast("int")).alias(n)
+          for n, c in flags.items()],
         *[F.sum(c).alias(c) for c in sums],
     )
     counted = [F.count(entity).alias(total)] if total else []

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from dunlin.operators.slices import (
 )
 from dunlin.sources.checkpoints import cut_lineage
 
-MIN_CUTS, MAX_CUTS, MAX_KEY_CUTS = 16, 20_000, 4_096
+MIN_CUTS, MAX_KEY_CUTS = 16, 4_096
 
 
 def _cut_count(rows: int, per_task: int, most: int) -> int:
@@ -133,77 +131,33 @@ def quartile_band(df: DataFrame, value: str, out: str, within: Sequence[str] = (
     return joined.withColumn(out, label).drop("__q1", "__q2", "__q3")
 
 
-def _bucket(df: DataFrame, col: str, cuts, out: str) -> DataFrame:
-    """Index of the range ``[cut, next cut)`` that holds the value (binary search)."""
-    edges = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(edges) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(
-        splits=edges, inputCol=col, outputCol=out, handleInvalid="keep"
-    ).transform(df)
-
-
 def global_row_number(
     df: DataFrame, value: str, tie: str, out: str, desc=False, total_out: str | None = None
 ) -> DataFrame:
-    """Exact 1-based position over the whole frame by (value, tie), both numeric. NULL is the
-    lowest value: first ascending, last descending.
-
-    A frame of checked small size is numbered in one task. A larger one is cut at approximate
-    quantiles, as many as its size asks for; a value frequent enough to fill several cuts gets
-    slices of its own, cut again by ``tie`` in proportion to its share. Each slice is numbered
-    on its own and shifted by the rows before it (about one number per cut). The cuts only
-    balance the work, positions are exact.
+    """Exact 1-based position over the whole frame by (value, tie), of any types that can be
+    ordered. NULL is the lowest value: first ascending, last descending.
+
+    Rows are cut into ranges of that order by row count, as many as the frame asks for, and
+    staged once; each range is numbered on its own and shifted by the rows of the ranges
+    before it (one number a range). A range is cut by value and tie together, so a frequent
+    value spreads over several.
     """
-    v = F.col(value).cast("double")
-    v = -v if desc else v
-    order = [v.asc_nulls_last() if desc else v.asc_nulls_first(), F.col(tie)]
-    null_slice = 2 * MAX_CUTS + 2 if desc else -1
-    limit = hot_row_limit(df.sparkSession)
+    v = F.col(value)
+    order = [v.desc_nulls_last() if desc else v.asc_nulls_first(), F.col(tie)]
     total = df.count()
-    if total <= limit:
+    slices = -(-total // max(hot_row_limit(df.sparkSession), 1))
+    if slices <= 1:
         ranked = df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-        return ranked if total_out is None else ranked.withColumn(total_out, F.lit(total))
-    n_cuts = _cut_count(total, limit, MAX_CUTS)
-    t = F.col(tie).cast("double")
-    cuts = df.agg(
-        F.percentile_approx(v, _percents(n_cuts), 10 * n_cuts).alias("v"),
-        F.percentile_approx(t, _percents(n_cuts), 10 * n_cuts).alias("t"),
-    ).first()
-    shares = Counter(cuts["v"] or [])
-    frequent = [c for c in sorted(shares) if shares[c] > 1]
-    tie_cuts = sorted(set(cuts["t"] or []))
-    placed = _bucket(df.withColumns({"__gv": v, "__gt": t}), "__gv", shares, "__gvb")
-    placed = _bucket(placed, "__gt", tie_cuts, "__gtb")
-    # buckets are [cut, next cut): a frequent value is the lowest of its bucket, and its tie
-    # buckets are merged until about as many remain as cuts fell on the value
-    widths = [1] + [max(-(-(len(tie_cuts) + 1) // shares[c]), 1) for c in sorted(shares)]
-    width = F.split(F.lit(",".join(map(str, widths))), ",").cast("array<int>")
-    own = F.col("__gv").isin(frequent) if frequent else F.lit(False)
-    merged = F.floor(F.col("__gtb") / F.element_at(width, F.col("__gvb").cast("int") + 1))
-    tagged = placed.withColumn(
-        SLICE,
-        F.when(F.col("__gv").isNull(), F.struct(
-            F.lit(null_slice).cast("bigint").alias("a"), F.col("__gtb").cast("bigint").alias("b")))
-        .when(own, F.struct(
-            (F.col("__gvb") * 2).cast("bigint").alias("a"), merged.cast("bigint").alias("b")))
-        .otherwise(F.struct(
-            (F.col("__gvb") * 2 + 1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))),
-    ).drop("__gv", "__gt", "__gvb", "__gtb")
-    numbered = tagged.withColumn(
-        "__n", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
-    )
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        tagged.groupBy(SLICE)
-        .agg(F.count(F.lit(1)).alias("__c"))
-        .select(SLICE, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__start"))
-    )
-    ranked = (
-        numbered.join(F.broadcast(starts), SLICE)
-        .withColumn(out, F.col("__n") + F.col("__start"))
-        .drop("__n", "__start", SLICE)
-    )
+    else:
+        cut = cut_lineage(df.repartitionByRange(slices, *order).withColumn(SLICE, F.spark_partition_id()))
+        before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        starts = cut.groupBy(SLICE).agg(F.count(F.lit(1)).alias("__c")).select(
+            SLICE, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__start"))
+        own = Window.partitionBy(SLICE).orderBy(*order)
+        ranked = (
+            cut.withColumn("__n", F.row_number().over(own)).join(starts, SLICE)
+            .withColumn(out, F.col("__n") + F.col("__start")).drop("__n", "__start", SLICE)
+        )
     return ranked if total_out is None else ranked.withColumn(total_out, F.lit(total))
 
 

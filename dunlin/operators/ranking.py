@@ -4,27 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.operators.percentiles import global_row_number
 from dunlin.operators.windows import first_per
 from dunlin.sources.checkpoints import cut_lineage
 
-ONE_TASK_ROWS = 100_000
-
 
 def rank_total(df: DataFrame, entity: str, measure: Column, desc=True, total="total", rank="rnk"):
     """Dense rank of every entity by its total: the position of the total among the distinct
-    totals. A checked small number of totals is ordered in one task; more of them are
-    numbered by the distributed global row number."""
+    totals, of any type that can be ordered."""
     totals = cut_lineage(df.groupBy(entity).agg(measure.alias(total)))  # one row per entity
     distinct = totals.select(F.col(total).alias("__t")).distinct()
-    if distinct.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:
-        order = F.col("__t").desc() if desc else F.col("__t").asc()
-        ranked = distinct.withColumn(rank, F.row_number().over(Window.orderBy(order)))
-    else:
-        ranked = global_row_number(distinct, "__t", "__t", rank, desc)
+    ranked = global_row_number(distinct, "__t", "__t", rank, desc)
     return totals.join(ranked, F.col(total).eqNullSafe(F.col("__t"))).drop("__t")
 
 

@@ -184,14 +184,11 @@ def snapshot_history(
     return stored.unionByName(rebuilt.select(*stored.columns))
 
 
-def daily_payments(payments: DataFrame, keys: Sequence[str], day: str = "pay_date") -> DataFrame:
-    return payments.groupBy(*keys, day).agg(F.sum("amount").alias("pay_received"))
-
-
 def payment_to_interaction(
     interactions: DataFrame, payments: DataFrame, account="account", day="day"
 ) -> DataFrame:
-    """Daily payments per account on the interactions of that account and day; 0 elsewhere.
+    """Daily payments per account on the interactions of that account and day; 0 elsewhere,
+    also where the account or day is NULL.
 
     The reference writes the day's total to every interaction of the day, which counts it
     several times when summed; that column is kept, and ``pay_share`` splits the total over
@@ -201,7 +198,8 @@ def payment_to_interaction(
     paid = update_from(days, totals, [account, day], "pay_received", 0.0).withColumn(
         "pay_share", F.col("pay_received") / F.col("__n")
     )
-    return interactions.join(paid.drop("__n"), [account, day])
+    return interactions.join(paid.drop("__n"), [account, day], "left").fillna(
+        0.0, ["pay_received", "pay_share"])
 
 
 def load_schedule_file(

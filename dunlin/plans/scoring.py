@@ -1,15 +1,14 @@
-"""Score models: train, store by name, score, and the score-and-write-back job."""
+"""Score models: train, store, score, and the score-and-write-back job."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date
@@ -18,62 +17,6 @@ from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.sinks import write_back
 
 
-SMALL_LOOKUP = 100_000
-
-
-@dataclass(frozen=True)
-class ScoreModel:
-    """A stored model's name, its feature columns and the key that comes back with the score."""
-
-    name: str
-    features: tuple
-    key: str = "account"
-
-    def train(self, df: DataFrame, label: str, folder: str, **options) -> str:
-        return save_model(train_score_model(df, label, self.features, **options), folder, self.name)
-
-    def score(self, df: DataFrame, folder: str) -> DataFrame:
-        return score_model(df, f"{folder.rstrip('/')}/{self.name}", self.features, self.key)
-
-
-# Feature sets of the score models by purpose. Columns ending in ``_level`` are
-# target-encoded categories, ``age_*`` are month distances, ``has_*`` are 0/1 history flags.
-SCORE_MODELS = {m.name: m for m in (
-    ScoreModel("telecom", (
-        "age_at_chargeoff", "initial_balance", "has_prev_account", "has_prev_paid_account",
-        "has_prev_telecom_account", "age_at_listdate", "state_level", "has_prev_calls")),
-    ScoreModel("telecom_in_statute", (
-        "has_prev_telecom_account", "age_at_listdate", "has_prev_other_account", "state_level",
-        "client_group_level")),
-    ScoreModel("telecom_out_of_statute", (
-        "age_at_chargeoff", "initial_balance", "has_prev_account", "has_prev_paid_account",
-        "has_prev_telecom_account", "age_at_listdate", "state_level", "has_prev_calls")),
-    ScoreModel("medical_placement", (
-        "age_at_listdate", "initial_balance", "has_prev_medical_account", "state_level")),
-    ScoreModel("medical_collection", (
-        "has_prev_medical_account", "age_at_listdate", "state_level", "has_prev_other_account",
-        "has_prev_promise")),
-    ScoreModel("multi_high_balance", (
-        "bureau_score", "paper_type_level", "has_prev_promise", "age_at_listdate",
-        "has_prev_paid_account", "has_prev_account", "has_prev_bankcard_account",
-        "age_at_chargeoff", "state_level")),
-    ScoreModel("multi_low_balance", (
-        "paper_type_level", "bureau_score", "age_at_listdate", "age_at_chargeoff",
-        "has_prev_promise", "state_level", "has_prev_paid_account")),
-    ScoreModel("multi_paid_amount", (
-        "initial_balance", "age_at_listdate", "bureau_score", "paper_type_level", "state_level")),
-    ScoreModel("multi_payers", (
-        "paper_type_level", "age_at_listdate", "bureau_score", "age_at_chargeoff",
-        "has_prev_paid_account", "state_level", "has_prev_promise")),
-    ScoreModel("other_expense", (
-        "age_at_listdate", "age_at_chargeoff", "has_prev_other_account",
-        "has_prev_medical_account", "has_prev_contact", "state_level")),
-    ScoreModel("new_placement", (
-        "age_at_chargeoff", "age_at_listdate", "initial_balance", "charge_off_reason_level",
-        "credit_class_level")),
-)}
-
-
 def train_score_model(
     df: DataFrame, label: str, features: Sequence[str] | None = None, rounds: int = 200,
     depth: int = 6, step: float = 0.3, seed: int = 42,
@@ -112,9 +55,8 @@ def target_encode(
 ) -> DataFrame:
     """Category -> conversion ln(payers)/ln(accounts) and its decile (1 = best).
 
-    Logs of 0 and 1 count as 0, and a conversion without payers is 0. A lookup of few text
-    categories is ordered in one task (its size is checked); larger ones and numeric
-    categories go through the distributed deciles."""
+    Logs of 0 and 1 count as 0, and a conversion without payers is 0. Equal conversions are
+    ordered by category, of whatever type and however many there are."""
     rows = df
     if as_of is not None:
         start = as_date(as_of) - dt.timedelta(days=look_back_days)
@@ -125,13 +67,7 @@ def target_encode(
     log_paid = F.when(F.col("num_paid") <= 1, 0.0).otherwise(F.ln("num_paid"))
     rate = F.when(log_paid == 0, 0.0).otherwise(log_paid / F.ln("num_accounts"))
     encoded = counts.withColumn("conversion", F.round(rate, 12))
-    if df.schema[category].dataType.typeName() not in ("string", "date"):
-        return deciles(encoded, "conversion", category, out, n, desc=True)
-    if encoded.limit(SMALL_LOOKUP + 1).count() <= SMALL_LOOKUP:
-        order = Window.orderBy(F.col("conversion").desc(), F.col(category))
-        return encoded.withColumn(out, F.ntile(n).over(order))
-    hashed = encoded.withColumn("__tie", F.xxhash64(category))
-    return deciles(hashed, "conversion", "__tie", out, n, desc=True).drop("__tie")
+    return deciles(encoded, "conversion", category, out, n, desc=True)
 
 
 def score_pending(

@@ -271,10 +271,9 @@ def test_top_n_keeps_ties_and_other(spark):
     assert rows(ranking.top_n(df, "e", F.sum("v"), 1, desc=False, other=None)) == [("e", 1)]
 
 
-def test_rank_total_is_dense_on_both_paths(spark, monkeypatch):
+def test_rank_total_is_dense_on_both_paths(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", 2)], "e string, v int")
     small = rows(ranking.rank_total(df, "e", F.sum("v")), "e", "rnk")
-    monkeypatch.setattr(ranking, "ONE_TASK_ROWS", 1)
     spark.conf.set("dunlin.hotKeyRows", "1")
     large = rows(ranking.rank_total(df, "e", F.sum("v")), "e", "rnk")
     spark.conf.unset("dunlin.hotKeyRows")
@@ -295,3 +294,24 @@ def test_priority_score(spark):
     df = spark.createDataFrame([(1, "Low x"), (1, "High y"), (2, "Mid"), (3, "Low"), (4, "?")], "k int, p string")
     out = aggregates.priority_score(df, "k", "p", [("H", 0.0), ("M", 0.5), ("L", 0.75)], 1.0)
     assert rows(out, "k", "score") == [(1, 0.0), (2, 0.5), (3, 0.75), (4, 1.0)]
+
+
+def test_global_rank_does_not_depend_on_the_limit(spark):
+    from dunlin.operators.percentiles import deciles
+
+    data = [(None if k % 11 == 0 else "v" if k % 2 else f"t{k % 5}", f"tie{k:03d}") for k in range(60)]
+    df = spark.createDataFrame(data, "v string, t string")
+    days = spark.range(40).selectExpr("date_add(date'2024-01-01', cast(id % 7 as int)) as v", "id as t")
+    plain = [rows(deciles(x, "v", "t", "d", desc=desc)) for x in (df, days) for desc in (False, True)]
+    spark.conf.set("dunlin.hotKeyRows", "7")
+    try:
+        cut = [rows(deciles(x, "v", "t", "d", desc=desc)) for x in (df, days) for desc in (False, True)]
+    finally:
+        spark.conf.unset("dunlin.hotKeyRows")
+    assert plain == cut
+
+
+def test_distinct_flags_without_entity(spark):
+    df = spark.createDataFrame([("g", None, True, 2), ("g", 1, True, 3), ("g", 1, False, 4)], "g string, e int, f boolean, s int")
+    out = aggregates.distinct_flags(df, ["g"], "e", {"hit": F.col("f")}, ["s"], "all")
+    assert rows(out, "g", "all", "hit", "s") == [("g", 1, 1, 9)]

@@ -7,12 +7,12 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from dunlin import catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.oracle_texts()
 
 
 @pytest.fixture(scope="module")

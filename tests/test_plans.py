@@ -300,3 +300,10 @@ def test_sloping_needs_accounts_and_history(spark):
     out = scorecard.score_sloping(old.withColumnRenamed("m", "list_month"), new.withColumnRenamed("m", "rpt_month"), ["g"], "2024-02-15")
     assert rows(out, "g", "score_group", "actual_share", "predicted_share", "historic_yield") == [
         ("a", 1, 0.75, 0.25, 1.0), ("a", 2, 0.25, 0.75, 3.0)]
+
+
+def test_payments_keep_interactions_without_account(spark):
+    calls = spark.createDataFrame([(1, 5, day("2024-01-01")), (2, None, day("2024-01-01")), (3, 5, None)], "call int, account int, day date")
+    pays = spark.createDataFrame([(5, day("2024-01-01"), 8.0)], "account int, day date, amount double")
+    out = payments.payment_to_interaction(calls, pays)
+    assert rows(out, "call", "pay_received", "pay_share") == [(1, 8.0, 8.0), (2, 0.0, 0.0), (3, 0.0, 0.0)]
