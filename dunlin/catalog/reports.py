@@ -621,10 +621,10 @@ def snapshot_history(spark, sf):
 
 
 @query("""
-WITH touched AS (SELECT session, CASE WHEN session % 9 <> 0 THEN account END AS account, day FROM texts)
+WITH linked_texts AS (SELECT session, CASE WHEN session % 9 <> 0 THEN account END AS account, day FROM texts)
 SELECT t.session, t.account, t.day, round(coalesce(p, 0), 4) AS pay_received,
   round(coalesce(p / n, 0), 9) AS pay_share
-FROM touched t LEFT JOIN (SELECT account, day, count(*) AS n FROM touched GROUP BY ALL) USING (account, day)
+FROM linked_texts t LEFT JOIN (SELECT account, day, count(*) AS n FROM linked_texts GROUP BY ALL) USING (account, day)
 LEFT JOIN (SELECT account, pay_date AS day, sum(amount) AS p FROM pays GROUP BY ALL)
   USING (account, day)
 """)
