@@ -106,28 +106,37 @@ def after_join(points, anchors, key, t: str, anchor: str, inclusive=True) -> Dat
     return points.join(anchors, _list(key)).where(later)
 
 
-SMALL_RULES = 1_000
+LEAD = 8  # characters of a pattern's literal start that key its join
+RULE_BATCH = 1_000  # rules without a literal start that a name is tested against in one row
 
 
 def pattern_join(df: DataFrame, rules: DataFrame, col: str, pattern_col: str) -> DataFrame:
-    """Attach the rules whose LIKE pattern matches ``col``.
+    """Attach the rules whose LIKE pattern matches ``col``: the columns of ``df``, ``col``
+    first, then those of ``rules``. NULL names and NULL patterns match nothing.
 
     Patterns are tested once per distinct name and the match is joined back on the name, so
-    fact rows never meet patterns. A rule table of checked size becomes a literal array that
-    each name filters; a larger one is matched by a theta join of names and rules."""
+    fact rows never meet patterns. A rule with a literal start is joined on its first
+    characters to the starts of the names, with LIKE as a filter. Rules that begin with a
+    wildcard have no key: they are grouped into batches of about ``RULE_BATCH`` by hash, and
+    each name filters each batch."""
     names = df.select(col).where(F.col(col).isNotNull()).distinct()
-    rows = rules.limit(SMALL_RULES + 1).collect()
-    if not rows:
-        return df.join(rules, F.lit(False))
-    if len(rows) > SMALL_RULES:
-        matched = names.join(rules, F.expr(f"`{col}` LIKE `{pattern_col}`"))
-    else:
-        literals = F.array(*[
-            F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in rules.schema])
-            for r in rows
-        ])
-        hits = F.filter(literals, lambda r: F.like(F.col(col), r[pattern_col]))
-        matched = names.select(col, F.explode(hits).alias("__r")).select(col, "__r.*")
+    lead = F.regexp_extract(F.col(pattern_col), r"^[^%_\\]*", 0)
+    keyed = rules.select(F.struct("*").alias("__rule"), F.left(lead, F.lit(LEAD)).alias("__key"))
+
+    def matches(rule):
+        return F.like(F.col(col), rule[pattern_col])
+
+    lengths = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(LEAD), F.length(col))))
+    starts = names.withColumn("__key", F.explode(F.transform(lengths, lambda n: F.left(F.col(col), n))))
+    matched = starts.join(keyed.where("__key <> ''"), "__key").where(matches(F.col("__rule"))).select(col, "__rule.*")
+    loose = keyed.where("__key = ''").select("__rule")
+    batches = -(-loose.count() // RULE_BATCH)
+    if batches:
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(batches - 1).cast("bigint"))
+        batched = loose.groupBy(F.pmod(F.xxhash64("__rule"), F.lit(batches)).alias("__batch")).agg(
+            F.collect_list("__rule").alias("__rules"))
+        tested = names.withColumn("__batch", F.explode(numbers)).join(batched, "__batch")
+        matched = matched.union(tested.select(col, F.inline(F.filter("__rules", matches))))
     return df.join(matched, col)
 
 

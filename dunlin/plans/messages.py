@@ -246,8 +246,9 @@ def channel_daily_summary(
     dialed: DataFrame, responses: DataFrame, dialed_results: Sequence[str],
     connected_results: Sequence[str], stop_results: Sequence[str], keys: Sequence[str],
 ) -> DataFrame:
-    """Counts of the latest day of the responses (without any: of the other feed): dialled / connected / stop from one feed, responses from the
-    other, on common keys. ``responses`` has day, keys, calls, contacts, payments, amount."""
+    """Counts of the latest day of the responses (without any: of the other feed): dialled /
+    connected / stop from one feed, responses from the other, on common keys. ``responses`` has
+    day, keys, calls, contacts, payments, amount."""
     latest = responses.agg(F.max("day")).first()[0] or dialed.agg(F.max("day")).first()[0]
     today = F.col("day") == F.lit(str(latest) if latest else None).cast("date")
     measures = ["dialed", "connected", "stopped", "calls", "contacts", "payments", "amount"]

@@ -42,11 +42,12 @@ def save_model(model: PipelineModel, folder: str, name: str) -> str:
     return path
 
 
-def score_model(df: DataFrame, model: PipelineModel | str, features: Sequence[str], key: str):
-    """(key, score) of a frame under a model or a stored model path."""
+def score_model(df: DataFrame, model: PipelineModel | str, features: Sequence[str], keys: str | Sequence[str]):
+    """(keys, score) of a frame under a model or a stored model path."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     fitted = PipelineModel.load(model) if isinstance(model, str) else model
-    typed = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
-    return fitted.transform(typed).select(key, "score")
+    typed = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
+    return fitted.transform(typed).select(*keys, "score")
 
 
 def target_encode(
@@ -72,19 +73,23 @@ def target_encode(
 
 def score_pending(
     pending: DataFrame, model: PipelineModel | str, lookups: Mapping[str, DataFrame],
-    features: Sequence[str], key: str, tie: str, as_of, is_pending: Column,
+    features: Sequence[str], keys: str | Sequence[str], tie: str, as_of, is_pending: Column,
     score_col="score", group_col="score_group", stamp_col="process_date",
 ) -> DataFrame:
     """Encode, score, decile and write back the rows that are still pending; all other rows
-    keep their values. ``lookups`` maps a category column to its ``target_encode`` frame
-    (columns category, ``<category>_level``)."""
+    keep their values, also those with the keys of a pending one. ``keys`` (say account and
+    insert date) must tell pending rows apart; ``tie`` is one of them. ``lookups`` maps a
+    category column to its ``target_encode`` frame (columns category, ``<category>_level``)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     todo = pending.where(is_pending)
     for category, table in lookups.items():
         todo = todo.join(table.select(category, f"{category}_level"), category, "left")
-    scores = cut_lineage(score_model(todo, model, features, key))  # read four times below
+    scores = cut_lineage(score_model(todo, model, features, keys))  # read five times below
+    if not scores.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"pending rows repeat their keys ({', '.join(keys)})")
     ranked = deciles(scores.withColumn("__tie", F.col(tie)), "score", "__tie", "__group", desc=True)
     stamped = ranked.select(
-        key, F.col("score").alias(score_col), F.col("__group").alias(group_col),
+        *keys, F.col("score").alias(score_col), F.col("__group").alias(group_col),
         F.lit(str(as_date(as_of))).cast("date").alias(stamp_col),
     )
-    return write_back(pending, stamped, [key], [score_col, group_col, stamp_col])
+    return write_back(pending, stamped, keys, [score_col, group_col, stamp_col], only=is_pending)

@@ -106,6 +106,30 @@ def upsert(
     return both.select(*keys, *out, *tail)
 
 
+PRUNED_VALUES = 1_000
+
+
+def _partitions(target: DataFrame, touched: DataFrame, part_col: str) -> DataFrame:
+    """Rows of ``target`` in the partitions of ``touched`` (NULL is one of them). Up to
+    ``PRUNED_VALUES`` values become a literal filter, so other partitions are not listed or
+    read; more are joined, with the same rows."""
+    values = [r[0] for r in touched.limit(PRUNED_VALUES + 1).collect()]
+    if len(values) > PRUNED_VALUES:
+        wanted = touched.select(F.col(part_col).alias("__touched"))
+        return target.join(wanted, F.col(part_col).eqNullSafe(F.col("__touched")), "left_semi")
+    listed = F.col(part_col).isin([v for v in values if v is not None])
+    return target.where(listed | F.col(part_col).isNull() if None in values else listed)
+
+
+def _remove_partitions(path: str, emptied: DataFrame, part_col: str) -> None:
+    """Delete the folders of the partitions in ``emptied``."""
+    jvm = emptied.sparkSession._jvm
+    folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(emptied.sparkSession._jsc.hadoopConfiguration())
+    for (value,) in emptied.select(F.col(part_col).cast("string")).toLocalIterator():
+        files.delete(jvm.org.apache.hadoop.fs.Path(path, folder(part_col, value)), True)
+
+
 def write_upsert(
     path: str, updates: DataFrame, keys: Sequence[str], part_col: str | None = None,
     compare_cols: Sequence[str] | None = None, null_safe: bool = False, stamp=None,
@@ -113,8 +137,9 @@ def write_upsert(
     """Upsert into a stored table.
 
     With ``part_col`` the changed rows are found first (the target is read for its keys and
-    compared columns only), and only partitions that gain, lose or change rows are rewritten.
-    Nothing is written when nothing changed."""
+    compared columns only), and only partitions that gain, lose or change rows are read whole
+    and rewritten; one that loses its last row is deleted. Nothing is written when nothing
+    changed."""
     spark, keys = updates.sparkSession, list(keys)
     target = read_table(spark, path)
     if target is None:
@@ -141,16 +166,15 @@ def write_upsert(
     touched = cut_lineage(touched)  # one row per partition value
     if touched.isEmpty():
         return
-    part = target.join(touched, part_col, "left_semi")
+    part = _partitions(target, touched, part_col)
     rows = cut_lineage(
         upsert(part, changed.drop("__was"), keys, compare, null_safe, stamp)
     )
-    emptied = touched.join(rows.select(part_col).distinct(), part_col, "left_anti")
-    if emptied.isEmpty():
-        write_window(rows, path, part_col)
-    else:  # a partition lost its last row: only a full rewrite removes its old files
-        rest = target.join(touched, part_col, "left_anti")
-        write_full(cut_lineage(rest.unionByName(rows)), path, [part_col])
+    # a partition that lost its last row: the rows moved are all in ``updates``, so if the job
+    # ends between the two steps, running it again puts them back
+    left = rows.select(F.col(part_col).alias("__left")).distinct()
+    _remove_partitions(path, touched.join(left, F.col(part_col).eqNullSafe(F.col("__left")), "left_anti"), part_col)
+    write_window(rows, path, part_col)
 
 
 def update_from(df: DataFrame, agg: DataFrame, on: Sequence[str], col: str, default) -> DataFrame:
@@ -160,13 +184,18 @@ def update_from(df: DataFrame, agg: DataFrame, on: Sequence[str], col: str, defa
     return joined.withColumn(col, F.coalesce("__v", F.lit(default))).drop("__v")
 
 
-def write_back(df: DataFrame, scored: DataFrame, keys: Sequence[str], cols: Sequence[str]):
-    """Overwrite ``cols`` on rows that were scored; all other rows keep their values."""
+def write_back(
+    df: DataFrame, scored: DataFrame, keys: Sequence[str], cols: Sequence[str], only: Column | None = None
+):
+    """Overwrite ``cols`` on rows that were scored and, with ``only``, fulfil it; all other
+    rows keep their values."""
     found = scored.select(*keys, F.lit(True).alias("__hit"),
                           *[F.col(c).alias(f"__{c}") for c in cols])
-    joined = df.join(found, list(keys), "left")
-    values = {c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) for c in cols}
-    return joined.withColumns(values).drop("__hit", *[f"__{c}" for c in cols])
+    marked = df if only is None else df.withColumn("__only", F.coalesce(only, F.lit(False)))
+    joined = marked.join(found, list(keys), "left")
+    hit = F.col("__hit") if only is None else F.col("__hit") & F.col("__only")
+    values = {c: F.when(hit, F.col(f"__{c}")).otherwise(F.col(c)) for c in cols}
+    return joined.withColumns(values).drop("__hit", "__only", *[f"__{c}" for c in cols])
 
 
 def export_csv(

@@ -3,6 +3,7 @@ transform streaming (or batch) DataFrames and start queries with explicit checkp
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,39 +34,52 @@ def contact_cap_alerts(
     delay: str = "1 hour",
 ) -> DataFrame:
     """Alert on a contact whose k previous contacts of the customer all lie fewer than
-    ``days`` days back. State per customer: the last k contact times, dropped when the
-    watermark passes the end of the window.
+    ``days`` days back; contacts are ordered by time and id.
 
-    State is one small row per customer. Only the time and id columns of a customer's rows of
-    the current micro-batch are sorted in memory; the source's rate limit bounds a batch."""
+    A contact that arrives late is compared with earlier contacts only, and contacts after it
+    that it brings under the limit alert then. Each contact alerts once, with the distance
+    known at that time; contacts at or before the watermark are dropped by Spark.
+
+    State per customer: the k last contacts up to the watermark (no later row can come between
+    them) and those after it, so it is bounded by k and the contacts within ``delay``. It is
+    dropped when the watermark passes the end of the window. The source's rate limit bounds a
+    micro-batch; of a customer's rows in it three numbers each are held."""
     kind = dict(stream.dtypes)[key]
     out = f"{key} {kind}, {session} bigint, {ts} timestamp, days_{k} int"
     kept_ms = (days + 1) * 86_400_000
+    kept = ("__at", "__id", "__day", "__told")
 
     def step(keys, chunks, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        recent = list(state.get[0]) if state.exists else []
-        batch = pd.concat([chunk[[ts, session]] for chunk in chunks]).sort_values([ts, session])
-        hits = []
-        for at, sid in zip(batch[ts], batch[session]):
-            if len(recent) == k:
-                gap = (at.normalize() - pd.Timestamp(recent[0]).normalize()).days
-                if gap < days:
-                    hits.append((keys[0], sid, at, gap))
-            recent = [*recent, at.to_pydatetime()][-k:]
-        state.update((recent,))
-        last_ms = int(pd.Timestamp(recent[-1]).timestamp() * 1000)
-        state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + kept_ms)
-        if hits:
-            yield pd.DataFrame(hits, columns=[key, session, ts, f"days_{k}"])
+        known = [np.array(x, "int64") for x in state.get] if state.exists else [np.zeros(0, "int64")] * 4
+        parts = [[c[name].to_numpy("int64") for name in kept[:3]] for c in chunks]
+        new = [np.concatenate(x) for x in zip(*parts)]
+        at, sid, day, told = (np.concatenate(x) for x in zip(known, [*new, np.zeros_like(new[0])]))
+        order = np.lexsort((sid, at))
+        at, sid, day, told = at[order], sid[order], day[order], told[order]
+        gap = np.full(len(at), days)
+        gap[k:] = day[k:] - day[:-k]
+        hit = (gap < days) & (told == 0)
+        told[hit] = 1
+        watermark = state.getCurrentWatermarkMs()
+        first = max(int(np.searchsorted(at, watermark * 1000, side="right")) - k, 0)
+        state.update(tuple(x[first:].tolist() for x in (at, sid, day, told)))
+        state.setTimeoutTimestamp(max(int(at[-1]) // 1000, watermark) + kept_ms)
+        if hit.any():
+            yield pd.DataFrame({
+                key: [keys[0]] * int(hit.sum()), session: sid[hit], ts: pd.to_datetime(at[hit], unit="us", utc=True),
+                f"days_{k}": gap[hit].astype("int32")})
 
     return (
-        stream.select(key, ts, session).withWatermark(ts, delay)
+        stream.where(F.col(ts).isNotNull()).withWatermark(ts, delay)
+        .select(key, ts, F.unix_micros(ts).alias("__at"),
+                F.coalesce(F.col(session).cast("bigint"), F.lit(-1)).alias("__id"),
+                F.unix_date(F.col(ts).cast("date")).cast("bigint").alias("__day"))
         .groupBy(key)
         .applyInPandasWithState(
-            step, out, "recent array<timestamp>", "append", GroupStateTimeout.EventTimeTimeout
+            step, out, ", ".join(f"{c} array<bigint>" for c in kept), "append", GroupStateTimeout.EventTimeTimeout
         )
     )
 

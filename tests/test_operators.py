@@ -228,6 +228,27 @@ def test_pattern_join_matches_like(spark):
     assert rows(joins.pattern_join(df, rules, "n", "p"), "n", "w") == [("sms a", 1), ("sms a", 2), ("sms b", 1)]
 
 
+def test_pattern_join_of_no_rules_keeps_the_columns(spark):
+    df = spark.createDataFrame([(1, "sms a")], "z int, n string")
+    rules = spark.createDataFrame([("sms%", 1)], "p string, w int")
+    none = joins.pattern_join(df, rules.where("w > 1"), "n", "p")
+    assert none.columns == joins.pattern_join(df, rules, "n", "p").columns == ["n", "z", "p", "w"]
+    assert none.collect() == []
+
+
+def test_pattern_join_of_many_rules_has_no_nested_loop(spark, monkeypatch):
+    monkeypatch.setattr(joins, "RULE_BATCH", 200)
+    patterns = [f"{'%' if i % 5 == 0 else ''}name {i}{'%' if i % 3 else '_'}" for i in range(5000)]
+    patterns += ["", "%", "a\\%b", None, "_", "n%7_"]
+    names = [f"name {i}" for i in range(0, 600, 7)] + ["", "a%b", "axb", "x", None]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "z int, n string")
+    rules = spark.createDataFrame(list(enumerate(patterns)), "r int, p string")
+    out = joins.pattern_join(df, rules, "n", "p")
+    want = df.crossJoin(rules).where("n like p")
+    assert rows(out, "z", "r") == rows(want, "z", "r")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
 def test_allow_list(spark):
     df = spark.createDataFrame([("A", 1), ("B", 1), ("B", 2), ("C", 3)], "c string, k int")
     allow = spark.createDataFrame([("B", 2), ("B", 2)], "c string, k int")

@@ -201,3 +201,17 @@ def test_stream_contact_cap_equals_batch_over_micro_batches(spark, tmp_path):
     got = rows(drain(spark, tmp_path, stream), "id")
     batch = spark.createDataFrame(data, "id bigint, customer bigint, at timestamp")
     assert got == rows(contact_frequency_exceptions(batch, "customer", "at", "id", k=3, days=7), "id") and got
+
+
+def test_stream_contact_cap_of_late_rows(spark, tmp_path):
+    from dunlin.plans.compliance import contact_frequency_exceptions
+
+    def at(i, hour):
+        return i, 1, utc(f"2024-01-01 {hour}")
+
+    # 9:50 comes late: no alert of its own, but now 10:20 has three contacts before it
+    batches = [[at(1, "10:00"), at(2, "10:10"), at(3, "10:20")], [at(4, "09:50")], [at(5, "10:05"), at(6, "10:30")]]
+    stream = streams.contact_cap_alerts(feed(spark, tmp_path, batches), "customer", "at", "id", k=3, days=2, delay="2 hours")
+    got = rows(drain(spark, tmp_path, stream), "id")
+    batch = spark.createDataFrame(sum(batches, []), "id bigint, customer bigint, at timestamp")
+    assert got == rows(contact_frequency_exceptions(batch, "customer", "at", "id", k=3, days=2), "id") == [(2,), (3,), (6,)]
