@@ -102,7 +102,8 @@ def message_attribution(
       opened messages
     * ``stored`` (the report so far) contributes earlier first-send dates
 
-    All event-type aggregates come from one pass over the events instead of one scan each.
+    All event-type aggregates come from one pass over the events of those ids instead of one
+    scan each.
     """
     c, n = F.col("code"), F.col("n_events")
     flags = outcome_flags(codes)
@@ -117,15 +118,16 @@ def message_attribution(
     first = F.min(F.when(is_send, F.struct("ts", "code", *attrs)))
     since = as_date(as_of) - dt.timedelta(days=replay_days)
     since = F.lit(str(since)).cast(events.schema["ts"].dataType)
-    # an id is in scope when its newest event is: no semi join back to the log is needed
+    # the ids of the window first (the date filter reaches the scan), then only their events
+    recent = events.where(F.col("ts") > since).select("guid").distinct()
     sends = (
-        events.groupBy("guid")
+        semi(events, recent, "guid").groupBy("guid")
         .agg(
-            first.alias("__send"), F.max("ts").alias("__newest"),
+            first.alias("__send"),
             *[any_flag(pred).cast("bigint").alias(name) for name, pred in flags.items()],
             *[agg.alias(name) for name, agg in responses.items()],
         )
-        .where(F.col("__send").isNotNull() & (F.col("__newest") > since))
+        .where(F.col("__send").isNotNull())
         .select(
             "guid", F.col("__send.ts").cast("date").alias("send_date"),
             *[F.col(f"__send.{a}").alias(a) for a in attrs], *flags, *responses,
