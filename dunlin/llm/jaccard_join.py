@@ -14,9 +14,11 @@ here is by hash, with shingles of very many groups last.
    group meets another in one row per shingle. Shingles of more than ``COMMON_GROUPS`` groups
    move to the end of the order; prefixes then reach further to the next ones (documents of
    which too few are known are read again: ``_short_prefixes``).
-4. Group pairs are expanded to pairs of members of fitting sizes, counted by shared prefix
-   shingles, and kept if those allow an overlap that reaches the threshold. Kept pairs of
-   different groups are verified on the whole texts, and links join the groups.
+4. A group pair stays if, for some sizes of its members, the number of shared prefix shingles
+   allows an overlap that reaches the threshold, and one of them stands early enough in both
+   to be the first. Those that stay are expanded to pairs of members of fitting sizes, which
+   pass the same count. Pairs that are left are verified on the whole texts, and links join
+   the groups.
 
 Nothing emits all pairs within a group, and no link between groups is lost.
 """
@@ -242,18 +244,17 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
                     .otherwise(F.col("known") - F.col("all") + F.col("seen") - 1))
         .withColumn("p", _prefix_column("n")), "placed")
     drop_stage(between)
-    kept = placed.where("place < p").select("gram", "doc_id", "n", "grp")
+    kept = placed.where("place < p").select("gram", "doc_id", "n", "grp", (F.col("n") - F.col("place")).alias("rest"))
     # nodes whose known shingles, less the common ones, do not fill the prefix
     short = stage(placed.where("known - all < p and known < n").select("doc_id", "grp").distinct(), "short")
     if not short.isEmpty():
-        kept = kept.unionByName(_short_prefixes(nodes, read, roots, short, is_common)).distinct()
+        kept = kept.unionByName(_short_prefixes(nodes, read, roots, short, is_common)).groupBy(
+            "gram", "doc_id", "n", "grp").agg(F.max("rest").alias("rest"))
     kept = stage(kept, "prefixes")
     drop_stage(placed)
-    sides = kept.groupBy("gram", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    a = sides.select("gram", F.col("grp").alias("ga"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    b = sides.select("gram", F.col("grp").alias("gb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meet = a.join(b, "gram").where(f"ga < gb and ma * 100 >= lb * {PERCENT} and mb * 100 >= la * {PERCENT}").select(
-        "gram", "ga", "gb")
+    meet = stage(_group_pairs(kept), "group-pairs")
+    able = stage(_able(meet), "able-pairs")
+    meet = meet.select("gram", "ga", "gb").join(sized(able), ["ga", "gb"])
     left = kept.select("gram", F.col("grp").alias("ga"), F.col("doc_id").alias("u"), F.col("n").alias("nu"))
     right = kept.select("gram", F.col("grp").alias("gb"), F.col("doc_id").alias("v"), F.col("n").alias("nv"))
     pairs = stage(_possible(meet.join(left, ["gram", "ga"]).join(right, ["gram", "gb"])), "pairs")
@@ -261,6 +262,32 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
     return pairs
 
 
+def _group_pairs(kept: DataFrame) -> DataFrame:
+    """A row for each prefix shingle that two groups (ga, gb) of fitting sizes share: their
+    least and largest sizes, and whether the shingle can be the first that two members share.
+    ``rest`` is the number of a set's shingles from this one on, or more."""
+    sides = kept.groupBy("gram", "grp").agg(
+        F.min("n").alias("l"), F.max("n").alias("m"), F.max("rest").alias("r"))
+    a, b = (sides.select("gram", *[F.col(c).alias(d + x) for c, d in (("grp", "g"), ("l", "l"), ("m", "m"), ("r", "r"))])
+            for x in "ab")
+    first = F.expr(f"least(ra, rb) * {100 + PERCENT} >= (la + lb) * {PERCENT}")
+    return (
+        a.join(b, "gram").where(f"ga < gb and ma * 100 >= lb * {PERCENT} and mb * 100 >= la * {PERCENT}")
+        .select("gram", "ga", "gb", "la", "ma", "lb", "mb", first.alias("first")))
+
+
+def _able(meet: DataFrame) -> DataFrame:
+    """Group pairs whose shared prefix shingles leave the threshold possible. As in
+    ``_possible``, shared + percent * larger must exceed the overlap needed; that is most
+    easily so for the smallest member of one and the largest of the other."""
+    pairs = meet.groupBy("ga", "gb").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("first").alias("first"), F.min("la").alias("la"),
+        F.max("ma").alias("ma"), F.min("lb").alias("lb"), F.max("mb").alias("mb"))
+    gain = f"shared * {100 * (100 + PERCENT)} + {PERCENT * PERCENT}"
+    return pairs.where(
+        f"first and ({gain} * mb >= {100 * PERCENT} * la or {gain} * ma >= {100 * PERCENT} * lb)").select("ga", "gb")
+
+
 def _possible(met: DataFrame) -> DataFrame:
     """Pairs (u, v) that share enough prefix shingles, of rows (u, nu, v, nv) for each shared."""
     pairs = met.where(_fits(F.col("nu"), F.col("nv"))).groupBy("u", "v", "nu", "nv").agg(
@@ -283,10 +310,12 @@ def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short:
         whole.select("doc_id", "n", F.posexplode("firsts").alias("pos", "gram"))
         .join(is_common, "gram", "left").fillna(0, ["common"])
         .withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < _prefix_column("n"))
-        .join(_as(short, "doc_id", "grp"), "doc_id").select("gram", "doc_id", "n", "grp", "common"), "short-prefixes")
+        .join(_as(short, "doc_id", "grp"), "doc_id")
+        .select("gram", "doc_id", "n", "grp", "common", (F.col("n") - F.col("place")).alias("rest")), "short-prefixes")
     grams = stage(prefix.where("common = 0").select("gram").distinct(), "short-grams")
     others = nodes.select("doc_id", "n", F.explode("firsts").alias("gram")).join(sized(grams), "gram", "left_semi")
-    return prefix.drop("common").unionByName(_with_root(others, "doc_id", roots, "grp").select("gram", "doc_id", "n", "grp"))
+    return prefix.drop("common").unionByName(_with_root(others, "doc_id", roots, "grp").select(
+        "gram", "doc_id", "n", "grp", F.col("n").alias("rest")))
 
 
 def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
