@@ -19,11 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dunlin.llm.common import mix, stage
+from dunlin.llm.common import drop_stage, mix, stage
 
 MARK = "▁"
 MAX_WORD = 64
 FREQUENT_WORDS = 200_000
+PART_WORDS = 10_000  # words whose lattices one task holds
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
 
@@ -75,9 +76,12 @@ _STEP = """
 _STATE = "struct<done:array<struct<score:double,back:int,ids:array<int>>>,now:struct<score:double,back:int,ids:array<int>>>"
 
 
-def encode_words(words: DataFrame, model: list[tuple]) -> DataFrame:
-    """(word, ids) of a frame of distinct words (word), each at most MAX_WORD characters and
-    not empty. The piece table is broadcast; its size is that of the vocabulary."""
+def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = ()) -> DataFrame:
+    """(word, *keep, ids) of a frame of distinct words (word), each at most MAX_WORD characters
+    and not empty. The piece table is broadcast; its size is that of the vocabulary.
+
+    Only the words are shuffled, into as many parts as their number asks for; a part's
+    substrings are exploded, joined and grouped where they are, and fit in memory."""
     spark = words.sparkSession
     table = piece_table(spark, model)
     pieces = table.where("byte is null").select("piece", F.array("id").alias("ids"), "score")
@@ -88,21 +92,20 @@ def encode_words(words: DataFrame, model: list[tuple]) -> DataFrame:
     spelt = F.transform(
         F.sequence(F.lit(1), F.length(F.hex("piece")), F.lit(2)),
         lambda k: byte_ids[F.substring(F.hex("piece"), k, F.lit(2))]) if byte_ids is not None else F.array(F.lit(0))
-    numbered = stage(words.select("word").withColumn("n", F.monotonically_increasing_id()), "words")
+    staged = words if hasattr(words, "_staged_at") else stage(words.select("word", *keep), "words")
+    parts = max(1, -(-staged.count() // PART_WORDS))
     subs = (
-        numbered.select("n", "word", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("start"))
-        .select("n", "word", "start", F.explode(F.expr(
+        staged.select("word", *keep).repartition(parts, "word")
+        .select("word", *keep, F.explode(F.expr("sequence(0, length(word) - 1)")).alias("start"))
+        .select("word", *keep, "start", F.explode(F.expr(
             f"sequence(1, least({longest}, length(word) - start))")).alias("size"))
-        .select("n", "start", (F.col("start") + F.col("size")).alias("stop"), F.expr("substr(word, start + 1, size)").alias("piece"))
-    )
-    known = subs.join(F.broadcast(pieces), "piece").select("n", "stop", "start", "score", "ids")
-    singles = (
-        numbered.select("n", F.posexplode(F.expr("filter(split(word, ''), c -> c <> '')")).alias("start", "piece"))
-        .join(F.broadcast(pieces.select("piece")), "piece", "left_anti")
-        .select("n", (F.col("start") + 1).alias("stop"), "start", F.lit(unknown).alias("score"), spelt.alias("ids"))
+        .select("word", *keep, "start", (F.col("start") + F.col("size")).alias("stop"),
+                F.expr("substr(word, start + 1, size)").alias("piece"))
     )
-    edges = known.unionByName(singles).groupBy("n").agg(
-        F.array_sort(F.collect_list(F.struct("stop", "start", "score", "ids"))).alias("edges"))
+    # an edge for each piece, and for each character that is none
+    found = subs.join(F.broadcast(pieces), "piece", "left").where("ids is not null or stop = start + 1")
+    edge = F.struct("stop", "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("ids", spelt).alias("ids"))
+    edges = found.groupBy("word", *keep).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
     start = f"""cast(named_struct('done', array(named_struct('score', 0D, 'back', 0, 'ids', array())), 'now', null) as {_STATE})"""
     path = F.expr(f"aggregate(edges, {start}, {_STEP}, s -> array_append(s.done, s.now))")
     ids = F.expr("""
@@ -111,8 +114,7 @@ def encode_words(words: DataFrame, model: list[tuple]) -> DataFrame:
                 named_struct('at', -element_at(best, i + 1).back, 'ids', concat(element_at(best, i + 1).ids, s.ids)), s),
             s -> s.ids)
     """)
-    coded = edges.select("n", path.alias("best")).select("n", ids.alias("ids"))
-    return numbered.join(coded, "n").select("word", "ids")
+    return edges.select("word", *keep, path.alias("best")).select("word", *keep, ids.alias("ids"))
 
 
 def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str = "text") -> DataFrame:
@@ -198,7 +200,8 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), word_parts().alias("words"))
     counted = stage(
         texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "distinct-words")
-    words = stage(encode_words(counted, model).join(counted, "word"), "encoded-words")
+    words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
+    drop_stage(counted)
     coded = words.select("word", "n", F.xxhash64("ids").alias("code"), F.size("ids").alias("size"))
     top = coded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "code", "size").toArrow()
     known = dict(zip(top.column("word").to_pylist(), zip(top.column("code").to_pylist(), top.column("size").to_pylist())))
