@@ -15,6 +15,8 @@ rest of the occurrences join by a shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,8 +24,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dunlin.llm.common import drop_stage, mix, stage
 
 MARK = "▁"
+_MARK = MARK.encode()
 MAX_WORD = 64
 FREQUENT_WORDS = 200_000
+COUNTED_WORDS = 500_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
@@ -48,18 +52,38 @@ def piece_table(spark: SparkSession, model: list[tuple]) -> DataFrame:
     return spark.createDataFrame(model, "piece string, id int, score double, hex string, byte int")
 
 
-def word_parts(text: str = "text"):
+def split_words(text: bytes | None) -> list[bytes]:
     """Words of a text, each with its mark, long ones in parts; NULL and empty texts have none."""
-    words = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.flatten(F.transform(words, _cut))
+    out = []
+    for w in (text or b"").split():  # ASCII white space
+        if len(w) < MAX_WORD:
+            out.append(_MARK + w)
+        else:
+            whole = MARK + w.decode(errors="replace")
+            cut = range(0, len(whole) if len(whole) > MAX_WORD else 1, MAX_WORD)
+            out.extend(whole[k:k + MAX_WORD].encode() for k in cut)
+    return out
+
+
+def _texts(batch) -> list[bytes | None]:
+    return batch.column("text").cast(pa.large_binary()).to_pylist()
+
+
+def _count_words(batches):
+    """(word, n) of the texts of a batch; texts of many words give several rows of a word."""
+    for batch in batches:
+        seen = Counter()
+        for text in _texts(batch):
+            seen.update(split_words(text))
+            if len(seen) > COUNTED_WORDS:
+                yield _counts(seen)
+                seen = Counter()
+        yield _counts(seen)
 
 
-def _cut(w):
-    whole = F.concat(F.lit(MARK), w)
-    parts = F.transform(
-        F.sequence(F.lit(0), F.floor(F.length(w) / MAX_WORD).cast("int")),
-        lambda k: F.substring(whole, k * MAX_WORD + 1, F.lit(MAX_WORD)))
-    return F.when(F.length(w) < MAX_WORD, F.array(whole)).otherwise(parts)
+def _counts(seen: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(seen.keys(), pa.binary()).cast(pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
 
 # One step of the fold: ``done`` holds the best (score, -start, ids) up to each place, ``now``
@@ -156,7 +180,8 @@ def _lookup(frequent):
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = [[] for _ in range(7)]
-            for doc_id, words in zip(batch.column("doc_id").to_pylist(), batch.column("words").to_pylist()):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+                words = split_words(text)
                 found = [table.get(w) for w in words]
                 at = [k for k, f in enumerate(found) if f is not None]
                 digests = np.array([found[k][0] for k in at], np.int64)
@@ -166,9 +191,11 @@ def _lookup(frequent):
                                        [words[k] for k in rest])):
                     to.append(x)
                 row += 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()))
             names = ["row", "doc_id", "n_words", "n_tokens", "digest", "places", "rest"]
-            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
+            arrays = [pa.array(o, k) for o, k in zip(out, kinds)]
+            arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 
@@ -197,14 +224,15 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     row; extra columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), word_parts().alias("words"))
+    texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
     counted = stage(
-        texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "distinct-words")
+        texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
+        "distinct-words")
     words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
     drop_stage(counted)
     coded = words.select("word", "n", F.xxhash64("ids").alias("code"), F.size("ids").alias("size"))
     top = coded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "code", "size").toArrow()
-    known = dict(zip(top.column("word").to_pylist(), zip(top.column("code").to_pylist(), top.column("size").to_pylist())))
+    known = dict(zip(top.column("word").cast(pa.binary()).to_pylist(), zip(top.column("code").to_pylist(), top.column("size").to_pylist())))
     shared = spark.sparkContext.broadcast(known)
     looked = stage(texts.mapInArrow(
         _lookup(shared), "row bigint, doc_id bigint, n_words bigint, n_tokens bigint, digest bigint, "
