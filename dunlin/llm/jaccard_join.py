@@ -14,7 +14,8 @@ here is by hash, with shingles of very many groups last.
    group meets another in one row per shingle. Shingles of more than ``COMMON_GROUPS`` groups
    move to the end of the order; prefixes then reach further to the next ones (documents of
    which too few are known are read again: ``_short_prefixes``).
-4. A group pair stays if, for some sizes of its members, the number of shared prefix shingles
+4. The members of a group are split by classes of size. A pair of such parts stays if, for
+   some sizes of its members, the number of shared prefix shingles
    allows an overlap that reaches the threshold, and one of them stands early enough in both
    to be the first. Those that stay are expanded to pairs of members of fitting sizes, which
    pass the same count. Pairs that are left are verified on the whole texts, and links join
@@ -26,6 +27,7 @@ Nothing emits all pairs within a group, and no link between groups is lost.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ WORDS = 5
 PERCENT = 75
 COMMON_GROUPS = 8
 STAR_KEYS = 3
+SIZE_CLASSES = 8  # of the members of a group, from a size to its four thirds
 SLACK = 48  # shingles kept beyond the prefix, to stand in for common ones
 
 _SPACE = np.zeros(256, bool)
@@ -250,42 +253,45 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
     if not short.isEmpty():
         kept = kept.unionByName(_short_prefixes(nodes, read, roots, short, is_common)).groupBy(
             "gram", "doc_id", "n", "grp").agg(F.max("rest").alias("rest"))
-    kept = stage(kept, "prefixes")
+    size_class = F.floor(F.ln("n") * (SIZE_CLASSES / math.log(100 / PERCENT))).cast("int")
+    kept = stage(kept.withColumn("cls", size_class), "prefixes")
     drop_stage(placed)
     meet = stage(_group_pairs(kept), "group-pairs")
     able = stage(_able(meet), "able-pairs")
-    meet = meet.select("gram", "ga", "gb").join(sized(able), ["ga", "gb"])
-    left = kept.select("gram", F.col("grp").alias("ga"), F.col("doc_id").alias("u"), F.col("n").alias("nu"))
-    right = kept.select("gram", F.col("grp").alias("gb"), F.col("doc_id").alias("v"), F.col("n").alias("nv"))
-    pairs = stage(_possible(meet.join(left, ["gram", "ga"]).join(right, ["gram", "gb"])), "pairs")
+    meet = meet.select("gram", "ga", "ca", "gb", "cb").join(sized(able), ["ga", "ca", "gb", "cb"])
+    left = kept.selectExpr("gram", "grp as ga", "cls as ca", "doc_id as u", "n as nu")
+    right = kept.selectExpr("gram", "grp as gb", "cls as cb", "doc_id as v", "n as nv")
+    pairs = stage(_possible(meet.join(left, ["gram", "ga", "ca"]).join(right, ["gram", "gb", "cb"])), "pairs")
     drop_stage(kept)
     return pairs
 
 
 def _group_pairs(kept: DataFrame) -> DataFrame:
-    """A row for each prefix shingle that two groups (ga, gb) of fitting sizes share: their
-    least and largest sizes, and whether the shingle can be the first that two members share.
-    ``rest`` is the number of a set's shingles from this one on, or more."""
-    sides = kept.groupBy("gram", "grp").agg(
+    """A row for each prefix shingle that parts (ca, cb: size classes) of two groups (ga, gb)
+    share, if their sizes fit: the least and largest sizes, and whether the shingle can be the
+    first that two members share. ``rest`` is the number of a set's shingles from this one on,
+    or more."""
+    sides = kept.groupBy("gram", "grp", "cls").agg(
         F.min("n").alias("l"), F.max("n").alias("m"), F.max("rest").alias("r"))
-    a, b = (sides.select("gram", *[F.col(c).alias(d + x) for c, d in (("grp", "g"), ("l", "l"), ("m", "m"), ("r", "r"))])
+    a, b = (sides.selectExpr("gram", f"grp as g{x}", f"cls as c{x}", f"l as l{x}", f"m as m{x}", f"r as r{x}")
             for x in "ab")
     first = F.expr(f"least(ra, rb) * {100 + PERCENT} >= (la + lb) * {PERCENT}")
     return (
         a.join(b, "gram").where(f"ga < gb and ma * 100 >= lb * {PERCENT} and mb * 100 >= la * {PERCENT}")
-        .select("gram", "ga", "gb", "la", "ma", "lb", "mb", first.alias("first")))
+        .select("gram", "ga", "ca", "gb", "cb", "la", "ma", "lb", "mb", first.alias("first")))
 
 
 def _able(meet: DataFrame) -> DataFrame:
-    """Group pairs whose shared prefix shingles leave the threshold possible. As in
+    """Pairs of parts of groups whose shared prefix shingles leave the threshold possible. As in
     ``_possible``, shared + percent * larger must exceed the overlap needed; that is most
     easily so for the smallest member of one and the largest of the other."""
-    pairs = meet.groupBy("ga", "gb").agg(
+    pairs = meet.groupBy("ga", "ca", "gb", "cb").agg(
         F.count(F.lit(1)).alias("shared"), F.max("first").alias("first"), F.min("la").alias("la"),
         F.max("ma").alias("ma"), F.min("lb").alias("lb"), F.max("mb").alias("mb"))
     gain = f"shared * {100 * (100 + PERCENT)} + {PERCENT * PERCENT}"
     return pairs.where(
-        f"first and ({gain} * mb >= {100 * PERCENT} * la or {gain} * ma >= {100 * PERCENT} * lb)").select("ga", "gb")
+        f"first and ({gain} * mb >= {100 * PERCENT} * la or {gain} * ma >= {100 * PERCENT} * lb)").select(
+        "ga", "ca", "gb", "cb")
 
 
 def _possible(met: DataFrame) -> DataFrame:
