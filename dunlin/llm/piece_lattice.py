@@ -227,7 +227,7 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
     counted = stage(
         texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
-        "distinct-words")
+        "distinct-words", compression="zstd")
     words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
     drop_stage(counted)
     coded = words.select("word", "n", F.xxhash64("ids").alias("code"), F.size("ids").alias("size"))
@@ -236,7 +236,7 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     shared = spark.sparkContext.broadcast(known)
     looked = stage(texts.mapInArrow(
         _lookup(shared), "row bigint, doc_id bigint, n_words bigint, n_tokens bigint, digest bigint, "
-        "places array<int>, rest array<string>"), "looked-up")
+        "places array<int>, rest array<string>"), "looked-up", compression="zstd")
     rest = looked.select("row", F.explode(F.arrays_zip("places", "rest")).alias("w")).select(
         "row", F.col("w.places").alias("place"), F.col("w.rest").alias("word"))
     sums = rest.join(coded, "word").select("row", "place", "code", "size").mapInArrow(
