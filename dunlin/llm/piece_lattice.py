@@ -10,7 +10,8 @@ that is no piece is spelt in byte pieces, so decoding gives back every word.
 Only distinct words go through the lattice. Words above ``MAX_WORD`` characters are cut into
 parts of that many, which bounds the edges of a group. Documents meet the encoded words in
 two ways: the most frequent words, a table of bounded size, are sent to every executor; the
-rest of the occurrences join by a shuffle.
+rest of the occurrences join by a shuffle. Both are put back in the order of their places, so
+the ids of a document decode to its words.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dunlin.llm.common import drop_stage, mix, stage
+from dunlin.llm.common import drop_stage, stage
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -144,10 +145,7 @@ def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = (
 def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str = "text") -> DataFrame:
     """``encoded`` with a column of the text its ids spell; marks become spaces. Unknown ids
     and NULL arrays give NULL."""
-    top = max((m[1] for m in model), default=0)
-    by_id = [None] * (top + 1)
-    for m in model:
-        by_id[m[1]] = m[3]
+    by_id = {m[1]: bytes.fromhex(m[3]) for m in model}
     spark = encoded.sparkSession
     spelling = spark.sparkContext.broadcast(by_id)
 
@@ -156,22 +154,21 @@ def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str =
         table = spelling.value
 
         def one(x):
-            if x is None or any(i < 0 or i > top or table[i] is None for i in x):
+            if x is None:
+                return None
+            try:
+                return b"".join([table[i] for i in x.tolist()]).decode(errors="replace").replace(MARK, " ")
+            except KeyError:
                 return None
-            return bytes.fromhex("".join(table[i] for i in x)).decode(errors="replace").replace(MARK, " ")
 
         return column.map(one)
 
     return encoded.withColumn(out, spell(F.col(ids)))
 
 
-def _place(digests: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Digest of a word at a place of its document."""
-    return mix(digests.view(np.uint64) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def _lookup(frequent):
-    """Per document: sums over its frequent words, and a row for each other word."""
+    """Per document: the number of each of its words in the frequent ones, -1 for another word,
+    and these other words in their order."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -179,46 +176,62 @@ def _lookup(frequent):
         table = frequent.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = [[] for _ in range(7)]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+            codes, rest = [], []
+            for text in _texts(batch):
                 words = split_words(text)
-                found = [table.get(w) for w in words]
-                at = [k for k, f in enumerate(found) if f is not None]
-                digests = np.array([found[k][0] for k in at], np.int64)
-                sums = int(np.bitwise_xor.reduce(_place(digests, np.array(at, np.int64))).view(np.int64)) if at else 0
-                rest = [k for k, f in enumerate(found) if f is None]
-                for to, x in zip(out, (row, doc_id, len(words), sum(found[k][1] for k in at), sums, rest,
-                                       [words[k] for k in rest])):
-                    to.append(x)
-                row += 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()))
-            names = ["row", "doc_id", "n_words", "n_tokens", "digest", "places", "rest"]
-            arrays = [pa.array(o, k) for o, k in zip(out, kinds)]
-            arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+                found = np.array([table.get(w, -1) for w in words], np.int32)
+                codes.append(found)
+                rest.append([words[k] for k in np.flatnonzero(found < 0)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row, row + len(codes))), batch.column("doc_id"), pa.array(codes, pa.list_(pa.int32())),
+                 pa.array(rest, pa.list_(pa.binary())).cast(pa.list_(pa.string()))],
+                names=["row", "doc_id", "codes", "rest"])
+            row += len(codes)
 
     return run
 
 
-def _sum_rest(batches):
-    for batch in batches:
-        rows = batch.column("row").to_numpy()
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
-        marks = _place(batch.column("code").to_numpy()[order], batch.column("place").to_numpy()[order])
-        tokens = batch.column("size").to_numpy()[order]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[first]),
-             pa.array(np.bitwise_xor.reduceat(marks, first).view(np.int64) if len(first) else np.zeros(0, np.int64)),
-             pa.array(np.add.reduceat(tokens, first).astype(np.int64) if len(first) else np.zeros(0, np.int64))],
-            names=["row", "digest", "tokens"])
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and the length of each list; NULL is an empty list."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten(), sizes
+
+
+def _put_back(encodings):
+    """Ids of each document: those of its frequent words by their number, those of the others
+    (``more``, in the order of their places) where the number is -1."""
+
+    def run(batches):
+        flat, starts = encodings.value
+        for batch in batches:
+            codes, n_words = _lists(batch.column("codes"))
+            codes = codes.to_numpy(zero_copy_only=False)
+            more, _ = _lists(batch.column("more"))
+            others, other_sizes = _lists(more)
+            rest = codes < 0
+            if len(other_sizes) != rest.sum():
+                raise ValueError(f"{rest.sum()} words, but {len(other_sizes)} encodings")
+            known = np.where(rest, 0, codes)
+            at = starts[known]
+            sizes = starts[known + 1] - at
+            at[rest] = len(flat) + np.cumsum(other_sizes) - other_sizes
+            sizes[rest] = other_sizes
+            ends = np.cumsum(sizes)
+            pool = np.concatenate([flat, others.to_numpy(zero_copy_only=False).astype(np.int32)])
+            ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(at - (ends - sizes), sizes)]
+            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n_words), pa.array(np.diff(edges)),
+                 pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))],
+                names=["doc_id", "n_words", "n_tokens", "ids"])
+
+    return run
 
 
 def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUENT_WORDS) -> tuple[DataFrame, DataFrame]:
     """(documents, words): one row per row of ``docs`` (doc_id, text) with doc_id, n_words
-    (parts of long words counted), n_tokens, ids_digest (64 bits over the ids of each word and
-    its place), and the staged encodings (word, n, ids) of all distinct words.
+    (parts of long words counted), n_tokens, ids (of all its words, in order), and the staged
+    encodings (word, n, ids) of all distinct words.
 
     NULL and empty texts have no words; NULL and repeated doc_ids are passed through row by
     row; extra columns are ignored; an empty table gives no rows.
@@ -230,20 +243,17 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
         "distinct-words", compression="zstd")
     words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
     drop_stage(counted)
-    coded = words.select("word", "n", F.xxhash64("ids").alias("code"), F.size("ids").alias("size"))
-    top = coded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "code", "size").toArrow()
-    known = dict(zip(top.column("word").cast(pa.binary()).to_pylist(), zip(top.column("code").to_pylist(), top.column("size").to_pylist())))
-    shared = spark.sparkContext.broadcast(known)
+    top = words.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
+    numbers = {w: k for k, w in enumerate(top.column("word").cast(pa.binary()).to_pylist())}
+    flat, sizes = _lists(top.column("ids").combine_chunks()) if numbers else (pa.array([], pa.int32()), np.zeros(1, np.int64))
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    encodings = spark.sparkContext.broadcast((flat.to_numpy(zero_copy_only=False).astype(np.int32), starts))
     looked = stage(texts.mapInArrow(
-        _lookup(shared), "row bigint, doc_id bigint, n_words bigint, n_tokens bigint, digest bigint, "
-        "places array<int>, rest array<string>"), "looked-up", compression="zstd")
-    rest = looked.select("row", F.explode(F.arrays_zip("places", "rest")).alias("w")).select(
-        "row", F.col("w.places").alias("place"), F.col("w.rest").alias("word"))
-    sums = rest.join(coded, "word").select("row", "place", "code", "size").mapInArrow(
-        _sum_rest, "row bigint, digest bigint, tokens bigint").groupBy("row").agg(
-        F.bit_xor("digest").alias("more_digest"), F.sum("tokens").alias("more_tokens"))
-    out = looked.drop("places", "rest").join(sums, "row", "left").select(
-        "doc_id", "n_words", (F.col("n_tokens") + F.coalesce("more_tokens", F.lit(0))).alias("n_tokens"),
-        F.col("digest").bitwiseXOR(F.coalesce("more_digest", F.lit(0))).alias("ids_digest"))
-    return out, words
-
+        _lookup(spark.sparkContext.broadcast(numbers)), "row bigint, doc_id bigint, codes array<int>, rest array<string>"),
+        "looked-up", compression="zstd")
+    rest = looked.select("row", F.posexplode("rest").alias("place", "word"))
+    more = rest.join(words.select("word", "ids"), "word").groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("more"))
+    out = looked.select("row", "doc_id", "codes").join(more, "row", "left").select(
+        "doc_id", "codes", F.coalesce("more.ids", F.array().cast("array<array<int>>")).alias("more"))
+    return out.mapInArrow(_put_back(encodings), "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>"), words

@@ -198,8 +198,10 @@ def op8_nearest(spark, sf_dir):
 
 @query()
 def op9_piece_lattice(spark, sf_dir):
-    docs, _ = piece_lattice.encode_documents(table(spark, sf_dir, "documents"), piece_lattice.read_model(PIECES))
-    return docs
+    model = piece_lattice.read_model(PIECES)
+    docs, _ = piece_lattice.encode_documents(table(spark, sf_dir, "documents"), model)
+    return piece_lattice.decode(docs, model).select(
+        "doc_id", "n_words", "n_tokens", F.xxhash64("ids").alias("ids_digest"), F.sha2("text", 256).alias("text_sha256"))
 
 
 @query("""

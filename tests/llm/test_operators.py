@@ -321,6 +321,33 @@ def test_lattice_equals_viterbi_and_decodes(spark, frame):
     assert piece_lattice.encode_documents(frame([]), model)[0].collect() == []
 
 
+def test_lattice_gives_and_decodes_the_ids_of_each_document(spark, frame):
+    model = piece_lattice.read_model(queries.PIECES)
+    rng = random.Random(9)
+    rows = [(None, "no id here"), (1, None), (2, ""), (3, " \n"), (4, "one"), (5, "\U0001F9FF naïve"), (6, "word " * 3000),
+            *((k, random_text(rng, 50)) for k in range(10, 30))]
+    for frequent in (0, 5, 1000):
+        docs, words = piece_lattice.encode_documents(frame(rows), model, frequent=frequent)
+        coded = {r.word: r.ids for r in words.collect()}
+        got = {r.doc_id: r for r in piece_lattice.decode(docs, model).collect()}
+        for doc_id, text in rows:
+            parts = ["▁" + w for w in (text or "").split()]
+            r = got[doc_id]
+            assert (r.n_words, r.n_tokens, r.ids) == (len(parts), len(r.ids), [i for p in parts for i in coded[p]])
+            assert r.text == "".join(parts).replace("▁", " ")
+    odd = spark.createDataFrame([(None,), ([-1],), ([10**6],), ([],)], "ids array<int>")
+    assert [r.text for r in piece_lattice.decode(odd, model).collect()] == [None, None, None, ""]
+
+
+def test_lattice_query_decodes_the_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = queries.QUERIES["op9_piece_lattice"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        spelt = b"".join(b" " + w for w in (texts[r.doc_id] or "").encode().split())
+        assert r.text_sha256 == hashlib.sha256(spelt).hexdigest()
+
+
 def test_exact_dedup_and_index(spark, frame):
     rows = [*ODD, (20, "a  b\tc d e f g"), (19, "a b c d e f g "), (None, "one")]
     index = digest_index.DigestIndex(spark, buckets=4)
