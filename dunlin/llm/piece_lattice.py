@@ -7,8 +7,9 @@ the order of their ends, with the higher-order function ``aggregate`` (Viterbi).
 has the largest sum of scores; of equal sums the one whose last piece is longer. A character
 that is no piece is spelt in byte pieces, so decoding gives back every word.
 
-Only distinct words go through the lattice. Words above ``MAX_WORD`` characters are cut into
-parts of that many, which bounds the edges of a group. Documents meet the encoded words in
+Only distinct words go through the lattice. Words above ``MAX_WORD`` characters are folded
+whole by the same rule where they are (``best_path``), since their edges would make groups
+without a bound. Documents meet the encoded words in
 two ways: the most frequent words, a table of bounded size, are sent to every executor; the
 rest of the occurrences join by a shuffle. Both are put back in the order of their places, so
 the ids of a document decode to its words.
@@ -26,7 +27,7 @@ from dunlin.llm.common import drop_stage, stage
 
 MARK = "▁"
 _MARK = MARK.encode()
-MAX_WORD = 64
+MAX_WORD = 64  # longest word whose edges are grouped
 FREQUENT_WORDS = 200_000
 COUNTED_WORDS = 500_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
@@ -54,16 +55,8 @@ def piece_table(spark: SparkSession, model: list[tuple]) -> DataFrame:
 
 
 def split_words(text: bytes | None) -> list[bytes]:
-    """Words of a text, each with its mark, long ones in parts; NULL and empty texts have none."""
-    out = []
-    for w in (text or b"").split():  # ASCII white space
-        if len(w) < MAX_WORD:
-            out.append(_MARK + w)
-        else:
-            whole = MARK + w.decode(errors="replace")
-            cut = range(0, len(whole) if len(whole) > MAX_WORD else 1, MAX_WORD)
-            out.extend(whole[k:k + MAX_WORD].encode() for k in cut)
-    return out
+    """Words of a text, each with its mark; NULL and empty texts have none."""
+    return [_MARK + w for w in (text or b"").split()]  # ASCII white space
 
 
 def _texts(batch) -> list[bytes | None]:
@@ -101,12 +94,46 @@ _STEP = """
 _STATE = "struct<done:array<struct<score:double,back:int,ids:array<int>>>,now:struct<score:double,back:int,ids:array<int>>>"
 
 
+def best_path(word: str, pieces: dict[str, tuple[int, float]], longest: int, unknown: float,
+              spelling: dict[int, int]) -> list[int]:
+    """Ids of the best path of a word of any length; time and memory grow with its length."""
+    scores, back = [0.0], [0]
+    for stop in range(1, len(word) + 1):
+        best, start = None, 0
+        for k in range(max(0, stop - longest), stop):  # of equal sums the longer last piece
+            edge = pieces.get(word[k:stop])
+            if edge is not None or k == stop - 1:
+                score = scores[k] + (unknown if edge is None else edge[1])
+                if best is None or score > best:
+                    best, start = score, k
+        scores.append(best)
+        back.append(start)
+    out, stop = [], len(word)
+    while stop:
+        start = back[stop]
+        edge = pieces.get(word[start:stop])
+        out.append([edge[0]] if edge else [spelling[b] for b in word[start:stop].encode()] if spelling else [0])
+        stop = start
+    return [i for ids in reversed(out) for i in ids]
+
+
+def _fold_long(shared, names: list[str]):
+    def run(batches):
+        for batch in batches:
+            ids = [best_path(w, *shared.value) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(ids, pa.list_(pa.int32()))], names=[*names, "ids"])
+
+    return run
+
+
 def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = ()) -> DataFrame:
-    """(word, *keep, ids) of a frame of distinct words (word), each at most MAX_WORD characters
-    and not empty. The piece table is broadcast; its size is that of the vocabulary.
+    """(word, *keep, ids) of a frame of distinct words (word), none of them empty. The piece
+    table is broadcast; its size is that of the vocabulary.
 
     Only the words are shuffled, into as many parts as their number asks for; a part's
-    substrings are exploded, joined and grouped where they are, and fit in memory."""
+    substrings are exploded, joined and grouped where they are, and fit in memory. Words above
+    MAX_WORD characters are dealt into parts by their characters instead."""
     spark = words.sparkSession
     table = piece_table(spark, model)
     pieces = table.where("byte is null").select("piece", F.array("id").alias("ids"), "score")
@@ -118,9 +145,11 @@ def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = (
         F.sequence(F.lit(1), F.length(F.hex("piece")), F.lit(2)),
         lambda k: byte_ids[F.substring(F.hex("piece"), k, F.lit(2))]) if byte_ids is not None else F.array(F.lit(0))
     staged = words if hasattr(words, "_staged_at") else stage(words.select("word", *keep), "words")
-    parts = max(1, -(-staged.count() // PART_WORDS))
+    is_long = F.length("word") > MAX_WORD
+    n, long_chars = staged.agg(F.count(F.lit(1)), F.sum(F.when(is_long, F.length("word")))).first()
+    parts = max(1, -(-n // PART_WORDS))
     subs = (
-        staged.select("word", *keep).repartition(parts, "word")
+        staged.select("word", *keep).where(~is_long).repartition(parts, "word")
         .select("word", *keep, F.explode(F.expr("sequence(0, length(word) - 1)")).alias("start"))
         .select("word", *keep, "start", F.explode(F.expr(
             f"sequence(1, least({longest}, length(word) - start))")).alias("size"))
@@ -139,7 +168,15 @@ def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = (
                 named_struct('at', -element_at(best, i + 1).back, 'ids', concat(element_at(best, i + 1).ids, s.ids)), s),
             s -> s.ids)
     """)
-    return edges.select("word", *keep, path.alias("best")).select("word", *keep, ids.alias("ids"))
+    short = edges.select("word", *keep, path.alias("best")).select("word", *keep, ids.alias("ids"))
+    if not long_chars:
+        return short
+    shared = spark.sparkContext.broadcast((
+        {m[0]: (m[1], m[2]) for m in model if m[4] is None}, longest, unknown, {m[4]: m[1] for m in model if m[4] is not None}))
+    names = ["word", *keep]
+    whole = staged.select(*names).where(is_long).repartition(max(1, -(-long_chars // (PART_WORDS * MAX_WORD))), "word")
+    kinds = ", ".join(f"{c} {staged.schema[c].dataType.simpleString()}" for c in names)
+    return short.unionByName(whole.mapInArrow(_fold_long(shared, names), f"{kinds}, ids array<int>"))
 
 
 def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str = "text") -> DataFrame:
@@ -229,9 +266,9 @@ def _put_back(encodings):
 
 
 def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUENT_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(documents, words): one row per row of ``docs`` (doc_id, text) with doc_id, n_words
-    (parts of long words counted), n_tokens, ids (of all its words, in order), and the staged
-    encodings (word, n, ids) of all distinct words.
+    """(documents, words): one row per row of ``docs`` (doc_id, text) with doc_id, n_words,
+    n_tokens, ids (of all its words, in order), and the staged encodings (word, n, ids) of all
+    distinct words.
 
     NULL and empty texts have no words; NULL and repeated doc_ids are passed through row by
     row; extra columns are ignored; an empty table gives no rows.
@@ -243,7 +280,7 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
         "distinct-words", compression="zstd")
     words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
     drop_stage(counted)
-    top = words.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
+    top = words.where(F.length("word") <= MAX_WORD).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
     numbers = {w: k for k, w in enumerate(top.column("word").cast(pa.binary()).to_pylist())}
     flat, sizes = _lists(top.column("ids").combine_chunks()) if numbers else (pa.array([], pa.int32()), np.zeros(1, np.int64))
     starts = np.concatenate([[0], np.cumsum(sizes)])

@@ -348,6 +348,42 @@ def test_lattice_query_decodes_the_whole_table(spark):
         assert r.text_sha256 == hashlib.sha256(spelt).hexdigest()
 
 
+def test_lattice_of_long_words_equals_viterbi_over_the_whole_word(frame):
+    model = piece_lattice.read_model(queries.PIECES)
+    pieces = {m[0]: (m[1], m[2]) for m in model if m[4] is None}
+    spelt = {m[4]: m[1] for m in model if m[4] is not None}
+    unknown = min(s for _, s in pieces.values() if s > -1e8) + piece_lattice.UNKNOWN
+
+    def viterbi(word):
+        best = [(0.0, 0, [])]
+        for i in range(1, len(word) + 1):
+            best.append(max(
+                (best[j][0] + (pieces[word[j:i]][1] if word[j:i] in pieces else unknown), -j,
+                 [pieces[word[j:i]][0]] if word[j:i] in pieces else [spelt[b] for b in word[j:i].encode()])
+                for j in range(max(0, i - 20), i) if word[j:i] in pieces or j == i - 1))
+        ids, i = [], len(word)
+        while i:
+            ids, i = best[i][2] + ids, -best[i][1]
+        return ids
+
+    rng = random.Random(10)
+    letters = "theandingationé\U0001F9FFß漢字/=-"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (62, 63, 64, 65, 127, 128, 500, 4000)]
+    texts += ["https://example.com/" + "information" * 300, "x" * 150, "international" * 5 + " " + "international" * 50]
+    assert max(len(m[0]) for m in model if m[4] is None) <= 20
+    docs, words = piece_lattice.encode_documents(frame(list(enumerate(texts))), model, frequent=3)
+    coded = {r.word: r.ids for r in words.collect()}
+    assert coded == {"▁" + w: viterbi("▁" + w) for text in texts for w in text.split()}
+    for r in piece_lattice.decode(docs, model).collect():
+        parts = texts[r.doc_id].split()
+        assert (r.n_words, r.ids) == (len(parts), [i for w in parts for i in coded["▁" + w]])
+        assert r.text == "".join(" " + w for w in parts)
+    short = [w for w in ("▁" + w for t in texts for w in random_text(rng, 30).split())]
+    known = {r.word: r.ids for r in piece_lattice.encode_documents(frame([(1, " ".join(w[1:] for w in short))]), model)[1].collect()}
+    assert all(piece_lattice.best_path(w, pieces, 20, unknown, spelt) == known[w] for w in short)
+    assert piece_lattice.encode_documents(frame([]), model)[0].collect() == []
+
+
 def test_exact_dedup_and_index(spark, frame):
     rows = [*ODD, (20, "a  b\tc d e f g"), (19, "a b c d e f g "), (None, "one")]
     index = digest_index.DigestIndex(spark, buckets=4)
