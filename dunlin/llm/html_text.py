@@ -2,9 +2,9 @@
 
 For every node of a page's tree: characters per tag, adjusted by the share of link text. A
 node's density sum adds the densities of its children; the node with the largest sum is the
-core of the article. Nodes beside the path from the core to the root of the content (the
-``article`` around the core, else ``main`` or ``body``) belong to the text if they are at
-least as dense as the thinnest node on that path; inside an ``article`` the whole of it does.
+core of the text, in an ``article`` or not. Nodes beside the path from the core to ``body``
+belong to the text if they are at least as dense as the thinnest node on that path, or are
+headings, paragraphs or quotes; all below a kept node is kept.
 
 Navigation, headers, footers, sidebars, forms, adverts, notices, reader comments, scripts and
 styles never count: they are known by element, role, or a word of class or id, and lists that
@@ -171,25 +171,18 @@ def main_text(source: str | None) -> str:
     for i in range(n):
         if leaf[i]:
             sums[i] = dense[i]
-    inside = [False] * n  # of an article, or of main if the page has no article with text
-    for name in ("article", "main", "body", "#root"):
-        for i in range(n):
-            inside[i] = not page.drop[i] and (page.tag[i] == name or i > 0 and inside[page.parent[i]])
-        if any(inside[i] and chars[i] for i in range(n)):
-            break
-    core = max((i for i in range(n) if inside[i]), key=lambda i: (sums[i], -i))
+    core = max((i for i in range(n) if not page.drop[i]), key=lambda i: (sums[i], -i))
     path = [core]
-    while path[-1] and page.tag[path[-1]] not in ("article", "main", "body"):
+    while path[-1] and page.tag[path[-1]] != "body":
         path.append(page.parent[path[-1]])
     keep = [False] * n
     on_path = set(path)
     least = min(dense[i] for i in path)
-    whole = page.tag[path[-1]] == "article"
     for i in range(n):
         if page.drop[i]:
             continue
         up = page.parent[i]
-        if i == core or whole and i == path[-1] or i and keep[up]:
+        if i == core or i and keep[up]:
             keep[i] = True
         elif up in on_path and i not in on_path and chars[i]:
             keep[i] = dense[i] >= least or page.tag[i] in ("h1", "h2", "h3", "p", "pre", "blockquote")

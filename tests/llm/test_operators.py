@@ -255,6 +255,28 @@ def test_main_text(spark):
     assert [r.n_chars for r in got] == [0, 20_000 + 2 * 19_999, 1, 1]
 
 
+def test_main_text_by_density_with_and_without_articles():
+    long = [f"This is sentence number {k} of the story, which has a good many words and no links at all in it." for k in range(8)]
+    paragraphs = ["<p>" + s + "</p>" for s in long]
+    menu = "<ul>" + "".join(f"<li><a href={k}>entry {k}</a></li>" for k in range(9)) + "</ul>"
+    whole = "\n\n".join(long)
+    body = "".join(paragraphs)
+    half, rest = "".join(paragraphs[:4]), "".join(paragraphs[4:])
+    # no article
+    assert html_text.main_text(f"<body>{menu}<div id=content>{body}</div>{menu}</body>") == whole
+    # a teaser in an article of its own, before or after the text
+    teaser = "<article><a href=x>Read more</a> <a href=y>here</a></article>"
+    assert html_text.main_text(f"<body>{teaser}<div id=content>{body}</div></body>") == whole
+    assert html_text.main_text(f"<body><div id=content>{body}</div>{teaser}</body>") == whole
+    # several parts, and a title beside the article
+    assert html_text.main_text(f"<body>{menu}<article>{half}</article><article>{rest}</article></body>") == whole
+    assert html_text.main_text(f"<body><main><h1>Title</h1><article>{half}</article><article>{rest}</article></main></body>") == "Title\n\n" + whole
+    assert html_text.main_text(f"<body><main><h1>Title</h1><article>{body}</article></main>{menu}</body>") == "Title\n\n" + whole
+    # the threshold holds inside an article too
+    links = "<div>" + "".join(f"<span><a href={k}>x{k}</a></span>" for k in range(2)) + "</div>"
+    assert html_text.main_text(f"<body><article><div>{body}</div>{links}</article></body>") == whole
+
+
 def test_main_text_of_the_given_pages(spark):
     for page in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
         body = page.html.split("<article>")[1].split("</article>")[0]
