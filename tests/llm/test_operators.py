@@ -309,6 +309,25 @@ def test_nearest_recall_ties_and_odd_vectors(spark):
     assert rp_forest.nearest(base.where("false"), base).collect() == []
 
 
+def test_nearest_recall_at_the_defaults_above_the_floor(spark):
+    """More rows than ``least_rows``, so that the plain share of the forest is searched."""
+    x = np.random.default_rng(11).standard_normal((12_000, 24))
+    base = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id bigint, vector array<double>")
+    got = rp_forest.nearest(base, base.where("id % 50 = 0")).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found, hits = {}, 0
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+        assert abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-12
+    assert sorted(found) == list(range(0, 12_000, 50))
+    for q, near in found.items():
+        scores = unit @ unit[q]
+        scores[q] = -9
+        hits += len(near & set(np.argsort(-scores)[:5].tolist()))
+    print("recall", hits / (5 * len(found)))
+    assert hits >= 0.9 * 5 * len(found)
+
+
 def test_lattice_equals_viterbi_and_decodes(spark, frame):
     model = piece_lattice.read_model(queries.PIECES)
     pieces = {m[0]: (m[1], m[2]) for m in model if m[4] is None}
