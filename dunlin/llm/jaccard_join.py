@@ -37,6 +37,7 @@ from dunlin.llm.common import (
     drop_stage, mix, piece_hash, prefix_sums, sized, stage, text_blocks,
 )
 from dunlin.llm.components import components
+from dunlin.operators.percentiles import global_row_number
 
 WORDS = 5
 PERCENT = 75
@@ -107,7 +108,7 @@ def _prefix(n):
     return n - -(-n * PERCENT // 100) + 1
 
 
-def _signer(slack: int):
+def _signer(slack: int, keep_text: bool = False):
     def run(batches):
         for batch in batches:
             sizes, high, low, firsts = [], [], [], []
@@ -120,10 +121,12 @@ def _signer(slack: int):
                 firsts.append((s[:_prefix(n) + n // 50 + slack] >> np.uint64(16)).astype(np.int64))
             offsets = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             values = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
+            last = ("text", batch.column("text")) if keep_text else (
+                "firsts", pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
-                names=["doc_id", "n", "d1", "d2", "firsts"])
+                 pa.array(low, pa.int64()), last[1]],
+                names=["doc_id", "n", "d1", "d2", last[0]])
 
     return run
 
@@ -324,6 +327,34 @@ def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short:
         "gram", "doc_id", "n", "grp", F.col("n").alias("rest")))
 
 
+def _own_nodes(linked: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``linked`` and ``read`` with a doc_id of its own for each set of an id that has several,
+    and the staged (node, doc_id) of the new ones: None if no id has several. The least set of
+    an id keeps it; the new ids lie beyond all given ones."""
+    digest = F.struct("d1", "d2", "n")
+    several = stage(linked.groupBy("doc_id").agg(F.min(digest).alias("a"), F.max(digest).alias("b")).where("a <> b")
+                    .select("doc_id", "a"), "several-sets")
+    if several.isEmpty():
+        return linked, read, None
+    more = stage(linked.select("doc_id", "d1", "d2", "n").join(several, "doc_id").where(digest != F.col("a"))
+                 .drop("a").distinct(), "more-sets")
+    low, high = linked.agg(F.min("doc_id"), F.max("doc_id")).first()
+    base = high if high + more.count() < 1 << 63 else low - more.count() - 1
+    numbered = global_row_number(more.withColumn("tie", digest), "doc_id", "tie", "nth")
+    nodes = stage(numbered.withColumn("node", F.col("nth") + F.lit(base).cast("bigint")).drop("nth", "tie"), "more-nodes")
+    key = ["doc_id", "d1", "d2", "n"]
+
+    def renamed(df, column):
+        return df.join(nodes, key, "left").select(
+            F.coalesce("node", "doc_id").alias("doc_id"), *[c for c in key[1:] if column != "text"], column)
+
+    ids = _as(several, "doc_id")
+    signed = read.join(ids, "doc_id", "left_semi").mapInArrow(
+        _signer(0, keep_text=True), "doc_id bigint, n bigint, d1 bigint, d2 bigint, text string")
+    whole = stage(renamed(signed.where("n > 0"), "text"), "several-texts", compression="zstd")
+    return renamed(linked, "firsts"), read.join(ids, "doc_id", "left_anti").unionByName(whole), nodes.select("node", "doc_id")
+
+
 def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -337,19 +368,26 @@ def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
     """
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
     signed = stage(signatures(texts), "signatures", compression="zstd")
-    linked = signed.where("n > 0 and doc_id is not null")
+    linked, read, more = _own_nodes(
+        signed.where("n > 0 and doc_id is not null"), texts.where("text is not null and doc_id is not null"))
     first = linked.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     copies = stage(
         linked.select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).where("doc_id <> rep")
         .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
     away = _as(copies, F.col("u").alias("doc_id"))
     nodes = linked.select("doc_id", "n", "firsts").join(away, "doc_id", "left_anti")
-    read = texts.where("text is not null and doc_id is not null")
     stars = stage(_star_pairs(nodes, STAR_KEYS), "star-pairs")
     edges = stage(verify(read, stars), "star-links").unionByName(copies)
+    if more is not None:
+        edges = edges.unionByName(more.select(F.col("node").alias("u"), F.col("doc_id").alias("v")))
     pairs = _candidates(nodes, read, _components(edges), common)
     links = stage(verify(read, pairs), "links")
     final = _components(edges.unionByName(links))
+    if more is not None:  # the smallest of the given ids
+        given = final.join(more, final.id == more.node, "left_anti")
+        least = given.unionByName(given.selectExpr("root as id", "root").join(more, F.col("root") == more.node, "left_anti")).groupBy(
+            "root").agg(F.min("id").alias("least"))
+        final = stage(given.join(least, "root").select("id", F.col("least").alias("root")), "given-roots")
     out = signed.select("doc_id", F.col("n").alias("n_shingles"))
     return _with_root(out, "doc_id", final, "component_id").select("doc_id", "n_shingles", "component_id")
 

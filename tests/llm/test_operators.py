@@ -139,6 +139,30 @@ def test_near_duplicates_equal_all_pairs(frame, common):
     assert jaccard_join.near_duplicates(frame([])).collect() == []
 
 
+def test_near_duplicates_of_ids_with_several_texts(frame):
+    rng = random.Random(12)
+
+    def text(n=60):
+        return [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+
+    def near(words):
+        return [*words[:-1], f"z{rng.randint(0, 10**6)}"]
+
+    rows = []
+    for k in range(0, 1000, 100):  # ten times, so that either text of 5 is the one with the smaller digest
+        a, b = text(), text()
+        rows += [(k + 3, a), (k + 5, a), (k + 5, b), (k + 9, b), (k + 11, near(b)), (k + 20, text())]
+        c, d, e = text(), text(), text()  # near copies of each of three texts of one id
+        rows += [(k + 30, c), (k + 30, d), (k + 30, e), (k + 31, near(c)), (k + 32, near(d)), (k + 33, near(e)), (k + 30, d)]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(40, ""), (40, "a b c d e f g"), (41, "a b c d e f g"), (40, None)]
+    for top in (5000, 2**63 - 1):
+        some = [*rows, (top, "one text of the last id"), (top, rows[2][1])]
+        want, _ = brute_components(some)
+        got = jaccard_join.near_duplicates(frame(some)).collect()
+        assert len(got) == len(some)
+        assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i]) for i, _ in some}
+
+
 def test_components_of_a_chain(spark):
     edges = [(k, k + 1) for k in range(50)] + [(70, 60), (60, 70), (80, 80)]
     got = dict(components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())
