@@ -17,7 +17,7 @@ from dunlin.functions.dates import as_date, day_diff, prev_month
 from dunlin.functions.labels import map_outcome
 from dunlin.functions.text import email_domain, strip_suffix
 from dunlin.operators.aggregates import any_flag, distinct_flags, sum_where
-from dunlin.operators.joins import asof_join, assemble, match_reversals, semi
+from dunlin.operators.joins import asof_join, assemble, match_by_reference, match_reversals, semi
 from dunlin.operators.sets import union_distinct
 from dunlin.operators.slices import Hot, find_hot
 from dunlin.operators.windows import backfill_two_stage, prev_value
@@ -91,7 +91,7 @@ def last_touch(
 def message_attribution(
     events: DataFrame, payments: DataFrame, reversals: DataFrame, as_of, replay_days: int = 60,
     stored: DataFrame | None = None, pay_days: int = 15, reversal_days: int = 45,
-    codes: Codes = CODES,
+    codes: Codes = CODES, referenced: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per message id with its outcome, responses and attributed payments.
 
@@ -100,6 +100,9 @@ def message_attribution(
     * payments go to the last opened message within ``pay_days`` and are netted by the
       absolute amount of a reversal within ``reversal_days`` after them; they count only for
       opened messages
+    * ``referenced`` (payments, reversals) of a second source carry a ``reference``: its
+      payments are attributed in the same way and netted by the absolute amount of the
+      reversals with the same account and reference under another ``payment_id``
     * ``stored`` (the report so far) contributes earlier first-send dates
 
     All event-type aggregates come from one pass over the events of those ids instead of one
@@ -147,14 +150,21 @@ def message_attribution(
     paid = payments.where(F.col("amount") > 0)
     # large accounts, counted once on the sources: every step below only narrows their rows
     sources = opened_log.select(*keys).unionByName(paid.select(*keys))
+    if referenced is not None:
+        paid_by_ref = referenced[0].where(F.col("amount") > 0)
+        sources = sources.unionByName(paid_by_ref.select(*keys))
     hot = find_hot(sources.unionByName(reversals.select(*keys)), keys)
     touched = last_touch(paid, opens, keys, "pay_date", "ts", "guid", pay_days, hot)
     netted = match_reversals(
         touched, reversals, keys, "amount", "pay_date", "pay_date", reversal_days, hot
     )
-    pays = netted.groupBy("guid").agg(
-        F.sum(F.col("amount") - F.coalesce("reversed_amount", F.lit(0))).alias("paid")
-    )
+    net = (F.col("amount") - F.coalesce("reversed_amount", F.lit(0))).alias("net")
+    netted = netted.select("guid", net)
+    if referenced is not None:
+        by_ref = last_touch(paid_by_ref, opens, keys, "pay_date", "ts", "guid", pay_days, hot)
+        netted = netted.unionByName(match_by_reference(
+            by_ref, referenced[1], keys, "reference", "payment_id", "amount").select("guid", net))
+    pays = netted.groupBy("guid").agg(F.sum("net").alias("paid"))
 
     zero = lambda col: F.coalesce(F.col(col), F.lit(0))
     opened = zero("total_opens") > 0

@@ -106,6 +106,24 @@ def test_attribution_reversal_is_subtracted_whatever_its_sign(spark):
     assert rows(attribute(spark, events, pays, revs), "payments") == [(3.0,)]
 
 
+def test_attribution_of_a_second_source_netted_by_reference(spark):
+    events = [message("a", "2024-01-01 08:00", 10), message("a", "2024-01-01 09:00", 5),
+              message("b", "2024-01-20 08:00", 10), message("b", "2024-01-20 09:00", 5)]
+    by_ref = spark.createDataFrame([
+        (1, 1, 2, day("2024-01-02"), 100.0, "r1"), (2, 1, 2, day("2024-01-03"), 50.0, "r2"),
+        (3, 1, 2, day("2024-01-21"), 9.0, "r3"), (4, 1, 2, day("2024-01-22"), 8.0, None),
+        (5, 1, 2, day("2024-02-20"), 70.0, "r5"), (6, 1, 2, day("2024-01-21"), -3.0, "r6")], PAY + ", reference string")
+    back = spark.createDataFrame([
+        (11, 1, 2, -30.0, "r1"),  # another amount than the payment
+        (2, 1, 2, -50.0, "r2"),   # the payment's own id
+        (12, 7, 2, -9.0, "r3"),   # another account
+        (13, 1, 2, -8.0, None)], "payment_id int, account int, crm int, amount double, reference string")
+    out = attribute(spark, events, [(1, 1, 2, day("2024-01-04"), 10.0)], [(1, 2, day("2024-01-12"), 4.0)], referenced=(by_ref, back))
+    assert rows(out, "guid", "payers", "payments") == [("a", 1, 130.0), ("b", 1, 17.0)]
+    alone = attribute(spark, events, [], referenced=(by_ref, back))
+    assert rows(alone, "guid", "payments") == [("a", 120.0), ("b", 17.0)]
+
+
 def test_attribution_clicks_scrubs_and_replay(spark):
     events = [message("a", "2024-01-20 08:00", 10), message("a", "2024-01-20 09:00", 12, n=3), message("a", "2024-01-21 09:00", 6),
               message("b", "2024-01-20 08:00", 8, detail="Hard Bounce"), message("b", "2024-01-20 09:00", 12, n=2),
