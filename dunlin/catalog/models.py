@@ -52,8 +52,7 @@ def _model(known, lookups):
     rows = known
     for c, table in lookups.items():
         rows = rows.join(table.select(c, f"{c}_level"), c, "left")
-    return scoring.train_score_model(cut_lineage(rows.select(*FEATURES, "quality")), "quality", FEATURES,
-                                     rounds=5, depth=3)
+    return scoring.train_score_model(cut_lineage(rows.select(*FEATURES, "quality")), "quality", FEATURES)
 
 
 @query()

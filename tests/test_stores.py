@@ -215,3 +215,27 @@ def test_stream_contact_cap_of_late_rows(spark, tmp_path):
     got = rows(drain(spark, tmp_path, stream), "id")
     batch = spark.createDataFrame(sum(batches, []), "id bigint, customer bigint, at timestamp")
     assert got == rows(contact_frequency_exceptions(batch, "customer", "at", "id", k=3, days=2), "id") == [(2,), (3,), (6,)]
+
+
+def test_the_queries_train_the_full_model(spark):
+    """With few distinct feature rows, 200 rounds of depth 6 converge to the mean label of each."""
+    import random
+
+    from dunlin.catalog import models
+
+    rng = random.Random(13)
+    rows, cells = [], {}
+    for cell in [(lang, source, n) for lang in "abc" for source in "xy" for n in (10, 20, 30)]:
+        labels = [rng.randint(0, 1) for _ in range(rng.randint(3, 9))]
+        cells[cell] = sum(labels) / len(labels)
+        rows += [(*cell, q) for q in labels]
+    known = spark.createDataFrame(rows, "lang string, source string, n_chars int, quality int")
+    lookups = {c: spark.createDataFrame([(v, k + 1) for k, v in enumerate(values)], f"{c} string, {c}_level int")
+               for c, values in (("lang", "abc"), ("source", "xy"))}
+    model = models._model(known, lookups)
+    trees = model.stages[-1]
+    assert (trees.getNumTrees, trees.getOrDefault("maxDepth")) == (200, 6)
+    typed = known.drop("quality").distinct().withColumn("n", F.col("n_chars")).join(lookups["lang"], "lang").join(lookups["source"], "source")
+    got = scoring.score_model(typed, model, models.FEATURES, ["lang", "source", "n"]).collect()
+    assert len(got) == len(cells)
+    assert all(abs(r.score - cells[r.lang, r.source, r.n]) < 1e-4 for r in got)
