@@ -38,7 +38,7 @@ def test_stages_keep_columns_and_drop_what_they_should(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df = queries.QUERIES[name](spark, DATA)
     columns = ", ".join(sorted(df.columns))
