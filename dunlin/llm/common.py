@@ -40,6 +40,11 @@ def stage(df: DataFrame, name: str, **options) -> DataFrame:
     return out
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def staged_bytes(df: DataFrame) -> int:
     """Bytes of the files of a frame returned by ``stage``."""
     jvm = df.sparkSession._jvm
