@@ -7,8 +7,10 @@ belong to the text if they are at least as dense as the thinnest node on that pa
 headings, paragraphs or quotes; all below a kept node is kept.
 
 Navigation, headers, footers, sidebars, forms, adverts, notices, reader comments, scripts and
-styles never count: they are known by element, role, or a word of class or id, and lists that
-are nearly all links are menus.
+styles never count: they are known by element, role, or the name in a class or id, and lists
+outside an article that are nearly all links are menus. A name is a whole token ("sidebar", not
+"has-sidebar") or the first or last part of one ("site-footer"); it does not count on a node
+that holds most of the page's text, unless an article stands elsewhere.
 """
 
 from __future__ import annotations
@@ -48,35 +50,79 @@ _SCOPE = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "tr", "div", "ar
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
 
 
-def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
+#: A first part that says what a node has or is like, not what it is.
+_ABOUT = {"has", "with", "no", "without", "is", "not", "hide", "show", "below", "above", "before", "after"}
+_TITLES = {"header", "masthead", "banner"}  # inside an article they hold its title
+
+
+def _named(token: str, in_article: bool) -> bool:
+    """Whether a token of a class or id names a part that is no main text."""
+    parts = [p for p in re.split(r"[^a-z]+", token) if p]
+    if not parts or parts[0] in _ABOUT:
+        return False
+    return any(p in _NAMES and not (in_article and p in _TITLES) for p in (parts[0], parts[-1]))
+
+
+_HARD, _SOFT = 1, 2
+
+
+def _dropped(tag: str, attrs: str, in_article: bool) -> int:
+    """_HARD: dropped by element or role; _SOFT: by a name; 0: not dropped."""
     if tag in _DROP and not (tag == "header" and in_article):
-        return True
+        return _HARD
     if not attrs.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    soft = 0
     for m in _ATTR.finditer(attrs):
         name, value = (m[1] or m[5]).lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "role" and value in _ROLES or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and not _NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return not (in_article and "header" in value and tag == "header")
-    return False
+            return _HARD
+        if name in ("class", "id") and any(_named(t, in_article) for t in value.split()):
+            soft = _SOFT
+    return soft
+
+
+class _Open:
+    """The open elements. Places of the innermost element of each kind, and of the innermost
+    one that bounds a search, are kept, so that a tag costs the same at any depth."""
+
+    def __init__(self):
+        self.nodes, self.tags, self.scopes = [0], ["#root"], [0]
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, node: int, tag: str) -> None:
+        place = len(self.nodes)
+        self.at.setdefault(tag, []).append(place)
+        self.scopes.append(place if tag in _SCOPE else self.scopes[-1])
+        self.nodes.append(node)
+        self.tags.append(tag)
+
+    def close(self, tags, bounded: bool) -> None:
+        """End the innermost element of ``tags`` and all inside it, if there is one (bounded:
+        within the innermost scope)."""
+        place = max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+        if place and (not bounded or place >= self.scopes[-1]):
+            for tag in self.tags[place:]:
+                self.at[tag].pop()
+            del self.nodes[place:], self.tags[place:], self.scopes[place:]
 
 
 class _Page:
     """Nodes in the order of their start tags, so a node comes after its parent."""
 
     def __init__(self):
-        self.tag, self.parent, self.drop = ["#root"], [-1], [False]
-        self.link = [False]  # inside an anchor
+        self.tag, self.parent, self.drop = ["#root"], [-1], [0]
+        self.link, self.article = [False], [False]  # inside an anchor, inside an article
         self.texts: list[tuple[int, int, str]] = []  # node, block, text
 
     def read(self, source: str) -> None:
-        stack, block, at = [0], 0, 0
-        tags, parents, drops, links = self.tag, self.parent, self.drop, self.link
+        opened, block, at = _Open(), 0, 0
+        nodes = opened.nodes
+        hard = [False]  # inside a node that is dropped in any case
 
         def text(a: int, b: int) -> None:
-            if b > a and not drops[stack[-1]]:
-                self.texts.append((stack[-1], block, source[a:b]))
+            if b > a and not hard[nodes[-1]]:
+                self.texts.append((nodes[-1], block, source[a:b]))
 
         while True:
             m = _TAG.search(source, at)
@@ -92,39 +138,41 @@ class _Page:
                 block += 1
             if m[1]:
                 if tag not in _VOID:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if tags[stack[k]] == tag:
-                            del stack[k:]
-                            break
-                        if tags[stack[k]] in _SCOPE and tag not in _BLOCK:
-                            break  # a stray end tag of an inline element
+                    opened.close((tag,), tag not in _BLOCK)
                 continue
             if tag == "br":
-                text_node = stack[-1]
-                if not drops[text_node]:
-                    self.texts.append((text_node, block, " "))
+                if not hard[nodes[-1]]:
+                    self.texts.append((nodes[-1], block, " "))
                 continue
-            ends = {"p"} if tag in _BLOCK else set()
-            ends |= _SIBLINGS.get(tag, set())
+            ends = _SIBLINGS.get(tag, set()) | ({"p"} if tag in _BLOCK else set())
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    open_tag = tags[stack[k]]
-                    if open_tag in ends:
-                        del stack[k:]
-                        break
-                    if open_tag in _SCOPE:
-                        break
-            top = stack[-1]
-            tags.append(tag)
-            parents.append(top)
-            links.append(links[top] or tag == "a")
-            in_article = any(tags[k] in ("article", "main") for k in stack)
-            drops.append(drops[top] or _dropped(tag, m[3] or "", in_article))
+                opened.close(ends, True)
+            top, own = nodes[-1], m[3] or ""
+            within = self.article[top]
+            dropped = _dropped(tag, own, within)
+            self.tag.append(tag)
+            self.parent.append(top)
+            self.link.append(self.link[top] or tag == "a")
+            self.article.append(within or tag in ("article", "main"))
+            self.drop.append(dropped)
+            hard.append(hard[top] or dropped == _HARD)
             if tag in _RAW:
                 end = _RAW_END[tag].search(source, at)
                 at = end.start() if end else len(source)
-            if tag not in _VOID and not (m[3] or "").endswith("/"):
-                stack.append(len(tags) - 1)
+            if tag not in _VOID and not own.endswith("/"):
+                opened.push(len(self.tag) - 1, tag)
+
+    def settle(self, sizes: list[int]) -> None:
+        """Decide which nodes are dropped; ``sizes``: characters of each node's own texts."""
+        n = len(self.tag)
+        whole, article = list(sizes), [s if a else 0 for s, a in zip(sizes, self.article)]
+        for i in range(n - 1, 0, -1):
+            whole[self.parent[i]] += whole[i]
+            article[self.parent[i]] += article[i]
+        for i in range(1, n):
+            most = 2 * whole[i] > whole[0] and article[i] == article[0]
+            own = self.drop[i] == _HARD or self.drop[i] == _SOFT and not most
+            self.drop[i] = bool(self.drop[self.parent[i]] or own)
 
 
 def main_text(source: str | None) -> str:
@@ -141,7 +189,10 @@ def main_text(source: str | None) -> str:
         size = len(piece) if piece.strip() else 0
         pieces.append((node, block, piece))
         chars[node] += size
-        linked[node] += size if page.link[node] else 0
+    page.settle(chars)
+    for i in range(n):
+        chars[i] = 0 if page.drop[i] else chars[i]
+        linked[i] = chars[i] if page.link[i] else 0
     for i in range(n - 1, 0, -1):
         up = page.parent[i]
         if not page.drop[i]:
@@ -187,7 +238,7 @@ def main_text(source: str | None) -> str:
         elif up in on_path and i not in on_path and chars[i]:
             keep[i] = dense[i] >= least or page.tag[i] in ("h1", "h2", "h3", "p", "pre", "blockquote")
         if keep[i] and page.tag[i] in ("ul", "ol", "table", "div", "section") and link_tags[i] >= 3 \
-                and linked[i] >= 0.8 * chars[i] and i not in on_path:
+                and linked[i] >= 0.8 * chars[i] and i not in on_path and not page.article[i]:
             keep[i] = False
             page.drop[i] = True
     blocks: dict[int, list[str]] = {}

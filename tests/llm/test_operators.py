@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -301,6 +302,36 @@ def test_main_text_by_density_with_and_without_articles():
     assert html_text.main_text(f"<body><article><div>{body}</div>{links}</article></body>") == whole
 
 
+def test_main_text_keeps_text_whose_class_only_mentions_other_parts():
+    long = [f"This is sentence number {k} of the story, which has a good many words and no links at all in it." for k in range(8)]
+    body, whole = "".join("<p>" + s + "</p>" for s in long), "\n\n".join(long)
+    for name in ("content has-sidebar", "no-comments", "sidebar", "page with-footer"):  # the last but one holds all text
+        assert html_text.main_text(f'<body><div class="{name}">{body}</div></body>') == whole, name
+    for name in ("sidebar", "left sidebar-wide", "site-footer", "ad-slot", "Cookie_Notice", "comments"):
+        assert html_text.main_text(f'<body><div>{body}</div><div class="{name}"><p>Something else that is said at length.</p></div></body>') == whole
+    title = '<div class="entry-header"><h1>The title</h1></div>'
+    assert html_text.main_text(f"<body><article>{title}{body}</article></body>") == "The title\n\n" + whole
+    # more comments than text, beside an article
+    comments = '<div class="comments">' + body * 5 + "</div>"
+    assert html_text.main_text(f"<body><article>{body}</article>{comments}</body>") == whole
+    # a list of sources at the end of an article stays, a menu outside one does not
+    sources = "<ul>" + "".join(f"<li><a href={k}>a source of number {k}</a></li>" for k in range(5)) + "</ul>"
+    listed = whole + "".join(f"\n\na source of number {k}" for k in range(5))
+    assert html_text.main_text(f"<body><article>{body}{sources}</article></body>") == listed
+    assert html_text.main_text(f"<body><div>{body}</div>{sources}</body>") == whole
+
+
+def test_main_text_time_follows_the_length_at_any_depth():
+    def seconds(n):
+        source = "<div><span>" * n + "some text" + "</section></i>" * n + "<p>" * n + "x" * 50
+        began = time.process_time()
+        assert "some text" in html_text.main_text(source)
+        return time.process_time() - began
+
+    seconds(1_000)
+    assert seconds(50_000) < 40 * max(seconds(5_000), 0.05)
+
+
 def test_main_text_of_the_given_pages(spark):
     for page in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
         body = page.html.split("<article>")[1].split("</article>")[0]
@@ -463,3 +494,24 @@ def test_exact_dedup_and_index(spark, frame):
     again = digest_index.exact_dedup(frame([(0, "one"), (0, "new text")]), digest_index.DigestIndex(spark, index.path, 4))
     assert sorted((r.keep_id, r.kept, r.group_size) for r in again.collect()) == [(0, True, 1), (4, False, 4)]
     assert digest_index.exact_dedup(frame([])).collect() == []
+
+
+def test_index_counts_over_batches_reruns_and_buckets(spark, frame):
+    index = digest_index.DigestIndex(spark, buckets=8)
+    sizes = []
+    for name, ids in (("a", [5, 3]), ("b", [1, 2, 9]), ("c", [7])):
+        for _ in range(2):  # each batch is run twice
+            got = digest_index.exact_dedup(frame([(i, "same  text") for i in ids] + [(100, f"only {name}")]), index, name).collect()
+            sizes.append({r.group_size for r in got if r.doc_id != 100})
+            assert {r.keep_id for r in got if r.doc_id != 100} == {3}
+            assert [r.doc_id for r in got if r.kept and r.doc_id != 100] == ([3] if name == "a" else [])
+            assert [r.kept for r in got if r.doc_id == 100] == [True]
+    assert sizes == [{2}, {2}, {5}, {5}, {6}, {6}]
+    assert index.table().count() == 6
+    with pytest.raises(ValueError, match="8 buckets"):
+        digest_index.DigestIndex(spark, index.path, 3)
+    again = digest_index.exact_dedup(frame([(0, "same text")]), digest_index.DigestIndex(spark, index.path)).collect()
+    assert [(r.keep_id, r.kept, r.group_size) for r in again] == [(3, False, 7)]
+    tables = {t.name for t in spark.catalog.listTables()}
+    digest_index.exact_dedup(frame([(1, "x")])).collect()
+    assert {t.name for t in spark.catalog.listTables()} == tables
