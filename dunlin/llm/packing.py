@@ -107,8 +107,9 @@ def cut_points(lengths: np.ndarray, ends: np.ndarray, size: int = SIZE) -> tuple
     return cuts, np.array([0, HARD_CUT, SENTENCE_CUT, 0], float)[kind[cuts]]
 
 
-def _pack_strip(ids: list, docs: list[bytes], is_end: np.ndarray, strip: int, size: int):
-    """Arrow batch of the pieces of one strip; a document is its ids as little-endian uint32."""
+def _pack_strip(ids: list, docs: list[bytes], is_end: np.ndarray, first: int, size: int):
+    """Arrow batch of the pieces of one strip, whose sequences are numbered from ``first`` on,
+    and the next free number; a document is its ids as little-endian uint32."""
     lengths = np.array([len(d) // 4 for d in docs], np.int64)
     line = b"".join(docs)
     ends = np.flatnonzero(is_end[np.frombuffer(line, "<u4")]) + 1
@@ -124,12 +125,13 @@ def _pack_strip(ids: list, docs: list[bytes], is_end: np.ndarray, strip: int, si
     seq_start = np.concatenate([[0], stops])[seq]
     view = memoryview(line)
     crc = [zlib.crc32(view[4 * x:4 * y]) for x, y in zip(a.tolist(), b.tolist())]
-    return pa.RecordBatch.from_arrays(
+    batch = pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64()).take(pa.array(doc)),
          *(pa.array(x, pa.int64()) for x in (
-             a - doc_starts[doc], b - a, crc, lengths[doc], (strip << 32) + seq, a - seq_start))],
+             a - doc_starts[doc], b - a, crc, lengths[doc], first + seq, a - seq_start))],
         names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     )
+    return batch, first + len(stops) + 1
 
 
 class _Memo(dict):
@@ -209,7 +211,7 @@ def _packer(shared, pattern: str, end_id: int, size: int, strip_tokens: int):
 
         encoder, is_end = _encoder(key, shared, pattern, end_id)
         end = array("I", [end_id]).tobytes()
-        strip = TaskContext.get().partitionId() << 10
+        free = TaskContext.get().partitionId() << 40
         ids: list = []
         docs: list[bytes] = []
         held = 0
@@ -219,10 +221,11 @@ def _packer(shared, pattern: str, end_id: int, size: int, strip_tokens: int):
             docs.append(found)
             held += len(found) // 4
             if held >= strip_tokens:
-                yield _pack_strip(ids, docs, is_end, strip, size)
-                ids, docs, held, strip = [], [], 0, strip + 1
+                batch, free = _pack_strip(ids, docs, is_end, free, size)
+                yield batch
+                ids, docs, held = [], [], 0
         if docs:
-            yield _pack_strip(ids, docs, is_end, strip, size)
+            yield _pack_strip(ids, docs, is_end, free, size)[0]
 
     return run
 
@@ -235,7 +238,7 @@ def pack(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id: int = 0
     A document's tokens are those of the byte-pair ``ranks`` with the splitting ``pattern``,
     then ``end_id``; each lies in exactly one piece. Documents follow each other as the table
     holds them; nothing is shuffled, and a task that runs again gives the same pieces.
-    ``sequence_id`` is unique: partition, strip of the partition, number in the strip. NULL
+    ``sequence_id`` is unique: the partition, then in 40 bits the number in the partition. NULL
     and empty texts are the single ``end_id``; NULL and repeated doc_ids are kept row by row;
     extra columns are ignored; an empty table gives no rows. The ranks are broadcast; their
     size is that of the vocabulary.
