@@ -5,21 +5,22 @@ threshold and n the size of a set, two sets of similarity s or more share a shin
 first n - ceil(s * n) + 1 of each, in any one order of all shingles: the prefix. The order
 here is by hash, with shingles of very many groups last.
 
-1. ``signatures``: per document n, a digest of the set, and the first shingles of the order
-   (48 bits of the hash: that can only add candidates).
+1. ``signatures``: per document n, a digest of the set, the first shingles of the order (48
+   bits of the hash: that can only add candidates) and a parity sketch: bit k tells whether an
+   odd number of shingles hash to k. Sketches differ in at most as many bits as the sets have
+   shingles apart, so two sketches can rule a pair out, never a link.
 2. Groups: documents of one set are one node. Nodes with the same prefix and size, and nodes
    that share one of their first shingles, form stars around four of them; members are
    verified against the centres only. Stars that hold make up groups (``components``).
 3. Group pairs: shingles of several groups are joined per group, not per document, so a large
    group meets another in one row per shingle. Shingles of more than ``COMMON_GROUPS`` groups
    move to the end of the order; prefixes then reach further to the next ones (documents of
-   which too few are known are read again: ``_short_prefixes``).
-4. The members of a group are split by classes of size. A pair of such parts stays if, for
-   some sizes of its members, the number of shared prefix shingles
-   allows an overlap that reaches the threshold, and one of them stands early enough in both
-   to be the first. Those that stay are expanded to pairs of members of fitting sizes, which
-   pass the same count. Pairs that are left are verified on the whole texts, and links join
-   the groups.
+   which too few are known are read again: ``_short_prefixes``). The members of a group are
+   split by classes of size, and the join is on shingle and size class: a part looks only for
+   classes whose sets it can still reach with what stands after the shingle, and only parts
+   in which the shingle stands early enough for the smaller set can be found.
+4. Group pairs that stay are expanded to pairs of members, which pass the same bounds one by
+   one. Pairs that are left are verified on the whole texts, and links join the groups.
 
 Nothing emits all pairs within a group, and no link between groups is lost.
 """
@@ -44,7 +45,9 @@ PERCENT = 75
 COMMON_GROUPS = 8
 STAR_KEYS = 3
 SIZE_CLASSES = 8  # of the members of a group, from a size to its four thirds
-SLACK = 48  # shingles kept beyond the prefix, to stand in for common ones
+SLACK = 24  # shingles kept beyond the prefix, to stand in for common ones
+SKETCH = tuple(f"k{i}" for i in range(8))
+SKETCH_BITS = 64 * len(SKETCH)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -108,34 +111,42 @@ def _prefix(n):
     return n - -(-n * PERCENT // 100) + 1
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles by the last bits of their hash."""
+    odd = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signer(slack: int, keep_text: bool = False):
     def run(batches):
         for batch in batches:
-            sizes, high, low, firsts = [], [], [], []
+            sizes, high, low, firsts, sketches = [], [], [], [], []
             for s in shingle_sets(batch):
                 n = len(s)
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 sizes.append(n)
                 high.append(int.from_bytes(digest[:8], "little", signed=True))
                 low.append(int.from_bytes(digest[8:], "little", signed=True))
+                sketches.append(_sketch(s))
                 firsts.append((s[:_prefix(n) + n // 50 + slack] >> np.uint64(16)).astype(np.int64))
             offsets = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
             values = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
-            last = ("text", batch.column("text")) if keep_text else (
-                "firsts", pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())))
+            last = [("text", batch.column("text"))] if keep_text else [
+                *zip(SKETCH, np.array(sketches, np.int64).reshape(-1, len(SKETCH)).T.copy()),
+                ("firsts", pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), last[1]],
-                names=["doc_id", "n", "d1", "d2", last[0]])
+                 pa.array(low, pa.int64()), *(c if isinstance(c, pa.Array) else pa.array(c) for _, c in last)],
+                names=["doc_id", "n", "d1", "d2", *(name for name, _ in last)])
 
     return run
 
 
-_SIGNED = "doc_id bigint, n bigint, d1 bigint, d2 bigint, firsts array<bigint>"
+_SIGNED = f"doc_id bigint, n bigint, d1 bigint, d2 bigint, {' bigint, '.join(SKETCH)} bigint, firsts array<bigint>"
 
 
 def signatures(texts: DataFrame, slack: int = SLACK) -> DataFrame:
-    """Per row of ``texts`` (doc_id, text): doc_id, n, d1 and d2 (digest), firsts."""
+    """Per row of ``texts`` (doc_id, text): doc_id, n, d1 and d2 (digest), the sketch, firsts."""
     return texts.mapInArrow(_signer(slack), _SIGNED)
 
 
@@ -162,9 +173,9 @@ def _verifier(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["u", "v"])
 
 
-def verify(texts: DataFrame, pairs: DataFrame, per_part: int = 256) -> DataFrame:
-    """The pairs (u, v) of a staged table whose texts reach the threshold, read from whole
-    texts. All partners of one v meet it in parts of about ``per_part``, so a text is sent
+def verify(texts: DataFrame, pairs: DataFrame, name: str, per_part: int = 256) -> DataFrame:
+    """Staged pairs (u, v) of a staged table, which is deleted, whose texts reach the threshold,
+    read from whole texts. All partners of one v meet it in parts of about ``per_part``, so a text is sent
     once for each of its pairs and no part is large."""
     parts = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / per_part).cast("bigint").alias("parts"))
     members = pairs.join(parts, "v").select(
@@ -174,12 +185,13 @@ def verify(texts: DataFrame, pairs: DataFrame, per_part: int = 256) -> DataFrame
         F.col("v").alias("doc_id"), F.col("v").alias("centre"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(True).alias("is_centre"))
     roles = stage(members.unionByName(centres), "roles")
-    return (
+    links = stage(
         texts.join(sized(roles), "doc_id")
         .repartition("centre", "part").sortWithinPartitions("centre", "part", F.desc("is_centre"))
         .select("centre", "part", "is_centre", "doc_id", "text")
-        .mapInArrow(_verifier, "u bigint, v bigint")
-    )
+        .mapInArrow(_verifier, "u bigint, v bigint"), name)
+    drop_stage(roles, pairs)
+    return links
 
 
 def _fits(a, b):
@@ -227,8 +239,8 @@ def _with_root(df: DataFrame, id_column: str, roots: DataFrame, name: str) -> Da
 
 
 def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int) -> DataFrame:
-    """Staged pairs (u, v) of nodes of different groups whose prefixes leave the threshold
-    possible."""
+    """Staged pairs (u, v) of nodes of different groups whose prefixes and sketches leave the
+    threshold possible."""
     rows = nodes.select("doc_id", "n", F.size("firsts").alias("known"), F.posexplode("firsts").alias("pos", "gram"))
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram")
     postings = stage(
@@ -248,71 +260,101 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
         # place in the order with common shingles last
         .withColumn("place", F.when(F.col("common") == 0, F.col("pos") - F.col("seen"))
                     .otherwise(F.col("known") - F.col("all") + F.col("seen") - 1))
-        .withColumn("p", _prefix_column("n")), "placed")
+        .withColumn("p", _prefix_column("n")).where("place < p or (known - all < p and known < n)"), "placed")
     drop_stage(between)
-    kept = placed.where("place < p").select("gram", "doc_id", "n", "grp", (F.col("n") - F.col("place")).alias("rest"))
+    kept = placed.where("place < p").select(
+        "gram", "doc_id", "n", "grp", "common", (F.col("n") - F.col("place")).alias("rest"))
     # nodes whose known shingles, less the common ones, do not fill the prefix
     short = stage(placed.where("known - all < p and known < n").select("doc_id", "grp").distinct(), "short")
+    more = []
     if not short.isEmpty():
-        kept = kept.unionByName(_short_prefixes(nodes, read, roots, short, is_common)).groupBy(
-            "gram", "doc_id", "n", "grp").agg(F.max("rest").alias("rest"))
-    size_class = F.floor(F.ln("n") * (SIZE_CLASSES / math.log(100 / PERCENT))).cast("int")
-    kept = stage(kept.withColumn("cls", size_class), "prefixes")
-    drop_stage(placed)
-    meet = stage(_group_pairs(kept), "group-pairs")
-    able = stage(_able(meet), "able-pairs")
-    meet = meet.select("gram", "ga", "ca", "gb", "cb").join(sized(able), ["ga", "ca", "gb", "cb"])
-    left = kept.selectExpr("gram", "grp as ga", "cls as ca", "doc_id as u", "n as nu")
-    right = kept.selectExpr("gram", "grp as gb", "cls as cb", "doc_id as v", "n as nv")
-    pairs = stage(_possible(meet.join(left, ["gram", "ga", "ca"]).join(right, ["gram", "gb", "cb"])), "pairs")
-    drop_stage(kept)
+        extra, more = _short_prefixes(nodes, read, roots, short, is_common)
+        kept = kept.unionByName(extra).groupBy("gram", "doc_id", "n", "grp", "common").agg(
+            F.max("rest").alias("rest"))
+    kept = stage(kept.withColumn("cls", _size_class(F.col("n"))), "prefixes")
+    drop_stage(placed, frequent, short, *more)
+    sketches = stage(nodes.select("doc_id", *SKETCH), "sketches")
+    meet = stage(_group_pairs(kept, sketches), "group-pairs")
+    pairs = stage(_member_pairs(meet, kept, sketches), "pairs")
+    drop_stage(kept, meet, sketches)
     return pairs
 
 
-def _group_pairs(kept: DataFrame) -> DataFrame:
-    """A row for each prefix shingle that parts (ca, cb: size classes) of two groups (ga, gb)
-    share, if their sizes fit: the least and largest sizes, and whether the shingle can be the
-    first that two members share. ``rest`` is the number of a set's shingles from this one on,
-    or more."""
-    sides = kept.groupBy("gram", "grp", "cls").agg(
-        F.min("n").alias("l"), F.max("n").alias("m"), F.max("rest").alias("r"))
-    a, b = (sides.selectExpr("gram", f"grp as g{x}", f"cls as c{x}", f"l as l{x}", f"m as m{x}", f"r as r{x}")
-            for x in "ab")
-    first = F.expr(f"least(ra, rb) * {100 + PERCENT} >= (la + lb) * {PERCENT}")
-    return (
-        a.join(b, "gram").where(f"ga < gb and ma * 100 >= lb * {PERCENT} and mb * 100 >= la * {PERCENT}")
-        .select("gram", "ga", "ca", "gb", "cb", "la", "ma", "lb", "mb", first.alias("first")))
-
-
-def _able(meet: DataFrame) -> DataFrame:
-    """Pairs of parts of groups whose shared prefix shingles leave the threshold possible. As in
-    ``_possible``, shared + percent * larger must exceed the overlap needed; that is most
-    easily so for the smallest member of one and the largest of the other."""
-    pairs = meet.groupBy("ga", "ca", "gb", "cb").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("first").alias("first"), F.min("la").alias("la"),
-        F.max("ma").alias("ma"), F.min("lb").alias("lb"), F.max("mb").alias("mb"))
-    gain = f"shared * {100 * (100 + PERCENT)} + {PERCENT * PERCENT}"
-    return pairs.where(
-        f"first and ({gain} * mb >= {100 * PERCENT} * la or {gain} * ma >= {100 * PERCENT} * lb)").select(
-        "ga", "ca", "gb", "cb")
-
-
-def _possible(met: DataFrame) -> DataFrame:
-    """Pairs (u, v) that share enough prefix shingles, of rows (u, nu, v, nv) for each shared."""
-    pairs = met.where(_fits(F.col("nu"), F.col("nv"))).groupBy("u", "v", "nu", "nv").agg(
-        F.count(F.lit(1)).alias("shared"))
-    # overlap <= size - prefix + shared, for the set whose prefix ends first; needed is
-    # percent / (100 + percent) of both sizes
-    rest = F.expr(f"greatest((nu * {PERCENT} + 99) div 100, (nv * {PERCENT} + 99) div 100) - 1")
-    enough = (F.col("shared") + rest) * (100 + PERCENT) >= (F.col("nu") + F.col("nv")) * PERCENT
-    return pairs.where(enough).select("u", "v")
+def _size_class(n):
+    return F.floor(F.ln(n) * (SIZE_CLASSES / math.log(100 / PERCENT))).cast("int")
+
+
+def _group_pairs(kept: DataFrame, sketches: DataFrame) -> DataFrame:
+    """A row for each prefix shingle that parts (classes cla, clb, cla not below clb) of two
+    groups (ga, gb) share, if it can be the first that two members share. ``rest`` is the number
+    of a set's shingles from this one on, or more; ``ra``, ``rb`` the most of the part; the
+    overlap needed is percent / (100 + percent) of both sizes. ``da``, ``db``: the only member
+    of a part, else NULL. Where many groups share a shingle, parts of one member bring its
+    sketch along, so that those that are too far apart make no row."""
+    sides = kept.groupBy("gram", "common", "grp", "cls").agg(
+        F.min("n").alias("l"), F.max("n").alias("m"), F.max("rest").alias("r"),
+        F.when(F.min("doc_id") == F.max("doc_id"), F.min("doc_id")).alias("d"))
+    # the larger set is not below the class of the smaller one, which bounds the overlap needed
+    least = F.floor(F.exp(F.col("cls") / (SIZE_CLASSES / math.log(100 / PERCENT)))) - 1
+    smaller = sides.where(F.col("r") * (100 + PERCENT) >= (F.col("l") + least) * PERCENT)
+    names = {"grp": "g", "cls": "c", **{k: k for k in "lmrd"}}
+    fits = ["ga <> gb and (ca > cb or ca = cb and ga < gb)", f"mb * 100 >= la * {PERCENT}", f"ma * 100 >= lb * {PERCENT}",
+            f"least(ra, rb) * {100 + PERCENT} >= (la + lb) * {PERCENT}"]
+
+    def side(df, x, common):
+        out = df.where(F.col("common") == common).select("gram", *(F.col(c).alias(f"{k}{x}") for c, k in names.items()))
+        return _sketched(out, sketches, f"d{x}", "left") if common else out
+
+    rare = side(sides, "a", 0).join(side(smaller, "b", 0), "gram").where(" and ".join(fits))
+    near = f"(da is null or db is null or {_near('da', 'db', 'ma + mb')})"
+    frequent = side(sides, "a", 1).join(side(smaller, "b", 1), "gram").where(" and ".join([*fits, near]))
+    return rare.unionByName(frequent.select(rare.columns))
+
+
+def _near(a: str, b: str, sizes: str) -> str:
+    """Whether two sketches leave the threshold possible for sets of ``sizes`` together: at
+    most (100 - percent) / (100 + percent) of that are in one set only."""
+    apart = " + ".join(f"bit_count({a}{k} ^ {b}{k})" for k in SKETCH)
+    return f"({apart}) * {100 + PERCENT} <= ({sizes}) * {100 - PERCENT}"
+
+
+def _sketched(df: DataFrame, sketches: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """``df`` with the sketch of the node in ``column``, in columns led by its name."""
+    found = _as(sketches, F.col("doc_id").alias("_id"), *(F.col(k).alias(f"{column}{k}") for k in SKETCH))
+    return df.join(found, F.col(column) == F.col("_id"), how).drop("_id")
+
+
+def _member_pairs(meet: DataFrame, kept: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) of members of parts that meet, for which the bounds of the parts
+    and those of their sketches hold one by one."""
+    single = meet.where("da is not null and db is not null").selectExpr("da as u", "db as v", "la + lb as sizes").distinct()
+    found = _sketched(_sketched(single, sketches, "u"), sketches, "v").where(_near("u", "v", "sizes")).select("u", "v")
+    # part a has several members; part b may be a single node, which is then known
+    columns = [f"{k}{x}" for x in "ab" for k in "gclmrd"]
+    swapped = ["gram", *(f"{c[0]}{'ab'[c[1] == 'a']} as {c}" for c in columns)]
+    several = stage(meet.where("da is null").select("gram", *columns).unionByName(
+        meet.where("da is not null and db is null").selectExpr(*swapped)), "several-members")
+    keys = ["gram", "ga", "ca"]
+    members = kept.selectExpr("gram", "grp as ga", "cls as ca", "doc_id as u", "n as nu", "rest as ru")
+    parts = stage(several.select(*keys).distinct(), "several-parts")
+    members = _sketched(members.join(sized(parts), keys, "left_semi"), sketches, "u")
+    first = _sketched(several, sketches, "db", "left").join(members, keys).where(" and ".join([
+        f"least(ru, rb) * {100 + PERCENT} >= (nu + lb) * {PERCENT}", f"mb * 100 >= nu * {PERCENT}", f"nu * 100 >= lb * {PERCENT}",
+        f"(db is null or {_near('u', 'db', 'nu + lb')})"]))
+    found = found.unionByName(first.where("db is not null").selectExpr("u", "db as v"))
+    other = kept.selectExpr("gram", "grp as gb", "cls as cb", "doc_id as v", "n as nv", "rest as rv")
+    both = first.where("db is null").select("gram", "gb", "cb", "u", "nu", "ru").join(other, ["gram", "gb", "cb"]).where(" and ".join([
+        f"nv * 100 >= nu * {PERCENT}", f"nu * 100 >= nv * {PERCENT}",
+        f"least(ru, rv) * {100 + PERCENT} >= (nu + nv) * {PERCENT}"])).selectExpr("u", "v", "nu + nv as sizes").distinct()
+    both = _sketched(_sketched(both, sketches, "u"), sketches, "v").where(_near("u", "v", "sizes")).select("u", "v")
+    return found.unionByName(both).selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct()
 
 
 def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short: DataFrame, is_common: DataFrame
-                    ) -> DataFrame:
+                    ) -> tuple[DataFrame, list[DataFrame]]:
     """Prefix rows of the nodes in ``short``, from their whole texts, and the rows of other
     nodes' known shingles that can meet them there (more than their prefixes, which can only
-    add candidates)."""
+    add candidates); the staged tables they are read from."""
     whole = signatures(read.join(_as(short, "doc_id"), "doc_id", "left_semi"), slack=1 << 62)
     order = Window.partitionBy("doc_id").orderBy("common", "pos")
     prefix = stage(
@@ -323,8 +365,8 @@ def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short:
         .select("gram", "doc_id", "n", "grp", "common", (F.col("n") - F.col("place")).alias("rest")), "short-prefixes")
     grams = stage(prefix.where("common = 0").select("gram").distinct(), "short-grams")
     others = nodes.select("doc_id", "n", F.explode("firsts").alias("gram")).join(sized(grams), "gram", "left_semi")
-    return prefix.drop("common").unionByName(_with_root(others, "doc_id", roots, "grp").select(
-        "gram", "doc_id", "n", "grp", F.col("n").alias("rest")))
+    return prefix.unionByName(_with_root(others, "doc_id", roots, "grp").select(
+        "gram", "doc_id", "n", "grp", F.lit(0).alias("common"), F.col("n").alias("rest"))), [prefix, grams]
 
 
 def _own_nodes(linked: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -346,7 +388,7 @@ def _own_nodes(linked: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame
 
     def renamed(df, column):
         return df.join(nodes, key, "left").select(
-            F.coalesce("node", "doc_id").alias("doc_id"), *[c for c in key[1:] if column != "text"], column)
+            F.coalesce("node", "doc_id").alias("doc_id"), *[c for c in (*key[1:], *SKETCH) if column != "text"], column)
 
     ids = _as(several, "doc_id")
     signed = read.join(ids, "doc_id", "left_semi").mapInArrow(
@@ -375,13 +417,14 @@ def near_duplicates(docs: DataFrame, common: int = COMMON_GROUPS) -> DataFrame:
         linked.select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).where("doc_id <> rep")
         .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
     away = _as(copies, F.col("u").alias("doc_id"))
-    nodes = linked.select("doc_id", "n", "firsts").join(away, "doc_id", "left_anti")
-    stars = stage(_star_pairs(nodes, STAR_KEYS), "star-pairs")
-    edges = stage(verify(read, stars), "star-links").unionByName(copies)
+    nodes = linked.select("doc_id", "n", *SKETCH, "firsts").join(away, "doc_id", "left_anti")
+    edges = copies
     if more is not None:
         edges = edges.unionByName(more.select(F.col("node").alias("u"), F.col("doc_id").alias("v")))
-    pairs = _candidates(nodes, read, _components(edges), common)
-    links = stage(verify(read, pairs), "links")
+    edges = edges.unionByName(verify(read, stage(_star_pairs(nodes, STAR_KEYS), "star-pairs"), "star-links"))
+    roots = _components(edges)
+    links = verify(read, _candidates(nodes, read, roots, common), "links")
+    drop_stage(roots)
     final = _components(edges.unionByName(links))
     if more is not None:  # the smallest of the given ids
         given = final.join(more, final.id == more.node, "left_anti")
