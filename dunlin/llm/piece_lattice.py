@@ -29,7 +29,7 @@ MARK = "▁"
 _MARK = MARK.encode()
 MAX_WORD = 64  # longest word whose edges are grouped
 FREQUENT_WORDS = 200_000
-COUNTED_WORDS = 500_000  # words a task counts before it passes the counts on
+COUNTED_WORDS = 50_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
@@ -59,8 +59,9 @@ def split_words(text: bytes | None) -> list[bytes]:
     return [_MARK + w for w in (text or b"").split()]  # ASCII white space
 
 
-def _texts(batch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.large_binary()).to_pylist()
+def _texts(batch):
+    """The texts of a batch, one at a time."""
+    return (x.as_py() for x in batch.column("text").cast(pa.large_binary()))
 
 
 def _count_words(batches):
