@@ -17,6 +17,7 @@ the ids of a document decode to its words.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -31,12 +32,17 @@ MAX_WORD = 64  # longest word whose edges are grouped
 FREQUENT_WORDS = 200_000
 COUNTED_WORDS = 50_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
+ZIPF_SHIFT = 1000.0
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
 
 def read_model(path: str) -> list[tuple[str, int, float, str, int | None]]:
     """(piece, id, score, bytes in hex, byte value) of a SentencePiece model file; control and
-    unknown pieces are left out."""
+    unknown pieces are left out.
+
+    The file's scores are ranks of merges, whose sums mean nothing. Merges were made by falling
+    frequency, so the rank stands for a frequency by Zipf's law: the score is the logarithm of
+    1 / (rank + ZIPF_SHIFT), which a path can add up."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -46,7 +52,7 @@ def read_model(path: str) -> list[tuple[str, int, float, str, int | None]]:
         if sp.is_byte(i):
             out.append((piece, i, 0.0, piece[3:5], int(piece[3:5], 16)))
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-            out.append((piece, i, float(sp.get_score(i)), piece.encode().hex().upper(), None))
+            out.append((piece, i, -math.log(ZIPF_SHIFT - sp.get_score(i)), piece.encode().hex().upper(), None))
     return out
 
 
