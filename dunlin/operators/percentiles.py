@@ -2,83 +2,58 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dunlin.operators.slices import (
-    SLICE, carry_over, hot_keys, hot_row_limit, join_null_safe, slice_window,
+    SLICE, carry_over, find_hot, hot_row_limit, join_null_safe, slice_window, split_hot,
 )
 from dunlin.sources.checkpoints import cut_lineage
 
-MIN_CUTS, MAX_KEY_CUTS = 16, 4_096
-
-
-def _cut_count(rows: int, per_task: int, most: int) -> int:
-    """Enough cuts to leave about ``per_task`` rows between two of them."""
-    return max(MIN_CUTS, min(most, rows // max(per_task, 1)))
-
-
-def _percents(cuts: int):
-    return F.split(
-        F.lit(",".join(str(i / cuts) for i in range(1, cuts))), ","
-    ).cast("array<double>")
-
 
 def _value_counts(df, keys, col) -> DataFrame:
     """Rows per (key, value) and the running rank of each value within its key.
 
-    Equal values collapse map-side. Keys that still hold very many distinct values are
-    ordered slice by slice: the slice edges are approximate quantiles of the key, which only
-    balances the work; ranks stay exact."""
+    Equal values collapse map-side. Keys that still hold very many distinct values are cut into
+    ranges of values by count (``split_hot``), ranked range by range, and shifted by the rows of
+    the ranges before. Values keep their type; any that can be ordered will do."""
     counts = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(*keys, F.col(col).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    hot = hot_keys(df, keys)  # rows bound the distinct values of a key
-    if hot is None:
-        whole = Window.partitionBy(*keys).orderBy("__v")
-        return counts.withColumn("__hi", F.sum("__c").over(whole))
-    counts = cut_lineage(counts)  # read three times below
-    n_cuts = _cut_count(counts.count(), hot_row_limit(df.sparkSession), MAX_KEY_CUTS)
-    cuts = (
-        join_null_safe(counts, hot, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("__v", _percents(n_cuts), 10 * n_cuts).alias("__cuts"))
+        df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     )
-    tagged = (
-        join_null_safe(counts, cuts, keys)
-        .withColumn(SLICE, F.when(F.col("__cuts").isNotNull(), _cuts_below("__cuts", "__v", n_cuts)))
-        .drop("__cuts")
-    )
-    local = tagged.withColumn("__hi", F.sum("__c").over(slice_window(keys, ["__v"])))
-    carry = carry_over(tagged, keys, F.sum("__c"), F.sum, "__carry")
-    return (
+    hot = find_hot(df, keys)  # rows bound the distinct values of a key
+    plain, sliced = split_hot(counts, keys, ["__v"], hot=hot)
+    ranked = plain.withColumn("__hi", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__v")))
+    if sliced is None:
+        return ranked
+    local = sliced.withColumn("__hi", F.sum("__c").over(slice_window(keys)))
+    carry = carry_over(sliced, keys, F.sum("__c"), F.sum, "__carry")
+    return ranked.unionByName(
         join_null_safe(local, carry, [*keys, SLICE])
-        .withColumn("__hi", F.col("__hi") + F.coalesce(F.col("__carry"), F.lit(0)))
-        .select(*keys, "__v", "__c", "__hi")
-    )
+        .withColumn("__hi", F.col("__hi") + F.coalesce("__carry", F.lit(0))).select(*ranked.columns))
 
 
-def _cuts_below(cuts: str, value: str, n_cuts: int):
-    """Number of cuts below the value, in two steps of about sqrt(n) comparisons: first among
-    every step-th cut, then among the cuts up to the next one."""
-    step = max(math.isqrt(n_cuts), 2)
-    below = lambda c: c < F.col(value)
-    coarse = F.array(*[F.element_at(cuts, i) for i in range(step, n_cuts, step)])
-    start = F.size(F.filter(coarse, below)) * step
-    return start + F.size(F.filter(F.slice(cuts, start + 1, step), below))
+def _is_whole(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.IntegralType, T.DecimalType))
+
+
+def _decimal_of(kind: T.DataType) -> T.DecimalType:
+    """A decimal that holds every value of an integer or decimal type, with up to six more
+    places for what lies between two values."""
+    digits, scale = (kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else (19, 0)
+    return T.DecimalType(38, min(scale + 6, 38 - (digits - scale)))
 
 
 def percentile_by_rank(
-    df: DataFrame, keys: Sequence[str], col: str, percents: dict[str, float], method: str = "inc"
+    df: DataFrame, keys: Sequence[str], col: str, percents: dict[str, float], method: str = "inc", exact: bool = False,
 ) -> DataFrame:
     """Percentiles per key by linear interpolation between ranks.
 
-    ``inc``: rank p(n-1)+1. ``exc``: rank p(n+1), NULL when that falls outside 1..n.
+    ``inc``: rank p(n-1)+1. ``exc``: rank p(n+1), NULL when that falls outside 1..n. Results
+    are doubles; with ``exact``, percentiles of integers and decimals are decimals, so a value
+    at a whole rank is returned as it is, beyond 2**53 too.
     """
     keys = list(keys)
     one = not keys
@@ -98,32 +73,41 @@ def percentile_by_rank(
             here = (rank > F.col("__hi") - F.col("__c")) & (rank <= F.col("__hi"))
             aggs.append(F.max(F.when(here, F.col("__v"))).alias(f"__{side}_{name}"))
     out = both.groupBy(*keys).agg(*aggs)
+    kind = df.schema[col].dataType
     for name, p in percents.items():
         pos = p * (n - 1) + 1 if method == "inc" else p * (n + 1)
-        lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        value = lo + (pos - F.floor(pos)) * (hi - lo)
+        part = pos - F.floor(pos)
+        lo, hi = (F.col(f"__{side}_{name}") for side in ("lo", "hi"))
+        if exact and _is_whole(kind):
+            to = _decimal_of(kind)
+            between = F.when(part > 0, part * (hi.cast("double") - lo.cast("double"))).otherwise(0)
+            value = (lo.cast(to) + between.cast(to)).cast(to)
+        else:
+            value = lo.cast("double") + part * (hi.cast("double") - lo.cast("double"))
         out = out.withColumn(name, F.when((pos >= 1) & (pos <= n), value))
     return out.select(*([] if one else keys), *percents)
 
 
-def percentile_inc(df, keys, col, percents) -> DataFrame:
-    return percentile_by_rank(df, keys, col, percents, "inc")
+def percentile_inc(df, keys, col, percents, exact=False) -> DataFrame:
+    return percentile_by_rank(df, keys, col, percents, "inc", exact)
 
 
-def percentile_exc(df, keys, col, percents) -> DataFrame:
-    return percentile_by_rank(df, keys, col, percents, "exc")
+def percentile_exc(df, keys, col, percents, exact=False) -> DataFrame:
+    return percentile_by_rank(df, keys, col, percents, "exc", exact)
 
 
 def quartile_band(df: DataFrame, value: str, out: str, within: Sequence[str] = ()) -> DataFrame:
-    """Band 1..4 of each row's value against the inclusive quartiles of its group."""
+    """Band 1..4 of each row's value against the inclusive quartiles of its group; integers and
+    decimals are compared exactly."""
     levels = {"__q1": 0.25, "__q2": 0.5, "__q3": 0.75}
-    cuts = percentile_inc(df, within, value, levels)
+    kind = df.schema[value].dataType
+    cuts = percentile_inc(df, within, value, levels, exact=True)
     if within:
         joined = join_null_safe(df, cuts, list(within))
     else:
         row = cuts.first()  # three numbers
-        joined = df.withColumns({q: F.lit(row[q] if row else None).cast("double") for q in levels})
-    v = F.col(value)
+        joined = df.withColumns({q: F.lit(row[q] if row else None).cast(cuts.schema[q].dataType) for q in levels})
+    v = F.col(value).cast(_decimal_of(kind)) if _is_whole(kind) else F.col(value)
     label = (
         F.when(v <= F.col("__q1"), 1).when(v <= F.col("__q2"), 2)
         .when(v <= F.col("__q3"), 3).when(v > F.col("__q3"), 4)

@@ -1,23 +1,26 @@
 """Splitting the ordered rows of very large keys.
 
 A window function sends all rows of one key to one task. That is fine for almost every
-key, and fatal for a key that holds a third of the table. ``tag_slices`` counts rows per
-key (a map-side combined aggregate that reads the key columns only) and gives the rows of
-keys above a row limit a *slice*: a coarse, order-preserving bucket of the ordering column.
-Ordered operators then work per (key, slice) and stitch neighbouring slices together from
-a small per-slice summary. Rows of all other keys keep a NULL slice, and when no key is
-large the plain window is used. There are at most total_rows / limit large keys.
+key, and fatal for a key that holds a third of the table. ``split_hot`` counts rows per key (a
+map-side combined aggregate that reads the key columns only) and cuts the rows of keys above a
+row limit into *slices* by row count: ranges of (key, order, row number), so a sparse key, a
+key with a single time, or one with many values of the first order column is cut alike. The
+slices are staged once, each row with its place; ordered operators work per (key, slice) and
+stitch neighbouring slices together from a small per-slice summary. Rows of all other keys go
+through the plain window. There are at most total_rows / limit large keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SLICE = "__slice"
+from dunlin.sources.checkpoints import cut_lineage
+
+SLICE, PLACE = "__slice", "__place"
 HOT_ROWS_CONF = "dunlin.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
 HOT_KEYS_COLLECTED = 10_000
@@ -73,58 +76,81 @@ def join_null_safe(
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def tag_slices(
-    df: DataFrame, keys: list[str], slice_of: Column, bounded: bool = False,
-    hot: Hot | None = None,
-) -> tuple[DataFrame, bool]:
-    """Add ``__slice``: ``slice_of`` for rows of large keys, NULL for all other rows.
+def split_hot(
+    df: DataFrame, keys: list[str], order: Sequence[str], bounded: bool = False, hot: Hot | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, staged rows of large keys). The staged rows have ``__slice``, the
+    number of the range of (keys, order) they lie in, and ``__place``, their place in it; by
+    (slice, place) a key's rows are in the order of a window, NULL first. Rows that are equal
+    in keys and order may lie in neighbouring slices; a slice may hold several keys.
 
-    ``slice_of`` must not decrease along the window order. Returns the frame unchanged and
-    False when no key is large, or when the caller knows that rows per key are bounded.
-    ``hot`` are the large keys when they are known already; else they are counted here.
+    The second frame is None when no key is large, or when the caller knows that rows per key
+    are bounded. ``hot`` are the large keys when they are known already; else they are counted
+    here. A slice aims at half the row limit, as ranges are cut at sampled bounds.
     """
     if bounded:
-        return df, False
+        return df, None
     hot = find_hot(df, keys) if hot is None else hot
     if hot.frame is None:
-        return df, False
-    marked = join_null_safe(df, hot.frame.withColumn("__hot", F.lit(True)), list(hot.keys))
-    tagged = marked.withColumn(SLICE, F.when(F.col("__hot"), slice_of))
-    return tagged.drop("__hot"), True
-
+        return df, None
+    named = list(hot.keys)
+    large = join_null_safe(df, hot.frame, named, "left_semi").withColumn("__row", F.monotonically_increasing_id())
+    by = [*dict.fromkeys([*keys, *order]), "__row"]
+    per_slice = max(hot_row_limit(df.sparkSession) // 2, 1)
+    slices = max(1, -(-large.count() // per_slice))
+    cut = cut_lineage(
+        large.repartitionByRange(slices, *by).sortWithinPartitions(*by).drop("__row")
+        .withColumns({SLICE: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}))
+    return join_null_safe(df, hot.frame, named, "left_anti"), cut
 
-def time_slice(df: DataFrame, ts: str, grain: str = "minute") -> Column:
-    """Number of the time bucket (``minute``, ``hour`` or ``day``), in time order. Minutes keep
-    the slices of even a very large key small, and a key has few enough of them (half a
-    million per year) for the per-slice summary to stay a small window.
 
-    Zoneless times and dates are numbered from their fields, instants from their epoch, so
-    daylight-saving changes of the session zone cannot reorder slices."""
-    col, size = F.col(ts), {"minute": 1, "hour": 60, "day": 1440}[grain]
-    if isinstance(df.schema[ts].dataType, T.TimestampType):
-        minutes = F.floor(F.unix_seconds(col) / 60)
-    else:
-        minutes = F.datediff(col.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 1440
-        if not isinstance(df.schema[ts].dataType, T.DateType):
-            minutes = minutes + F.hour(col) * 60 + F.minute(col)
-    return F.floor(minutes / size)
+def slice_window(keys: list[str]):
+    """The rows of one key in one slice, in their order."""
+    return Window.partitionBy(*keys, SLICE).orderBy(PLACE)
 
 
-def slice_window(keys: list[str], order) -> "Window":
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
+def earlier_slices(keys: list[str]):
+    """Over one row per (key, slice): the slices of the key before this one."""
+    return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def carry_over(tagged: DataFrame, keys: list[str], per_slice: Column, combine, out: str):
+def carry_over(sliced: DataFrame, keys: list[str], per_slice: Column, combine, out: str) -> DataFrame:
     """Value carried into each slice from the earlier slices of its key.
 
     ``per_slice`` aggregates one slice; ``combine(col)`` folds slice values and is applied
     over all earlier slices of the key. One row per (large key, slice)."""
-    earlier = (
-        Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
     return (
-        tagged.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(per_slice.alias("__part"))
-        .select(*keys, SLICE, combine(F.col("__part")).over(earlier).alias(out))
+        sliced.groupBy(*keys, SLICE).agg(per_slice.alias("__part"))
+        .select(*keys, SLICE, combine(F.col("__part")).over(earlier_slices(keys)).alias(out))
     )
+
+
+def shared_edges(sliced: DataFrame, keys: list[str], peer: str, value: Column) -> DataFrame:
+    """What rows of equal ``peer`` that lie in several slices share. Per (key, slice):
+    ``__first`` and ``__last``, the peers (in a field ``p``) of its first and last row;
+    ``__before``, the sum of ``value`` over the rows of earlier slices whose peer is the first
+    one; ``__after``, that over the rows of later slices whose peer is the last one (NULL
+    without any). Two rows per slice are looked at."""
+    ends = sliced.groupBy(*keys, SLICE).agg(
+        F.min_by(F.struct(F.col(peer).alias("p")), PLACE).alias("__first"),
+        F.max_by(F.struct(F.col(peer).alias("p")), PLACE).alias("__last"))
+
+    def of(end):
+        return F.sum(F.when(F.col(peer).eqNullSafe(F.col(f"{end}.p")), value))
+
+    sums = join_null_safe(sliced, ends, [*keys, SLICE], "inner").groupBy(*keys, SLICE, "__first", "__last").agg(
+        of("__first").alias("__first_sum"), of("__last").alias("__last_sum"))
+    edges = sums.select(*keys, SLICE, F.inline(F.array(*(
+        F.struct(F.lit(e == "__first").alias("__is_first"), F.col(f"{e}.p").alias("__peer"), F.col(f"{e}_sum").alias("__sum"))
+        for e in ("__first", "__last")))))
+    once = edges.groupBy(*keys, SLICE, "__peer").agg(  # both edges of a slice may be one peer
+        F.max("__sum").alias("__sum"), F.max("__is_first").alias("__is_first"), F.min("__is_first").alias("__only_first"))
+    same = Window.partitionBy(*keys, "__peer").orderBy(SLICE)
+    shared = once.select(
+        *keys, SLICE, "__is_first", "__only_first",
+        F.sum("__sum").over(same.rowsBetween(Window.unboundedPreceding, -1)).alias("__lower"),
+        F.sum("__sum").over(same.rowsBetween(1, Window.unboundedFollowing)).alias("__higher"))
+    found = shared.groupBy(*keys, SLICE).agg(
+        F.max(F.when(F.col("__is_first"), F.col("__lower"))).alias("__before"),
+        F.max(F.when(~F.col("__only_first"), F.col("__higher"))).alias("__after"))
+    return join_null_safe(ends, found, [*keys, SLICE], "inner")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import day_diff
 from dunlin.operators.slices import (
-    SLICE, Hot, carry_over, join_null_safe, slice_window, tag_slices, time_slice,
+    PLACE, SLICE, Hot, carry_over, join_null_safe, shared_edges, slice_window, split_hot,
 )
 
 
@@ -23,7 +23,7 @@ def _list(value) -> list[str]:
 
 def neighbours(
     df: DataFrame, keys, ts: str, outs: Mapping[str, tuple], tie: Sequence[str] = (),
-    grain: str = "minute", bounded: bool = False, slice_of: Column | None = None, hot: Hot | None = None,
+    bounded: bool = False, hot: Hot | None = None,
 ) -> DataFrame:
     """Add the value of a neighbouring row of the same key.
 
@@ -31,8 +31,7 @@ def neighbours(
     previous row, -1 the next one. For a split key, the rows next to a slice edge (at most
     2k per slice, k = largest offset) are looked at once more across slices.
     ``bounded=True`` states that rows per key are few by construction; ``hot`` passes large
-    keys found earlier; ``slice_of`` replaces the time bucket when the order does not start
-    with a time.
+    keys found earlier. ``ts`` and ``tie`` may have any type that can be ordered.
     """
     keys, order = _list(keys), [ts, *tie]
     outs = {name: (*spec, None)[:3] for name, spec in outs.items()}
@@ -44,19 +43,18 @@ def neighbours(
             return F.lag(source, offset, default).over(window)
         return F.lead(source, -offset, default).over(window)
 
-    bucket = time_slice(df, ts, grain) if slice_of is None else slice_of
-    tagged, split = tag_slices(df, keys, bucket, bounded, hot)
-    across = Window.partitionBy(*keys).orderBy(*order)
-    if not split:
-        return df.select("*", *[shifted(s, across).alias(n) for n, s in outs.items()])
+    plain, sliced = split_hot(df, keys, order, bounded, hot)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    done = plain.select("*", *[shifted(s, whole).alias(n) for n, s in outs.items()])
+    if sliced is None:
+        return done
 
-    local = slice_window(keys, order)
-    sliced = F.col(SLICE).isNotNull()
-    step = tagged.select(
+    local, across = slice_window(keys), Window.partitionBy(*keys).orderBy(SLICE, PLACE)
+    step = sliced.select(
         "*",
         *[shifted(spec, local).alias(name) for name, spec in outs.items()],
-        (sliced & F.lag(F.lit(1), k).over(local).isNull()).alias("__head"),
-        (sliced & F.lead(F.lit(1), k).over(local).isNull()).alias("__tail"),
+        F.lag(F.lit(1), k).over(local).isNull().alias("__head"),
+        F.lead(F.lit(1), k).over(local).isNull().alias("__tail"),
     )
     at_edge = F.col("__head") | F.col("__tail")
 
@@ -66,7 +64,7 @@ def neighbours(
 
     edge = step.where(at_edge).select(*df.columns, *[resolved(n, s) for n, s in outs.items()])
     inner = step.where(~at_edge).select(*df.columns, *outs)
-    return inner.unionByName(edge)
+    return done.unionByName(inner).unionByName(edge)
 
 
 def prev_value(df, keys, ts, col, out, default=None, tie=()) -> DataFrame:
@@ -89,51 +87,48 @@ def days_since_prev(df, keys, ts, out="days_since_prev", tie=()) -> DataFrame:
     return stepped.withColumn(out, day_diff(F.col("__prev_ts"), F.col(ts))).drop("__prev_ts")
 
 
-def running_sum(df, keys, ts, col, out, grain="minute", bounded=False, hot=None) -> DataFrame:
+def running_sum(df, keys, ts, col, out, bounded=False, hot=None) -> DataFrame:
     """Running sum by ``ts``; rows with equal ``ts`` share the sum."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
-    if not split:
-        return df.withColumn(out, F.sum(col).over(Window.partitionBy(*keys).orderBy(ts)))
-    local = tagged.withColumn(out, F.sum(col).over(slice_window(keys, [ts])))
-    carry = carry_over(tagged, keys, F.sum(col), F.sum, "__carry")
-    total = F.when(F.col("__carry").isNull(), F.col(out)).otherwise(
-        F.coalesce(F.col(out), F.lit(0)) + F.col("__carry")
-    )
-    joined = join_null_safe(local, carry, [*keys, SLICE])
-    return joined.withColumn(out, total).drop("__carry", SLICE)
-
-
-def attempt_no(
-    df, keys, ts, tie=(), rank="rank_no", row="row_no", grain="minute", bounded=False, hot=None
-) -> DataFrame:
+    plain, sliced = split_hot(df, keys, [ts], bounded, hot)
+    done = plain.withColumn(out, F.sum(col).over(Window.partitionBy(*keys).orderBy(ts)))
+    if sliced is None:
+        return done
+    own = F.sum(col).over(Window.partitionBy(*keys, SLICE).orderBy(ts))
+    carry = carry_over(sliced, keys, F.sum(col), F.sum, "__carry")
+    local = join_null_safe(sliced.withColumn("__own", own), carry, [*keys, SLICE])
+    local = join_null_safe(local, shared_edges(sliced, keys, ts, F.col(col)), [*keys, SLICE])
+    later = F.when(F.col(ts).eqNullSafe(F.col("__last.p")), F.col("__after"))
+    parts = [F.col("__own"), F.col("__carry"), later]
+    total = sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+    total = F.when(F.coalesce(*parts).isNotNull(), total)
+    return done.unionByName(local.withColumn(out, total.cast(done.schema[out].dataType)).select(*done.columns))
+
+
+def attempt_no(df, keys, ts, tie=(), rank="rank_no", row="row_no", bounded=False, hot=None) -> DataFrame:
     """Rank (ties share) and row number of each row within its key."""
     keys = _list(keys)
-    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
-
-    def window(order):
-        return slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
-
-    numbered = tagged.select(
-        "*",
-        F.rank().over(window([ts])).alias(rank),
-        F.row_number().over(window([ts, *tie])).alias(row),
-    )
-    if not split:
-        return numbered
-    carry = carry_over(tagged, keys, F.count(F.lit(1)), F.sum, "__carry")
-    before = F.coalesce(F.col("__carry"), F.lit(0))
-    return (
-        join_null_safe(numbered, carry, [*keys, SLICE])
-        .withColumn(rank, (F.col(rank) + before).cast("int"))
-        .withColumn(row, (F.col(row) + before).cast("int"))
-        .drop("__carry", SLICE)
-    )
+    plain, sliced = split_hot(df, keys, [ts, *tie], bounded, hot)
+    whole = Window.partitionBy(*keys)
+    done = plain.select(
+        "*", F.rank().over(whole.orderBy(ts)).alias(rank), F.row_number().over(whole.orderBy(ts, *tie)).alias(row))
+    if sliced is None:
+        return done
+    numbered = sliced.select(
+        "*", F.rank().over(Window.partitionBy(*keys, SLICE).orderBy(ts)).alias(rank),
+        F.row_number().over(slice_window(keys)).alias(row))
+    carry = carry_over(sliced, keys, F.count(F.lit(1)), F.sum, "__carry")
+    numbered = join_null_safe(numbered, carry, [*keys, SLICE])
+    numbered = join_null_safe(numbered, shared_edges(sliced, keys, ts, F.lit(1)), [*keys, SLICE])
+    before = F.coalesce("__carry", F.lit(0))
+    peers = F.when(F.col(ts).eqNullSafe(F.col("__first.p")), F.coalesce("__before", F.lit(0))).otherwise(0)
+    return done.unionByName(
+        numbered.withColumn(rank, (F.col(rank) + before - peers).cast("int"))
+        .withColumn(row, (F.col(row) + before).cast("int")).select(*done.columns))
 
 
 def fill_forward(
-    df, keys, ts, col, out, strict=True, tie=(), grain="minute", bounded=False, own_first=False,
-    hot=None,
+    df, keys, ts, col, out, strict=True, tie=(), bounded=False, own_first=False, hot=None,
 ) -> DataFrame:
     """Last non-null value of ``col`` before each row (``strict``) or up to and including it.
 
@@ -142,22 +137,23 @@ def fill_forward(
     """
     keys = _list(keys)
     order = [ts, *tie]
-    tagged, split = tag_slices(df, keys, time_slice(df, ts, grain), bounded, hot)
-    base = slice_window(keys, order) if split else Window.partitionBy(*keys).orderBy(*order)
-    seen = F.last(col, ignorenulls=True).over(
-        base.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    )
-    filled, value = tagged.withColumn("__seen", seen), F.col("__seen")
-    if split:
-        newest = F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct(*order)))
-        carry = carry_over(
-            tagged, keys, newest, lambda c: F.last(c, ignorenulls=True), "__carry"
-        )
-        filled = join_null_safe(filled, carry, [*keys, SLICE])
-        value = F.coalesce(value, F.col("__carry"))
-    if own_first:
-        value = F.coalesce(F.col(col), value)
-    return filled.withColumn(out, value).drop("__seen", "__carry", SLICE)
+    plain, sliced = split_hot(df, keys, order, bounded, hot)
+
+    def seen(window):
+        return F.last(col, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1 if strict else 0))
+
+    def shown(value):
+        return F.coalesce(F.col(col), value) if own_first else value
+
+    done = plain.withColumn("__seen", seen(Window.partitionBy(*keys).orderBy(*order)))
+    done = done.withColumn(out, shown(F.col("__seen"))).drop("__seen")
+    if sliced is None:
+        return done
+    newest = F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(PLACE)))
+    carry = carry_over(sliced, keys, newest, lambda c: F.last(c, ignorenulls=True), "__carry")
+    filled = join_null_safe(sliced.withColumn("__seen", seen(slice_window(keys))), carry, [*keys, SLICE])
+    return done.unionByName(
+        filled.withColumn(out, shown(F.coalesce("__seen", "__carry"))).select(*done.columns))
 
 
 def first_per(df, keys, order: Sequence, cols: Sequence[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date, day_diff, to_date_key
 from dunlin.operators.joins import after_join, anti, missing_keys, pattern_join, semi
-from dunlin.operators.slices import find_hot, time_slice
+from dunlin.operators.slices import find_hot
 from dunlin.operators.windows import attempt_no, neighbours, next_event, prev_k
 
 
@@ -49,7 +49,6 @@ def message_threshold_exceptions(
     )
     stepped = neighbours(
         numbered, customer, phone, {"prev_at": (ts, 1)}, tie=[ts, *tie], hot=hot,
-        slice_of=F.struct(F.col(phone), time_slice(messages, ts)),
     ).withColumn("gap_days", day_diff(F.col("prev_at"), F.col(ts)))
     active = rules.where("is_active").drop("is_active")
     ruled = pattern_join(stepped, active, name, "pattern")

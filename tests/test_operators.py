@@ -1,5 +1,7 @@
 """Ordered, join, aggregate and ranking operators, on both the plain and the split path."""
 
+import datetime as dt
+import decimal
 import random
 
 import numpy as np
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dunlin.operators import aggregates, joins, percentiles, ranking, sets, windows
-from dunlin.operators.slices import tag_slices, time_slice
+from dunlin.operators.slices import PLACE, SLICE, split_hot
 from tests.conftest import day, rows, ts
 
 SEED = 7
@@ -37,12 +39,72 @@ def both_paths(spark, fn, *cols):
 
 def test_slices_are_made_only_for_large_keys(hot):
     df = log(hot)
-    tagged, split = tag_slices(df, ["key"], time_slice(df, "at"))
-    assert split
+    plain, sliced = split_hot(df, ["key"], ["at", "id"])
     sizes = df.groupBy("key").count().where("count > 8").select("key")
-    sliced = tagged.where(F.col("__slice").isNotNull()).select("key").distinct()
-    assert rows(sliced) == rows(sizes)
-    assert tagged.count() == df.count()
+    assert rows(sliced.select("key").distinct()) == rows(sizes)
+    assert rows(plain.select("id").unionByName(sliced.select("id"))) == rows(df.select("id"))
+
+
+def hot_tables(spark):
+    """Large keys of every kind: sparse, a single time, one time for half of the rows, many
+    phones, texts and dates as order, NULL times, and full ties."""
+    rng, base = random.Random(3), dt.datetime(2024, 1, 1)
+    at = {
+        "sparse": lambda i: base + dt.timedelta(days=7 * i), "single": lambda i: base, "null": lambda i: None,
+        "half": lambda i: base if i % 2 else base + dt.timedelta(minutes=rng.randint(-30, 30)),
+    }
+    data = [(1_000 * k + i, name, f(i), f"p{rng.randint(0, 40):02d}", rng.choice([None, 1.0, 2.5]), i % 5)
+            for k, (name, f) in enumerate(at.items()) for i in range(90)]
+    data += [(9_000 + i, None, base, None, 1.0, 0) for i in range(40)]
+    df = spark.createDataFrame(data, "id bigint, key string, at timestamp_ntz, phone string, v double, t int")
+    return df.withColumn("day", F.to_date("at"))
+
+
+@pytest.mark.parametrize("order", [["at", "id"], ["phone", "at", "id"], ["day", "phone", "id"], ["t", "id"]])
+def test_large_keys_of_any_shape_equal_the_plain_window(spark, order):
+    df = hot_tables(spark)
+    outs = {"p1": ("id", 1), "p2": ("phone", 2, "none"), "n1": ("v", -1)}
+    ts_, tie = order[0], order[1:]
+    for fn, cols in (
+        (lambda: windows.neighbours(df, "key", ts_, outs, tie=tie), list(outs)),
+        (lambda: windows.attempt_no(df, "key", ts_, tie=tie), ["rank_no", "row_no"]),
+        (lambda: windows.running_sum(df, "key", ts_, "v", "s"), ["s"]),
+        (lambda: windows.fill_forward(df, "key", ts_, "v", "f", tie=tie), ["f"]),
+    ):
+        plain, split = both_paths(spark, fn, "id", *cols)
+        assert plain == split and len(plain) == df.count()
+
+
+@pytest.mark.parametrize("limit", [8, 50])
+def test_slices_stay_below_the_limit_with_few_edges(spark, limit):
+    df = hot_tables(spark)
+    spark.conf.set("dunlin.hotKeyRows", str(limit))
+    try:
+        for order in (["at"], ["phone", "at"], ["t"]):
+            _, sliced = split_hot(df, ["key"], order)
+            sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
+            assert sum(sizes) == (400 if limit == 8 else 360) and max(sizes) <= limit and len(sizes) <= 4 * df.count() / limit
+            assert sliced.groupBy(SLICE, PLACE).count().where("count > 1").count() == 0
+    finally:
+        spark.conf.unset("dunlin.hotKeyRows")
+
+
+def test_percentiles_of_large_integers_and_decimals_are_exact(spark):
+    big = 2**53
+    data = [(k % 2, big + 2 * k + 1, decimal.Decimal(10**37 + 3 * k)) for k in range(201)]
+    df = spark.createDataFrame(data, "g int, i bigint, d decimal(38,0)")
+    want = {g: sorted(r[1] for r in data if r[0] == g) for g in (0, 1)}
+    for limit in ("2000000", "10"):
+        spark.conf.set("dunlin.hotKeyRows", limit)
+        try:
+            got = rows(percentiles.percentile_inc(df.where("g = 0"), ["g"], "i", {"m": 0.5, "q": 0.25}, exact=True))
+            assert got == [(0, decimal.Decimal(want[0][50]), decimal.Decimal(want[0][25]))]
+            one = percentiles.percentile_inc(df, [], "d", {"m": 0.5}, exact=True).first().m
+            assert one == 10**37 + 300
+            bands = percentiles.quartile_band(df.where("g = 0"), "i", "b").groupBy("b").count()
+            assert rows(bands) == [(1, 26), (2, 25), (3, 25), (4, 25)]
+        finally:
+            spark.conf.unset("dunlin.hotKeyRows")
 
 
 @pytest.mark.parametrize("outs", [
