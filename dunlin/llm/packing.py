@@ -31,7 +31,7 @@ SIZE = 1024
 SENTENCE_CUT = 2  # penalty of a cut at a sentence end, in padding tokens
 HARD_CUT = 16  # penalty of a cut within a sentence
 STRIP_TOKENS = 1 << 20
-MEMO_WORDS = 800_000  # words whose ids a worker remembers
+MEMO_WORDS = 200_000  # words whose ids a worker remembers (about 250 bytes each)
 
 COLUMNS = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
            "sequence_id bigint, offset bigint")

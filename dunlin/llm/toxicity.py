@@ -42,15 +42,13 @@ def features_of(text: str | None) -> set[str]:
 
 def _explode_features(batches):
     for batch in batches:
-        ids, grades, found = [], [], []
-        for doc_id, grade, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "text"))):
-            own = features_of(text)
-            ids += [doc_id] * len(own)
-            grades += [grade] * len(own)
-            found += own
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(grades, pa.int32()), pa.array(found, pa.string())],
-            names=["doc_id", "grade", "feature"])
+        for a in range(0, batch.num_rows, 128):  # the features of a batch take far more room than its texts
+            part = batch.slice(a, 128)
+            own = [sorted(features_of(x.as_py())) for x in part.column("text")]
+            rows = pa.array(np.repeat(np.arange(len(own)), [len(f) for f in own]))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(rows), part.column("grade").take(rows), pa.array([f for fs in own for f in fs], pa.string())],
+                names=["doc_id", "grade", "feature"])
 
 
 @dataclass
