@@ -413,6 +413,27 @@ def reversal_matches(spark, sf):
     return out.select("payment_id", F.col("reversed_on").cast("date").alias("reversed_on"))
 
 
+@query("""
+WITH moves AS (
+  SELECT account, crm, floor(abs(amount) / 100) AS a, pay_date AS t, 0 AS kind, CAST(payment_id AS VARCHAR) AS id, payment_id FROM pays
+  UNION ALL
+  SELECT account, crm, floor(abs(amount) / 100), pay_date + CAST(k % 60 AS INTEGER), 1, CAST(payment_id AS VARCHAR), NULL
+  FROM pays WHERE k % 3 = 0),
+levels AS (
+  SELECT *, kind + sum(1 - 2 * kind) OVER (PARTITION BY account, crm, a ORDER BY t, kind, id ROWS UNBOUNDED PRECEDING) AS level
+  FROM moves)
+SELECT payment_id, CASE WHEN next_kind = 1 AND next_t - t <= 45 THEN next_id END AS reversal_id FROM (
+  SELECT *, lead(kind) OVER w AS next_kind, lead(t) OVER w AS next_t, lead(id) OVER w AS next_id
+  FROM levels WINDOW w AS (PARTITION BY account, crm, a, level ORDER BY t, kind, id))
+WHERE kind = 0""")
+def reversals_once(spark, sf):
+    paid = f.pays(spark, sf).withColumn("amount", F.floor(F.abs("amount") / 100))
+    back = paid.where(F.col("k") % 3 == 0).withColumn("pay_date", F.date_add("pay_date", F.col("k") % 60))
+    out = joins.match_reversals_once(
+        paid, back, ["account", "crm"], "amount", "pay_date", "pay_date", 45, "payment_id", "payment_id")
+    return out.select("payment_id", "reversal_id")
+
+
 @query("""
 SELECT p.payment_id, round(sum(abs(q.amount)), 4) AS reversed_amount FROM pays p LEFT JOIN pays q
   ON q.account = p.account AND q.k = p.k AND q.payment_id <> p.payment_id AND q.k % 3 = 0

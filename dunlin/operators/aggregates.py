@@ -190,3 +190,17 @@ def range_label(ts: str, fmt: str, prefix: str = "") -> Column:
     """``<min> - <max>`` of a date column, for example ``Jan-24 - Mar-24``."""
     lo, hi = F.date_format(F.min(ts), fmt), F.date_format(F.max(ts), fmt)
     return F.concat(F.lit(prefix), lo, F.lit(" - "), hi)
+
+
+def distinct_bitmaps(df: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
+    """Mergeable exact distinct counts: per key and bucket of 32,768 numbers a bitmap of those
+    seen (4 KB). ``number`` is a whole number, best dense; NULL counts for nothing. Bitmaps
+    combine map-side, can be stored, and those of any months can be put together."""
+    return df.groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+
+
+def count_bitmaps(bitmaps: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Distinct numbers per key over all given bitmaps."""
+    merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(out))

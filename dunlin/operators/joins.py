@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from dunlin.functions.dates import day_diff
 from dunlin.operators.slices import Hot
-from dunlin.operators.windows import _list, fill_forward
+from dunlin.operators.windows import _list, fill_forward, neighbours, running_total
+from dunlin.sources.checkpoints import cut_lineage
 
 
 _EPOCH, _MIRROR = "1970-01-01", "2500-01-01"
@@ -110,14 +111,28 @@ LEAD = 8  # characters of a pattern's literal start that key its join
 RULE_BATCH = 1_000  # rules without a literal start that a name is tested against in one row
 
 
+def _trigrams(text):
+    """Distinct runs of three characters of a text."""
+    return F.when(F.length(text) >= 3, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+
+
+def _required_trigrams(pattern):
+    """Trigrams that every match of a LIKE pattern holds; none for a pattern with escapes."""
+    literal = F.when(F.contains(pattern, F.lit("\\")), F.array().cast("array<string>")).otherwise(F.split(pattern, "[%_]"))
+    return F.array_distinct(F.flatten(F.transform(literal, _trigrams)))
+
+
 def pattern_join(df: DataFrame, rules: DataFrame, col: str, pattern_col: str) -> DataFrame:
     """Attach the rules whose LIKE pattern matches ``col``: the columns of ``df``, ``col``
     first, then those of ``rules``. NULL names and NULL patterns match nothing.
 
     Patterns are tested once per distinct name and the match is joined back on the name, so
     fact rows never meet patterns. A rule with a literal start is joined on its first
-    characters to the starts of the names, with LIKE as a filter. Rules that begin with a
-    wildcard have no key: they are grouped into batches of about ``RULE_BATCH`` by hash, and
+    characters to the starts of the names, with LIKE as a filter. A rule that begins with a
+    wildcard is found by an index of trigrams: of those in its literal parts, which a name must
+    hold, the one that fewest names hold keys its join. Rules without three literal characters
+    in a row have no key: they are grouped into batches of about ``RULE_BATCH`` by hash, and
     each name filters each batch."""
     names = df.select(col).where(F.col(col).isNotNull()).distinct()
     lead = F.regexp_extract(F.col(pattern_col), r"^[^%_\\]*", 0)
@@ -129,7 +144,17 @@ def pattern_join(df: DataFrame, rules: DataFrame, col: str, pattern_col: str) ->
     lengths = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(LEAD), F.length(col))))
     starts = names.withColumn("__key", F.explode(F.transform(lengths, lambda n: F.left(F.col(col), n))))
     matched = starts.join(keyed.where("__key <> ''"), "__key").where(matches(F.col("__rule"))).select(col, "__rule.*")
-    loose = keyed.where("__key = ''").select("__rule")
+    loose = keyed.where("__key = ''").select("__rule", _required_trigrams(F.col("__rule")[pattern_col]).alias("__grams"))
+    indexed, loose = loose.where("size(__grams) > 0"), loose.where("size(__grams) = 0").select("__rule")
+    if not indexed.isEmpty():
+        held = cut_lineage(names.select(col, F.explode(_trigrams(F.col(col))).alias("__gram")))
+        asked = indexed.select("__rule", F.explode("__grams").alias("__gram"))
+        counts = held.join(asked.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(
+            F.count(F.lit(1)).alias("__n"))
+        rarest = asked.join(counts, "__gram", "left").groupBy("__rule").agg(
+            F.min_by("__gram", F.struct(F.coalesce("__n", F.lit(0)), "__gram")).alias("__gram"))
+        found = held.join(rarest, "__gram").where(matches(F.col("__rule"))).select(col, "__rule.*")
+        matched = matched.union(found)
     batches = -(-loose.count() // RULE_BATCH)
     if batches:
         numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(batches - 1).cast("bigint"))
@@ -214,6 +239,37 @@ def match_reversals(
     )
 
 
+def match_reversals_once(
+    payments: DataFrame, reversals: DataFrame, keys, amount: str, ts_p: str, ts_r: str, days: int,
+    id_p: str, id_r: str, hot: Hot | None = None,
+) -> DataFrame:
+    """Payments with the one reversal that undoes them, each reversal undoing one payment: it
+    takes the latest payment of its key and absolute amount, at or before it, that no earlier
+    reversal has taken, if that is at most ``days`` days back. Adds ``reversed_on`` and
+    ``reversal_id`` (text; NULL without one). Equal times: payments first, then by id.
+
+    Payments open a level and reversals close the last one, like brackets: a running sum of +1
+    and -1 gives the level, and within a level the row after a payment is its reversal. No
+    pairs are formed, and large keys are split as for any ordered operator."""
+    by, own = [*_list(keys), "__abs"], payments.columns
+
+    def rows(df, ts, id_col, kind, row):
+        return df.select(
+            *_list(keys), F.abs(amount).alias("__abs"), F.col(ts).cast("timestamp_ntz").alias("__t"), F.lit(kind).alias("__kind"),
+            F.col(id_col).cast("string").alias("__id"), row.alias("__row"))
+
+    paid = rows(payments, ts_p, id_p, 0, F.struct(*own))
+    back = rows(reversals, ts_r, id_r, 1, F.lit(None).cast(paid.schema["__row"].dataType))
+    step = F.when(F.col("__kind") == 0, 1).otherwise(-1)
+    levels = running_total(paid.unionByName(back), by, ["__t", "__kind", "__id"], step, "__sum", hot=hot)
+    levels = levels.withColumn("__level", F.col("__sum") + F.col("__kind"))
+    after = neighbours(
+        levels, [*by, "__level"], "__t", {f"__next{c}": (c, -1) for c in ("__kind", "__t", "__id")}, tie=["__kind", "__id"], hot=hot)
+    taken = (F.col("__next__kind") == 1) & (day_diff(F.col("__t"), F.col("__next__t")) <= days)
+    return after.where("__kind = 0").select(
+        "__row.*", F.when(taken, F.col("__next__t")).alias("reversed_on"), F.when(taken, F.col("__next__id")).alias("reversal_id"))
+
+
 def match_by_reference(
     payments: DataFrame, reversals: DataFrame, keys, ref: str, id_col: str, amount: str
 ) -> DataFrame:

@@ -94,12 +94,12 @@ def split_hot(
     if hot.frame is None:
         return df, None
     named = list(hot.keys)
-    large = join_null_safe(df, hot.frame, named, "left_semi").withColumn("__row", F.monotonically_increasing_id())
-    by = [*dict.fromkeys([*keys, *order]), "__row"]
+    large = join_null_safe(df, hot.frame, named, "left_semi").withColumn("__hot_row", F.monotonically_increasing_id())
+    by = [*dict.fromkeys([*keys, *order]), "__hot_row"]
     per_slice = max(hot_row_limit(df.sparkSession) // 2, 1)
     slices = max(1, -(-large.count() // per_slice))
     cut = cut_lineage(
-        large.repartitionByRange(slices, *by).sortWithinPartitions(*by).drop("__row")
+        large.repartitionByRange(slices, *by).sortWithinPartitions(*by).drop("__hot_row")
         .withColumns({SLICE: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}))
     return join_null_safe(df, hot.frame, named, "left_anti"), cut
 

@@ -105,6 +105,23 @@ def running_sum(df, keys, ts, col, out, bounded=False, hot=None) -> DataFrame:
     return done.unionByName(local.withColumn(out, total.cast(done.schema[out].dataType)).select(*done.columns))
 
 
+def running_total(df, keys, order, value: Column, out, bounded=False, hot=None) -> DataFrame:
+    """Sum of ``value`` over the rows of the key up to this one, row by row in ``order``."""
+    keys, order = _list(keys), _list(order)
+    plain, sliced = split_hot(df, keys, order, bounded, hot)
+
+    def upto(window):
+        return F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    done = plain.withColumn(out, upto(Window.partitionBy(*keys).orderBy(*order)))
+    if sliced is None:
+        return done
+    carry = carry_over(sliced, keys, F.sum(value), F.sum, "__carry")
+    local = join_null_safe(sliced.withColumn("__own", upto(slice_window(keys))), carry, [*keys, SLICE])
+    total = F.col("__own") + F.coalesce("__carry", F.lit(0))
+    return done.unionByName(local.withColumn(out, total).select(*done.columns))
+
+
 def attempt_no(df, keys, ts, tie=(), rank="rank_no", row="row_no", bounded=False, hot=None) -> DataFrame:
     """Rank (ties share) and row number of each row within its key."""
     keys = _list(keys)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ from dunlin.functions.dates import (
 from dunlin.functions.labels import decode_flags, month_age_bands, recode
 from dunlin.functions.text import ratio, text_len
 from dunlin.operators.aggregates import (
-    distinct_flags, share_of, sum_where, yield_index,
+    count_bitmaps, distinct_bitmaps, distinct_flags, share_of, sum_where, yield_index,
 )
 from dunlin.operators.joins import allow_list, allowed_detail, assemble, dim_spine
 from dunlin.operators.sets import union_distinct
 from dunlin.operators.windows import fill_forward, neighbours, running_sum
 from dunlin.sources.scans import range_scan
+from dunlin.sources.sinks import write_window
 
 
 def daily_kpi_spine(
@@ -199,10 +201,35 @@ def accounts_worked_monthly(sources: Mapping[str, DataFrame], month, day="call_d
     return union_distinct(*parts)
 
 
-def accounts_worked_restated(sources: Mapping[str, DataFrame], as_of, day="call_date"):
-    """The previous month once more during the first seven days of a month, else None."""
+def accounts_worked_bitmaps(sources: Mapping[str, DataFrame], start, end, day="call_date") -> DataFrame:
+    """Bitmaps of the accounts worked, by month, source and client, of the days from ``start``
+    to before ``end``: the stored form of the distinct counts."""
+    parts = [
+        distinct_bitmaps(
+            range_scan(df, day, start, end).withColumns({"month": F.trunc(day, "month"), "source": F.lit(name)}),
+            ["month", "source", "client"], "account")
+        for name, df in sources.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def accounts_worked_restated(sources: Mapping[str, DataFrame], path: str, as_of, day="call_date") -> DataFrame:
+    """The stored bitmaps below ``path`` after a load at ``as_of``: the running month is
+    replaced, and during the first seven days of a month the previous one once more. No other
+    day is read, and no other month is written."""
     month = restate_prev_month(as_of)
-    return None if month is None else accounts_worked_monthly(sources, month, day)
+    first = month_floor(as_of) if month is None else month_floor(month)
+    fresh = accounts_worked_bitmaps(sources, first, as_date(as_of) + dt.timedelta(days=1), day)
+    spark = fresh.sparkSession
+    write_window(fresh, path, "month")
+    return spark.read.schema(fresh.schema).parquet(path)
+
+
+def accounts_worked_in(bitmaps: DataFrame, first, last) -> DataFrame:
+    """Distinct accounts by source and client over the months from ``first`` to ``last``, from
+    their bitmaps only: an account worked in several months counts once."""
+    months = bitmaps.where(F.col("month").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")))
+    return count_bitmaps(months, ["source", "client"], "accounts_worked")
 
 
 def call_stats_rolling(

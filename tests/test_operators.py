@@ -398,3 +398,45 @@ def test_distinct_flags_without_entity(spark):
     df = spark.createDataFrame([("g", None, True, 2), ("g", 1, True, 3), ("g", 1, False, 4)], "g string, e int, f boolean, s int")
     out = aggregates.distinct_flags(df, ["g"], "e", {"hit": F.col("f")}, ["s"], "all")
     assert rows(out, "g", "all", "hit", "s") == [("g", 1, 1, 9)]
+
+
+def test_each_reversal_takes_one_payment(spark):
+    rng = random.Random(5)
+    base = dt.date(2024, 1, 1)
+    moves = [(k, "a" if rng.random() < 0.8 else "b", base + dt.timedelta(days=rng.randint(0, 60)), rng.choice([5.0, -5.0, 7.0]))
+             for k in range(160)]
+    paid, back = [m for m in moves if m[0] % 5 < 3], [m for m in moves if m[0] % 5 >= 3]
+    want = {m[0]: None for m in paid}
+    for account in "ab":
+        for amount in (5.0, 7.0):
+            own = [(m[2], kind, str(m[0]), m[0]) for kind, ms in enumerate((paid, back)) for m in ms if m[1] == account and abs(m[3]) == amount]
+            unpaid = []
+            for day_, kind, text_id, k in sorted(own):
+                if kind == 0:
+                    unpaid.append((day_, k))
+                elif unpaid and (day_ - unpaid[-1][0]).days <= 10:
+                    want[unpaid.pop()[1]] = text_id
+    schema = "id bigint, account string, on date, amount double"
+    p, r = spark.createDataFrame(paid, schema), spark.createDataFrame(back, schema)
+    plain, split = both_paths(
+        spark, lambda: joins.match_reversals_once(p, r, "account", "amount", "on", "on", 10, "id", "id"), "id", "reversal_id")
+    assert dict(plain) == dict(split) == want and any(want.values())
+
+
+def test_rules_without_a_literal_start_use_trigrams(spark):
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(300)] + ["a_b%c", "xyz", None, ""]
+    patterns = [f"%{n[1:4]}%" for n in names[:200] if n] + ["%a%", "%", "_bc%d", "%xyz", "%q%", "%a\\_b%", "%abc%cba%", "%zzz%"]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "id int, name string")
+    rules = spark.createDataFrame([(p, k) for k, p in enumerate(patterns)], "pattern string, rule int")
+    got = rows(joins.pattern_join(df, rules, "name", "pattern"), "id", "rule")
+    want = rows(df.crossJoin(rules).where(F.like("name", F.col("pattern"))), "id", "rule")
+    assert got == want and len(got) > 1000
+
+
+def test_bitmaps_merge_to_exact_distinct_counts(spark):
+    df = spark.range(3000).selectExpr("id % 3 as g", "cast(id % 2 as int) as m", "if(id % 50 = 0, null, (id * 7919) % 100003) as a")
+    months = aggregates.distinct_bitmaps(df, ["g", "m"], "a")
+    want = rows(df.groupBy("g").agg(F.count_distinct("a")))
+    assert rows(aggregates.count_bitmaps(months, ["g"], "n"), "g", "n") == want
+    assert rows(aggregates.count_bitmaps(months, ["g", "m"], "n")) == rows(df.groupBy("g", "m").agg(F.count_distinct("a")))
