@@ -366,14 +366,14 @@ def interval_pairs(spark, sf):
                                "user_id", "t1", "t2", 0, 1).select("click_id", "pay_id")
 
 
-SPAN_SQL = """SELECT call_id, min(start_ms) FILTER (category = 'Pitcher') AS lo,
-  max(start_ms) FILTER (category = 'Effort') AS hi FROM hits GROUP BY call_id"""
+SPAN_SQL = """SELECT call_id, min(start_ms) FILTER (category = 'C9') AS lo,
+  max(start_ms) FILTER (category = 'A11') AS hi FROM hits GROUP BY call_id"""
 
 
 def _spans(spark, sf):
     cat, t = F.col("category"), F.col("start_ms")
     return f.hits(spark, sf).groupBy("call_id").agg(
-        F.min(F.when(cat == "Pitcher", t)).alias("lo"), F.max(F.when(cat == "Effort", t)).alias("hi"))
+        F.min(F.when(cat == "C9", t)).alias("lo"), F.max(F.when(cat == "A11", t)).alias("hi"))
 
 
 @query(f"""
@@ -625,9 +625,9 @@ def total_and_unique(spark, sf):
 @query("""
 SELECT call_id, count(*) FILTER (phrase LIKE 't%') AS n_t, count(*) FILTER (phrase LIKE 'a%') AS n_a,
   CAST(CASE WHEN count(*) FILTER (phrase LIKE 't%') > 0 THEN 0 WHEN count(*) FILTER (phrase LIKE 'a%') > 0 THEN 0.5
-    ELSE 1 END AS DOUBLE) AS score FROM hits WHERE category = 'Pitcher' GROUP BY 1""")
+    ELSE 1 END AS DOUBLE) AS score FROM hits WHERE category = 'C9' GROUP BY 1""")
 def priority_scores(spark, sf):
-    h = f.hits(spark, sf).where(F.col("category") == "Pitcher")
+    h = f.hits(spark, sf).where(F.col("category") == "C9")
     return agg.priority_score(h, "call_id", "phrase", [("t", 0.0), ("a", 0.5)], 1.0)
 
 

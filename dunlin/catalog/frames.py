@@ -228,49 +228,27 @@ def words(spark, sf):
     )
 
 
-# a category hit is a word whose speaker and length fall into a class
-cte("hits", """
-SELECT call_id, start_ms, word AS phrase, category FROM (
-  SELECT call_id, start_ms, word, CASE
-    WHEN speaker = 'Customer' AND length(word) = 9 THEN 'Pitcher'
-    WHEN speaker = 'Customer' AND length(word) = 11 THEN 'Promiser'
-    WHEN speaker = 'Customer' AND length(word) = 13 THEN 'Controller'
-    WHEN speaker = 'Customer' AND length(word) = 14 THEN 'Avoider'
-    WHEN speaker = 'Customer' AND length(word) = 15 THEN 'Dissatisfaction'
-    WHEN speaker = 'Customer' AND length(word) = 18 THEN 'Machine'
-    WHEN speaker = 'Agent' AND length(word) = 8 THEN 'Contact'
-    WHEN speaker = 'Agent' AND length(word) = 9 THEN 'Open Question'
-    WHEN speaker = 'Agent' AND length(word) = 10 THEN 'Closed Question'
-    WHEN speaker = 'Agent' AND length(word) = 11 THEN 'Effort'
-    WHEN speaker = 'Agent' AND length(word) = 12 THEN 'Recording'
-    WHEN speaker = 'Agent' AND length(word) = 13 THEN 'Creditor'
-    WHEN speaker = 'Agent' AND length(word) = 14 THEN 'Purpose'
-    WHEN speaker = 'Agent' AND length(word) = 15 THEN 'Second Voice'
-    WHEN speaker = 'Agent' AND length(word) = 16 THEN 'Balance'
-    WHEN speaker = 'Agent' AND length(word) = 17 THEN 'Negotiation'
-    WHEN speaker = 'Agent' AND length(word) = 7 THEN 'Script'
-    WHEN speaker = 'Agent' AND length(word) = 6 THEN 'Verification' END AS category
-  FROM words) WHERE category IS NOT NULL
+# a category hit is a word of some length; the category names the speaker and the length (A11, C9)
+HIT_LENGTHS = {"A": range(6, 18), "C": (9, 11, 13, 14, 15, 18)}
+cte("hits", f"""
+SELECT call_id, start_ms, word AS phrase, speaker[1] || length(word) AS category FROM words
+WHERE {' OR '.join(f"(speaker[1] = '{who}' AND length(word) IN ({', '.join(map(str, n))}))" for who, n in HIT_LENGTHS.items())}
 """)
 
-CUSTOMER_CATEGORIES = {9: "Pitcher", 11: "Promiser", 13: "Controller", 14: "Avoider",
-                       15: "Dissatisfaction", 18: "Machine"}
-AGENT_CATEGORIES = {8: "Contact", 9: "Open Question", 10: "Closed Question", 11: "Effort",
-                    12: "Recording", 13: "Creditor", 14: "Purpose", 15: "Second Voice",
-                    16: "Balance", 17: "Negotiation", 7: "Script", 6: "Verification"}
+
+def transcript(spark, sf):
+    """Every word with its speaker, and its category if it is a hit."""
+    who, n = F.left(F.col("speaker"), F.lit(1)), F.length("word")
+    is_hit = F.lit(False)
+    for letter, lengths in HIT_LENGTHS.items():
+        is_hit = is_hit | ((who == letter) & n.isin(*lengths))
+    return words(spark, sf).select(
+        "call_id", "start_ms", "speaker", F.col("word").alias("phrase"),
+        F.when(is_hit, F.concat(who, n.cast("string"))).alias("category"))
 
 
 def hits(spark, sf):
-    n = F.length("word")
-    by_length = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])[n]
-    category = F.when(F.col("speaker") == "Customer", by_length(CUSTOMER_CATEGORIES)).otherwise(
-        by_length(AGENT_CATEGORIES)
-    )
-    return (
-        words(spark, sf)
-        .select("call_id", "start_ms", F.col("word").alias("phrase"), category.alias("category"))
-        .where(F.col("category").isNotNull())
-    )
+    return transcript(spark, sf).where(F.col("category").isNotNull()).drop("speaker")
 
 
 cte("calls", """

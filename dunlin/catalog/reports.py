@@ -1060,83 +1060,76 @@ def phone_inventory(spark, sf):
     return scorecard.phone_inventory(_scored_phones(spark, sf), ["site"])
 
 
-FLAGS = {"B": "bridge", "D": "defer", "S": "short", "G": "grace", "H": "hold", "Y": "yield", "X": "extend"}
+#: A view offers one or two kinds of event, named by their initials.
+KINDS = ("click", "error", "purchase", "signup", "view")
 cte("metrics", """
-SELECT event_id AS metric_id, CASE event_type WHEN 'purchase' THEN 'enroll' WHEN 'view' THEN 'offers'
-    ELSE 'visit' END AS key, ts,
-  CASE WHEN event_type = 'purchase' THEN 'P' || (k % 7) WHEN event_type <> 'view' THEN NULL
-       WHEN k % 17 = 0 THEN NULL
-       ELSE (CASE WHEN k % 2 = 1 THEN 'B' ELSE '' END) || (CASE WHEN (k // 2) % 2 = 1 THEN 'D' ELSE '' END)
-         || (CASE WHEN (k // 4) % 2 = 1 THEN 'G' ELSE '' END) || (CASE WHEN k > 80 THEN 'H' ELSE 'S' END)
-       END AS description,
+SELECT event_id AS metric_id, event_type AS key, ts, CASE
+    WHEN event_type = 'purchase' THEN 'plan ' || (k % 7)
+    WHEN event_type = 'view' AND k % 17 <> 0 THEN substr('CEPSV', CAST(1 + k % 5 AS INTEGER), 2) END AS description,
   user_id * 100 + day(ts) AS session, user_id AS account FROM ev
 """)
 
 
 @query("""
-WITH en AS (SELECT DISTINCT session, description AS program FROM metrics WHERE key = 'enroll'),
-ren AS (SELECT * REPLACE (CASE WHEN key = 'offers' AND ts >= '2024-01-15'
-   THEN replace(replace(description, 'B', 'X'), 'G', 'Y') ELSE description END AS description) FROM metrics),
-fst AS (SELECT * FROM ren r WHERE key = 'offers' AND description IS NOT NULL AND ts = (
-   SELECT min(ts) FROM ren q WHERE q.session = r.session AND q.key = 'offers'
-     AND q.description IS NOT NULL))
+WITH en AS (SELECT DISTINCT session, description AS program FROM metrics WHERE key = 'purchase'),
+ren AS (SELECT * REPLACE (CASE WHEN key = 'view' AND ts >= '2024-01-15'
+   THEN replace(description, 'S', 'C') ELSE description END AS description) FROM metrics),
+fst AS (SELECT * FROM ren r WHERE key = 'view' AND description IS NOT NULL AND ts = (
+   SELECT min(ts) FROM ren q WHERE q.session = r.session AND q.key = 'view' AND q.description IS NOT NULL))
 SELECT metric_id, key, ts, description, session, account, program, 'Enrolled' AS campaign,
   2 AS campaign_order, 1 AS occurrence FROM ren JOIN en USING (session)
-UNION SELECT metric_id, key, ts, description, session, account, program, 'Viewed', 1, 1
-FROM fst, (VALUES ('B', 'bridge'), ('D', 'defer'), ('S', 'short'), ('G', 'grace'), ('H', 'hold'),
-  ('Y', 'yield'), ('X', 'extend')) v(ch, program) WHERE contains(description, ch)
+UNION SELECT metric_id, key, ts, description, session, account, kind, 'Viewed', 1, 1
+FROM fst, (SELECT DISTINCT event_type AS kind FROM events) WHERE contains(description, upper(kind[1]))
 """)
 def program_waterfall(spark, sf):
     k, kind = F.col("k"), F.col("event_type")
-    bit = lambda n, ch: F.when(F.floor(k / n) % 2 == 1, ch).otherwise("")
-    offers = F.concat(bit(1, "B"), bit(2, "D"), bit(4, "G"), F.when(k > 80, "H").otherwise("S"))
+    initials = "".join(name[0].upper() for name in KINDS)
+    offer = F.substring(F.lit(initials), (1 + k % 5).cast("int"), F.lit(2))
     metrics = f.ev(spark, sf).select(
-        F.col("event_id").alias("metric_id"),
-        F.when(kind == "purchase", "enroll").when(kind == "view", "offers").otherwise("visit")
-        .alias("key"), "ts",
-        F.when(kind == "purchase", F.concat(F.lit("P"), (k % 7).cast("string")))
-        .when((kind == "view") & (k % 17 != 0), offers).alias("description"),
+        F.col("event_id").alias("metric_id"), kind.alias("key"), "ts",
+        F.when(kind == "purchase", F.concat(F.lit("plan "), (k % 7).cast("string")))
+        .when((kind == "view") & (k % 17 != 0), offer).alias("description"),
         (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("session"),
         F.col("user_id").alias("account"))
     return scorecard.program_waterfall(
-        metrics, "enroll", "offers", FLAGS, [("B", "X"), ("G", "Y")], "2024-01-15")
+        metrics, "purchase", "view", dict(zip(initials, KINDS)), [("S", "C")], "2024-01-15")
 
 
 # ---- conversations ---------------------------------------------------------------------------
 
 EFFORT = speech.EffortRules(
-    contact="Contact", machine="Machine", signals=("Pitcher", "Promiser", "Controller", "Avoider"),
-    effort="Effort", open_question="Open Question", closed_question="Closed Question",
+    contact="A8", machine="C18", signals=("C9", "C11", "C13", "C14"),
+    effort="A11", open_question="A9", closed_question="A10",
     promise_results=("Promise",),
 )
 cte("effort_anchor", """
 SELECT h.call_id, sig.start_ms AS sig_ms, sig.category AS signal, sig.phrase AS signal_phrase,
-  eff.start_ms AS eff_ms, eff.phrase AS effort_phrase, np AS n_pitcher, nr AS n_promiser,
-  nc AS n_controller, na AS n_avoider
-FROM (SELECT call_id, count(*) FILTER (category = 'Pitcher') AS np,
-        count(*) FILTER (category = 'Promiser') AS nr, count(*) FILTER (category = 'Controller') AS nc,
-        count(*) FILTER (category = 'Avoider') AS na FROM hits GROUP BY call_id
-      HAVING count(*) FILTER (category = 'Contact') > 0 AND count(*) FILTER (category = 'Machine') = 0) h
+  eff.start_ms AS eff_ms, eff.phrase AS effort_phrase, np AS n_c9, nr AS n_c11,
+  nc AS n_c13, na AS n_c14
+FROM (SELECT call_id, count(*) FILTER (category = 'C9') AS np,
+        count(*) FILTER (category = 'C11') AS nr, count(*) FILTER (category = 'C13') AS nc,
+        count(*) FILTER (category = 'C14') AS na FROM hits GROUP BY call_id
+      HAVING count(*) FILTER (category = 'A8') > 0 AND count(*) FILTER (category = 'C18') = 0) h
 JOIN (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY start_ms, category, phrase) AS rn
-      FROM hits WHERE category IN ('Pitcher', 'Promiser', 'Controller', 'Avoider')) sig
+      FROM hits WHERE category IN ('C9', 'C11', 'C13', 'C14')) sig
   ON sig.call_id = h.call_id AND sig.rn = 1
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY start_ms DESC, phrase DESC) AS rn
-      FROM hits WHERE category = 'Effort') eff ON eff.call_id = h.call_id AND eff.rn = 1
+      FROM hits WHERE category = 'A11') eff ON eff.call_id = h.call_id AND eff.rn = 1
 """)
 
 
 def _effort_sql(where, inside, extra):
     return f"""
-SELECT c.*, signal, signal_phrase, sig_ms // 1000 AS signal_s, n_pitcher, n_promiser, n_controller,
-  n_avoider, coalesce(aw, 0) AS agent_words, coalesce(cw, 0) AS customer_words,
+SELECT c.*, signal, signal_phrase, sig_ms // 1000 AS signal_s, n_c9, n_c11, n_c13,
+  n_c14, coalesce(aw, 0) AS agent_words, coalesce(cw, 0) AS customer_words,
   coalesce(oq, 0) AS open_questions, coalesce(cq, 0) AS closed_questions,
   CAST(result = 'Promise' AS INTEGER) AS promised {extra}
 FROM calls c JOIN effort_anchor a USING (call_id)
 LEFT JOIN (SELECT w.call_id, count(*) FILTER (speaker = 'Agent') AS aw,
              count(*) FILTER (speaker <> 'Agent') AS cw FROM words w JOIN effort_anchor a USING (call_id)
            WHERE {inside.format('w')} GROUP BY ALL) USING (call_id)
-LEFT JOIN (SELECT q.call_id, count(*) FILTER (category = 'Open Question') AS oq,
-             count(*) FILTER (category = 'Closed Question') AS cq FROM hits q
+LEFT JOIN (SELECT q.call_id, count(*) FILTER (category = 'A9') AS oq,
+             count(*) FILTER (category = 'A10') AS cq FROM hits q
            JOIN effort_anchor a USING (call_id) WHERE {inside.format('q')} GROUP BY ALL) USING (call_id)
 {where}"""
 
@@ -1152,18 +1145,18 @@ LEFT JOIN (SELECT q.call_id, count(*) FILTER (category = 'Open Question') AS oq,
        ELSE 'E.480+ Seconds' END AS gap_band"""))
 def conversation_effort(spark, sf):
     return speech.conversation_effort(
-        f.calls(spark, sf), f.hits(spark, sf), f.words(spark, sf), EFFORT)
+        f.calls(spark, sf), f.transcript(spark, sf), None, EFFORT)
 
 
 @query(_effort_sql("", "{0}.start_ms // 1000 >= sig_ms // 1000", ""))
 def conversation_profile(spark, sf):
     return speech.conversation_effort(
-        f.calls(spark, sf), f.hits(spark, sf), f.words(spark, sf), EFFORT, form="profile")
+        f.calls(spark, sf), f.transcript(spark, sf), None, EFFORT, form="profile")
 
 
 cte("programs", """
-SELECT * FROM (VALUES ('First', 'Open Question', 'Promiser'), ('Second', 'Closed Question', 'Pitcher'),
-  ('Third', 'Effort', 'Controller')) p(program, offer, success)
+SELECT * FROM (VALUES ('First', 'A9', 'C11'), ('Second', 'A10', 'C9'),
+  ('Third', 'A11', 'C13')) p(program, offer, success)
 """)
 
 
@@ -1188,19 +1181,19 @@ WHERE coalesce(o, s) IS NOT NULL AND (
 def offer_success(spark, sf):
     people = f.acct(spark, sf).select("account", "segment", "name", "list_date", "nation")
     programs = [
-        speech.Program("First", "Open Question", "Promiser", F.col("nation") > 4,
+        speech.Program("First", "A9", "C11", F.col("nation") > 4,
                        ("segment", "list_date"), call_filter=F.col("client") != "C1"),
-        speech.Program("Second", "Closed Question", "Pitcher", F.col("segment") != "BUILDING",
+        speech.Program("Second", "A10", "C9", F.col("segment") != "BUILDING",
                        ("name",)),
-        speech.Program("Third", "Effort", "Controller", F.lit(True), ("list_date",),
+        speech.Program("Third", "A11", "C13", F.lit(True), ("list_date",),
                        success_after_offer=True),
     ]
     return speech.offer_success(f.calls(spark, sf), f.hits(spark, sf), people, programs)
 
 
 VOICE = speech.VoiceRules(
-    supervisor="Second Voice", openings=("Creditor", "Balance"),
-    signals=("Pitcher", "Promiser", "Controller", "Avoider"), script="Script",
+    supervisor="A15", openings=("A13", "A16"),
+    signals=("C9", "C11", "C13", "C14"), script="A7",
     script_ignored=("the",),
 )
 cte("phrase_groups", """
@@ -1217,12 +1210,12 @@ def _groups(spark, sf):
 
 @query("""
 WITH t AS (SELECT *, start_ms // 1000 AS sec FROM hits),
-v AS (SELECT call_id, max(sec) AS vs FROM t WHERE category = 'Second Voice' GROUP BY 1),
-o AS (SELECT call_id, max(sec) AS opening_s FROM t WHERE category IN ('Creditor', 'Balance')
+v AS (SELECT call_id, max(sec) AS vs FROM t WHERE category = 'A15' GROUP BY 1),
+o AS (SELECT call_id, max(sec) AS opening_s FROM t WHERE category IN ('A13', 'A16')
       AND sec <= 180 GROUP BY 1),
-s AS (SELECT call_id, max(sec) AS ss FROM t WHERE category = 'Script' AND phrase NOT IN ('the') GROUP BY 1),
+s AS (SELECT call_id, max(sec) AS ss FROM t WHERE category = 'A7' AND phrase NOT IN ('the') GROUP BY 1),
 g AS (SELECT t.*, CASE WHEN vs > sec THEN 'A' ELSE 'S' END AS side FROM t JOIN v USING (call_id)
-      WHERE category IN ('Pitcher', 'Promiser', 'Controller', 'Avoider')
+      WHERE category IN ('C9', 'C11', 'C13', 'C14')
       QUALIFY row_number() OVER (PARTITION BY call_id, side ORDER BY start_ms, category, phrase) = 1),
 b AS (SELECT c.*, opening_s, vs, ss,
    CASE WHEN vs IS NULL THEN 'Not Applicable' ELSE coalesce(a.category, 'No Content') END AS agent_category,
@@ -1260,10 +1253,10 @@ def second_voice_shift(spark, sf):
 
 
 SCRIPT = speech.ScriptRules(
-    recording="Recording", purpose="Purpose", creditor="Creditor", balance="Balance",
-    voice="Second Voice", signals=("Pitcher", "Promiser", "Controller", "Avoider"), effort="Effort",
-    negotiation="Negotiation", open_question="Open Question", closed_question="Closed Question",
-    verification="Verification", dissatisfaction="Dissatisfaction",
+    recording="A12", purpose="A14", creditor="A13", balance="A16",
+    voice="A15", signals=("C9", "C11", "C13", "C14"), effort="A11",
+    negotiation="A17", open_question="A9", closed_question="A10",
+    verification="A6", dissatisfaction="C15",
     severity=(("t", 0.0), ("a", 0.5), ("o", 0.75)),
 )
 
@@ -1272,22 +1265,22 @@ SCRIPT = speech.ScriptRules(
 WITH rec AS (SELECT session, call_id FROM calls WHERE call_id % 6 <> 5),
 t AS (SELECT DISTINCT call_id, category, phrase, start_ms // 1000 AS sec FROM hits
       WHERE call_id IN (SELECT call_id FROM rec)),
-f AS (SELECT call_id, min(sec) FILTER (category = 'Recording') AS recording_s,
-   min(sec) FILTER (category = 'Purpose') AS purpose_s, min(sec) FILTER (category = 'Creditor') AS creditor_s,
-   min(sec) FILTER (category = 'Balance') AS balance_s, min(sec) FILTER (category = 'Second Voice') AS second_voice_s,
-   max(sec) FILTER (category = 'Effort') AS effort_s, min(sec) FILTER (category = 'Negotiation') AS n0,
-   max(sec) FILTER (category = 'Negotiation') AS n1, min(sec) FILTER (category = 'Verification') AS verification_s,
-   coalesce(min(sec) FILTER (category = 'Balance'), min(sec) FILTER (category = 'Creditor'), 0) AS opening_s
+f AS (SELECT call_id, min(sec) FILTER (category = 'A12') AS recording_s,
+   min(sec) FILTER (category = 'A14') AS purpose_s, min(sec) FILTER (category = 'A13') AS creditor_s,
+   min(sec) FILTER (category = 'A16') AS balance_s, min(sec) FILTER (category = 'A15') AS second_voice_s,
+   max(sec) FILTER (category = 'A11') AS effort_s, min(sec) FILTER (category = 'A17') AS n0,
+   max(sec) FILTER (category = 'A17') AS n1, min(sec) FILTER (category = 'A6') AS verification_s,
+   coalesce(min(sec) FILTER (category = 'A16'), min(sec) FILTER (category = 'A13'), 0) AS opening_s
   FROM t GROUP BY call_id),
 sg AS (SELECT t.*, sec >= opening_s AS after FROM t JOIN f USING (call_id)
-  WHERE category IN ('Pitcher', 'Promiser', 'Controller', 'Avoider')
+  WHERE category IN ('C9', 'C11', 'C13', 'C14')
   QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY sec >= opening_s DESC, sec, category, phrase) = 1),
-qs AS (SELECT call_id, count(*) FILTER (category = 'Open Question') AS open_questions,
-   count(*) FILTER (category = 'Closed Question') AS closed_questions FROM t JOIN f USING (call_id)
-  WHERE sec >= opening_s AND category IN ('Open Question', 'Closed Question') GROUP BY call_id),
+qs AS (SELECT call_id, count(*) FILTER (category = 'A9') AS open_questions,
+   count(*) FILTER (category = 'A10') AS closed_questions FROM t JOIN f USING (call_id)
+  WHERE sec >= opening_s AND category IN ('A9', 'A10') GROUP BY call_id),
 ds AS (SELECT call_id, count(*) FILTER (phrase LIKE 't%') AS n_t, count(*) FILTER (phrase LIKE 'a%') AS n_a,
-   count(*) FILTER (phrase LIKE 'o%') AS n_o FROM t WHERE category = 'Dissatisfaction' GROUP BY call_id),
-dw AS (SELECT call_id, phrase AS worst_phrase, sec AS worst_s FROM t WHERE category = 'Dissatisfaction'
+   count(*) FILTER (phrase LIKE 'o%') AS n_o FROM t WHERE category = 'C15' GROUP BY call_id),
+dw AS (SELECT call_id, phrase AS worst_phrase, sec AS worst_s FROM t WHERE category = 'C15'
   QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY CASE WHEN phrase LIKE 't%' THEN 1
     WHEN phrase LIKE 'a%' THEN 2 ELSE 3 END, sec, phrase) = 1),
 j AS (SELECT c.* EXCLUDE (call_id), r.call_id, f.* EXCLUDE (call_id), sg.category AS signal,

@@ -1,9 +1,13 @@
 """Call-transcript reports.
 
 Canonical frames: ``calls`` (one row per call_id), ``hits`` (call_id, category, phrase,
-start_ms) and ``words`` (call_id, speaker, start_ms). Category names are arguments. Every
-report reduces the hits to one row per call in a single conditional-aggregate pass; first
-and last events are min_by / max_by aggregates, which combine map-side.
+start_ms) and ``words`` (call_id, speaker, start_ms); a ``transcript`` holds both (a word that is
+no hit has a NULL category). Category names are arguments. Every report reads its hits once:
+they are reduced per second of a call, then per call to first and last events (min and max of
+structs, which combine map-side) and one array with an entry per second. Conditions that depend
+on other events of the call (after the opening, before the supervisor) are folded over that array
+by higher-order functions, so no report joins the hits back to what was derived from them.
+An array is bounded by the seconds of a call, not by its rows.
 """
 
 from __future__ import annotations
@@ -46,6 +50,26 @@ def hit_seconds(df: DataFrame) -> DataFrame:
     return df.withColumn("sec", whole_seconds(F.col("start_ms")))
 
 
+def transcript(hits: DataFrame, words: DataFrame) -> DataFrame:
+    """Hits and words as one frame: call_id, start_ms, speaker, category, phrase."""
+    none = F.lit(None).cast("string")
+    return hits.select("call_id", "start_ms", none.alias("speaker"), "category", "phrase").unionByName(
+        words.select("call_id", "start_ms", "speaker", none.alias("category"), none.alias("phrase")))
+
+
+def fold_sum(seconds: Column, name: str, inside) -> Column:
+    """Sum of a field over the seconds of a call that lie ``inside``."""
+    return F.aggregate(
+        seconds, F.lit(0).cast("bigint"),
+        lambda total, s: total + F.when(inside(s["sec"]), s[name]).otherwise(0),
+    )
+
+
+def fold_first(seconds: Column, name: str, inside) -> Column:
+    """Smallest event of a field over the seconds of a call that lie ``inside``."""
+    return F.array_min(F.transform(F.filter(seconds, lambda s: inside(s["sec"])), lambda s: s[name]))
+
+
 @dataclass(frozen=True)
 class EffortRules:
     contact: str
@@ -59,55 +83,50 @@ class EffortRules:
 
 
 def conversation_effort(
-    calls: DataFrame, hits: DataFrame, words: DataFrame, rules: EffortRules, form: str = "effort"
+    calls: DataFrame, hits: DataFrame, words: DataFrame | None, rules: EffortRules, form: str = "effort"
 ) -> DataFrame:
     """Words and questions between the first customer signal and the last agent effort.
 
     Population: calls with a contact marker and no answering-machine marker. ``form="effort"``
     needs the effort to follow the signal and counts in ``signal <= t <= effort``;
-    ``form="profile"`` needs only a signal and counts everything from it on.
+    ``form="profile"`` needs only a signal and counts everything from it on. With ``words=None``,
+    ``hits`` is a transcript, which is then scanned once.
     """
-    cat = F.col("category")
-    signal = {f"n_{name.lower()}": F.count_if(cat == name) for name in rules.signals}
-    per_call = hits.groupBy("call_id").agg(
-        F.max((cat == rules.contact).cast("int")).alias("__contact"),
-        F.max((cat == rules.machine).cast("int")).alias("__machine"),
+    cat, speaker = F.col("category"), F.col("speaker")
+    names = {f"n_{name.lower()}": name for name in rules.signals}
+    counts = {
+        "agent_words": speaker == rules.agent, "customer_words": speaker != rules.agent,
+        "open_questions": cat == rules.open_question, "closed_questions": cat == rules.closed_question,
+    }
+    per_second = hit_seconds(hits if words is None else transcript(hits, words)).groupBy("call_id", "sec").agg(
+        F.max(cat == rules.contact).alias("__contact"), F.max(cat == rules.machine).alias("__machine"),
         first_hit(cat.isin(*rules.signals)).alias("__signal"),
         last_hit(cat == rules.effort).alias("__effort"),
-        *[agg.alias(name) for name, agg in signal.items()],
-    ).where((F.col("__contact") == 1) & (F.col("__machine") == 0) & F.col("__signal").isNotNull())
+        *[F.count_if(cat == name).alias(out) for out, name in names.items()],
+        *[F.count_if(cond).alias(out) for out, cond in counts.items()],
+    )
+    counted = F.greatest(*counts) > 0
+    per_call = per_second.groupBy("call_id").agg(
+        F.max("__contact").alias("__contact"), F.max("__machine").alias("__machine"),
+        F.min("__signal").alias("__signal"), F.max("__effort").alias("__effort"),
+        *[F.sum(out).alias(out) for out in names],
+        F.collect_list(F.when(counted, F.struct("sec", *counts))).alias("__seconds"),
+    ).where(F.col("__contact") & ~F.coalesce("__machine", F.lit(False)) & F.col("__signal").isNotNull())
     anchored = per_call.select(
-        "call_id", *signal,
+        "call_id", *names, "__seconds",
         F.col("__signal.category").alias("signal"), F.col("__signal.phrase").alias("signal_phrase"),
         whole_seconds(F.col("__signal.start_ms")).alias("signal_s"),
         F.col("__effort.phrase").alias("effort_phrase"),
         whole_seconds(F.col("__effort.start_ms")).alias("effort_s"),
         (F.col("__effort.start_ms") > F.col("__signal.start_ms")).alias("__later"),
     )
+    inside = lambda sec: sec >= F.col("signal_s")
     if form == "effort":
         anchored = anchored.where("__later")
-        inside = F.col("sec").between(F.col("signal_s"), F.col("effort_s"))
-    else:
-        inside = F.col("sec") >= F.col("signal_s")
-    spans = anchored.select("call_id", "signal_s", "effort_s")
-
-    spoken = hit_seconds(words).join(spans, "call_id").where(inside)
-    word_counts = spoken.groupBy("call_id").agg(
-        F.count_if(F.col("speaker") == rules.agent).alias("agent_words"),
-        F.count_if(F.col("speaker") != rules.agent).alias("customer_words"),
-    )
-    asked = hit_seconds(hits.where(cat.isin(rules.open_question, rules.closed_question)))
-    questions = asked.join(spans, "call_id").where(inside).groupBy("call_id").agg(
-        F.count_if(cat == rules.open_question).alias("open_questions"),
-        F.count_if(cat == rules.closed_question).alias("closed_questions"),
-    )
-    counts = ["agent_words", "customer_words", "open_questions", "closed_questions"]
-    out = (
-        calls.join(anchored.drop("__later"), "call_id")
-        .join(word_counts, "call_id", "left").join(questions, "call_id", "left")
-        .fillna(0, counts)
-        .withColumn("promised", F.col("result").isin(*rules.promise_results).cast("int"))
-    )
+        inside = lambda sec: sec.between(F.col("signal_s"), F.col("effort_s"))
+    folded = anchored.withColumns({c: fold_sum(F.col("__seconds"), c, inside) for c in counts})
+    out = calls.join(folded.drop("__later", "__seconds"), "call_id").withColumn(
+        "promised", F.col("result").isin(*rules.promise_results).cast("int"))
     if form == "effort":
         gap = F.col("effort_s") - F.col("signal_s")
         return out.withColumns({"gap_s": gap, "gap_band": upto_bands(gap, GAP_BANDS, GAP_REST)})
@@ -191,25 +210,23 @@ def second_voice_shift(
     Calls need an opening marker within the first seconds. ``groups`` maps (category, phrase)
     to a behaviour group; ``behaviour_changed`` compares the groups on both sides."""
     cat, sec = F.col("category"), F.col("sec")
-    timed = hit_seconds(hits)
-    per_call = timed.groupBy("call_id").agg(
-        F.max(F.when(cat == rules.supervisor, sec)).alias("voice_s"),
-        F.max(F.when(cat.isin(*rules.openings) & (sec <= rules.opening_max_s), sec))
-        .alias("opening_s"),
-        F.max(F.when((cat == rules.script) & ~F.col("phrase").isin(*rules.script_ignored), sec))
-        .alias("script_s"),
-    ).where(F.col("opening_s").isNotNull())
-    before = F.col("voice_s") > sec
-    sided = (
-        timed.where(cat.isin(*rules.signals))
-        .join(per_call.where(F.col("voice_s").isNotNull()).select("call_id", "voice_s"), "call_id")
-        .groupBy("call_id")
-        .agg(
-            first_hit(before).alias("__agent"),
-            first_hit(~before).alias("__supervisor"),
-        )
+    script = (cat == rules.script) & ~F.col("phrase").isin(*rules.script_ignored)
+    per_second = hit_seconds(hits).groupBy("call_id", "sec").agg(
+        F.max(cat == rules.supervisor).alias("__voice"), F.max(cat.isin(*rules.openings)).alias("__opening"),
+        F.max(script).alias("__script"), first_hit(cat.isin(*rules.signals)).alias("signal"),
     )
-    joined = calls.join(per_call, "call_id").join(sided, "call_id", "left")
+    signal = F.when(F.col("signal").isNotNull(), F.struct("sec", "signal"))
+    per_call = per_second.groupBy("call_id").agg(
+        F.max(F.when(F.col("__voice"), sec)).alias("voice_s"),
+        F.max(F.when(F.col("__opening") & (sec <= rules.opening_max_s), sec)).alias("opening_s"),
+        F.max(F.when(F.col("__script"), sec)).alias("script_s"),
+        F.collect_list(signal).alias("__seconds"),
+    ).where(F.col("opening_s").isNotNull())
+    seconds, voice = F.col("__seconds"), F.col("voice_s")
+    joined = calls.join(per_call.withColumns({
+        "__agent": fold_first(seconds, "signal", lambda sec: voice > sec),
+        "__supervisor": fold_first(seconds, "signal", lambda sec: voice <= sec),
+    }).drop("__seconds"), "call_id")
     lone = F.col("voice_s").isNull()
 
     def side(name):
@@ -289,36 +306,42 @@ def script_adherence(
     timed = hit_seconds(semi(hits, recordings, "call_id")).select(
         "call_id", "category", "phrase", "sec", F.col("sec").alias("start_ms")
     ).distinct()
-    at = lambda c: F.min(F.when(cat == c, sec))
     bad = cat == rules.dissatisfaction
     level = F.lit(len(rules.severity))
     for i, (prefix, _) in reversed(list(enumerate(rules.severity, 1))):
         level = F.when(F.col("phrase").startswith(prefix), i).otherwise(level)
-    per_call = timed.groupBy("call_id").agg(
-        at(rules.recording).alias("recording_s"), at(rules.purpose).alias("purpose_s"),
-        at(rules.creditor).alias("creditor_s"), at(rules.balance).alias("balance_s"),
+    severities = {f"n_{p.lower()}": p for p, _ in rules.severity}
+    marks = {"recording": rules.recording, "purpose": rules.purpose, "creditor": rules.creditor,
+             "balance": rules.balance, "verification": rules.verification}
+    per_second = timed.groupBy("call_id", "sec").agg(
+        *[F.max(cat == c).alias(f"__{name}") for name, c in marks.items()],
         first_hit(cat == rules.voice).alias("__voice"),
         last_hit(cat == rules.effort).alias("__effort"),
         first_hit(cat == rules.negotiation).alias("__neg_start"),
         last_hit(cat == rules.negotiation).alias("__neg_end"),
-        at(rules.verification).alias("verification_s"),
-        *[F.count_if(bad & F.col("phrase").startswith(p)).alias(f"n_{p.lower()}")
-          for p, _ in rules.severity],
+        *[F.count_if(bad & F.col("phrase").startswith(p)).alias(out) for out, p in severities.items()],
         F.min(F.when(bad, F.struct(level.alias("level"), "sec", "phrase"))).alias("__worst"),
-    ).withColumn("opening_s", F.coalesce("balance_s", "creditor_s", F.lit(0)))
-
-    opening = per_call.select("call_id", "opening_s")
-    phased = (
-        timed.where(cat.isin(*rules.signals, rules.open_question, rules.closed_question))
-        .join(opening, "call_id")
-    )
-    later = sec >= F.col("opening_s")
-    is_signal = cat.isin(*rules.signals)
-    phases = phased.groupBy("call_id").agg(
-        F.coalesce(first_hit(is_signal & later), first_hit(is_signal)).alias("__signal"),
-        F.count_if((cat == rules.open_question) & later).alias("open_questions"),
-        F.count_if((cat == rules.closed_question) & later).alias("closed_questions"),
+        first_hit(cat.isin(*rules.signals)).alias("signal"),
+        F.count_if(cat == rules.open_question).alias("open_questions"),
+        F.count_if(cat == rules.closed_question).alias("closed_questions"),
     )
+    phased = F.col("signal").isNotNull() | (F.col("open_questions") + F.col("closed_questions") > 0)
+    per_call = per_second.groupBy("call_id").agg(
+        *[F.min(F.when(F.col(f"__{name}"), sec)).alias(f"{name}_s") for name in marks],
+        *[pick(c).alias(c) for pick, c in (
+            (F.min, "__voice"), (F.max, "__effort"), (F.min, "__neg_start"), (F.max, "__neg_end"), (F.min, "__worst"))],
+        *[F.sum(out).alias(out) for out in severities],
+        F.collect_list(F.when(phased, F.struct("sec", "signal", "open_questions", "closed_questions")))
+        .alias("__seconds"),
+    ).withColumn("opening_s", F.coalesce("balance_s", "creditor_s", F.lit(0)))
+    seconds = F.col("__seconds")
+    later = lambda sec: sec >= F.col("opening_s")
+    per_call = per_call.withColumns({
+        "__signal": F.coalesce(
+            fold_first(seconds, "signal", later), fold_first(seconds, "signal", lambda sec: F.lit(True))),
+        "open_questions": fold_sum(seconds, "open_questions", later),
+        "closed_questions": fold_sum(seconds, "closed_questions", later),
+    }).drop("__seconds")
     score = F.lit(0.0)
     for prefix, value in reversed(rules.severity):
         score = F.when(F.col(f"n_{prefix.lower()}") > 0, value).otherwise(score)
@@ -326,12 +349,12 @@ def script_adherence(
         {"phrase": "__p", "grp": "signal_group"}
     )
     asked = F.col("open_questions") + F.col("closed_questions") > 0
-    phases = phases.withColumns({
+    per_call = per_call.withColumns({
         c: F.when(asked, F.col(c)) for c in ("open_questions", "closed_questions")
     })
     rows = (
         calls.join(recordings, "session", "left")
-        .join(per_call, "call_id", "left").join(phases, "call_id", "left")
+        .join(per_call, "call_id", "left")
         .join(phrase_groups, F.col("__signal.phrase") == F.col("__p"), "left").drop("__p")
     )
     recorded, length = F.col("call_id").isNotNull(), F.col("duration_s")

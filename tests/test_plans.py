@@ -234,29 +234,70 @@ def test_payment_share_adds_up(spark):
 
 
 HITS = "call_id int, category string, phrase string, start_ms bigint"
-EFFORT = speech.EffortRules("RPC", "MM", ("Pitcher", "Avoider"), "Effort", "Open", "Close", promise_results=("PTP",))
+EFFORT = speech.EffortRules("RPC", "MM", ("Ask", "Delay"), "Effort", "Open", "Close", promise_results=("PTP",))
 
 
 def test_effort_needs_to_follow_the_signal(spark):
     calls = spark.createDataFrame([(1, "PTP"), (2, "x"), (3, "x"), (4, "x")], "call_id int, result string")
     hits = spark.createDataFrame(
-        [(1, "RPC", "p", 0), (1, "Pitcher", "p", 1499), (1, "Avoider", "q", 5000), (1, "Effort", "e", 122000), (1, "Open", "o", 1000),
+        [(1, "RPC", "p", 0), (1, "Ask", "p", 1499), (1, "Delay", "q", 5000), (1, "Effort", "e", 122000), (1, "Open", "o", 1000),
          (1, "Close", "c", 122999), (1, "Open", "o", 130000),
-         (2, "RPC", "p", 0), (2, "Effort", "e", 1000), (2, "Pitcher", "p", 2000),
-         (3, "RPC", "p", 0), (3, "MM", "m", 0), (3, "Pitcher", "p", 1000), (3, "Effort", "e", 2000),
-         (4, "Pitcher", "p", 1000), (4, "Effort", "e", 2000)], HITS)
+         (2, "RPC", "p", 0), (2, "Effort", "e", 1000), (2, "Ask", "p", 2000),
+         (3, "RPC", "p", 0), (3, "MM", "m", 0), (3, "Ask", "p", 1000), (3, "Effort", "e", 2000),
+         (4, "Ask", "p", 1000), (4, "Effort", "e", 2000)], HITS)
     words = spark.createDataFrame([(1, "Agent", 1000), (1, "Agent", 999), (1, "Customer", 122000), (1, "Customer", 123000),
                                    (2, "Agent", 9000)], "call_id int, speaker string, start_ms bigint")
     r = speech.conversation_effort(calls, hits, words, EFFORT).collect()
     assert len(r) == 1
     r = r[0]
-    assert (r["signal"], r["signal_s"], r["effort_s"], r["gap_s"], r["gap_band"]) == ("Pitcher", 1, 122, 121, "B.121-240 Seconds")
+    assert (r["signal"], r["signal_s"], r["effort_s"], r["gap_s"], r["gap_band"]) == ("Ask", 1, 122, 121, "B.121-240 Seconds")
     assert (r["agent_words"], r["customer_words"], r["open_questions"], r["closed_questions"]) == (1, 1, 1, 1)
-    assert (r["n_pitcher"], r["n_avoider"], r["promised"]) == (1, 1, 1)
+    assert (r["n_ask"], r["n_delay"], r["promised"]) == (1, 1, 1)
     profile = speech.conversation_effort(calls, hits, words, EFFORT, form="profile")
     assert rows(profile, "call_id", "agent_words", "customer_words", "open_questions") == [(1, 1, 2, 2), (2, 1, 0, 0)]
 
 
+def test_speech_reports_scan_the_hits_once(spark, tmp_path):
+    import random
+
+    pick = random.Random(3)
+    cats = ["RPC", "Ask", "Delay", "Effort", "Open", "Close", "Second", "bad", None]
+    data = [(pick.randint(1, 9), pick.choice(["Agent", "Customer"]), pick.choice(cats), pick.choice("Hmx"), pick.randint(0, 300_000))
+            for _ in range(900)]
+    path = str(tmp_path / "transcript")
+    spark.createDataFrame(data, "call_id int, speaker string, category string, phrase string, start_ms bigint").write.parquet(path)
+    script = spark.read.parquet(path)
+    hits, words = script.where("category is not null").drop("speaker"), script.select("call_id", "speaker", "start_ms")
+    cols = "call_id int, session string, duration_s int, silence_s int, direction string, is_contact int, is_connect int, result string, result_class string"
+    calls = spark.createDataFrame([(i, f"s{i}", 300, 5, "INBOUND", 1, 1, "PTP", "PTP") for i in range(1, 11)], cols)
+    groups = spark.createDataFrame([("Ask", "H", "G1"), ("Delay", "m", "G2")], "category string, phrase string, grp string")
+    both = speech.conversation_effort(calls, hits, words, EFFORT)
+    one = speech.conversation_effort(calls, script, None, EFFORT)
+    assert rows(one) == rows(both) and one.count()
+    voice = speech.second_voice_shift(
+        calls, hits, groups, speech.VoiceRules("Second", ("Open",), ("Ask", "Delay"), "Close"))
+    rules = speech.ScriptRules("RPC", "Open", "Close", "Open", "Second", ("Ask", "Delay"), "Effort", "Effort", "Open", "Close", "RPC", "bad")
+    adherence = speech.script_adherence(calls.drop("call_id"), calls.select("session", "call_id"), hits, groups, rules)
+    for report in (one, voice, adherence):
+        assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    # the folded parts against plain Python
+    for r in one.collect():
+        mine = [(ms, cat, text, who) for c, who, cat, text, ms in data if c == r["call_id"]]
+        signal = min(h[:3] for h in mine if h[1] in ("Ask", "Delay"))
+        effort = max(h[:3] for h in mine if h[1] == "Effort")
+        inside = [h for h in mine if signal[0] // 1000 <= h[0] // 1000 <= effort[0] // 1000]
+        assert (r["agent_words"], r["customer_words"], r["open_questions"], r["closed_questions"], r["n_ask"]) == (
+            sum(h[3] == "Agent" for h in inside), sum(h[3] == "Customer" for h in inside),
+            sum(h[1] == "Open" for h in inside), sum(h[1] == "Close" for h in inside), sum(h[1] == "Ask" for h in mine))
+    for r in voice.collect():
+        mine = [(ms, cat, text) for c, _, cat, text, ms in data if c == r["call_id"]]
+        at = max((h[0] // 1000 for h in mine if h[1] == "Second"), default=None)
+        signals = sorted(h for h in mine if h[1] in ("Ask", "Delay"))
+        before = next((h[2] for h in signals if h[0] // 1000 < at), "No Language")
+        after = next((h[2] for h in signals if h[0] // 1000 >= at), "No Language")
+        assert (r["agent_phrase"], r["supervisor_phrase"]) == (before, after)
+
+
 def test_success_without_offer_implies_one(spark):
     calls = spark.createDataFrame([(1, 1, "c"), (2, 2, "c"), (3, 3, "x")], "call_id int, account int, client string")
     people = spark.createDataFrame([(1, 5.0), (2, 0.0), (3, 5.0)], "account int, status double")
