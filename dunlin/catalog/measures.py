@@ -19,16 +19,6 @@ def _round(df, keys=()):
     return df.withColumns({c: F.round(c, 8) for c in df.columns if c not in keys})
 
 
-def _ratio_sql(num, den):
-    cols = [num] if isinstance(num, str) else list(num)
-    top = " + ".join(f"sum({c})" for c in cols)
-    return f"round(CAST({top} AS DOUBLE) / nullif(CAST(sum({den}) AS DOUBLE), 0), 8)"
-
-
-def _select(specs):
-    return ", ".join(f"{_ratio_sql(n, d)} AS {name}" for name, (n, d) in specs.items())
-
-
 COUNTERS = ["calls", "unq_calls", "rpc_calls", "unq_rpc_calls", "letters", "unq_letters", "unq_payers",
             "calls_ob", "calls_ib", "unq_rpc_calls_ib", "unq_rpc_calls_ob", "sms_sent", "unq_sms_sent",
             "emails_sent", "unq_emails_sent"]
@@ -50,14 +40,34 @@ def _inventory(spark, sf):
         *[((F.col("l_orderkey") + i * F.col("l_linenumber")) % (i + 2)).alias(c) for i, c in enumerate(COUNTERS)])
 
 
-@query(f"SELECT client, {_select(m.INVENTORY)} FROM inventory GROUP BY 1")
+# The SQL of the measures is written out and shares no table with the Spark side.
+INVENTORY_SQL = """
+  round(bal / acc, 8) AS avg_balance, round(calls / acc, 8) AS call_penetration,
+  round(unq_calls / acc, 8) AS unq_call_penetration, round(rpc_calls / acc, 8) AS rpc_call_penetration,
+  round(unq_rpc_calls / acc, 8) AS unq_rpc_call_penetration, round(letters / acc, 8) AS letter_penetration,
+  round(unq_letters / acc, 8) AS unq_letter_penetration, round(unq_payers / acc, 8) AS account_conversion,
+  round(pay / nullif(calls, 0), 8) AS payments_per_call, round(pay / nullif(bal, 0), 8) AS liquidation,
+  round(pay / acc, 8) AS gross_unit_yield, round(calls_ob / acc, 8) AS call_penetration_ob,
+  round(calls_ib / acc, 8) AS call_penetration_ib, round(unq_rpc_calls_ib / acc, 8) AS unq_rpc_call_penetration_ib,
+  round(unq_rpc_calls_ob / acc, 8) AS unq_rpc_call_penetration_ob, round(sms / acc, 8) AS sms_penetration,
+  round(unq_sms / acc, 8) AS unq_sms_penetration, round(emails / acc, 8) AS email_penetration,
+  round(unq_emails / acc, 8) AS unq_email_penetration,
+  round((calls + sms + emails + letters) / acc, 8) AS channel_penetration"""
+INVENTORY_SUMS = """sum(balances)::DOUBLE AS bal, nullif(sum(accounts), 0)::DOUBLE AS acc, sum(payments)::DOUBLE AS pay,
+  sum(calls) AS calls, sum(unq_calls) AS unq_calls, sum(rpc_calls) AS rpc_calls, sum(unq_rpc_calls) AS unq_rpc_calls,
+  sum(letters) AS letters, sum(unq_letters) AS unq_letters, sum(unq_payers) AS unq_payers, sum(calls_ob) AS calls_ob,
+  sum(calls_ib) AS calls_ib, sum(unq_rpc_calls_ib) AS unq_rpc_calls_ib, sum(unq_rpc_calls_ob) AS unq_rpc_calls_ob,
+  sum(sms_sent) AS sms, sum(unq_sms_sent) AS unq_sms, sum(emails_sent) AS emails, sum(unq_emails_sent) AS unq_emails"""
+
+
+@query(f"SELECT client, {INVENTORY_SQL} FROM (SELECT client, {INVENTORY_SUMS} FROM inventory GROUP BY 1)")
 def inventory_measures(spark, sf):
     df = _inventory(spark, sf)
     return _round(m.by_dimension(df, "client", m.registry(m.INVENTORY, df.columns), ["client", "stream"]), ["client"])
 
 
-@query(f"SELECT {_select(m.INVENTORY)}, CAST(sum(calls) + sum(sms_sent) + sum(emails_sent) + sum(letters) AS BIGINT) "
-       "AS total_attempts FROM inventory WHERE rpt_month >= '1999-01-01' AND stream = 'ECONOMY'")
+@query(f"""SELECT {INVENTORY_SQL}, CAST(calls + sms + emails + letters AS BIGINT) AS total_attempts
+FROM (SELECT {INVENTORY_SUMS} FROM inventory WHERE rpt_month >= '1999-01-01' AND stream = 'ECONOMY')""")
 def inventory_measures_filtered(spark, sf):
     df = _inventory(spark, sf).where(
         (F.col("rpt_month") >= F.lit("1999-01-01").cast("date")) & (F.col("stream") == "ECONOMY"))
@@ -81,8 +91,18 @@ def top_clients_by_month(spark, sf):
 
 
 def _message_sql(dim):
-    inner = "SELECT *, CAST(has_pay AS BIGINT) AS payers FROM attributed"
-    return f"SELECT {dim}, {_select(m.MESSAGE)} FROM ({inner}) GROUP BY 1"
+    return f"""
+SELECT {dim}, round(bounced / sent, 8) AS bounce_rate, round(delivered / sent, 8) AS delivered_rate,
+  round(opened / nullif(delivered, 0), 8) AS open_rate, round(optouts / nullif(delivered, 0), 8) AS optout_rate,
+  round(spam / nullif(delivered, 0), 8) AS spam_rate, round(clicks / nullif(delivered, 0), 8) AS click_rate,
+  round(payers / nullif(delivered, 0), 8) AS pay_rate, round(paid / nullif(delivered, 0), 8) AS paid_per_delivered,
+  round(scrubbed / nullif(requested, 0), 8) AS scrub_rate, round(opens / nullif(delivered, 0), 8) AS overall_open_rate,
+  round(clicks / nullif(opened, 0), 8) AS clicks_to_opens
+FROM (SELECT {dim}, sum(bounced)::DOUBLE AS bounced, nullif(sum(sent), 0)::DOUBLE AS sent, sum(delivered)::DOUBLE AS delivered,
+    sum(unq_opens)::DOUBLE AS opened, sum(optouts)::DOUBLE AS optouts, sum(marked_as_spam)::DOUBLE AS spam,
+    sum(clicks)::DOUBLE AS clicks, count(*) FILTER (has_pay)::DOUBLE AS payers, sum(payments)::DOUBLE AS paid,
+    sum(invalid_scrubbed + optout_scrubbed + whitelist_scrubbed)::DOUBLE AS scrubbed,
+    sum(requested)::DOUBLE AS requested, sum(total_opens)::DOUBLE AS opens FROM attributed GROUP BY 1)"""
 
 
 @query(_message_sql("letter"))
@@ -101,16 +121,24 @@ def _rates(spark, sf, dim):
     return _round(m.by_dimension(df, dim, m.registry(m.MESSAGE, df.columns), allowed), [dim])
 
 
-COHORT_STAGES = {"requested": "requested", "whitelist_scrubbed": "whitelist_scrubbed",
-                 "optout_scrubbed": "optout_scrubbed", "invalid_scrubbed": "invalid_scrubbed", "sent": "sent",
-                 "bounced": "bounced", "delivered": "delivered", "opens": "unq_opens", "optouts": "optouts",
-                 "spam": "marked_as_spam", "clicks": "clicks"}
-
-
-@query("WITH cohort AS (SELECT client, crm, "
-       + ", ".join(f"count(DISTINCT CASE WHEN {c} > 0 THEN account END) AS unq_{n}" for n, c in COHORT_STAGES.items())
-       + ", count(DISTINCT CASE WHEN has_pay THEN account END) AS payers, sum(payments) AS payments "
-       f"FROM attributed GROUP BY ALL) SELECT client, {_select(m.COHORT)} FROM cohort GROUP BY 1")
+@query("""
+WITH cohort AS (SELECT client, crm, count(DISTINCT account) FILTER (requested > 0) AS req,
+    count(DISTINCT account) FILTER (whitelist_scrubbed > 0) AS white, count(DISTINCT account) FILTER (optout_scrubbed > 0) AS outs,
+    count(DISTINCT account) FILTER (invalid_scrubbed > 0) AS inv, count(DISTINCT account) FILTER (sent > 0) AS snt,
+    count(DISTINCT account) FILTER (bounced > 0) AS bou, count(DISTINCT account) FILTER (delivered > 0) AS del,
+    count(DISTINCT account) FILTER (unq_opens > 0) AS ope, count(DISTINCT account) FILTER (optouts > 0) AS opt,
+    count(DISTINCT account) FILTER (marked_as_spam > 0) AS spa, count(DISTINCT account) FILTER (clicks > 0) AS cli,
+    count(DISTINCT account) FILTER (has_pay) AS pay, sum(payments) AS paid FROM attributed GROUP BY ALL)
+SELECT client, round((sum(inv) + sum(outs) + sum(white)) / nullif(sum(req), 0)::DOUBLE, 8) AS unq_scrub_rate,
+  round(sum(bou) / nullif(sum(snt), 0)::DOUBLE, 8) AS unq_bounce_rate,
+  round(sum(del) / nullif(sum(snt), 0)::DOUBLE, 8) AS unq_delivered_rate,
+  round(sum(ope) / nullif(sum(del), 0)::DOUBLE, 8) AS unq_open_rate,
+  round(sum(opt) / nullif(sum(del), 0)::DOUBLE, 8) AS unq_optout_rate,
+  round(sum(spa) / nullif(sum(del), 0)::DOUBLE, 8) AS unq_spam_rate,
+  round(sum(cli) / nullif(sum(del), 0)::DOUBLE, 8) AS unq_click_rate,
+  round(sum(pay) / nullif(sum(del), 0)::DOUBLE, 8) AS unq_pay_rate,
+  round(sum(paid)::DOUBLE / nullif(sum(del), 0)::DOUBLE, 8) AS unq_paid_per_delivered
+FROM cohort GROUP BY 1""")
 def cohort_rates(spark, sf):
     from dunlin.plans.messages import first_month_funnel
 
@@ -118,10 +146,13 @@ def cohort_rates(spark, sf):
     return _round(m.by_dimension(funnel, "client", m.registry(m.COHORT, funnel.columns)), ["client"])
 
 
-@query("WITH clk AS (SELECT letter, CAST(code = 10 AS INT) * n_events AS delivered, CAST(code = 12 AS INT) AS clicks, "
-       "CAST(code = 12 AND guid % 3 = 0 AS INT) AS clicks_website, CAST(code = 12 AND guid % 3 = 1 AS INT) AS clicks_privacy, "
-       "CAST(code = 12 AND guid % 3 = 2 AS INT) AS clicks_regulator FROM msgs) "
-       f"SELECT letter, {_select(m.CLICK_TARGET)} FROM clk GROUP BY 1")
+@query("""
+SELECT letter, round(clicks / delivered, 8) AS pct_with_click, round(website / delivered, 8) AS pct_clicked_website,
+  round(privacy / delivered, 8) AS pct_clicked_privacy, round(regulator / delivered, 8) AS pct_clicked_regulator
+FROM (SELECT letter, nullif(sum(CASE WHEN code = 10 THEN n_events ELSE 0 END), 0)::DOUBLE AS delivered,
+    count(*) FILTER (code = 12) AS clicks, count(*) FILTER (code = 12 AND guid % 3 = 0) AS website,
+    count(*) FILTER (code = 12 AND guid % 3 = 1) AS privacy, count(*) FILTER (code = 12 AND guid % 3 = 2) AS regulator
+  FROM msgs GROUP BY 1)""")
 def click_target_rates(spark, sf):
     code, guid = F.col("code"), F.col("guid")
     hit = lambda n: ((code == 12) & (guid % 3 == n)).cast("int")
@@ -148,36 +179,37 @@ s AS (SELECT p.site, p.score, b.balance_range, b.segment, count(*) AS attempts,
   FROM x p JOIN (SELECT c_custkey, CASE WHEN c_acctbal <= 2500 THEN 1 WHEN c_acctbal >= 5000 THEN 3 ELSE 2 END AS balance_range,
     CASE WHEN c_mktsegment = 'BUILDING' THEN 'L' WHEN c_acctbal < 0 THEN 'R' ELSE 'S' END AS segment FROM customer) b
   ON c_custkey = account GROUP BY ALL)
-""" + f"SELECT score, {_select(m.CONTACT)} FROM s GROUP BY 1")
+SELECT score, round(sum(attempts) / nullif(sum(phones), 0)::DOUBLE, 8) AS intensity,
+  round(sum(unq_contacts) / nullif(sum(phones), 0)::DOUBLE, 8) AS contact_pct_per_phone,
+  round(sum(unq_wrong) / nullif(sum(phones), 0)::DOUBLE, 8) AS wrong_pct_per_phone,
+  round(sum(contacts) / nullif(sum(attempts), 0)::DOUBLE, 8) AS contact_pct_per_attempt,
+  round(sum(wrong) / nullif(sum(attempts), 0)::DOUBLE, 8) AS wrong_pct_per_attempt
+FROM s GROUP BY 1""")
 def contact_rates(spark, sf):
     perf = phone_score_performance(spark, sf)
     return _round(m.by_dimension(perf, "score", m.registry(m.CONTACT)), ["score"])
 
 
-CURVE_KINDS = ["click", "error", "purchase"]
-CURVE_LABELS = [(5, "0to5"), (10, "6to10"), (15, "11to15"), (20, "16to20"), (25, "21to25"), (30, "26to30")]
+CURVE_KINDS = ["click", "error", "purchase", "view"]
+
+
+def _curve_kind(kind):
+    bands = ("BETWEEN 0 AND 5 0to5", "BETWEEN 6 AND 10 6to10", "BETWEEN 11 AND 15 11to15", "BETWEEN 16 AND 20 16to20",
+             "BETWEEN 21 AND 25 21to25", "BETWEEN 26 AND 30 26to30", "> 30 30plus")
+    parts = [f"count(*) FILTER (event_type = '{kind}') AS total_{kind}"]
+    for test, name in (band.rsplit(" ", 1) for band in bands):
+        n = f"count(*) FILTER (event_type = '{kind}' AND delay {test})"
+        parts += [f"{n} AS {kind}_{name}",
+                  f"round({n} / nullif(count(*) FILTER (event_type = '{kind}'), 0)::DOUBLE, 8) AS {kind}_{name}_share"]
+    return ", ".join(parts)
 
 
 def _curve_sql():
-    def band(kind, i):
-        lo = -1 if i == 0 else CURVE_LABELS[i - 1][0]
-        if i == len(CURVE_LABELS):
-            return f"event_type = '{kind}' AND delay > 30"
-        return f"event_type = '{kind}' AND delay > {lo} AND delay <= {CURVE_LABELS[i][0]}"
-
-    names = [x for _, x in CURVE_LABELS] + ["30plus"]
-    cols = []
-    for kind in CURVE_KINDS:
-        total = f"count(*) FILTER (event_type = '{kind}')"
-        cols.append(f"{total} AS total_{kind}")
-        for i, name in enumerate(names):
-            n = f"count(*) FILTER ({band(kind, i)})"
-            cols += [f"{n} AS {kind}_{name}", f"round({n} / nullif({total}, 0)::DOUBLE, 8) AS {kind}_{name}_share"]
     return f"""
 WITH d AS (SELECT 'C' || (user_id % 4) AS client, event_type, day - (SELECT max(CAST(s.ts AS DATE)) FROM events s
     WHERE s.user_id = e.user_id AND s.event_type = 'signup' AND s.ts <= e.ts) AS delay
-  FROM ev e WHERE event_type IN ('click', 'error', 'purchase'))
-SELECT client, {', '.join(cols)} FROM d WHERE delay IS NOT NULL GROUP BY 1"""
+  FROM ev e WHERE event_type <> 'signup')
+SELECT client, {', '.join(_curve_kind(k) for k in CURVE_KINDS)} FROM d WHERE delay IS NOT NULL GROUP BY 1"""
 
 
 @query(_curve_sql())
@@ -239,18 +271,28 @@ def phones_by_activity(spark, sf):
 
 
 @query("""
-WITH p AS (SELECT site, score, phone, account, ts, is_contact, min(CASE WHEN is_contact = 1 THEN ts END)
-  OVER (PARTITION BY account, phone) AS fc FROM perf),
+WITH p AS (SELECT site, score, phone, account, ts, min(CASE WHEN is_contact = 1 THEN ts END)
+  OVER (PARTITION BY account, phone) AS fc, min(CASE WHEN is_wrong = 1 THEN ts END)
+  OVER (PARTITION BY account, phone) AS fw FROM perf),
 c AS (SELECT p.*, CASE WHEN c_acctbal <= 2500 THEN 1 WHEN c_acctbal >= 5000 THEN 3 ELSE 2 END AS br,
   CASE WHEN c_mktsegment = 'BUILDING' THEN 'L' WHEN c_acctbal < 0 THEN 'R' ELSE 'S' END AS sg
   FROM p JOIN customer ON c_custkey = account),
-s AS (SELECT site, score, br, sg, count(DISTINCT phone) AS phones, count(*) FILTER (ts = fc) AS uc FROM c GROUP BY ALL),
+s AS (SELECT site, score, br, sg, count(DISTINCT phone) AS phones, count(*) FILTER (ts = fc) AS uc,
+  count(*) FILTER (ts = fw) AS uw FROM c GROUP BY ALL),
+e AS (SELECT kind, v, row_number() OVER (PARTITION BY kind ORDER BY v) AS rn, 0.5 * (count(*) OVER (PARTITION BY kind) + 1) AS pos
+  FROM (SELECT 'contact' AS kind, uc / nullif(phones, 0)::DOUBLE AS v FROM s
+        UNION ALL SELECT 'wrong', uw / nullif(phones, 0)::DOUBLE FROM s) WHERE v IS NOT NULL),
+z AS (SELECT kind, max(v) FILTER (rn = floor(pos)) AS lo, max(v) FILTER (rn = ceil(pos)) AS hi, any_value(pos - floor(pos)) AS w
+  FROM e GROUP BY 1),
+rows AS (SELECT max(lo + w * (hi - lo)) FILTER (kind = 'contact') AS rc, max(lo + w * (hi - lo)) FILTER (kind = 'wrong') AS rw,
+  (SELECT quantile_cont(v, 0.75) FROM e WHERE kind = 'contact') AS r75 FROM z),
 t AS (SELECT site, score, sum(uc) / nullif(sum(phones), 0)::DOUBLE AS rate FROM s GROUP BY ALL),
 q AS (SELECT quantile_cont(rate, 0.25) AS a, quantile_cont(rate, 0.5) AS b, quantile_cont(rate, 0.75) AS d, count(rate) AS n FROM t),
 o AS (SELECT rate, row_number() OVER (ORDER BY rate) AS rn FROM t),
 m AS (SELECT x.rate + (0.5 * (n + 1) - floor(0.5 * (n + 1))) * (y.rate - x.rate) AS me FROM q
   JOIN o x ON x.rn = floor(0.5 * (n + 1)) JOIN o y ON y.rn = ceil(0.5 * (n + 1)))
 SELECT site, score, round(rate, 8) AS rate, CASE WHEN rate <= a THEN 1 WHEN rate <= b THEN 2 WHEN rate <= d THEN 3 ELSE 4 END
-  AS quartile, round(me, 8) AS median_exc, round(b, 8) AS median_inc, round(d, 8) AS p75_inc FROM t, q, m""")
+  AS quartile, round(me, 8) AS median_exc, round(b, 8) AS median_inc, round(d, 8) AS p75_inc,
+  round(rc, 8) AS row_median_exc, round(rw, 8) AS row_wrong_median_exc, round(r75, 8) AS row_p75_inc FROM t, q, m, rows""")
 def contact_percentiles(spark, sf):
     return _round(m.contact_percentiles(phone_score_performance(spark, sf), ["site", "score"]), ["site", "score", "quartile"])

@@ -147,9 +147,13 @@ def message_calculated_columns(df: DataFrame, day: str, delivered: str, unit_sav
     })
 
 
-def contact_percentiles(df: DataFrame, dims: Sequence[str], num="unq_contacts", den="phones"):
+def contact_percentiles(
+    df: DataFrame, dims: Sequence[str], num="unq_contacts", den="phones", wrong="unq_wrong"
+) -> DataFrame:
     """Percentiles of the contact rate over the rows of a summary by ``dims``: the exclusive
-    median, the inclusive median and 75th percentile, and each row's quartile band.
+    median, the inclusive median and 75th percentile, and each row's quartile band. The ``row_*``
+    columns are taken over the rows of ``df`` themselves: exclusive medians of the contact and the
+    wrong-party rate, inclusive 75th percentile of the contact rate.
 
     The model's "75th" and "50th" percentile measures evaluate 0.5 and 0.25; the levels here
     are the ones their names state."""
@@ -157,8 +161,16 @@ def contact_percentiles(df: DataFrame, dims: Sequence[str], num="unq_contacts",
     banded = quartile_band(rates, "rate", "quartile")
     median = percentile_exc(rates, [], "rate", {"p": 0.5}).first()
     inc = percentile_inc(rates, [], "rate", {"p50": 0.5, "p75": 0.75}).first()
+    rate = lambda kind, c: F.struct(F.lit(kind).alias("kind"), ratio(F.col(c), F.col(den)).alias("rate"))
+    each = cut_lineage(df.select(F.inline(F.array(rate("contact", num), rate("wrong", wrong)))))
+    row_exc = {r["kind"]: r["p"] for r in percentile_exc(each, ["kind"], "rate", {"p": 0.5}).collect()}  # two rows
+    row_inc = {r["kind"]: r["p"] for r in percentile_inc(each, ["kind"], "rate", {"p": 0.75}).collect()}
+    number = lambda v: F.lit(v).cast("double")
     return banded.withColumns({
-        "median_exc": F.lit(median["p"] if median else None).cast("double"),
-        "median_inc": F.lit(inc["p50"] if inc else None).cast("double"),
-        "p75_inc": F.lit(inc["p75"] if inc else None).cast("double"),
+        "median_exc": number(median["p"] if median else None),
+        "median_inc": number(inc["p50"] if inc else None),
+        "p75_inc": number(inc["p75"] if inc else None),
+        "row_median_exc": number(row_exc.get("contact")),
+        "row_wrong_median_exc": number(row_exc.get("wrong")),
+        "row_p75_inc": number(row_inc.get("contact")),
     })
