@@ -29,10 +29,12 @@ def ev(spark, sf):
 
 cte("msgs", """
 SELECT user_id * 10 + k % 10 AS guid, ts, event_id,
-  CASE WHEN event_type = 'signup' THEN 10 WHEN event_type = 'error' THEN 8
-       WHEN event_type = 'view' THEN 5 WHEN k % 20 = 0 THEN 6 WHEN k % 20 = 1 THEN 9
-       ELSE 12 END AS code,
-  CASE WHEN event_type <> 'error' THEN NULL WHEN k % 4 = 0 THEN 'Hard-Bounce'
+  CASE WHEN event_type = 'signup' AND k % 8 = 5 THEN 13 WHEN event_type = 'signup' THEN 10
+       WHEN event_type = 'error' THEN 8 WHEN event_type = 'view' THEN 5 WHEN k % 20 = 0 THEN 6
+       WHEN k % 20 = 1 THEN 9 WHEN k % 20 = 2 THEN 100 ELSE 12 END AS code,
+  CASE WHEN event_type = 'signup' AND k % 8 = 5 THEN
+         CASE k % 3 WHEN 0 THEN 'Undeliverable' WHEN 1 THEN 'Bad-Record' ELSE 'Opt-Out' END
+       WHEN event_type <> 'error' THEN NULL WHEN k % 4 = 0 THEN 'Hard-Bounce'
        WHEN k % 4 = 1 THEN 'NotInWhiteList' WHEN k % 4 = 2 THEN 'Opt-Out'
        ELSE 'Soft-Bounce' END AS detail,
   CASE WHEN k % 7 = 3 THEN 'Blocked' END AS value, 'V' || (k % 3) AS vendor,
@@ -46,12 +48,14 @@ FROM ev WHERE event_type <> 'purchase'
 
 def msgs(spark, sf):
     e, k, kind, user = ev(spark, sf), F.col("k"), F.col("event_type"), F.col("user_id")
+    scrubbed = (kind == "signup") & (k % 8 == 5)
+    why = F.when(k % 3 == 0, "Undeliverable").when(k % 3 == 1, "Bad-Record").otherwise("Opt-Out")
     code = (
-        F.when(kind == "signup", 10).when(kind == "error", 8).when(kind == "view", 5)
-        .when(k % 20 == 0, 6).when(k % 20 == 1, 9).otherwise(12)
+        F.when(scrubbed, 13).when(kind == "signup", 10).when(kind == "error", 8).when(kind == "view", 5)
+        .when(k % 20 == 0, 6).when(k % 20 == 1, 9).when(k % 20 == 2, 100).otherwise(12)
     )
     detail = (
-        F.when(kind != "error", F.lit(None)).when(k % 4 == 0, "Hard-Bounce")
+        F.when(scrubbed, why).when(kind != "error", F.lit(None)).when(k % 4 == 0, "Hard-Bounce")
         .when(k % 4 == 1, "NotInWhiteList").when(k % 4 == 2, "Opt-Out").otherwise("Soft-Bounce")
     )
     text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
@@ -96,6 +100,14 @@ def revs(spark, sf):
     )
 
 
+def by_reference(spark, sf):
+    """Payments and returned payments of the second source (system 5), told apart by ``k``; a
+    return carries the reference of the payment it undoes."""
+    rows = pays(spark, sf).where(F.col("crm") == 5).withColumn(
+        "reference", F.concat(F.lit("R"), (F.col("k") % 4).cast("string")))
+    return rows.where(F.col("k") % 10 < 7), rows.where(F.col("k") % 10 >= 7)
+
+
 cte("texts", """
 SELECT event_id AS session, ts, day, user_id AS account, user_id || '-' || (k % 3) AS account_ref,
   'C' || (user_id % 4) AS client,

@@ -174,7 +174,7 @@ def _mapping(spark, sf):
 cte("sent_ids", "SELECT DISTINCT guid FROM msgs WHERE code IN (8, 10, 13)")
 cte("touched", """
 SELECT * FROM (
-  SELECT p.payment_id, p.crm, p.account, p.pay_date, p.amount, o.guid,
+  SELECT p.payment_id, p.crm, p.account, p.pay_date, p.amount, p.k, o.guid,
     row_number() OVER (PARTITION BY p.payment_id ORDER BY p.pay_date - CAST(o.ts AS DATE),
                        o.ts DESC, o.guid DESC) AS rn
   FROM pays p JOIN msgs o ON o.account = p.account AND o.crm = p.crm AND o.code = 5
@@ -196,28 +196,40 @@ FROM (SELECT guid, min(ts) FILTER (code IN (8, 10, 13))::DATE AS send_date, min(
         min(client) AS client, min(letter) AS letter, min(account) AS account,
         min(split_part(email, '@', 2)) AS email_domain, min(send_domain) AS send_domain,
         CAST(max(CAST(code = 10 AS INT)) AS BIGINT) AS delivered,
-        CAST(max(CAST(code = 8 AND detail = 'Hard-Bounce' AS INT)) AS BIGINT) AS bounced,
+        CAST(max(CAST(code = 8 AND (detail = 'Hard-Bounce' OR (value = 'Blocked' AND vendor = 'V1')) AS INT)) AS BIGINT) AS bounced,
         CAST(max(CAST(code = 8 AND detail = 'NotInWhiteList' AS INT)) AS BIGINT) AS wl,
-        CAST(max(CAST(code = 8 AND detail = 'Opt-Out' AS INT)) AS BIGINT) AS oo,
-        CAST(max(CAST(code = 8 AND detail = 'Soft-Bounce' AS INT)) AS BIGINT) AS inv,
+        CAST(max(CAST(code IN (8, 13) AND detail = 'Opt-Out' AS INT)) AS BIGINT) AS oo,
+        CAST(max(CAST((code = 8 AND detail = 'Soft-Bounce') OR (code = 13 AND detail IN ('Undeliverable', 'Bad-Record'))
+          AS INT)) AS BIGINT) AS inv,
         sum(n_events) FILTER (code = 5) AS opens, sum(n_events) FILTER (code = 12) AS clicks,
-        sum(n_events) FILTER (code = 9) AS spam, sum(n_events) FILTER (code = 6) AS optouts
-      FROM (SELECT * REPLACE (coalesce(detail, '') AS detail) FROM msgs)
+        sum(n_events) FILTER (code IN (9, 100)) AS spam, sum(n_events) FILTER (code = 6) AS optouts
+      FROM (SELECT * REPLACE (coalesce(detail, '') AS detail, coalesce(value, '') AS value) FROM msgs)
       WHERE guid IN (SELECT guid FROM sent_ids) GROUP BY guid) s
-LEFT JOIN (SELECT guid, sum(amount - CASE WHEN EXISTS (
+LEFT JOIN (SELECT guid, sum(amount - CASE WHEN crm = 5 THEN coalesce((
+             SELECT sum(abs(n.amount)) FROM pays n WHERE n.crm = 5 AND n.k % 10 >= 7 AND n.account = t.account
+               AND n.k % 4 = t.k % 4 AND n.payment_id <> t.payment_id), 0)
+           WHEN EXISTS (
              SELECT 1 FROM revs r WHERE r.account = t.account AND r.crm = t.crm
                AND abs(r.amount) = abs(t.amount) AND r.pay_date - t.pay_date BETWEEN 0 AND 45)
              THEN abs(t.amount) ELSE 0 END) AS paid
-           FROM touched t GROUP BY guid) p USING (guid)
-LEFT JOIN (SELECT crm, account, min(CAST(ts AS DATE)) AS first_send_date FROM msgs
-           WHERE code IN (8, 10, 13) GROUP BY ALL) fs USING (crm, account)
+           FROM touched t WHERE crm <> 5 OR k % 10 < 7 GROUP BY guid) p USING (guid)
+LEFT JOIN (SELECT crm, client, account, min(CAST(ts AS DATE)) AS first_send_date FROM msgs
+           WHERE code IN (8, 10, 13) GROUP BY ALL) fs USING (crm, client, account)
 """)
 
 
+BOUNCING = messages.Codes(bounce_vendor="V1")
+
+
+def _paid(spark, sf):
+    """Payments and reversals of the first source; those of the second, which carry references."""
+    first = [df.where("crm <> 5") for df in (f.pays(spark, sf), f.revs(spark, sf))]
+    return first, {"referenced": f.by_reference(spark, sf), "codes": BOUNCING}
+
+
 def _attribution(spark, sf):
-    return messages.message_attribution(
-        f.msgs(spark, sf), f.pays(spark, sf), f.revs(spark, sf), "2024-02-10"
-    )
+    first, second = _paid(spark, sf)
+    return messages.message_attribution(f.msgs(spark, sf), *first, "2024-02-10", **second)
 
 
 @query("""
@@ -233,11 +245,12 @@ SELECT * EXCLUDE (has_pay) REPLACE (round(payments, 4) AS payments), CAST(has_pa
   date_trunc('month', send_date)::DATE AS send_month FROM attributed
 """)
 def attribution_refresh(spark, sf):
-    """Two runs into a stored report: the events until January 20, then all of them."""
-    path, log = new_folder(spark, "attribution"), f.msgs(spark, sf)
-    early = log.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    for part, as_of in ((early, "2024-01-20"), (log, "2024-02-10")):
-        messages.refresh_attribution(path, part, f.pays(spark, sf), f.revs(spark, sf), as_of)
+    """Two runs into a stored report by way of the stored state: the events until January 20,
+    then those after it."""
+    path, state = new_folder(spark, "attribution"), new_folder(spark, "attribution-state")
+    first, second = _paid(spark, sf)
+    for as_of in ("2024-01-20", "2024-02-10"):
+        messages.refresh_attribution(path, f.msgs(spark, sf), *first, as_of, state=state, **second)
     return read_table(spark, path).withColumn("payments", r4("payments"))
 
 
@@ -368,7 +381,7 @@ SELECT '24-Jan' AS month_label, c.client, coalesce(a, 0) AS email_sent,
   coalesce(h, 0) AS text_delivered, coalesce(i, 0) AS text_optouts
 FROM (SELECT 'C' || n_nationkey AS client FROM nation) c
 LEFT JOIN (SELECT client, count(*) AS a, sum(CASE WHEN code = 10 THEN n_events ELSE 0 END) AS b,
-  count(*) FILTER (code = 8 AND detail = 'Hard-Bounce') AS c1,
+  count(*) FILTER (code = 8 AND (detail = 'Hard-Bounce' OR (value = 'Blocked' AND vendor = 'V1'))) AS c1,
   sum(CASE WHEN code = 5 THEN n_events ELSE 0 END) AS d,
   sum(CASE WHEN code = 12 THEN n_events ELSE 0 END) AS e,
   sum(CASE WHEN code = 6 THEN n_events ELSE 0 END) AS f
@@ -384,7 +397,7 @@ def _monthly(spark, sf):
         F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("client")
     )
     return messages.channel_monthly_summary(
-        clients, f.msgs(spark, sf), f.texts(spark, sf), "2024-02-10",
+        clients, f.msgs(spark, sf), f.texts(spark, sf), "2024-02-10", BOUNCING,
         text_sent=["Delivered", "Failed"], text_delivered=["Delivered"], text_optout=["Stop"],
     )
 

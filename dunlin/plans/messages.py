@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dunlin.functions.dates import as_date, day_diff, prev_month
@@ -23,7 +23,7 @@ from dunlin.operators.slices import Hot, find_hot
 from dunlin.operators.windows import backfill_two_stage, prev_value
 from dunlin.sources.checkpoints import cut_lineage
 from dunlin.sources.scans import range_scan
-from dunlin.sources.sinks import presence_checks, read_table, write_upsert
+from dunlin.sources.sinks import presence_checks, read_table, write_upsert, write_window
 
 
 @dataclass(frozen=True)
@@ -103,49 +103,62 @@ def message_attribution(
     * ``referenced`` (payments, reversals) of a second source carry a ``reference``: its
       payments are attributed in the same way and netted by the absolute amount of the
       reversals with the same account and reference under another ``payment_id``
-    * ``stored`` (the report so far) contributes earlier first-send dates
+    * ``stored`` (the report so far) contributes earlier first-send dates, which are kept by
+      (crm, client, account)
 
     All event-type aggregates come from one pass over the events of those ids instead of one
     scan each.
     """
-    c, n = F.col("code"), F.col("n_events")
-    flags = outcome_flags(codes)
-    is_send = c.isin(codes.failed, codes.sent, codes.scrubbed)
-    responses = {
-        "total_opens": sum_where(n, c == codes.opened, zero=False),
-        "clicks_all": sum_where(n, c == codes.clicked, zero=False),
-        "marked_as_spam": sum_where(n, c.isin(*codes.spam), zero=False),
-        "optouts": sum_where(n, c == codes.opted_out, zero=False),
-    }
-    attrs = ["crm", "client", "letter", "account", "email", "send_domain"]
-    first = F.min(F.when(is_send, F.struct("ts", "code", *attrs)))
     since = as_date(as_of) - dt.timedelta(days=replay_days)
     since = F.lit(str(since)).cast(events.schema["ts"].dataType)
     # the ids of the window first (the date filter reaches the scan), then only their events
     recent = events.where(F.col("ts") > since).select("guid").distinct()
-    sends = (
-        semi(events, recent, "guid").groupBy("guid")
-        .agg(
-            first.alias("__send"),
-            *[any_flag(pred).cast("bigint").alias(name) for name, pred in flags.items()],
-            *[agg.alias(name) for name, agg in responses.items()],
-        )
-        .where(F.col("__send").isNotNull())
-        .select(
-            "guid", F.col("__send.ts").cast("date").alias("send_date"),
-            *[F.col(f"__send.{a}").alias(a) for a in attrs], *flags, *responses,
-        )
+    parts = message_parts(semi(events, recent, "guid"), codes)
+    opened_log = events.where(F.col("code") == codes.opened).select("crm", "account", "guid", "ts")
+    return _attribute(parts, opened_log, payments, reversals, stored, pay_days, reversal_days, codes, referenced)
+
+
+SEND_COLUMNS = ("crm", "client", "letter", "account", "email", "send_domain")
+RESPONSES = ("total_opens", "clicks_all", "marked_as_spam", "optouts")
+
+
+def message_parts(events: DataFrame, codes: Codes = CODES) -> DataFrame:
+    """Aggregates per message id that can be merged: last event, first send, outcome flags and
+    response counts. Parts of disjoint sets of events merge into the part of their union."""
+    c, n = F.col("code"), F.col("n_events")
+    is_send = c.isin(codes.failed, codes.sent, codes.scrubbed)
+    tests = (c == codes.opened, c == codes.clicked, c.isin(*codes.spam), c == codes.opted_out)
+    return events.groupBy("guid").agg(
+        F.max("ts").alias("last_event"),
+        F.min(F.when(is_send, F.struct("ts", "code", *SEND_COLUMNS))).alias("first_send"),
+        *[any_flag(pred).cast("bigint").alias(name) for name, pred in outcome_flags(codes).items()],
+        *[sum_where(n, test, zero=False).alias(name) for name, test in zip(RESPONSES, tests)],
+    )
+
+
+def merge_parts(parts: DataFrame, codes: Codes = CODES) -> DataFrame:
+    """One part per message id."""
+    return parts.groupBy("guid").agg(
+        F.max("last_event").alias("last_event"), F.min("first_send").alias("first_send"),
+        *[F.max(name).alias(name) for name in outcome_flags(codes)],
+        *[F.sum(name).alias(name) for name in RESPONSES],
+    )
+
+
+def _attribute(parts, opened_log, payments, reversals, stored, pay_days, reversal_days, codes, referenced):
+    """The report of ``message_attribution`` from one part per message and the opens."""
+    sends = parts.where(F.col("first_send").isNotNull()).select(
+        "guid", F.col("first_send.ts").cast("date").alias("send_date"),
+        *[F.col(f"first_send.{a}").alias(a) for a in SEND_COLUMNS], *outcome_flags(codes), *RESPONSES,
     )
     sends = cut_lineage(sends)  # used three times below; one row per message
-    first_send = sends.select("crm", "account", "send_date")
+    send_keys = ["crm", "client", "account"]
+    first_send = sends.select(*send_keys, "send_date")
     if stored is not None:
-        first_send = first_send.unionByName(stored.select("crm", "account", "send_date"))
-    first_send = first_send.groupBy("crm", "account").agg(
-        F.min("send_date").alias("first_send_date")
-    )
+        first_send = first_send.unionByName(stored.select(*send_keys, "send_date"))
+    first_send = first_send.groupBy(*send_keys).agg(F.min("send_date").alias("first_send_date"))
 
     keys = ["crm", "account"]
-    opened_log = events.where(c == codes.opened).select(*keys, "guid", "ts")
     opens = semi(opened_log, sends, "guid")
     paid = payments.where(F.col("amount") > 0)
     # large accounts, counted once on the sources: every step below only narrows their rows
@@ -171,7 +184,7 @@ def message_attribution(
     unwanted = F.col("optouts").isNotNull() | F.col("marked_as_spam").isNotNull()
     return (
         sends.join(pays, "guid", "left")
-        .join(first_send, ["crm", "account"], "left")
+        .join(first_send, send_keys, "left")
         .select(
             "guid", "send_date", "crm", "client", "letter", "account",
             email_domain(F.col("email")).alias("email_domain"), "send_domain",
@@ -194,16 +207,74 @@ def message_attribution(
     )
 
 
+def update_attribution_state(path: str, events: DataFrame, until, codes: Codes = CODES) -> None:
+    """Add the events from the last watermark up to (not including) the date ``until`` to the state
+    at ``path``; no event before the watermark is read.
+
+    The state is two tables partitioned by the watermark they were written for: ``messages``
+    (``message_parts`` of the window) and ``opens`` (last open of a message and day). A window is
+    written by replacing its partition, the watermark counts once ``messages`` is there, and
+    opens merge by their maximum, so a run that is repeated, or broke off, changes nothing.
+    ``until`` must be the latest watermark, to repeat it, or lie after it. Events that arrive
+    with a time before the watermark are not seen."""
+    spark, day = events.sparkSession, as_date(until)
+    known = read_table(spark, f"{path}/messages")
+    marks = sorted(r[0] for r in known.select(F.col("until").cast("date")).distinct().collect()) if known is not None else []
+    if marks and day < marks[-1]:
+        raise ValueError(f"the state is complete up to {marks[-1]}, {day} lies before it")
+    earlier = [m for m in marks if m < day]
+    kind = events.schema["ts"].dataType
+    window = events.where(F.col("ts") < F.lit(str(day)).cast(kind))
+    if earlier:
+        window = window.where(F.col("ts") >= F.lit(str(earlier[-1])).cast(kind))
+    opened = window.where(F.col("code") == codes.opened)
+    opens = opened.groupBy("crm", "account", "guid", F.col("ts").cast("date").alias("day")).agg(F.max("ts").alias("ts"))
+    stamp = F.lit(str(day)).cast("date")
+    write_window(opens.withColumn("until", stamp), f"{path}/opens", "until")
+    write_window(message_parts(window, codes).withColumn("until", stamp), f"{path}/messages", "until")
+
+
+def attribution_from_state(
+    spark: SparkSession, path: str, payments: DataFrame, reversals: DataFrame, as_of, replay_days: int = 60,
+    stored: DataFrame | None = None, pay_days: int = 15, reversal_days: int = 45,
+    codes: Codes = CODES, referenced: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame | None:
+    """The rows of ``message_attribution`` from the state at ``path``; the event log is not read.
+    Ids of the replay window are looked up in the partitions that reach into it. None when the
+    state holds no event yet."""
+    parts = read_table(spark, f"{path}/messages")
+    if parts is None:
+        return None
+    since = as_date(as_of) - dt.timedelta(days=replay_days)
+    after = F.lit(str(since)).cast(parts.schema["last_event"].dataType)
+    recent = parts.where((F.col("until") > F.lit(str(since)).cast("date")) & (F.col("last_event") > after))
+    merged = merge_parts(semi(parts, recent.select("guid").distinct(), "guid"), codes)
+    opens = read_table(spark, f"{path}/opens")
+    if opens is None:  # nothing was opened yet
+        opens = merged.where("false").select("first_send.crm", "first_send.account", "guid", F.col("last_event").alias("ts"))
+    return _attribute(merged, opens.select("crm", "account", "guid", "ts"), payments, reversals, stored,
+                      pay_days, reversal_days, codes, referenced)
+
+
 def refresh_attribution(
-    path: str, events: DataFrame, payments: DataFrame, reversals: DataFrame, as_of, **options
+    path: str, events: DataFrame, payments: DataFrame, reversals: DataFrame, as_of,
+    state: str | None = None, **options
 ) -> None:
     """Run the attribution against the stored report and upsert it by message id, rewriting
     only the send months that changed. A change from or to NULL is not seen, as in a plain
-    comparison of columns."""
-    stored = read_table(events.sparkSession, path)
-    report = message_attribution(
-        events, payments, reversals, as_of, stored=stored, **options
-    ).withColumn("send_month", F.trunc("send_date", "MM"))
+    comparison of columns. With a ``state`` path, the events from the state's watermark to
+    ``as_of`` are added to the state and the report is made from it; without, the events of
+    all ids in the replay window are read again."""
+    spark = events.sparkSession
+    stored = read_table(spark, path)
+    if state is None:
+        report = message_attribution(events, payments, reversals, as_of, stored=stored, **options)
+    else:
+        update_attribution_state(state, events, as_of, options.get("codes", CODES))
+        report = attribution_from_state(spark, state, payments, reversals, as_of, stored=stored, **options)
+        if report is None:
+            return
+    report = report.withColumn("send_month", F.trunc("send_date", "MM"))
     write_upsert(path, cut_lineage(report), ["guid"], "send_month")
 
 

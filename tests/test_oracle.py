@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 from dunlin import catalog
+from dunlin.catalog import frames
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -89,3 +90,16 @@ def test_entry(spark):
 
 def test_models_have_no_oracle_and_all_others_do():
     assert set(QUERIES) - set(ORACLES) == {"train_and_score", "score_pending"}
+
+
+def test_every_outcome_of_a_message_occurs(spark):
+    """Each branch of the outcome rules and both payment sources carry rows."""
+    got = QUERIES["message_attribution"](spark, DATA).selectExpr(
+        "sum(bounced)", "sum(whitelist_scrubbed)", "sum(optout_scrubbed)", "sum(invalid_scrubbed)", "sum(marked_as_spam)",
+        "sum(optouts)", "sum(clicks)", "sum(if(crm = 5, payers, 0))", "sum(if(crm < 5, payers, 0))").first()
+    assert all(n > 0 for n in got), got
+    log = frames.msgs(spark, DATA)
+    kinds = log.selectExpr("count_if(code = 13 and detail = 'Undeliverable')", "count_if(code = 13 and detail = 'Bad-Record')",
+                           "count_if(code = 13 and detail = 'Opt-Out')", "count_if(code = 100)",
+                           "count_if(code = 8 and detail <> 'Hard-Bounce' and value = 'Blocked' and vendor = 'V1')").first()
+    assert all(n > 0 for n in kinds), kinds

@@ -1,5 +1,7 @@
 """Report rules on small hand-written frames."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,7 +140,8 @@ def test_attribution_clicks_scrubs_and_replay(spark):
     assert (got["c"]["requested"], got["c"]["sent"], got["c"]["invalid_scrubbed"]) == (1, 0, 1)
     assert got["d"]["optout_scrubbed"] == 1 and got["a"]["payers"] == 0 and got["a"]["payments"] == 0.0
     assert got["a"]["email_domain"] == "d.example" and got["a"]["first_send_date"] == day("2024-01-20")
-    stored = spark.createDataFrame([(2, 1, day("2023-05-01"))], "crm int, account int, send_date date")
+    stored = spark.createDataFrame([(2, "C", 1, day("2023-05-01")), (2, "D", 1, day("2022-05-01"))],
+                                   "crm int, client string, account int, send_date date")
     again = attribute(spark, events, [], stored=stored, codes=codes)
     assert {r["first_send_date"] for r in again.collect()} == {day("2023-05-01")}
 
@@ -366,3 +369,50 @@ def test_payments_keep_interactions_without_account(spark):
     pays = spark.createDataFrame([(5, day("2024-01-01"), 8.0)], "account int, day date, amount double")
     out = payments.payment_to_interaction(calls, pays)
     assert rows(out, "call", "pay_received", "pay_share") == [(1, 8.0, 8.0), (2, 0.0, 0.0), (3, 0.0, 0.0)]
+
+
+def test_attribution_state_equals_the_rebuild(spark, tmp_path):
+    """Three windows, one of them repeated; the second run cannot read what lies before the watermark."""
+    import random
+
+    pick = random.Random(5)
+    span = lambda: ts("2024-01-01") + dt.timedelta(minutes=pick.randint(0, 50 * 1440))
+    events = []
+    for _ in range(600):
+        account = pick.randint(1, 6)
+        events.append((f"g{account}-{pick.randint(1, 4)}", span(), pick.choice([5, 6, 8, 9, 10, 10, 12, 13, 100]), None,
+                       pick.choice(["Hard-Bounce", "Opt-Out", "Bad-Record", None]), "V", pick.randint(1, 3), account,
+                       pick.choice(["C", "D"]), 2, "L", "u@d.example", "s"))
+    log = spark.createDataFrame(events, MESSAGE)
+    pays = spark.createDataFrame([(i, pick.randint(1, 6), 2, span().date(), float(i)) for i in range(60)], PAY)
+    revs = spark.createDataFrame([], "account int, crm int, pay_date date, amount double")
+    report, state = str(tmp_path / "report"), str(tmp_path / "state")
+    for until in ("2024-01-20", "2024-02-05", "2024-02-05", "2024-02-28"):
+        messages.update_attribution_state(state, log, until)
+    got = messages.attribution_from_state(spark, state, pays, revs, "2024-02-28", replay_days=30)
+    want = messages.message_attribution(log, pays, revs, "2024-02-28", replay_days=30)
+    assert rows(got) == rows(want) and want.count()
+    with pytest.raises(ValueError):
+        messages.update_attribution_state(state, log, "2024-02-01")
+    # an event before the watermark that reaches a later run would change the state: it must not
+    early = spark.createDataFrame([message("g1-1", "2023-12-31 08:00", 10)], MESSAGE)
+    messages.update_attribution_state(state, log.unionByName(early), "2024-03-01")
+    after = messages.attribution_from_state(spark, state, pays, revs, "2024-02-28", replay_days=30)
+    assert rows(after) == rows(want)
+    # a stored report keeps the first send of (crm, client, account)
+    messages.refresh_attribution(report, log, pays, revs, "2024-02-28", state=str(tmp_path / "other"), replay_days=60)
+    stored = spark.read.parquet(report)
+    firsts = {(r["client"], r["account"]): r["first_send_date"] for r in stored.collect()}
+    assert len(firsts) > len({account for _, account in firsts})
+    # without any event there is no state and no report
+    messages.update_attribution_state(str(tmp_path / "none"), log.where("false"), "2024-01-01")
+    assert messages.attribution_from_state(spark, str(tmp_path / "none"), pays, revs, "2024-01-01") is None
+
+
+def test_state_without_opens(spark, tmp_path):
+    log = spark.createDataFrame([message("a", "2024-01-01 08:00", 10)], MESSAGE)
+    pays = spark.createDataFrame([(1, 1, 2, day("2024-01-02"), 5.0)], PAY)
+    revs = spark.createDataFrame([], "account int, crm int, pay_date date, amount double")
+    messages.update_attribution_state(str(tmp_path), log, "2024-01-10")
+    out = messages.attribution_from_state(spark, str(tmp_path), pays, revs, "2024-01-10")
+    assert rows(out, "guid", "delivered", "payments") == [("a", 1, 0.0)]
