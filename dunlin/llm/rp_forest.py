@@ -1,15 +1,18 @@
 """Approximate nearest neighbours (cosine) with a forest of random-projection trees.
 
-Each tree splits the space by random directions at the median of a bounded sample, down to a
-fixed number of leaves; every row of the table is then routed to one leaf per tree. A query
+Each tree splits the space by random directions at the median of a bounded sample; the number
+of leaves follows from the number of rows (``LEAF_ROWS``, between ``MIN_DEPTH`` and
+``MAX_DEPTH`` levels). Every row of the table is routed to one leaf per tree. A query
 descends all trees with one shared priority queue: the open branch with the smallest distance
 to its splitting planes, of whatever tree, is followed next, until the visited leaves hold
-``effort`` times as many rows as the table (a row counts once per tree) and at least
-``least_rows``. Rows of the visited leaves are scored exactly, leaf by leaf.
-
-The forest is small (trees x leaves x dimension numbers) and broadcast. Leaves and queries
-are cut into blocks of bounded size, and a pair of blocks is one group, so neither a large
-leaf nor a popular one meets in one task. Of equal vectors only the ``k + 1`` smallest ids
+``effort`` times as many rows as the table (a row counts once per tree). This share is the same
+for tables of every size; ``trees * (k + 1)`` rows are always visited, so that there are ``k``
+other candidates. Rows of the visited leaves are scored exactly, leaf by leaf.
+
+The forest is small (trees x leaves x dimension numbers) and broadcast. Leaves and the queries
+that visit them are cut into blocks of bounded size, and a pair of blocks is one group, so
+neither a large leaf nor a popular one meets in one task; a leaf is copied once per block of
+its own visitors. Of equal vectors only the ``k + 1`` smallest ids
 enter the leaves: no other can be among the ``k`` nearest, as ties go to the smaller id.
 """
 
@@ -27,6 +30,8 @@ from dunlin.llm.common import stage
 
 SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 4096
+LEAF_ROWS = 256
+MIN_DEPTH, MAX_DEPTH = 6, 10
 
 
 @dataclass
@@ -89,10 +94,19 @@ def grow(sample: np.ndarray, trees: int, depth: int, seed: int) -> Forest:
     return Forest(planes, cuts, depth)
 
 
+def _scaled(column) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of a column of equally long lists, each times the power of two that brings its
+    largest component next to 1 (so that no square overflows or vanishes; cosines stay the
+    same), and their lengths."""
+    x = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    return x, np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _matrix(column) -> np.ndarray:
     """Unit vectors of a column of equally long lists."""
-    x = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x, length = _scaled(column)
+    return x / length
 
 
 def usable(vectors: DataFrame, column: str) -> DataFrame:
@@ -106,9 +120,8 @@ def usable(vectors: DataFrame, column: str) -> DataFrame:
     return good.where(F.size(column) == (size["size"] if size else 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4, depth: int = 6,
-            effort: float = 1.0, least_rows: int = 8192, sample_rows: int = SAMPLE_ROWS, seed: int = 7
-            ) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4, effort: float = 1.0,
+            sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
     """The ``k`` nearest found rows of ``vectors`` for each row of ``queries`` (both: id,
     vector): query_id, rank (from 1), vec_id, score (cosine, double). A row with the query's
     own id is no candidate; ties go to the smaller id.
@@ -129,6 +142,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4,
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
     unit = _matrix(sample.column("vector").combine_chunks())
+    depth = min(MAX_DEPTH, max(MIN_DEPTH, math.ceil(math.log2(first.count() / LEAF_ROWS))))
     forest = spark.sparkContext.broadcast(grow(unit, trees, depth, seed))
     dim = unit.shape[1]
 
@@ -146,7 +160,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4,
     for r in routed.select(cell).groupBy("cell").count().collect():  # trees * leaves rows
         sizes[r.cell] = r["count"]
     blocks = np.maximum(1, -(-sizes // BLOCK_ROWS))
-    wanted = max(float(least_rows), effort * sizes.sum() / trees)
+    wanted = max(effort * sizes.sum() / trees, trees * (k + 1))
 
     asked = stage(typed(queries).where(F.size("vector") == dim), "queries")
     asked = usable(asked, "vector")
@@ -154,30 +168,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4,
 
     def visit(batches):
         for batch in batches:
-            ids, at, cells, parts = batch.column("query").to_pylist(), [], [], []
-            x = _matrix(batch.column("vector")) if ids else ()
-            for i in range(len(ids)):
-                for c in forest.value.visit(x[i], sizes, wanted):
-                    for part in range(blocks[c]):
-                        at.append(i)
-                        cells.append(c)
-                        parts.append(part)
-            rows = pa.array(at, pa.int64())
+            x = _matrix(batch.column("vector")) if batch.num_rows else ()
+            cells = [forest.value.visit(row, sizes, wanted) for row in x]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("query").take(rows), batch.column("vector").take(rows),
-                 pa.array(cells, pa.int32()), pa.array(parts, pa.int32())],
-                names=["query", "vector", "cell", "part"])
-
-    n_asked = distinct.count()
-    turns = max(1, math.ceil(n_asked / BLOCK_ROWS))
-    visits = distinct.select("query", "vector").mapInArrow(
-        visit, "query bigint, vector array<double>, cell int, part int"
-    ).withColumn("turn", F.pmod(F.xxhash64("query"), F.lit(turns)).cast("int"))
-    count_of = F.array(*[F.lit(int(b)) for b in blocks])
+                [batch.column("query"), batch.column("vector"), pa.array(cells, pa.list_(pa.int32()))],
+                names=["query", "vector", "cells"])
+
+    visited = stage(distinct.select("query", "vector").mapInArrow(
+        visit, "query bigint, vector array<double>, cells array<int>"), "visits")
+    turns = np.zeros(trees << depth, np.int64)
+    for r in visited.select(cell).groupBy("cell").count().collect():  # trees * leaves rows
+        turns[r.cell] = -(-r["count"] // BLOCK_ROWS)
+    of_cell = lambda numbers: F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), F.col("cell") + 1)
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    visits = (
+        visited.select("query", "vector", cell).withColumn("part", upto(of_cell(blocks)))
+        .withColumn("turn", F.pmod(F.xxhash64("query"), of_cell(turns)).cast("int"))
+    )
     held = (
         routed.select("id", "vector", cell)
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.element_at(count_of, F.col("cell") + 1)).cast("int"))
-        .withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+        .withColumn("part", F.pmod(F.xxhash64("id"), of_cell(blocks)).cast("int"))
+        .withColumn("turns", of_cell(turns)).where("turns > 0")
+        .withColumn("turn", upto(F.col("turns"))).drop("turns")
     )
     take = k + 1
 
@@ -185,16 +197,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4,
         """Of each query of one block the ``take`` nearest rows of one block of a leaf."""
         ids, found, scores = [], [], []
         if left.num_rows and right.num_rows:
-            x = _matrix(left.column("vector").combine_chunks())
-            y = _matrix(right.column("vector").combine_chunks())
+            x, x_size = _scaled(left.column("vector").combine_chunks())
+            y, y_size = _scaled(right.column("vector").combine_chunks())
+            unit = x / x_size
             own = left.column("id").to_numpy()
             asks = right.column("query").to_numpy()
             for a in range(0, len(y), 512):
-                near = y[a:a + 512] @ x.T
+                near = y[a:a + 512] / y_size[a:a + 512] @ unit.T
                 cut = min(2 * take, len(x))
                 least = np.partition(near, len(x) - cut, axis=1)[:, len(x) - cut] - 1e-9
                 q, c = np.nonzero(near >= least[:, None])
-                exact = (y[a + q] * x[c]).sum(axis=1)
+                exact = (y[a + q] * x[c]).sum(axis=1) / (y_size[a + q, 0] * x_size[c, 0])
                 order = np.lexsort((own[c], -exact, q))
                 q, c, exact = q[order], c[order], exact[order]
                 nth = np.arange(len(q)) - np.searchsorted(q, q)

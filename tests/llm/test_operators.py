@@ -346,7 +346,7 @@ def test_nearest_recall_ties_and_odd_vectors(spark):
     rows = [(k, v.tolist()) for k, v in enumerate(x)]
     odd = [(5000, None), (5050, [0.0] * 16), (5100, [float("nan")] * 16), (5150, [None] + [1.0] * 15), (5200, [1.0]), (None, [1.0] * 16)]
     base = spark.createDataFrame(rows + odd, "id bigint, vector array<double>")
-    got = rp_forest.nearest(base, base.where("id % 50 = 0"), least_rows=500).collect()
+    got = rp_forest.nearest(base, base.where("id % 50 = 0")).collect()
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     found, hits = {}, 0
     for r in got:
@@ -364,23 +364,49 @@ def test_nearest_recall_ties_and_odd_vectors(spark):
     assert rp_forest.nearest(base.where("false"), base).collect() == []
 
 
-def test_nearest_recall_at_the_defaults_above_the_floor(spark):
-    """More rows than ``least_rows``, so that the plain share of the forest is searched."""
-    x = np.random.default_rng(11).standard_normal((12_000, 24))
+def _recall(spark, x):
+    """Share of the five nearest by brute force that the production defaults find."""
     base = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id bigint, vector array<double>")
     got = rp_forest.nearest(base, base.where("id % 50 = 0")).collect()
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    found, hits = {}, 0
+    found = {}
     for r in got:
         found.setdefault(r.query_id, set()).add(r.vec_id)
         assert abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-12
-    assert sorted(found) == list(range(0, 12_000, 50))
+    assert sorted(found) == list(range(0, len(x), 50))
+    hits = 0
     for q, near in found.items():
         scores = unit @ unit[q]
         scores[q] = -9
         hits += len(near & set(np.argsort(-scores)[:5].tolist()))
-    print("recall", hits / (5 * len(found)))
-    assert hits >= 0.9 * 5 * len(found)
+    return hits / (5 * len(found))
+
+
+@pytest.mark.parametrize("n", [500, 2_000, 12_000, 50_000])
+@pytest.mark.parametrize("clustered", [False, True])
+def test_nearest_recall_at_the_defaults(spark, n, clustered):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((n, 24))
+    if clustered:
+        x = 0.3 * x + rng.standard_normal((40, 24))[rng.integers(0, 40, n)]
+    recall = _recall(spark, x)
+    print("recall", n, clustered, recall)
+    assert recall >= 0.9
+
+
+def test_nearest_of_the_given_vectors(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").select("embedding").collect()
+    recall = _recall(spark, np.array([r[0] for r in rows], np.float64))
+    print("recall", recall)
+    assert recall >= 0.9
+
+
+def test_nearest_of_huge_tiny_and_few_vectors(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e200]), (2, [1e-200, 0.0]), (3, [5e-324, 0.0]), (4, [-1.0, 0.0])]
+    base = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    got = [(r["rank"], r.vec_id, round(r.score, 12)) for r in
+           rp_forest.nearest(base, base.where("id = 0")).orderBy("rank").collect()]
+    assert got == [(1, 2, 1.0), (2, 3, 1.0), (3, 1, round(0.5 ** 0.5, 12)), (4, 4, -1.0)]
 
 
 def test_lattice_equals_viterbi_and_decodes(spark, frame):
