@@ -1,8 +1,9 @@
 """Approximate nearest neighbours (cosine) with a forest of random-projection trees.
 
-Each tree splits the space by random directions at the median of a bounded sample; the number
-of leaves follows from the number of rows (``LEAF_ROWS``, between ``MIN_DEPTH`` and
-``MAX_DEPTH`` levels). Every row of the table is routed to one leaf per tree. A query
+Each tree splits the space by random directions at the median of a bounded sample, down to a
+fixed number of leaves (a query visits a fixed share of them, so more leaves for more rows would
+make the scored rows grow with the square); every row of the table is routed to one leaf per
+tree. A query
 descends all trees with one shared priority queue: the open branch with the smallest distance
 to its splitting planes, of whatever tree, is followed next, until the visited leaves hold
 ``effort`` times as many rows as the table (a row counts once per tree). This share is the same
@@ -19,7 +20,6 @@ enter the leaves: no other can be among the ``k`` nearest, as ties go to the sma
 from __future__ import annotations
 
 import heapq
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,8 +30,6 @@ from dunlin.llm.common import stage
 
 SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 4096
-LEAF_ROWS = 256
-MIN_DEPTH, MAX_DEPTH = 6, 10
 
 
 @dataclass
@@ -120,8 +118,8 @@ def usable(vectors: DataFrame, column: str) -> DataFrame:
     return good.where(F.size(column) == (size["size"] if size else 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4, effort: float = 1.0,
-            sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4, depth: int = 6,
+            effort: float = 1.0, sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
     """The ``k`` nearest found rows of ``vectors`` for each row of ``queries`` (both: id,
     vector): query_id, rank (from 1), vec_id, score (cosine, double). A row with the query's
     own id is no candidate; ties go to the smaller id.
@@ -142,7 +140,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = 4,
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
     unit = _matrix(sample.column("vector").combine_chunks())
-    depth = min(MAX_DEPTH, max(MIN_DEPTH, math.ceil(math.log2(first.count() / LEAF_ROWS))))
     forest = spark.sparkContext.broadcast(grow(unit, trees, depth, seed))
     dim = unit.shape[1]
 
