@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -87,18 +88,18 @@ def _counts(seen: Counter) -> pa.RecordBatch:
         [pa.array(seen.keys(), pa.binary()).cast(pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
 
-# One step of the fold: ``done`` holds the best (score, -start, ids) up to each place, ``now``
-# the best found so far for the next place. Edges come by their ends.
+# One step of the fold: ``done`` holds the best (score, -start, id) up to each place, ``now``
+# the best found so far for the next place. Edges come by their ends; a character that is no
+# piece has no id.
 _STEP = """
-(s, e) -> named_struct(
-    'done', if(e.stop > size(s.done), array_append(s.done, s.now), s.done),
-    'now', if(e.stop > size(s.done),
-        named_struct('score', element_at(array_append(s.done, s.now), e.start + 1).score + e.score,
-                     'back', -e.start, 'ids', e.ids),
-        greatest(s.now, named_struct('score', element_at(s.done, e.start + 1).score + e.score,
-                                     'back', -e.start, 'ids', e.ids))))
+(s, e) -> if(e.stop > size(s.done),
+    named_struct('done', array_append(s.done, s.now), 'now', named_struct(
+        'score', if(e.start = size(s.done), s.now, element_at(s.done, e.start + 1)).score + e.score,
+        'back', -e.start, 'id', e.id)),
+    named_struct('done', s.done, 'now', greatest(s.now, named_struct(
+        'score', element_at(s.done, e.start + 1).score + e.score, 'back', -e.start, 'id', e.id))))
 """
-_STATE = "struct<done:array<struct<score:double,back:int,ids:array<int>>>,now:struct<score:double,back:int,ids:array<int>>>"
+_STATE = "struct<done:array<struct<score:double,back:int,id:int>>,now:struct<score:double,back:int,id:int>>"
 
 
 def best_path(word: str, pieces: dict[str, tuple[int, float]], longest: int, unknown: float,
@@ -143,36 +144,34 @@ def encode_words(words: DataFrame, model: list[tuple], keep: tuple[str, ...] = (
     MAX_WORD characters are dealt into parts by their characters instead."""
     spark = words.sparkSession
     table = piece_table(spark, model)
-    pieces = table.where("byte is null").select("piece", F.array("id").alias("ids"), "score")
+    pieces = table.where("byte is null").select("piece", "id", "score")
     longest = max((len(m[0]) for m in model if m[4] is None), default=1)
     unknown = min((m[2] for m in model if m[4] is None and m[2] > -1e8), default=0.0) + UNKNOWN
-    byte_ids = F.create_map(*[F.lit(x) for m in model if m[4] is not None for x in (m[3], m[1])]) \
-        if any(m[4] is not None for m in model) else None
-    spelt = F.transform(
-        F.sequence(F.lit(1), F.length(F.hex("piece")), F.lit(2)),
-        lambda k: byte_ids[F.substring(F.hex("piece"), k, F.lit(2))]) if byte_ids is not None else F.array(F.lit(0))
+    codes = ", ".join(f"'{m[3]}', {m[1]}" for m in model if m[4] is not None)
+    spelt = f"""transform(sequence(1, length(hex(substr(word, i, 1))), 2),
+        k -> element_at(map({codes}), substr(hex(substr(word, i, 1)), k, 2)))""" if codes else "array(0)"
     staged = words if hasattr(words, "_staged_at") else stage(words.select("word", *keep), "words")
     is_long = F.length("word") > MAX_WORD
     n, long_chars = staged.agg(F.count(F.lit(1)), F.sum(F.when(is_long, F.length("word")))).first()
     parts = max(1, -(-n // PART_WORDS))
     subs = (
         staged.select("word", *keep).where(~is_long).repartition(parts, "word")
-        .select("word", *keep, F.explode(F.expr("sequence(0, length(word) - 1)")).alias("start"))
-        .select("word", *keep, "start", F.explode(F.expr(
-            f"sequence(1, least({longest}, length(word) - start))")).alias("size"))
-        .select("word", *keep, "start", (F.col("start") + F.col("size")).alias("stop"),
-                F.expr("substr(word, start + 1, size)").alias("piece"))
+        .select("word", *keep, F.explode(F.expr("sequence(1, length(word))")).alias("stop"))
+        .select("word", *keep, "stop", F.explode(F.expr(
+            f"sequence(greatest(0, stop - {longest}), stop - 1)")).alias("start"))
+        .select("word", *keep, "start", "stop", F.expr("substr(word, start + 1, stop - start)").alias("piece"))
     )
     # an edge for each piece, and for each character that is none
-    found = subs.join(F.broadcast(pieces), "piece", "left").where("ids is not null or stop = start + 1")
-    edge = F.struct("stop", "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("ids", spelt).alias("ids"))
-    edges = found.groupBy("word", *keep).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    start = f"""cast(named_struct('done', array(named_struct('score', 0D, 'back', 0, 'ids', array())), 'now', null) as {_STATE})"""
+    found = subs.join(F.broadcast(pieces), "piece", "left").where("id is not null or stop = start + 1")
+    edge = F.struct("stop", "start", F.coalesce("score", F.lit(unknown)).alias("score"), "id")
+    edges = found.groupBy("word", *keep).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    start = f"""cast(named_struct('done', array(named_struct('score', 0D, 'back', 0, 'id', 0)), 'now', null) as {_STATE})"""
     path = F.expr(f"aggregate(edges, {start}, {_STEP}, s -> array_append(s.done, s.now))")
-    ids = F.expr("""
+    ids = F.expr(f"""
         aggregate(sequence(size(best) - 1, 1, -1), named_struct('at', size(best) - 1, 'ids', cast(array() as array<int>)),
             (s, i) -> if(i = s.at,
-                named_struct('at', -element_at(best, i + 1).back, 'ids', concat(element_at(best, i + 1).ids, s.ids)), s),
+                named_struct('at', -element_at(best, i + 1).back, 'ids', concat(
+                    if(element_at(best, i + 1).id is null, {spelt}, array(element_at(best, i + 1).id)), s.ids)), s),
             s -> s.ids)
     """)
     short = edges.select("word", *keep, path.alias("best")).select("word", *keep, ids.alias("ids"))
@@ -210,6 +209,19 @@ def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str =
     return encoded.withColumn(out, spell(F.col(ids)))
 
 
+@contextmanager
+def _grouped_by_hash(spark: SparkSession):
+    """Let a task group the edges of a part's words by hash instead of by sort, which Spark falls
+    back to above 128 groups: a part holds about PART_WORDS words of bounded length."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(2 * PART_WORDS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _lookup(frequent):
     """Per document: the number of each of its words in the frequent ones, -1 for another word,
     and these other words in their order."""
@@ -285,7 +297,8 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     counted = stage(
         texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "distinct-words", compression="zstd")
-    words = stage(encode_words(counted, model, keep=("n",)), "encoded-words")
+    with _grouped_by_hash(spark):
+        words = stage(encode_words(counted, model, keep=("n",)), "encoded-words", compression="zstd")
     drop_stage(counted)
     top = words.where(F.length("word") <= MAX_WORD).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
     numbers = {w: k for k, w in enumerate(top.column("word").cast(pa.binary()).to_pylist())}
