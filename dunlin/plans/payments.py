@@ -216,3 +216,21 @@ def load_schedule_file(
     typed = typed_load(read_flat_file(spark, file_path, columns), casts, as_of)
     write_full(typed, table_path)
     return read_table(spark, table_path)
+
+
+def schedule_cycle(
+    spark: SparkSession, file_path: str, columns: Sequence[str], casts: Mapping[str, str],
+    table_path: str, snapshot_path: str, sources: Sequence[DataFrame], payments: DataFrame,
+    accounts: DataFrame, as_of, **matrix,
+) -> tuple[DataFrame, DataFrame]:
+    """The daily run of a schedule file: load it unless the table was already loaded today,
+    store the month's snapshot of the loaded list when due, and return the horizon matrix of
+    the fact ``sources`` and that list, with the history of snapshots. ``matrix`` goes to
+    ``payment_horizon_matrix``.
+
+    A second run on the same day changes neither table and returns the same rows."""
+    load_schedule_file(spark, file_path, columns, casts, table_path, as_of)
+    listed = read_table(spark, table_path).drop("import_time")
+    snapshot_if_due(listed, snapshot_path, as_of)
+    rows = payment_horizon_matrix(sources, payments, accounts, as_of, current_lists=[listed], **matrix)
+    return rows, read_table(spark, snapshot_path)

@@ -183,6 +183,52 @@ def score_sloping(
     )
 
 
+def score_sloping_one_scan(
+    volumes: DataFrame, group: Sequence[str], as_of, lag_months: int = 6, current_months: int = 3,
+    min_accounts: int = 1000, model_filter: Column | None = None, month="month",
+) -> DataFrame:
+    """``score_sloping`` where one table holds the history and the report months: it is scanned
+    and aggregated once, a row being counted for the history, its month, or both.
+
+    The history of a score group is its row without a month; windows hand it on to the months.
+    A group's aggregated rows are score groups times months, so the windows are small."""
+    group, day = list(group), as_date(as_of)
+    listed = F.col(month) <= F.lit(str(_shift(day, -lag_months))).cast("date")
+    shown = F.col(month) >= F.lit(str(_shift(day, -current_months))).cast("date")
+    rows = volumes.where((listed | shown) & reduce(Column.__and__, [F.col(c).isNotNull() for c in group]))
+    if model_filter is not None:
+        rows = rows.where(model_filter)
+    grains = F.array_compact(F.array(
+        F.when(listed, F.struct(F.lit(None).cast("date").alias("m"))), F.when(shown, F.struct(F.col(month).cast("date").alias("m")))))
+    seg = (
+        rows.select(*group, "score_group", "accounts", "calls", "payments", F.explode(grains).alias("__grain"))
+        .groupBy(*group, F.col("__grain.m").alias("rpt_month"), "score_group")
+        .agg(*[F.sum(c).alias(c) for c in ("accounts", "calls", "payments")])
+    )
+    past = F.col("rpt_month").isNull()
+    whole, own = Window.partitionBy(*group), Window.partitionBy(*group, "score_group")
+    of_month = Window.partitionBy(*group, "rpt_month")
+    total = ratio(F.sum(F.when(past, F.col("payments"))).over(whole), F.sum(F.when(past, F.col("accounts"))).over(whole))
+    indexed = seg.withColumns({
+        "__known": F.max(past).over(whole), "__total": total,
+        "__yield": F.when(past, ratio(F.col("payments"), F.col("accounts"))),
+    }).withColumn("__index", F.when(past, F.when(F.coalesce("__total", F.lit(0.0)) == 0, F.lit(0.0)).otherwise(
+        ratio(F.col("__yield"), F.col("__total")))))
+    shared = indexed.withColumn("__share", ratio(F.col("__index"), F.sum("__index").over(whole)))
+    named = F.col("score_group").isNotNull()
+    return (
+        shared.withColumns({
+            "historic_yield": F.max(F.when(named, F.col("__yield"))).over(own),
+            "predicted_share": F.coalesce(F.max(F.when(named, F.col("__share"))).over(own), F.lit(0.0)),
+            "__month_accounts": F.sum("accounts").over(of_month),
+            "actual_share": ratio(F.col("calls"), F.sum("calls").over(of_month)),
+            "month_yield": ratio(F.col("payments"), F.col("accounts")),
+        })
+        .where(~past & F.col("__known") & (F.col("__month_accounts") >= min_accounts))
+        .drop("__known", "__total", "__yield", "__index", "__share", "__month_accounts")
+    )
+
+
 def _shift(day: dt.date, months: int) -> dt.date:
     first = add_months(day, months)
     last = add_months(first, 1) - dt.timedelta(days=1)

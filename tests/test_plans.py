@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from dunlin.sources.sinks import export_csv
 from dunlin.plans import compliance, messages, payments, scorecard, speech
 from tests.conftest import day, rows, ts
 
@@ -364,6 +365,64 @@ def test_sloping_needs_accounts_and_history(spark):
         ("a", 1, 0.75, 0.25, 1.0), ("a", 2, 0.25, 0.75, 3.0)]
 
 
+@pytest.mark.parametrize("lag,shown", [(6, 3), (2, 5)])
+def test_one_scan_sloping_equals_the_two_tables(spark, lag, shown):
+    """Random rows with NULL groups, score groups, months and figures; with lag 2 and 5 months
+    shown, the history and the report months overlap."""
+    import random
+
+    pick = random.Random(lag)
+    maybe = lambda *values: pick.choice([*values, *values, None])
+    data = [(maybe("a", "b", "c"), maybe("x", "y"), maybe(1, 2, 3), maybe(*[dt.date(2023 + k // 12, k % 12 + 1, 1) for k in range(16)]),
+             maybe(0, 40, 300), maybe(0, 1, 5), maybe(0.0, 2.0, 8.0)) for _ in range(600)]
+    volumes = spark.createDataFrame(
+        data, "g string, h string, score_group int, month date, accounts bigint, calls bigint, payments double")
+    args = {"lag_months": lag, "current_months": shown, "min_accounts": 900}
+    one = scorecard.score_sloping_one_scan(volumes, ["g", "h"], "2024-04-15", **args)
+    two = scorecard.score_sloping(
+        volumes.withColumnRenamed("month", "list_month"), volumes.withColumnRenamed("month", "rpt_month"), ["g", "h"], "2024-04-15", **args)
+    shares = ["actual_share", "historic_yield", "predicted_share", "month_yield"]
+    cols = ["g", "h", "rpt_month", "score_group", "accounts", "calls", "payments", *[F.round(c, 9).alias(c) for c in shares]]
+    got = rows(one, *cols)
+    assert got and got == rows(two, *cols)
+    assert sorted(one.columns) == sorted(two.columns)
+
+
+def test_sloping_scans_its_table_once(spark):
+    from dunlin.catalog import reports
+
+    plan = reports.score_sloping(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len([r for r in plan.splitlines() if "Relation" in r]) == 2  # lines and parts
+
+
+def test_schedule_cycle_runs_once_a_day_and_snapshots_once_a_month(spark, tmp_path):
+    columns = ["source", "account", "client", "due_date", "amount"]
+    casts = {"source": "string", "account": "bigint", "client": "string", "due_date": "date:MM/dd/yyyy", "amount": "double"}
+    text = spark.createDataFrame([], "source string, account string, client string, due_date string, amount string")
+    fact = spark.createDataFrame(
+        [("S", 1, "c", day("2024-05-20"), 7.0, None), ("S", 2, "c", day("2024-05-01"), 7.0, None)],
+        "source string, account bigint, client string, due_date date, amount double, broken_date date")
+    paid = spark.createDataFrame([("F", 1, day("2024-01-01"), "X")], "source string, account bigint, pay_date date, kind string")
+    accounts = spark.createDataFrame([(1, "F", "seg")], "account bigint, source string, segment string")
+
+    def run(name, data, as_of):
+        landed = export_csv(spark.createDataFrame(data, text.schema), str(tmp_path / "in"), name, as_of)
+        matrix, history = payments.schedule_cycle(
+            spark, landed, columns, casts, str(tmp_path / "table"), str(tmp_path / "snaps"), [fact], paid, accounts, as_of, n_months=2)
+        return (rows(matrix, "source", "account", "month_1", "month_2", "over_range", "n_paid", "taken", "segment"),
+                rows(history, "account", "amount", F.col("snapshot_month").cast("string")))
+
+    star = ("S", 1, 7.0, 0.0, 0.0, 0, 1, None)
+    first = ("F", "1", "c", "05/25/2024", "3.00")
+    one = run("a", [first, first], "2024-05-10")  # the repeated row counts once
+    assert one == ([("F", 1, 3.0, 0.0, 0.0, 1, 2, "seg"), star], [(1, 3.0, "2024-05-01")])
+    assert run("b", [("F", "1", "c", "05/25/2024", "9.00")], "2024-05-10") == one  # loaded today: nothing changes
+    matrix, history = run("c", [("F", "1", "c", "06/25/2024", "4.00")], "2024-05-11")  # new list, same month
+    assert (matrix, history) == ([("F", 1, 0.0, 4.0, 0.0, 1, 2, "seg"), star], one[1])
+    matrix, history = run("d", [("F", "1", "c", "06/25/2024", "4.00")], "2024-06-01")
+    assert history == [(1, 3.0, "2024-05-01"), (1, 4.0, "2024-06-01")]
+
+
 def test_payments_keep_interactions_without_account(spark):
     calls = spark.createDataFrame([(1, 5, day("2024-01-01")), (2, None, day("2024-01-01")), (3, 5, None)], "call int, account int, day date")
     pays = spark.createDataFrame([(5, day("2024-01-01"), 8.0)], "account int, day date, amount double")
