@@ -367,10 +367,9 @@ def program_waterfall(
     character to a program; ``renames`` are (old, new) characters from ``changed_on`` on."""
     key, text = F.col("key"), F.col("description")
     offered = (key == offer_key) & text.isNotNull()
-    sessions = metrics.where(F.col("session").isNotNull()).groupBy("session").agg(
-        F.collect_set(F.when(key == enroll_key, F.struct("description"))).alias("__programs"),
-        F.min(F.when(offered, F.col("ts"))).alias("__first_offer"),
-    )  # a session's set holds its distinct programs, of which there are few
+    in_session = metrics.where(F.col("session").isNotNull())
+    programs = in_session.where(key == enroll_key).select("session", text.alias("program")).distinct()
+    first_offers = in_session.where(offered).groupBy("session").agg(F.min("ts").alias("ts"))
     renamed = metrics
     since = F.col("ts").cast("date") >= F.lit(str(as_date(changed_on))).cast("date")
     for old, new in renames:
@@ -379,22 +378,12 @@ def program_waterfall(
             F.replace(text, F.lit(old), F.lit(new)),
         )
 
-    def entry(program, campaign, order):
-        return F.struct(
-            program.alias("program"), F.lit(campaign).alias("campaign"),
-            F.lit(order).alias("campaign_order"), F.lit(1).alias("occurrence"),
-        )
-
-    enrolled = F.transform("__programs", lambda p: entry(p["description"], "Enrolled", 2))
-    viewed = F.array_compact(F.array(*[
-        F.when(flag == 1, entry(F.lit(name), "Viewed", 1))
-        for name, flag in decode_flags(text, flags).items()
+    cols = metrics.columns
+    enrolled = renamed.join(programs, "session").select(
+        *cols, "program", F.lit("Enrolled").alias("campaign"), F.lit(2).alias("campaign_order"))
+    seen = F.array_compact(F.array(*[
+        F.when(flag == 1, F.lit(name)) for name, flag in decode_flags(text, flags).items()
     ]))
-    first = offered & (F.col("ts") == F.col("__first_offer"))
-    rows = renamed.join(sessions, "session").withColumn(
-        "__entries", F.when(first, F.concat(enrolled, viewed)).otherwise(enrolled)
-    )
-    # enrolled and viewed rows leave one scan as one exploded array; UNION drops duplicates
-    return rows.select(*metrics.columns, F.explode("__entries").alias("__e")).select(
-        *metrics.columns, "__e.*"
-    ).distinct()
+    viewed = renamed.where(offered).join(first_offers, ["session", "ts"]).select(
+        *cols, F.explode(seen).alias("program"), F.lit("Viewed").alias("campaign"), F.lit(1).alias("campaign_order"))
+    return union_distinct(enrolled, viewed).withColumn("occurrence", F.lit(1))

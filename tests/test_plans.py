@@ -365,6 +365,21 @@ def test_sloping_needs_accounts_and_history(spark):
         ("a", 1, 0.75, 0.25, 1.0), ("a", 2, 0.25, 0.75, 3.0)]
 
 
+def test_waterfall_rows_of_enrolled_and_offered_programs(spark):
+    """Repeated enrolments, a NULL program, two first offers at one time, rows without session."""
+    at = lambda n: ts("2024-01-01 10:00") + dt.timedelta(minutes=n)
+    metrics = spark.createDataFrame([
+        (1, "enroll", at(5), "Gold", 7, 70), (2, "enroll", at(6), "Gold", 7, 70), (3, "enroll", at(6), None, 7, 70),
+        (4, "offer", at(1), "AB", 7, 70), (5, "offer", at(1), "C", 7, 70), (6, "offer", at(2), "B", 7, 70),
+        (7, "offer", at(0), "A", 8, 80), (8, "view", at(0), "x", None, 80), (9, "offer", at(0), None, 8, 80),
+    ], "metric_id int, key string, ts timestamp, description string, session int, account int")
+    out = scorecard.program_waterfall(metrics, "enroll", "offer", {"A": "Alpha", "B": "Beta"}, [("C", "B")], "2024-01-01")
+    enrolled = [(m, p, "Enrolled", 2, 1) for m in range(1, 7) for p in ("Gold", None)]
+    viewed = [(4, "Alpha", "Viewed", 1, 1), (4, "Beta", "Viewed", 1, 1), (5, "Beta", "Viewed", 1, 1), (7, "Alpha", "Viewed", 1, 1)]
+    assert rows(out, "metric_id", "program", "campaign", "campaign_order", "occurrence") == sorted(enrolled + viewed, key=repr)
+    assert out.columns == [*metrics.columns, "program", "campaign", "campaign_order", "occurrence"]
+
+
 @pytest.mark.parametrize("lag,shown", [(6, 3), (2, 5)])
 def test_one_scan_sloping_equals_the_two_tables(spark, lag, shown):
     """Random rows with NULL groups, score groups, months and figures; with lag 2 and 5 months
