@@ -3,6 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from dunlin.plans import payments, scoring
@@ -162,6 +165,41 @@ def test_train_store_score(spark, tmp_path):
     assert out.where(F.abs(F.col("score") - F.col("y")) > 1.0).count() == 0
 
 
+def test_training_rounds_read_groups(spark, monkeypatch):
+    """The trees see one weighted row for each combination of bins and label; they are those of
+    the rows themselves."""
+    df = spark.range(0, 3000, 1, 3).select(
+        "id", F.pmod(F.xxhash64("id"), F.lit(5000)).cast("double").alias("x"),
+        F.when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))).alias("z"), F.lit(3).alias("same"),
+        F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(100)).cast("double")).alias("w"))
+    df = df.withColumn("y", (F.sin(F.col("x") / 900) + F.coalesce("z", F.lit(0)) * F.col("w") / 90 > 1).cast("double"))
+    seen, fit, f = [], GBTRegressor.fit, ["x", "z", "same", "w"]
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: (seen.append(data), fit(self, data))[1])
+    scores = scoring.score_model(df, scoring.train_score_model(df, "y", f, rounds=3, depth=4), f, "id")
+    few = ["z", "same"]
+    scoring.train_score_model(df, "y", few, rounds=1, depth=2)
+    assert seen[1].count() <= 5 * 2 and seen[1].agg(F.sum("__rows")).first()[0] == 3000
+
+    filled = [f"{c}_f" for c in f]
+    plain = Pipeline(stages=[
+        Imputer(inputCols=f, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="features"),
+        GBTRegressor(labelCol="y", maxIter=3, maxDepth=4, stepSize=0.3, seed=42, lossType="squared", predictionCol="plain"),
+    ])
+    typed = df.select("id", "y", *[F.col(c).cast("double").alias(c) for c in f])
+    both = plain.fit(typed).transform(typed).select("id", "plain").join(scores, "id")
+    assert both.where(F.abs(F.col("score") - F.col("plain")) > 1e-9).isEmpty() and both.count() == 3000
+
+
+def test_many_training_rows_keep_their_weight(spark, monkeypatch):
+    """Above BINNED_ROWS rows bound the bins, but all rows train."""
+    monkeypatch.setattr(scoring, "BINNED_ROWS", 500)
+    df = spark.range(4000).select((F.col("id") % 1000).alias("x"), (F.col("id") % 1000 >= 500).cast("int").alias("y"))
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: (seen.append(data), fit(self, data))[1])
+    scoring.train_score_model(df, "y", ["x"], rounds=1, depth=2)
+    assert seen[0].count() <= 2 * scoring.BINS and seen[0].agg(F.sum("__rows")).first()[0] == 4000
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 
