@@ -324,6 +324,19 @@ def _sketched(df: DataFrame, sketches: DataFrame, column: str, how: str = "inner
     return df.join(found, F.col(column) == F.col("_id"), how).drop("_id")
 
 
+def _near_members(alone: DataFrame, kept: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (u, v) of a node (db, of size lb) and the members u of a part (ga, ca) that it shares
+    a prefix shingle with, for which the bounds and those of the sketches hold. ``alone``: staged
+    (ga, ca, db, lb, rb), rb the most that is left of the node's shingles from a shared one on."""
+    parts = _as(stage(alone.select("ga", "ca").distinct(), "several-parts"), "ga", "ca")
+    members = kept.selectExpr("grp as ga", "cls as ca", "doc_id as u", "n as nu", "rest as ru").join(
+        parts, ["ga", "ca"], "left_semi").groupBy("ga", "ca", "u", "nu").agg(F.max("ru").alias("ru"))
+    nodes = stage(_sketched(alone, sketches, "db"), "sketched-nodes")
+    return _sketched(members, sketches, "u").join(sized(nodes), ["ga", "ca"]).where(" and ".join([
+        f"least(ru, rb) * {100 + PERCENT} >= (nu + lb) * {PERCENT}", f"lb * 100 >= nu * {PERCENT}", f"nu * 100 >= lb * {PERCENT}",
+        _near("u", "db", "nu + lb")])).selectExpr("u", "db as v")
+
+
 def _member_pairs(meet: DataFrame, kept: DataFrame, sketches: DataFrame) -> DataFrame:
     """Distinct pairs (u, v) of members of parts that meet, for which the bounds of the parts
     and those of their sketches hold one by one."""
@@ -334,16 +347,15 @@ def _member_pairs(meet: DataFrame, kept: DataFrame, sketches: DataFrame) -> Data
     swapped = ["gram", *(f"{c[0]}{'ab'[c[1] == 'a']} as {c}" for c in columns)]
     several = stage(meet.where("da is null").select("gram", *columns).unionByName(
         meet.where("da is not null and db is null").selectExpr(*swapped)), "several-members")
+    # a node meets a part once, however many shingles they share
+    alone = stage(several.where("db is not null").groupBy("ga", "ca", "db", "lb").agg(F.max("rb").alias("rb")), "parts-and-nodes")
+    found = found.unionByName(_near_members(alone, kept, sketches))
     keys = ["gram", "ga", "ca"]
     members = kept.selectExpr("gram", "grp as ga", "cls as ca", "doc_id as u", "n as nu", "rest as ru")
-    parts = stage(several.select(*keys).distinct(), "several-parts")
-    members = _sketched(members.join(sized(parts), keys, "left_semi"), sketches, "u")
-    first = _sketched(several, sketches, "db", "left").join(members, keys).where(" and ".join([
-        f"least(ru, rb) * {100 + PERCENT} >= (nu + lb) * {PERCENT}", f"mb * 100 >= nu * {PERCENT}", f"nu * 100 >= lb * {PERCENT}",
-        f"(db is null or {_near('u', 'db', 'nu + lb')})"]))
-    found = found.unionByName(first.where("db is not null").selectExpr("u", "db as v"))
+    first = several.where("db is null").join(members, keys).where(" and ".join([
+        f"least(ru, rb) * {100 + PERCENT} >= (nu + lb) * {PERCENT}", f"mb * 100 >= nu * {PERCENT}", f"nu * 100 >= lb * {PERCENT}"]))
     other = kept.selectExpr("gram", "grp as gb", "cls as cb", "doc_id as v", "n as nv", "rest as rv")
-    both = first.where("db is null").select("gram", "gb", "cb", "u", "nu", "ru").join(other, ["gram", "gb", "cb"]).where(" and ".join([
+    both = first.select("gram", "gb", "cb", "u", "nu", "ru").join(other, ["gram", "gb", "cb"]).where(" and ".join([
         f"nv * 100 >= nu * {PERCENT}", f"nu * 100 >= nv * {PERCENT}",
         f"least(ru, rv) * {100 + PERCENT} >= (nu + nv) * {PERCENT}"])).selectExpr("u", "v", "nu + nv as sizes").distinct()
     both = _sketched(_sketched(both, sketches, "u"), sketches, "v").where(_near("u", "v", "sizes")).select("u", "v")

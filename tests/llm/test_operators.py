@@ -140,6 +140,21 @@ def test_near_duplicates_equal_all_pairs(frame, common):
     assert jaccard_join.near_duplicates(frame([])).collect() == []
 
 
+def test_node_meets_members_of_a_group_once(spark, monkeypatch):
+    """Ten near copies and a node share many prefix shingles: a row for each pair, not for each shingle."""
+    kept = jaccard_join.stage(spark.createDataFrame(
+        [(gram, d, 100, 0 if d < 10 else d, 0, 100 - gram, 16) for gram in range(20) for d in (*range(10), 50)],
+        "gram bigint, doc_id bigint, n bigint, grp bigint, common int, rest bigint, cls int"), "kept")
+    sketches = jaccard_join.stage(kept.select("doc_id", *(F.lit(0).cast("bigint").alias(k) for k in jaccard_join.SKETCH)).distinct(), "sk")
+    meet = jaccard_join.stage(jaccard_join._group_pairs(kept, sketches), "meet")
+    assert meet.count() >= 10
+    made, near = [], jaccard_join._near_members
+    monkeypatch.setattr(jaccard_join, "_near_members", lambda *a: (made.append(near(*a)), made[0])[1])
+    pairs = jaccard_join._member_pairs(meet, kept, sketches)
+    assert sorted(map(tuple, pairs.collect())) == [(50, d) for d in range(10)]
+    assert made[0].count() == 10
+
+
 def test_near_duplicates_of_ids_with_several_texts(frame):
     rng = random.Random(12)
 
