@@ -44,6 +44,7 @@ WORDS = 5
 PERCENT = 75
 COMMON_GROUPS = 8
 STAR_KEYS = 3
+SHORT_ROUNDS = 3  # of nodes read whole; any number finds every link
 SIZE_CLASSES = 8  # of the members of a group, from a size to its four thirds
 SLACK = 24  # shingles kept beyond the prefix, to stand in for common ones
 SKETCH = tuple(f"k{i}" for i in range(8))
@@ -248,9 +249,7 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
     several = postings.groupBy("gram").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("gram")
     between = stage(postings.join(several, "gram"), "between-groups")
     drop_stage(postings)
-    frequent = stage(
-        between.groupBy("gram", "grp").agg(F.lit(1).alias("one")).groupBy("gram").agg(F.count(F.lit(1)).alias("groups"))
-        .where(f"groups > {common}").select("gram"), "common")
+    frequent = stage(_frequent(between, common), "common")
     is_common = sized(frequent).withColumn("common", F.lit(1))
     one = Window.partitionBy("doc_id")
     before = one.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -263,23 +262,31 @@ def _candidates(nodes: DataFrame, read: DataFrame, roots: DataFrame, common: int
         .withColumn("p", _prefix_column("n")).where("place < p or (known - all < p and known < n)"), "placed")
     drop_stage(between)
     kept = placed.where("place < p").select(
-        "gram", "doc_id", "n", "grp", "common", (F.col("n") - F.col("place")).alias("rest"))
+        "gram", "doc_id", "n", "grp", (F.col("n") - F.col("place")).alias("rest"))
     # nodes whose known shingles, less the common ones, do not fill the prefix
     short = stage(placed.where("known - all < p and known < n").select("doc_id", "grp").distinct(), "short")
     more = []
     if not short.isEmpty():
-        extra, more = _short_prefixes(nodes, read, roots, short, is_common)
-        kept = kept.unionByName(extra).groupBy("gram", "doc_id", "n", "grp", "common").agg(
-            F.max("rest").alias("rest"))
+        extra, more = _short_prefixes(nodes, read, roots, short, frequent, common)
+        kept = kept.unionByName(extra).groupBy("gram", "doc_id", "n", "grp").agg(F.max("rest").alias("rest"))
     kept = stage(kept.withColumn("cls", _size_class(F.col("n"))), "prefixes")
     drop_stage(placed, frequent, short, *more)
     sketches = stage(nodes.select("doc_id", *SKETCH), "sketches")
-    meet = stage(_group_pairs(kept, sketches), "group-pairs")
+    # shingles of many groups, by what has become of the prefixes
+    many = stage(_frequent(kept, common), "many-groups")
+    meet = stage(_group_pairs(
+        kept.join(sized(many).withColumn("common", F.lit(1)), "gram", "left").fillna(0, ["common"]), sketches), "group-pairs")
     pairs = stage(_member_pairs(meet, kept, sketches), "pairs")
-    drop_stage(kept, meet, sketches)
+    drop_stage(kept, meet, sketches, many)
     return pairs
 
 
+def _frequent(rows: DataFrame, common: int) -> DataFrame:
+    """Shingles that stand in rows (gram, grp) of more than ``common`` groups."""
+    return rows.groupBy("gram", "grp").agg(F.lit(1).alias("one")).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("groups")).where(f"groups > {common}").select("gram")
+
+
 def _size_class(n):
     return F.floor(F.ln(n) * (SIZE_CLASSES / math.log(100 / PERCENT))).cast("int")
 
@@ -362,23 +369,49 @@ def _member_pairs(meet: DataFrame, kept: DataFrame, sketches: DataFrame) -> Data
     return found.unionByName(both).selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct()
 
 
-def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short: DataFrame, is_common: DataFrame
+def _short_prefixes(nodes: DataFrame, read: DataFrame, roots: DataFrame, short: DataFrame, frequent: DataFrame, common: int
                     ) -> tuple[DataFrame, list[DataFrame]]:
     """Prefix rows of the nodes in ``short``, from their whole texts, and the rows of other
     nodes' known shingles that can meet them there (more than their prefixes, which can only
-    add candidates); the staged tables they are read from."""
-    whole = signatures(read.join(_as(short, "doc_id"), "doc_id", "left_semi"), slack=1 << 62)
+    add candidates); the staged tables they are read from.
+
+    Nodes that share most of their text reach shingles here that stand in many of them, but
+    among the first of none, and so are not in ``frequent`` yet. They are common too, and the
+    nodes whose known shingles then leave the prefix open are read whole as well. The order
+    with all of these last holds for every pair with a node that is read whole."""
+    known = nodes.select("doc_id", "n", F.size("firsts").alias("known"), F.explode("firsts").alias("gram"))
+    tables, whole = [], None
+    for again in range(SHORT_ROUNDS, 0, -1):
+        found = stage(
+            signatures(read.join(_as(short, "doc_id"), "doc_id", "left_semi"), slack=1 << 62)
+            .select("doc_id", "n", F.posexplode("firsts").alias("pos", "gram")).join(_as(short, "doc_id", "grp"), "doc_id"), "whole-sets")
+        tables.append(found)
+        whole = found if whole is None else whole.unionByName(found)
+        if again == 1:
+            break
+        new = stage(_frequent(whole.join(sized(frequent), "gram", "left_anti"), common), "more-common")
+        tables.append(new)
+        if new.isEmpty():
+            break
+        frequent = stage(frequent.unionByName(new), "all-common")
+        tables.append(frequent)
+        unfilled = (
+            known.join(sized(frequent), "gram", "left_semi").groupBy("doc_id", "n", "known").agg(F.count(F.lit(1)).alias("all"))
+            .where(F.col("known") - F.col("all") < _prefix_column("n")).select("doc_id")
+            .join(whole.select("doc_id").distinct(), "doc_id", "left_anti"))
+        short = stage(_with_root(unfilled, "doc_id", roots, "grp"), "short")
+        tables.append(short)
+        if short.isEmpty():
+            break
     order = Window.partitionBy("doc_id").orderBy("common", "pos")
     prefix = stage(
-        whole.select("doc_id", "n", F.posexplode("firsts").alias("pos", "gram"))
-        .join(is_common, "gram", "left").fillna(0, ["common"])
+        whole.join(sized(frequent).withColumn("common", F.lit(1)), "gram", "left").fillna(0, ["common"])
         .withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < _prefix_column("n"))
-        .join(_as(short, "doc_id", "grp"), "doc_id")
-        .select("gram", "doc_id", "n", "grp", "common", (F.col("n") - F.col("place")).alias("rest")), "short-prefixes")
+        .select("gram", "doc_id", "n", "grp", (F.col("n") - F.col("place")).alias("rest"), "common"), "short-prefixes")
     grams = stage(prefix.where("common = 0").select("gram").distinct(), "short-grams")
-    others = nodes.select("doc_id", "n", F.explode("firsts").alias("gram")).join(sized(grams), "gram", "left_semi")
-    return prefix.unionByName(_with_root(others, "doc_id", roots, "grp").select(
-        "gram", "doc_id", "n", "grp", F.lit(0).alias("common"), F.col("n").alias("rest"))), [prefix, grams]
+    others = known.join(sized(grams), "gram", "left_semi").select("doc_id", "n", "gram")
+    return prefix.drop("common").unionByName(_with_root(others, "doc_id", roots, "grp").select(
+        "gram", "doc_id", "n", "grp", F.col("n").alias("rest"))), [*tables, prefix, grams]
 
 
 def _own_nodes(linked: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:

@@ -155,6 +155,32 @@ def test_node_meets_members_of_a_group_once(spark, monkeypatch):
     assert made[0].count() == 10
 
 
+def test_texts_of_one_form_do_not_meet_in_pairs(frame, monkeypatch):
+    """Sixty texts share a form of which each changes an own part: too far apart to link, but their
+    first shingles are common, and the next ones of the form stand among the first of none."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+
+    def changed(words, n, mark):
+        return [f"{mark}{k}" if k in places else w for places in [set(rng.sample(range(150), n))] for k, w in enumerate(words)]
+
+    texts = [changed(base, 9, f"d{k}_") for k in range(60)]
+    texts += [changed(t, 2, "z") for t in texts[:4]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    counts, stage = {}, jaccard_join.stage
+
+    def counted(df, name, **options):
+        out = stage(df, name, **options)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    want, _ = brute_components(rows)
+    assert {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(rows)).collect()} == want
+    assert len(set(want.values())) == 60
+    assert counts["group-pairs"] < 600, counts
+
+
 def test_near_duplicates_of_ids_with_several_texts(frame):
     rng = random.Random(12)
 
