@@ -33,6 +33,8 @@ MAX_WORD = 64  # longest word whose edges are grouped
 FREQUENT_WORDS = 200_000
 COUNTED_WORDS = 50_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
+PART_DOCS = 2_000  # documents of a task that puts their ids back, and with them of its Arrow batches
+BATCH_DOCS = 500  # documents of an Arrow batch of a task that splits texts into words
 ZIPF_SHIFT = 1000.0
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
@@ -72,15 +74,15 @@ def _texts(batch):
 
 
 def _count_words(batches):
-    """(word, n) of the texts of a batch; texts of many words give several rows of a word."""
+    """(word, n) of the texts of a task; many words give several rows of a word."""
+    seen = Counter()
     for batch in batches:
-        seen = Counter()
         for text in _texts(batch):
             seen.update(split_words(text))
             if len(seen) > COUNTED_WORDS:
                 yield _counts(seen)
                 seen = Counter()
-        yield _counts(seen)
+    yield _counts(seen)
 
 
 def _counts(seen: Counter) -> pa.RecordBatch:
@@ -210,18 +212,27 @@ def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str =
 
 
 @contextmanager
-def _grouped_by_hash(spark: SparkSession):
-    """Let a task group the edges of a part's words by hash instead of by sort, which Spark falls
-    back to above 128 groups: a part holds about PART_WORDS words of bounded length."""
-    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+def _setting(spark: SparkSession, name: str, value: int):
+    """A session setting for the queries that run inside."""
     before = spark.conf.get(name)
-    spark.conf.set(name, str(2 * PART_WORDS))
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def _grouped_by_hash(spark: SparkSession):
+    """Let a task group the edges of a part's words by hash instead of by sort, which Spark falls
+    back to above 128 groups: a part holds about PART_WORDS words of bounded length."""
+    return _setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 2 * PART_WORDS)
+
+
+def _small_batches(spark: SparkSession):
+    """Let tasks hold the words of few documents at a time, in the JVM and in Python."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCS)
+
+
 def _lookup(frequent):
     """Per document: the number of each of its words in the frequent ones, -1 for another word,
     and these other words in their order."""
@@ -294,9 +305,10 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     """
     spark = docs.sparkSession
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    counted = stage(
-        texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
-        "distinct-words", compression="zstd")
+    with _small_batches(spark):
+        counted = stage(
+            texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
+            "distinct-words", compression="zstd")
     with _grouped_by_hash(spark):
         words = stage(encode_words(counted, model, keep=("n",)), "encoded-words", compression="zstd")
     drop_stage(counted)
@@ -305,12 +317,14 @@ def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUE
     flat, sizes = _lists(top.column("ids").combine_chunks()) if numbers else (pa.array([], pa.int32()), np.zeros(1, np.int64))
     starts = np.concatenate([[0], np.cumsum(sizes)])
     encodings = spark.sparkContext.broadcast((flat.to_numpy(zero_copy_only=False).astype(np.int32), starts))
-    looked = stage(texts.mapInArrow(
-        _lookup(spark.sparkContext.broadcast(numbers)), "row bigint, doc_id bigint, codes array<int>, rest array<string>"),
-        "looked-up", compression="zstd")
+    with _small_batches(spark):
+        looked = stage(texts.mapInArrow(
+            _lookup(spark.sparkContext.broadcast(numbers)), "row bigint, doc_id bigint, codes array<int>, rest array<string>"),
+            "looked-up", compression="zstd")
+    parts = max(1, -(-looked.count() // PART_DOCS))  # a batch does not reach beyond its part
     rest = looked.select("row", F.posexplode("rest").alias("place", "word"))
-    more = rest.join(words.select("word", "ids"), "word").groupBy("row").agg(
+    more = rest.join(words.select("word", "ids"), "word").repartition(parts, "row").groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("more"))
-    out = looked.select("row", "doc_id", "codes").join(more, "row", "left").select(
+    out = looked.select("row", "doc_id", "codes").repartition(parts, "row").join(more, "row", "left").select(
         "doc_id", "codes", F.coalesce("more.ids", F.array().cast("array<array<int>>")).alias("more"))
     return out.mapInArrow(_put_back(encodings), "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>"), words

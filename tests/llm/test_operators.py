@@ -502,6 +502,24 @@ def test_lattice_gives_and_decodes_the_ids_of_each_document(spark, frame):
     assert [r.text for r in piece_lattice.decode(odd, model).collect()] == [None, None, None, ""]
 
 
+def test_lattice_holds_few_documents_at_a_time(spark, frame, monkeypatch):
+    """Documents are dealt into parts by their number, and texts come in small batches."""
+    monkeypatch.setattr(piece_lattice, "PART_DOCS", 4)
+    docs, _ = piece_lattice.encode_documents(
+        frame([(k, f"some words of a text and q{k}") for k in range(40)]), piece_lattice.read_model(queries.PIECES), frequent=3)
+    parts = docs.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in parts) == 40 and len(parts) >= 5
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with piece_lattice._small_batches(spark):
+        sizes = spark.range(3000, numPartitions=1).mapInArrow(
+            lambda batches: (b.slice(0, 1) for b in batches), "id bigint").count()
+    assert sizes == 3000 // piece_lattice.BATCH_DOCS and spark.conf.get(name) == before
+    batches = spark.createDataFrame([("a b",), ("b c",)], "text string").toArrow().to_batches(1)
+    counted = list(piece_lattice._count_words(iter([b for x in batches for b in (x.slice(0, 1), x.slice(0, 1))])))
+    assert len(counted) == 1
+
+
 def test_lattice_query_decodes_the_whole_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     got = queries.QUERIES["op9_piece_lattice"](spark, "/root/testdata/sf0.001").collect()
