@@ -9,23 +9,29 @@ that is no piece is spelt in byte pieces, so decoding gives back every word.
 
 Only distinct words go through the lattice. Words above ``MAX_WORD`` characters are folded
 whole by the same rule where they are (``best_path``), since their edges would make groups
-without a bound. Documents meet the encoded words in
-two ways: the most frequent words, a table of bounded size, are sent to every executor; the
-rest of the occurrences join by a shuffle. Both are put back in the order of their places, so
-the ids of a document decode to its words.
+without a bound. Texts are read once, in parts of some documents: a part numbers its distinct
+words and keeps its documents as these numbers. The words of the parts are dealt into buckets by
+their hash, where they meet their encodings and go back to their part as one row for each bucket,
+so no occurrence of a word is shuffled by itself. The encodings of the most frequent words, a
+table of bounded size, are sent to every executor instead. The numbers then give the ids of a
+document, in the order of its words.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+import uuid
+import zlib
+from collections import Counter, defaultdict
 from contextlib import contextmanager
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dunlin.llm.common import drop_stage, stage
+from dunlin.sources.checkpoints import new_folder
 
 MARK = "▁"
 _MARK = MARK.encode()
@@ -33,8 +39,11 @@ MAX_WORD = 64  # longest word whose edges are grouped
 FREQUENT_WORDS = 200_000
 COUNTED_WORDS = 50_000  # words a task counts before it passes the counts on
 PART_WORDS = 10_000  # words whose lattices one task holds
-PART_DOCS = 2_000  # documents of a task that puts their ids back, and with them of its Arrow batches
-BATCH_DOCS = 500  # documents of an Arrow batch of a task that splits texts into words
+PART_DOCS = 4_000  # documents of a part at most
+PART_DISTINCT = 300_000  # distinct words after which a part of documents ends
+BUCKET_WORDS = 200_000  # words of all parts that meet their encodings in one group
+MOST_BUCKETS = 10_000  # tasks that parts are dealt to at most
+BATCH_DOCS = 500  # documents of an Arrow batch
 ZIPF_SHIFT = 1000.0
 UNKNOWN = -10.0  # added to the least score for a character spelt in bytes
 
@@ -69,16 +78,43 @@ def split_words(text: bytes | None) -> list[bytes]:
 
 
 def _texts(batch):
-    """The texts of a batch, one at a time."""
+    """The texts of a batch, or the packed words of its rows, one at a time."""
+    if "words" in batch.schema.names:
+        return (_unpack_bytes(x.as_py()) for x in batch.column("words"))
     return (x.as_py() for x in batch.column("text").cast(pa.large_binary()))
 
 
+def _pack_bytes(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpack_bytes(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers as 32-bit integers, their first bytes together, then the second ones, and so on."""
+    return _pack_bytes(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpack_bytes(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").reshape(-1)
+
+
 def _count_words(batches):
-    """(word, n) of the texts of a task; many words give several rows of a word."""
+    """(word, n) of the texts of a task; many words give several rows of a word. A packed column
+    ``n`` says how often each word of a row counts."""
     seen = Counter()
     for batch in batches:
-        for text in _texts(batch):
-            seen.update(split_words(text))
+        times = batch.column("n") if "n" in batch.schema.names else None
+        for k, text in enumerate(_texts(batch)):
+            if times is None:
+                seen.update(split_words(text))
+            else:
+                for word, n in zip(split_words(text), _unpack(times[k].as_py()).tolist()):
+                    seen[word] += n
             if len(seen) > COUNTED_WORDS:
                 yield _counts(seen)
                 seen = Counter()
@@ -202,7 +238,7 @@ def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str =
             if x is None:
                 return None
             try:
-                return b"".join([table[i] for i in x.tolist()]).decode(errors="replace").replace(MARK, " ")
+                return b"".join(map(table.__getitem__, x.tolist())).decode(errors="replace").replace(MARK, " ")
             except KeyError:
                 return None
 
@@ -212,7 +248,7 @@ def decode(encoded: DataFrame, model: list[tuple], ids: str = "ids", out: str =
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: int):
+def _setting(spark: SparkSession, name: str, value):
     """A session setting for the queries that run inside."""
     before = spark.conf.get(name)
     spark.conf.set(name, str(value))
@@ -233,98 +269,227 @@ def _small_batches(spark: SparkSession):
     return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCS)
 
 
-def _lookup(frequent):
-    """Per document: the number of each of its words in the frequent ones, -1 for another word,
-    and these other words in their order."""
+def _less_disk(spark: SparkSession):
+    """Delete the shuffle files of a query when it ends."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def _number_words(docs: int, words: int):
+    """Parts of at most so many documents, each ended when it has so many distinct words: its
+    distinct words (without marks) by falling number of occurrences, these numbers, and the
+    places of its documents' words among them (``_part``)."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        table = frequent.value
-        row = TaskContext.get().partitionId() << 40
+        part = TaskContext.get().partitionId() << 32
+        ids, texts, numbers = [], [], defaultdict(count().__next__)
         for batch in batches:
-            codes, rest = [], []
-            for text in _texts(batch):
-                words = split_words(text)
-                found = np.array([table.get(w, -1) for w in words], np.int32)
-                codes.append(found)
-                rest.append([words[k] for k in np.flatnonzero(found < 0)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + len(codes))), batch.column("doc_id"), pa.array(codes, pa.list_(pa.int32())),
-                 pa.array(rest, pa.list_(pa.binary())).cast(pa.list_(pa.string()))],
-                names=["row", "doc_id", "codes", "rest"])
-            row += len(codes)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+                found = (text or b"").split()  # ASCII white space
+                ids.append(doc_id)
+                texts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                if len(ids) >= docs or len(numbers) >= words:
+                    yield _part(part, ids, texts, numbers)
+                    part += 1
+                    ids, texts, numbers = [], [], defaultdict(count().__next__)
+        if ids:
+            yield _part(part, ids, texts, numbers)
 
     return run
 
 
-def _lists(column) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column and the length of each list; NULL is an empty list."""
-    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return column.flatten(), sizes
+def _part(part: int, ids: list, texts: list[np.ndarray], numbers: dict[bytes, int]) -> pa.RecordBatch:
+    sizes, places = [len(t) for t in texts], np.concatenate(texts)
+    texts.clear()
+    times = np.bincount(places, minlength=len(numbers))
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    words = list(numbers)
+    numbers.clear()
+    packed = [_pack(rank[places]), _pack_bytes(b" ".join([words[k] for k in order])), _pack(times[order])]
+    pa.default_memory_pool().release_unused()
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part]), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+         *(pa.array([x], pa.binary()) for x in packed), pa.array([len(words)], pa.int64())],
+        names=["part", "doc_ids", "n_words", "places", "words", "n", "n_distinct"])
+
+
+def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Buckets that words (without marks) fall into by their hash, and the places of their words."""
+    mark = zlib.crc32(_MARK)
+    bucket = np.fromiter((zlib.crc32(w, mark) % buckets for w in words), np.int32, len(words))
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    return bucket[order[starts]], np.split(order, starts[1:]) if words else []
 
 
-def _put_back(encodings):
-    """Ids of each document: those of its frequent words by their number, those of the others
-    (``more``, in the order of their places) where the number is -1."""
+def _deal_words(buckets: int, frequent=None):
+    """A row for each part and bucket: the part's words that fall there, without the frequent
+    ones, how far each stands after the one before among the part's words, and how often each
+    occurs."""
 
     def run(batches):
-        flat, starts = encodings.value
+        known = frequent.value[0] if frequent else {}
         for batch in batches:
-            codes, n_words = _lists(batch.column("codes"))
-            codes = codes.to_numpy(zero_copy_only=False)
-            more, _ = _lists(batch.column("more"))
-            others, other_sizes = _lists(more)
-            rest = codes < 0
-            if len(other_sizes) != rest.sum():
-                raise ValueError(f"{rest.sum()} words, but {len(other_sizes)} encodings")
-            known = np.where(rest, 0, codes)
-            at = starts[known]
-            sizes = starts[known + 1] - at
-            at[rest] = len(flat) + np.cumsum(other_sizes) - other_sizes
-            sizes[rest] = other_sizes
-            ends = np.cumsum(sizes)
-            pool = np.concatenate([flat, others.to_numpy(zero_copy_only=False).astype(np.int32)])
-            ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(at - (ends - sizes), sizes)]
-            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words), pa.array(np.diff(edges)),
-                 pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))],
-                names=["doc_id", "n_words", "n_tokens", "ids"])
+            for part, text, n in zip(batch.column("part").to_pylist(), _texts(batch), batch.column("n").to_pylist()):
+                words, times = text.split(), _unpack(n)
+                places = np.array([k for k, w in enumerate(words) if w not in known], np.int32)
+                found, rows = _by_bucket([words[k] for k in places], buckets)
+                rows = [places[row] for row in rows]
+                packed = zip(*((_pack(np.diff(row, prepend=0)), _pack_bytes(b" ".join([words[k] for k in row])), _pack(times[row]))
+                               for row in rows))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found), pa.array(np.full(len(rows), part)), *(pa.array(x, pa.binary()) for x in packed)],
+                        names=["bucket", "part", "places", "words", "n"])
+
+    return run
+
+
+def _deal_encodings(buckets: int):
+    """A row for each batch of encoded words and bucket: the words, the sizes of their encodings,
+    and these end to end."""
+
+    def run(batches):
+        for batch in batches:
+            words = [w[len(_MARK):] for w in batch.column("word").cast(pa.binary()).to_pylist()]
+            flat, sizes, starts = _lists(batch.column("ids"))
+            found, rows = _by_bucket(words, buckets)
+            packed = zip(*((_pack_bytes(b" ".join([words[k] for k in row])), _pack(sizes[row]),
+                            _pack(flat[_runs(starts[row], sizes[row])])) for row in rows))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), *(pa.array(x, pa.binary()) for x in packed)], names=["bucket", "words", "sizes", "ids"])
 
     return run
 
 
+def _encode_rows(dealt: pa.Table, encoded: pa.Table) -> pa.Table:
+    """The encodings of the words of each row of a bucket."""
+    numbers = {w: k for k, w in enumerate(w for text in _texts(encoded) for w in text.split())}
+    sizes, flat = _joined(encoded, "sizes"), _joined(encoded, "ids")
+    starts = np.cumsum(sizes) - sizes
+    out = []
+    for text in _texts(dealt):
+        found = np.array([numbers[w] for w in text.split()])
+        out.append((_pack(sizes[found]), _pack(flat[_runs(starts[found], sizes[found])])))
+    sizes, ids = zip(*out) if out else ((), ())
+    return pa.table({"part": dealt.column("part"), "places": dealt.column("places"),
+                     "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())})
+
+
+def _joined(table: pa.Table, column: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int32), *(_unpack(x) for x in table.column(column).to_pylist())])
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _lists(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of a list column, the length of each list and its start."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), sizes, np.cumsum(sizes) - sizes
+
+
+def _put_back(frequent):
+    """Ids of the documents of a part from those of its words: the frequent ones, and the others,
+    which come by buckets."""
+
+    def run(parts: pa.Table, encoded: pa.Table) -> pa.Table:
+        known, known_ids, known_sizes = frequent.value
+        numbers = np.array([known.get(w, -1) for w in next(_texts(parts)).split()], np.int32)
+        places = np.concatenate([np.flatnonzero(numbers >= 0), *(
+            np.cumsum(_unpack(x)) for x in encoded.column("places").to_pylist())]).astype(np.int64)
+        order = np.argsort(places)  # by the place among the part's words
+        if not np.array_equal(places[order], np.arange(len(numbers))):
+            raise ValueError("a word of a part has no encoding, or several")
+        numbers = numbers[numbers >= 0]
+        starts, sizes = np.cumsum(known_sizes) - known_sizes, known_sizes[numbers]
+        ids = np.concatenate([known_ids[_runs(starts[numbers], sizes)], _joined(encoded, "ids")])
+        sizes = np.concatenate([sizes, _joined(encoded, "sizes")])
+        starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        return _documents(parts, starts, sizes, ids)
+
+    return run
+
+
+def _documents(parts: pa.Table, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> pa.Table:
+    doc_ids, n_words = parts.column("doc_ids")[0].values, parts.column("n_words")[0].values.to_numpy()
+    words, ends = _unpack(parts.column("places")[0].as_py()), np.concatenate([[0], np.cumsum(n_words)])
+    out = []
+    for k in range(0, len(n_words), BATCH_DOCS):
+        n = n_words[k:k + BATCH_DOCS]
+        found = words[ends[k]:ends[k + len(n)]]
+        edges = np.concatenate([[0], np.cumsum(sizes[found])])[ends[k:k + len(n) + 1] - ends[k]]
+        out.append(pa.RecordBatch.from_arrays(
+            [doc_ids.slice(k, len(n)), pa.array(n, pa.int64()), pa.array(np.diff(edges), pa.int64()), pa.ListArray.from_arrays(
+                pa.array(edges, pa.int32()), pa.array(ids[_runs(starts[found], sizes[found])], pa.int32()))],
+            names=["doc_id", "n_words", "n_tokens", "ids"]))
+    pa.default_memory_pool().release_unused()
+    return pa.Table.from_batches(out)
+
+
+def _bucketed(df: DataFrame, n: int, column: str, name: str) -> DataFrame:
+    """``df`` staged in ``n`` buckets of ``column``, which later steps group without a shuffle.
+    The table's name is forgotten; the files stay."""
+    spark, table, path = df.sparkSession, f"{name}_{uuid.uuid4().hex}", new_folder(df.sparkSession, name)
+    with _less_disk(spark):
+        (df.repartition(n, column).write.format("parquet").bucketBy(n, column)
+         .option("path", path).option("compression", "zstd").saveAsTable(table))
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def encode_documents(docs: DataFrame, model: list[tuple], frequent: int = FREQUENT_WORDS) -> tuple[DataFrame, DataFrame]:
     """(documents, words): one row per row of ``docs`` (doc_id, text) with doc_id, n_words,
     n_tokens, ids (of all its words, in order), and the staged encodings (word, n, ids) of all
-    distinct words.
+    distinct words. The ``frequent`` most frequent words are sent to every executor; the result is
+    the same for any number.
 
     NULL and empty texts have no words; NULL and repeated doc_ids are passed through row by
     row; extra columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
+    n_parts = max(1, min(MOST_BUCKETS, -(-8 * texts.count() // PART_DOCS)))  # few parts meet in one task
     with _small_batches(spark):
+        parts = _bucketed(
+            texts.mapInArrow(
+                _number_words(PART_DOCS, PART_DISTINCT),
+                "part bigint, doc_ids array<bigint>, n_words array<int>, places binary, words binary, n binary, n_distinct bigint"),
+            n_parts, "part", "numbered_words")
+    buckets = max(1, -(-(parts.agg(F.sum("n_distinct")).first()[0] or 0) // BUCKET_WORDS))
+    listed, row = parts.select("part", "words", "n"), "bucket int, part bigint, places binary, words binary, n binary"
+    with _less_disk(spark):
         counted = stage(
-            texts.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
+            listed.mapInArrow(_deal_words(buckets), row).select("bucket", "words", "n").repartition(buckets, "bucket")
+            .mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
             "distinct-words", compression="zstd")
-    with _grouped_by_hash(spark):
-        words = stage(encode_words(counted, model, keep=("n",)), "encoded-words", compression="zstd")
-    drop_stage(counted)
-    top = words.where(F.length("word") <= MAX_WORD).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
-    numbers = {w: k for k, w in enumerate(top.column("word").cast(pa.binary()).to_pylist())}
-    flat, sizes = _lists(top.column("ids").combine_chunks()) if numbers else (pa.array([], pa.int32()), np.zeros(1, np.int64))
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    encodings = spark.sparkContext.broadcast((flat.to_numpy(zero_copy_only=False).astype(np.int32), starts))
-    with _small_batches(spark):
-        looked = stage(texts.mapInArrow(
-            _lookup(spark.sparkContext.broadcast(numbers)), "row bigint, doc_id bigint, codes array<int>, rest array<string>"),
-            "looked-up", compression="zstd")
-    parts = max(1, -(-looked.count() // PART_DOCS))  # a batch does not reach beyond its part
-    rest = looked.select("row", F.posexplode("rest").alias("place", "word"))
-    more = rest.join(words.select("word", "ids"), "word").repartition(parts, "row").groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("more"))
-    out = looked.select("row", "doc_id", "codes").repartition(parts, "row").join(more, "row", "left").select(
-        "doc_id", "codes", F.coalesce("more.ids", F.array().cast("array<array<int>>")).alias("more"))
-    return out.mapInArrow(_put_back(encodings), "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>"), words
+        with _grouped_by_hash(spark):
+            words = stage(encode_words(counted, model, keep=("n",)), "encoded-words", compression="zstd")
+        drop_stage(counted)
+        share = max(0.0, 1 - frequent / max(1, words.count()))  # words below this share are not sorted
+        least = words.agg(F.percentile_approx("n", share)).first()[0]
+        top = words.where((F.length("word") <= MAX_WORD) & (F.col("n") >= F.lit(least))).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
+        flat, sizes, _ = _lists(top.column("ids").combine_chunks()) if len(top) else (np.zeros(0, np.int32),) * 3
+        shared = spark.sparkContext.broadcast((
+            {w[len(_MARK):]: k for k, w in enumerate(top.column("word").cast(pa.binary()).to_pylist())}, flat, sizes))
+        known = words.select("word", "ids").mapInArrow(
+            _deal_encodings(buckets), "bucket int, words binary, sizes binary, ids binary")
+        encoded = stage(
+            listed.mapInArrow(_deal_words(buckets, shared), row).drop("n").repartition(buckets, "bucket").groupBy("bucket")
+            .cogroup(known.repartition(buckets, "bucket").groupBy("bucket"))
+            .applyInArrow(_encode_rows, "part bigint, places binary, sizes binary, ids binary"),
+            "part-words", compression="zstd")
+    out = (
+        parts.select("part", "doc_ids", "n_words", "places", "words").groupBy("part")
+        .cogroup(encoded.repartition(n_parts, "part").groupBy("part"))
+        .applyInArrow(_put_back(shared), "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>")
+    )
+    return out, words

@@ -5,6 +5,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -520,6 +521,25 @@ def test_lattice_holds_few_documents_at_a_time(spark, frame, monkeypatch):
     assert len(counted) == 1
 
 
+def test_lattice_shuffles_words_of_parts_but_no_occurrences(frame, monkeypatch):
+    """Parts of documents are read where they are; each word of a part comes back once. Words and
+    documents are whole however small the parts and buckets are."""
+    model = piece_lattice.read_model(queries.PIECES)
+    rng = random.Random(11)
+    rows = [(k % 20, random_text(rng, 40)) for k in range(40)] + [(None, None), (50, "again " * 2000), (51, "")]
+    results = []
+    for docs, distinct, buckets, frequent in ((4000, 10**6, 10**6, 10), (3, 5, 7, 10), (7, 10**6, 3, 0), (7, 50, 20, 10**6)):
+        monkeypatch.setattr(piece_lattice, "PART_DOCS", docs)
+        monkeypatch.setattr(piece_lattice, "PART_DISTINCT", distinct)
+        monkeypatch.setattr(piece_lattice, "BUCKET_WORDS", buckets)
+        found, words = piece_lattice.encode_documents(frame(rows), model, frequent=frequent)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+        results.append((sorted(map(str, found.collect())), sorted(map(str, words.collect()))))
+    assert all(r == results[0] for r in results) and len(results[0][0]) == len(rows)
+    counts = Counter("▁" + w for _, text in rows for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    assert {r.word: r.n for r in words.collect()} == counts
+
+
 def test_lattice_query_decodes_the_whole_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     got = queries.QUERIES["op9_piece_lattice"](spark, "/root/testdata/sf0.001").collect()
